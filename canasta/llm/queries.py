@@ -1,0 +1,25 @@
+"""The queries of this subpackage, with production parameters."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from . import packing, token_counts
+from .common import documents
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), packing.Limits())
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_token_counts, op6_packing)}
+ORACLES: dict[str, str] = {}
