@@ -1,0 +1,138 @@
+"""Mixing sources to target weights by Pfair scheduling.
+
+Every source's rows are dealt into blocks.  With weight w, block i of a source
+(from 1) is released at floor((i - 1) / w) and due at ceil(i / w); one block is
+placed in each slot, always the released one with the earliest deadline.  With
+weights that sum to 1 no deadline is missed, so at any slot each source is less
+than one block away from its share.
+
+Weights are whole shares of a period of ``resolution`` slots or a few more.  A
+schedule repeats after each period, so only one period is worked out, on the
+driver, and every block finds its slot by arithmetic.  When a source ends, a new
+phase begins in which the others share its weight.  Every row is placed, once.
+
+A null source counts as the empty name.  Repeated rows and null ids are placed
+like any others; equal rows are interchangeable.  Texts aren't looked at.  Other
+columns are kept, whatever their names.  An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import heapq
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .common import small
+
+#: Slots of a period.
+RESOLUTION = 1000
+#: Rows of a block.
+BLOCK_ROWS = 16
+#: Rows that one task orders at once.
+BUCKET_ROWS = 2048
+#: Buckets of a source that are summed at once.
+RUN = 4096
+
+
+def quanta(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
+    """Slots of each source in a period: largest remainders, one at least."""
+    total, period = sum(weights.values()), max(resolution, 4 * len(weights))
+    share = {s: max(1.0, w / total * period) for s, w in weights.items()}
+    out = {s: int(x) for s, x in share.items()}
+    for s in sorted(share, key=lambda s: (out[s] - share[s], s))[: max(0, period - sum(out.values()))]:
+        out[s] += 1
+    return out
+
+
+def period(slots: dict[str, int]) -> dict[str, list[int]]:
+    """Pfair schedule of one period: the slots of each source, in order."""
+    length = sum(slots.values())
+    waiting = [(0, -(-length // n), s, 1) for s, n in slots.items()]  # release, deadline, source, block
+    heapq.heapify(waiting)
+    ready: list[tuple[int, str, int]] = []
+    out: dict[str, list[int]] = {s: [] for s in slots}
+    for slot in range(length):
+        while waiting and waiting[0][0] <= slot:
+            _, due, s, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, s, i))
+        _, s, i = heapq.heappop(ready)
+        out[s].append(slot)
+        if i < slots[s]:
+            heapq.heappush(waiting, (i * length // slots[s], -(-(i + 1) * length // slots[s]), s, i + 1))
+    return out
+
+
+def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int = RESOLUTION) -> list[tuple]:
+    """(source, phase, first block, end block, first slot, period, slots of the
+    source in a period): a row for each phase in which a source has blocks."""
+    left = {s: n for s, n in blocks.items() if n}
+    done = dict.fromkeys(left, 0)
+    base, out, number = 0, [], 0
+    while left:
+        own = quanta({s: weights[s] for s in left}, resolution)
+        length, at = sum(own.values()), period(own)
+        end = min((n - 1) // own[s] * length + at[s][(n - 1) % own[s]] + 1 for s, n in left.items())
+        for s in sorted(left):
+            served = end // length * own[s] + sum(x < end % length for x in at[s])
+            if served:
+                out.append((s, number, done[s], done[s] + served, base, length, at[s]))
+            done[s] += served
+            left[s] -= served
+        left = {s: n for s, n in left.items() if n}
+        base, number = base + end, number + 1
+    return out
+
+
+def tempered(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
+    """Weights that lean towards small sources: counts to a power."""
+    return {s: n**power for s, n in counts.items()}
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with mix_block (of its source), mix_phase, mix_release and
+    mix_deadline (slots of the phase), mix_slot, mix_position (place in the mix,
+    ascending with the slot); a name that ``docs`` has gets a number.  ``weights`` by source; without them, row counts to
+    ``power``.  Sources that ``weights`` doesn't name are an error."""
+    taken = {c.lower() for c in docs.columns}
+    own = lambda name: next(n for n in (name, *(f"{name}_{i}" for i in range(1, 1000))) if n.lower() not in taken)
+    s, h, b, r, n = (own(f"mix__{x}") for x in "shbrn")
+    block, phase, first, end, base, length, at = (own(f"mix__{x}") for x in ("block", "phase", "first", "end", "base", "length", "at"))
+    spark = docs.sparkSession
+    keyed = docs.withColumn(s, F.coalesce(F.col(source).cast("string"), F.lit(""))).withColumn(h, F.xxhash64(doc_id))
+    counts = {row[s]: row["count"] for row in keyed.groupBy(s).count().collect()}  # one row for each source
+    weights = weights or tempered(counts, power)
+    if missing := [x for x in counts if not weights.get(x)]:
+        raise ValueError(f"no weight for {missing[:5]}")
+
+    # Number the rows of each source: order within buckets, then sums over buckets.
+    if not counts:
+        plan_types = (("mix_block", "long"), ("mix_phase", "int"), ("mix_release", "long"), ("mix_deadline", "long"), ("mix_slot", "long"), ("mix_position", "long"))
+        return docs.select("*", *(F.lit(None).cast(kind).alias(own(name)) for name, kind in plan_types))
+    buckets = small(spark.createDataFrame([(x, -(-c // BUCKET_ROWS)) for x, c in counts.items()], f"{s} string, {n} long"))
+    keyed = keyed.join(buckets, s).withColumn(b, F.pmod(h, n)).drop(n)
+    each = keyed.groupBy(s, b).agg(F.count("*").alias("rows")).withColumn("run", F.floor(F.col(b) / RUN))
+    runs = each.groupBy(s, "run").agg(F.sum("rows").alias("run_rows"))
+    before = lambda x, *by: F.coalesce(F.sum(x).over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(s, "run", before("run_rows", s, "run").alias("run_before"))
+    each = each.withColumn("before", before("rows", s, "run", b)).join(runs, [s, "run"]).select(s, b, (F.col("before") + F.col("run_before")).alias(n))
+    in_bucket = F.row_number().over(Window.partitionBy(s, b).orderBy(h, doc_id)) - 1
+    placed = keyed.withColumn(r, in_bucket).join(small(each), [s, b]).withColumn(r, F.col(r) + F.col(n)).drop(n, h, b)
+    placed = placed.withColumn(block, F.floor(F.col(r) / block_rows))
+
+    plan = phases({x: -(-c // block_rows) for x, c in counts.items()}, weights, resolution)
+    table = spark.createDataFrame(plan, f"{s} string, {phase} int, {first} long, {end} long, {base} long, {length} long, {at} array<long>")
+    inside = (placed[s] == table[s]) & (F.col(block) >= F.col(first)) & (F.col(block) < F.col(end))
+    out = placed.join(small(table), inside).drop(s)
+    i, size, p = F.col(block) - F.col(first), F.size(at).cast("long"), F.col(length)
+    slot = F.col(base) + F.floor(i / size) * p + F.element_at(at, (i % size + 1).cast("int"))
+    return out.select(
+        *docs.columns,
+        F.col(block).alias(own("mix_block")),
+        F.col(phase).alias(own("mix_phase")),
+        F.floor(i * p / size).alias(own("mix_release")),
+        F.ceil((i + 1) * p / size).alias(own("mix_deadline")),
+        slot.alias(own("mix_slot")),
+        (slot * block_rows + F.col(r) % block_rows).alias(own("mix_position")),
+    )

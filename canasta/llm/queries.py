@@ -7,19 +7,28 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts
+from . import mixing, packing, simhash, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), packing.Limits())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_token_counts, op6_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op6_packing)}
 ORACLES: dict[str, str] = {}

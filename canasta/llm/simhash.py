@@ -1,0 +1,283 @@
+"""SimHash near-duplicates by bit-sliced comparison.
+
+Fingerprints: 64 bits by majority over the XXH64 hashes (seed 42) of a text's
+4-word shingles.  Two texts link if their fingerprints differ in at most
+``RADIUS`` bits.
+
+Links: the distinct fingerprints are keyed so that any two within the radius
+share a key (the bits are dealt into more blocks than may differ, and a key is
+all but ``RADIUS`` of the blocks).  Rows of one key are lanes: bit plane p holds
+bit p of every lane, a lane is compared with the one d places on by shifting the
+planes, distances grow in carry-save counters, and words of 64 lanes are left as
+soon as all their distances exceed the radius.  Keys with many fingerprints are
+split into chunks, and every pair of chunks is compared in a task of its own.  A
+task returns a spanning star of each group it links, never all pairs.
+
+Components: alternating large and small stars over the links, each round cut from
+its lineage.  Exact copies share a fingerprint and are never compared.
+
+Null and empty texts have fingerprint zero, which links like any other.  Repeated
+rows get equal results.  A null id never names a component unless its component
+has no other id.  Very long texts are hashed whole.  Other columns may have any
+names.  An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut, map_batches, small, text_of
+
+RADIUS, WORDS, SEED = 4, 4, 42
+#: Fingerprints of one key that are compared in one place.
+CHUNK = 4096
+#: Lanes that a task compares at once, unless one group has more.
+LANES = 1 << 16
+#: Fingerprints that a key should have at most, if they were spread evenly.
+PER_KEY = 2048
+
+
+def shingle_hashes(text: str, words: int = WORDS) -> list[int]:
+    """XXH64 of each shingle of a text, A-Z lower-cased, split at ASCII space."""
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return []
+    joined = b" ".join(found)
+    if len(found) <= words:
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    ends = np.cumsum(sizes)
+    starts, stops = (ends - sizes)[: len(found) - words + 1].tolist(), (ends[words - 1 :] - 1).tolist()
+    hash_ = xxhash.xxh64_intdigest
+    return [hash_(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)]
+
+
+def majority(hashes: list[list[int]]) -> np.ndarray:
+    """For each list, the bits that over half of its hashes have."""
+    n = np.array([len(h) for h in hashes], np.int64)
+    some = np.flatnonzero(n)
+    out = np.zeros(len(hashes), np.uint64)
+    if not len(some):
+        return out
+    flat = np.array([x for h in hashes for x in h], np.uint64)
+    begin = np.cumsum(n[some]) - n[some]
+    bits = np.empty((64, len(some)), np.int64)
+    for p in range(64):
+        bits[p] = np.add.reduceat((flat >> np.uint64(p)) & np.uint64(1), begin, dtype=np.int64)
+    over = bits * 2 > n[some]
+    for p in range(64):
+        out[some] |= over[p].astype(np.uint64) << np.uint64(p)
+    return out
+
+
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id and fingerprint (as a signed long) of each row."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = majority([shingle_hashes(t) for t in batch.column(1).to_pylist()])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    return map_batches(source, run, "doc_id long, fp long")
+
+
+# --- comparison ---------------------------------------------------------------
+
+
+def bit_planes(fp: np.ndarray) -> np.ndarray:
+    """64 rows of words; bit i of row p is bit p of fingerprint i."""
+    words = len(fp) // 64 + 2
+    bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), 8), axis=1, bitorder="little").T
+    rows = np.zeros((64, words * 8), np.uint8)
+    packed = np.packbits(bits, axis=1, bitorder="little")
+    rows[:, : packed.shape[1]] = packed
+    return rows.view(np.uint64)
+
+
+def _full(a, b, c):
+    u = a ^ b
+    return u ^ c, (a & b) | (u & c)
+
+
+def near(planes: np.ndarray, valid: np.ndarray, d: int, radius: int = RADIUS) -> np.ndarray:
+    """Lanes i, among the bits of ``valid``, whose distance to lane i + d is at
+    most ``radius`` (under 8)."""
+    step, shift = divmod(d, 64)
+    at = np.flatnonzero(valid)
+    live = valid[at]
+    ones = np.zeros(len(at), np.uint64)
+    twos, fours, over = ones.copy(), ones.copy(), ones.copy()
+    limit = [np.uint64(0xFFFFFFFFFFFFFFFF if radius >> k & 1 else 0) for k in range(3)]
+    for p in range(0, 64, 7):
+        some = planes[p : p + 7]
+        right = some[:, at + step]
+        if shift:
+            right = (right >> np.uint64(shift)) | (some[:, np.minimum(at + step + 1, some.shape[1] - 1)] << np.uint64(64 - shift))
+        x = some[:, at] ^ right
+        if len(x) == 7:
+            s1, c1 = _full(x[0], x[1], x[2])
+            s2, c2 = _full(x[3], x[4], x[5])
+            one, c3 = _full(s1, s2, x[6])
+            two, four = _full(c1, c2, c3)
+        else:
+            one, two, four = x[0], np.uint64(0), np.uint64(0)
+        carry = ones & one
+        ones = ones ^ one
+        twos, carry = _full(twos, two, carry)
+        fours, carry = _full(fours, four, carry)
+        over |= carry
+        # counter > radius, from the highest bit down
+        more, same = over, ~over
+        for bit, k in ((fours, 2), (twos, 1), (ones, 0)):
+            more = more | (same & bit & ~limit[k])
+            same = same & ~(bit ^ limit[k])
+        left = live & ~more
+        keep = np.flatnonzero(left)
+        if not len(keep):
+            return np.zeros(0, np.int64)
+        if len(keep) < len(at):  # words in which every distance exceeds the radius
+            at, live, ones, twos, fours, over, left = at[keep], live[keep], ones[keep], twos[keep], fours[keep], over[keep], left[keep]
+    bits = np.unpackbits(left.view(np.uint8).reshape(len(left), 8), axis=1, bitorder="little")
+    row, col = np.nonzero(bits)
+    return at[row] * 64 + col
+
+
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while True:
+        up = parent[parent]
+        if np.array_equal(up, parent):
+            return parent
+        parent = up
+
+
+def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Links (fingerprint, root) that connect what lies within ``radius`` inside
+    each group; ``group`` is sorted."""
+    size = np.diff(np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group)))
+    order = np.argsort(-np.repeat(size, size), kind="stable")  # large groups first
+    fp, group, size = fp[order], group[order], np.repeat(size, size)[order]
+    parent = np.arange(len(fp))
+    lane = np.arange(len(fp))  # of the whole, for each lane still compared
+    planes, d, rebuilt = bit_planes(fp), 1, 1
+    while True:
+        n = int(np.searchsorted(-size, -d))  # lanes of groups with more than d
+        if n <= d:
+            break
+        same = np.zeros(planes.shape[1] * 64, np.uint8)
+        same[: n - d] = group[: n - d] == group[d:n]
+        valid = np.packbits(same, bitorder="little").view(np.uint64)
+        a = near(planes, valid, d, radius)
+        if len(a):
+            x, y = lane[a], lane[a + d]
+            while True:
+                parent = _roots(parent)
+                low, high = np.minimum(parent[x], parent[y]), np.maximum(parent[x], parent[y])
+                open_ = low < high
+                if not open_.any():
+                    break
+                np.minimum.at(parent, high[open_], low[open_])
+        d += 1
+        if d >= 2 * rebuilt:  # groups that are one component need no more
+            rebuilt, parent = d, _roots(parent)
+            root = parent[lane]
+            begins = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            whole = np.minimum.reduceat(root, begins) == np.maximum.reduceat(root, begins)
+            keep = ~np.repeat(whole, np.diff(np.append(begins, len(group)))) & (size > d)
+            if not keep.any():
+                break
+            if keep.sum() < 0.9 * len(keep):
+                group, size, lane = group[keep], size[keep], lane[keep]
+                planes = bit_planes(fp[lane])
+    parent = _roots(parent)
+    moved = np.flatnonzero(parent != np.arange(len(parent)))
+    return fp[moved], fp[parent[moved]]
+
+
+def key_masks(n: int, radius: int = RADIUS) -> list[int]:
+    """Bit masks of which at least one leaves two fingerprints within the radius
+    equal; more and longer ones for more fingerprints."""
+    blocks = radius + 1
+    while blocks < 2 * radius and n >> (64 * (blocks - radius) // blocks) > PER_KEY:
+        blocks += 1
+    edge = [64 * i // blocks for i in range(blocks + 1)]
+    part = [(1 << edge[i + 1]) - (1 << edge[i]) for i in range(blocks)]
+    return [reduce(int.__or__, c) for c in combinations(part, blocks - radius)]
+
+
+def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """a, b: links between the fingerprints ``fp`` that connect all within the
+    radius of each other."""
+    masks = key_masks(distinct.count(), radius)
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)])
+    keyed = distinct.select("fp", F.inline(keys))
+    hot = keyed.groupBy("t", "k").count().where(F.col("count") > CHUNK).select("t", "k", F.ceil(F.col("count") / CHUNK).alias("chunks"))
+    dealt = keyed.join(small(cut(hot)), ["t", "k"], "left").withColumn("c", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1))
+    pairs = dealt.select("t", "k", "fp", "c", other.alias("o"))
+    pairs = pairs.select("fp", F.xxhash64("t", "k", F.least("c", "o"), F.greatest("c", "o")).alias("g"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        count = 0
+
+        def flush(fp: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+            a, b = spanning(fp, g, radius)
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+        for batch in batches:
+            fp, g = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            held.append((fp, g))
+            count += len(g)
+            if count >= LANES:
+                fp, g = (np.concatenate(x) for x in zip(*held, strict=True))
+                end = int(np.searchsorted(g, g[-1]))  # the last group may go on
+                if end:
+                    yield flush(fp[:end], g[:end])
+                    fp, g = fp[end:], g[end:]
+                held, count = [(fp, g)], len(g)
+        if count:
+            yield flush(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    grouped = pairs.repartition("g").sortWithinPartitions("g", "fp")
+    return grouped.mapInArrow(compare, "a long, b long").distinct()
+
+
+# --- components ---------------------------------------------------------------
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """fp, root: every node of the edges (a, b) with the least node it reaches."""
+    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    mark = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        large = cut(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m")))
+        joined = large.join(low, "a")
+        edges = cut(joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+        if now == mark:
+            break
+        mark = now
+    return edges.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("fp"), F.col("b").alias("root")).distinct())
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id of each row."""
+    found = cut(fingerprints(docs, text, doc_id))
+    first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    member = cut(components(links(first.select("fp"), radius)).join(first, "fp"))
+    least = cut(member.groupBy("root").agg(F.min("id").alias("least")))
+    named = member.join(least, "root").select("fp", "least")
+    named = cut(first.join(named, "fp", "left").select("fp", F.coalesce("least", "id").alias("component_id")))
+    return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
