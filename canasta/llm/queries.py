@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash, token_counts
+from . import mixing, packing, quality_rules, simhash, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), packing.Limits())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op6_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing)}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
