@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 #: Text bytes that one vectorised step holds at once inside a task.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def cut(df: DataFrame) -> DataFrame:
