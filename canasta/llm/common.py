@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A side of a join is broadcast only if it has at most this many rows.
 BROADCAST_ROWS = 200_000
@@ -73,7 +74,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start)
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text", limit: int = STEP_BYTES) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, column: str = "text", limit: int = STEP_BYTES) -> DataFrame:
     """``function`` over bounded slices of ``df``, inside Spark's tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

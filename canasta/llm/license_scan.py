@@ -1,0 +1,182 @@
+"""License scans by template-markup matching.
+
+A template is a license's wording with marks: ``<<beginOptional>> ... <<endOptional>>``
+around words that may be left out, ``<<var;words=a-b>>`` for a to b words of any
+kind.  It is compiled into an automaton over words, which is run from each place
+where the template's first words stand.  A text carries the template's label
+if the automaton accepts from some place: every mandatory word is there, in order,
+with nothing else between.  Base phrases are found beside it, word by word.
+
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  Null
+and empty texts have no words, no labels and score 0.  Repeated rows get equal
+results.  Very long texts are scanned whole.  Other columns may have any names.
+An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import functools
+import re
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import map_batches, text_of
+
+#: Phrases and their labels.
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+_OPEN, _CLOSE = "<<beginOptional>>", "<<endOptional>>"
+_CC_TAIL = f"{_OPEN}international {_CLOSE}{_OPEN}license{_CLOSE}"
+
+#: Wording of common notices, with marks.
+TEMPLATES: dict[str, str] = {
+    "apache-2.0": f"licensed under the Apache License{_OPEN}, Version{_CLOSE} 2.0",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "cc-by-4.0": f"licensed under {_OPEN}a {_CLOSE}{_OPEN}Creative Commons {_CLOSE}CC BY 4.0 {_CC_TAIL}",
+    "cc-by-nc-4.0": f"licensed under {_OPEN}a {_CLOSE}{_OPEN}Creative Commons {_CLOSE}CC BY-NC 4.0 {_CC_TAIL}",
+    "cc-by-sa-4.0": f"licensed under {_OPEN}a {_CLOSE}{_OPEN}Creative Commons {_CLOSE}CC BY-SA 4.0 {_CC_TAIL}",
+    "cc0-1.0": "CC0 1.0 <<var;words=0-2>>",
+    "copyright-reserved": f"Copyright <<var;words=1-12>>{_OPEN} and contributors{_CLOSE} All rights reserved",
+    "gpl-2.0": f"licensed under the {_OPEN}terms of the {_CLOSE}GNU General Public License, version 2",
+    "gpl-2.0-or-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl-3.0": f"licensed under the {_OPEN}terms of the {_CLOSE}GNU General Public License, version 3",
+    "gpl-3.0-or-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "isc": f"Permission to use, copy, modify, and{_OPEN}/or{_CLOSE} distribute this software for any purpose with or without fee is hereby granted",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;words=1-8>> and associated documentation files",
+    "mit-notice": f"released under the {_OPEN}terms of the {_CLOSE}MIT License",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "public-domain": "released into the public domain",
+}
+
+_SPACES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+_TABLE = bytes(_SPACES[b + 32] if 0x41 <= b <= 0x5A else _SPACES[b] for b in range(256))
+
+
+def words_of(text: str) -> list[bytes]:
+    """Words of a text, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """States 0..n; ``reads[s]`` is the word that state s reads (None: any word),
+    ``skips[s]`` the states that follow without reading, ``done[s]`` the mandatory
+    words read before it; the last state accepts."""
+
+    first: bytes
+    reads: tuple[bytes | None, ...]
+    skips: tuple[tuple[int, ...], ...]
+    done: tuple[int, ...]
+    mandatory: int
+
+    def run(self, words: list[bytes], at: int) -> float:
+        """Share of the mandatory words read from word ``at`` on; 1 if accepted."""
+        end, best = len(self.reads), 0
+        now = self._reach({0})
+        while True:
+            best = max(best, max(self.done[s] for s in now))
+            if end in now:
+                return 1.0
+            word = words[at] if at < len(words) else None
+            at += 1
+            after = {s + 1 for s in now if word is not None and (self.reads[s] is None or self.reads[s] == word)}
+            if not after:
+                return min(best, self.mandatory - 1) / self.mandatory if self.mandatory > 1 else 0.0
+            now = self._reach(after)
+
+    def _reach(self, states: set[int]) -> set[int]:
+        todo, out = list(states), set(states)
+        while todo:
+            s = todo.pop()
+            for t in self.skips[s] if s < len(self.skips) else ():
+                if t not in out:
+                    out.add(t)
+                    todo.append(t)
+        return out
+
+
+def compile_template(markup: str) -> Automaton:
+    """The automaton of a template; it must begin with a mandatory word."""
+    reads: list[bytes | None] = []
+    skips: dict[int, list[int]] = {}
+    mandatory: list[bool] = []
+    opened: list[int] = []
+    for part in re.split(r"(<<[^>]*>>)", markup):
+        if part == _OPEN:
+            opened.append(len(reads))
+        elif part == _CLOSE:
+            skips.setdefault(opened.pop(), []).append(len(reads))
+        elif part.startswith("<<"):
+            low, high = map(int, re.search(r"words=(\d+)-(\d+)", part).groups())
+            stop = len(reads) + high
+            for i in range(high):
+                if i >= low:
+                    skips.setdefault(len(reads), []).append(stop)
+                reads.append(None)
+                mandatory.append(False)
+        else:
+            for word in words_of(part):
+                reads.append(word)
+                mandatory.append(not opened)
+    if not mandatory or not mandatory[0]:
+        raise ValueError(f"a template begins with a mandatory word: {markup[:60]}")
+    lead = 2 if all(mandatory[:2]) and len(reads) > 1 else 1
+    done = [sum(mandatory[:i]) for i in range(len(reads) + 1)]
+    return Automaton(b" ".join(reads[:lead]), tuple(reads), tuple(tuple(skips.get(i, ())) for i in range(len(reads) + 1)), tuple(done), sum(mandatory))
+
+
+@functools.lru_cache(maxsize=8)
+def _compiled(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, Automaton]]:
+    return [(label, compile_template(t)) for label, t in templates]
+
+
+def places(joined: bytes, phrase: bytes) -> list[int]:
+    """Word numbers at which a phrase stands in `` w0 w1 ... wn ``."""
+    out, pattern = [], b" " + phrase + b" "
+    at, word, last = joined.find(pattern), 0, 0
+    while at >= 0:
+        word += joined.count(b" ", last, at)
+        last = at
+        out.append(word)
+        at = joined.find(pattern, at + 1)
+    return out
+
+
+def scan_text(text: str, templates: list[tuple[str, Automaton]], phrases: dict[str, str]) -> tuple:
+    """n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    words = words_of(text)
+    joined = b" " + b" ".join(words) + b" "
+    found, base, labels, score = [], set(), set(), 0.0
+    for phrase, label in phrases.items():
+        if at := places(joined, phrase.encode()):
+            found += at
+            base.add(label)
+    for label, automaton in templates:
+        for at in places(joined, automaton.first):
+            got = automaton.run(words, at)
+            score = max(score, got)
+            if got == 1.0:
+                labels.add(label)
+                break
+    return len(words), len(found), min(found, default=None), max(found, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score
+
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and
+    score (the largest share of a template's mandatory words found in order) of
+    every row."""
+    marks = tuple(sorted((TEMPLATES if templates is None else templates).items()))
+    phrases = PHRASES if phrases is None else phrases
+    types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [scan_text(t, _compiled(marks), phrases) for t in batch.column(1).to_pylist()]
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), types, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    return map_batches(source, run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_rules, simhash, token_counts
+from . import license_scan, mixing, packing, quality_rules, secret_scan, simhash, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,5 +34,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), packing.Limits())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(documents(spark, sf_dir))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, op8_secret_scan, op10_license_scan)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}

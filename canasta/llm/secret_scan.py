@@ -1,0 +1,369 @@
+"""Secret scans by a linear-chain conditional random field.
+
+Rules find the plain cases.  Beside them a CRF tags every token of a text as the
+beginning of a secret, inside one, or outside, from the token's shape, the words
+around it and features of the whole text; Viterbi decoding picks the best tags.
+The field is trained on the rules' own finds in at most ``TRAIN_TEXTS`` texts, with
+the secret's letters hidden behind their shape, so that it generalises from the
+context and the shape to secrets that no rule spells out.
+
+A token whose margin for "outside" is larger than any change of transitions could
+make up for is outside in every best path.  The chain is cut at such tokens, which
+changes no result, and only the short stretches between them are decoded.
+
+Null and empty texts have no spans.  Repeated rows get equal results.  Very long
+texts are scanned whole.  Spans count code points.  Other columns are kept by
+``redact``, whatever their names.  An empty table gives no rows; without a rule's
+find in the sample, the field adds nothing.
+"""
+
+from __future__ import annotations
+
+import functools
+import hashlib
+import math
+import re
+from collections import Counter
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import map_batches, text_of
+
+KINDS = ("assign", "access", "hex", "crf")
+#: The rules.
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+TOKEN = re.compile(r"[\w+/.=-]+|[^\w\s+/.=-]+")
+#: Texts with a rule's find, and as many without, that the field is trained on.
+TRAIN_TEXTS = 400
+SEGMENT = 16
+FEATURES = 1 << 13
+#: Features of a token: five of its own, of three neighbours each, two of the text.
+WIDTH = 22
+ROUNDS, RATE = 40, 0.2
+REMEMBERED = 1 << 20
+B, I, O = 0, 1, 2
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the rules' finds, in order."""
+    out = []
+    low = text.lower()
+    if any(k in low for k in ("passw", "secret", "token", "api")) or not low.isascii():
+        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    if "AKIA" in text:
+        out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    return sorted(out)
+
+
+def joined(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+# --- features -----------------------------------------------------------------
+
+
+def _slot(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little") % FEATURES
+
+
+def _size(n: int) -> int:
+    return n if n < 8 else 8 + int(math.log2(n / 8) * 2)
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _features(shape: str) -> dict[str, tuple[int, ...]]:
+    """Slots of what a token of this shape says about itself and its neighbours."""
+    parts = shape.split("\t")
+    return {role: tuple(_slot(f"{role}|{x}") for x in parts) for role in ("own", "next", "last", "before")}
+
+
+def shape_of(token: str) -> str:
+    """The features of a token, tab-separated: a short word's letters; of others
+    the classes of characters, the length and how mixed they are."""
+    if token.isalpha():
+        low = token.lower()
+        case = "lower" if token == low else "upper" if token.isupper() else "title" if token.istitle() else "mixed"
+        word = f"w={low}" if len(token) <= 12 else "w=long"
+        return f"letters {case}\tsize={_size(len(token))}\t{word}"
+    if not any(c.isalnum() for c in token):
+        return f"marks\tm={token[:3]}"
+    runs = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", token)))
+    flat = "".join(sorted(set(runs)))[:6]
+    count = Counter(token)
+    entropy = -sum(n / len(token) * math.log2(n / len(token)) for n in count.values())
+    changes = len(re.findall(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]", token))
+    hexes = "hex" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", token) else "not hex"
+    return f"kind={flat}\tsize={_size(len(token))}\tentropy={round(entropy * 2)}\tchanges={_size(changes)}\t{hexes} {_size(len(token))}"
+
+
+def text_features(tokens: list[str]) -> tuple[int, ...]:
+    """Slots of what a whole text says about its tokens."""
+    n = max(1, len(tokens))
+    marks = sum(map(tokens.count, ("=", ":", "{", "}")))
+    return _slot(f"text|marks={_size(100 * marks // n)}"), _slot(f"text|size={_size(n)}")
+
+
+# --- the field ----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Field:
+    """Scores: of features for each tag, and of a tag after a tag."""
+
+    weight: np.ndarray  # (FEATURES, 3)
+    move: np.ndarray  # (3, 3)
+
+    def scores(self, shape: str) -> np.ndarray:
+        """(4, 3): own, to the token before, to the next, to the one after it."""
+        f = _features(shape)
+        return np.stack([self.weight[list(f[role])].sum(0) for role in ("own", "next", "last", "before")])
+
+
+def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis, keepdims=True)
+    return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
+
+
+def train(slots: np.ndarray, tags: np.ndarray, weight_of: np.ndarray) -> Field:
+    """Maximum likelihood for segments: slots (segments, tokens, features), tags
+    (segments, tokens); by forward-backward sums and Adagrad steps."""
+    n, length, width = slots.shape
+    weight, move = np.zeros((FEATURES, 3)), np.zeros((3, 3))
+    grad_w, grad_m = np.full_like(weight, 1e-3), np.full_like(move, 1e-3)
+    gold = np.eye(3)[tags] * weight_of[:, None, None]
+    gold_moves = np.einsum("sti,stj->ij", gold[:, :-1], np.eye(3)[tags[:, 1:]])
+    flat = slots.ravel()
+    for _ in range(ROUNDS):
+        emit = weight[slots].sum(2)
+        ahead, behind = np.empty_like(emit), np.zeros_like(emit)
+        ahead[:, 0] = emit[:, 0]
+        for t in range(1, length):
+            ahead[:, t] = emit[:, t] + _log_sum(ahead[:, t - 1, :, None] + move, 1)
+        for t in range(length - 2, -1, -1):
+            behind[:, t] = _log_sum(move + (emit[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
+        total = _log_sum(ahead[:, -1], 1)
+        belief = np.exp(ahead + behind - total[:, None, None]) * weight_of[:, None, None]
+        pair = np.exp(ahead[:, :-1, :, None] + move + (emit + behind)[:, 1:, None, :] - total[:, None, None, None])
+        moves = (pair * weight_of[:, None, None, None]).sum((0, 1))
+        error = ((gold - belief) / n).reshape(-1, 3).repeat(width, 0)
+        gw = np.stack([np.bincount(flat, error[:, y], FEATURES) for y in range(3)], 1) - 1e-5 * weight
+        gm = (gold_moves - moves) / n - 1e-4 * move
+        grad_w += gw**2
+        grad_m += gm**2
+        weight += RATE * gw / np.sqrt(grad_w)
+        move += RATE * gm / np.sqrt(grad_m)
+    return Field(weight, move)
+
+
+def viterbi(emit: np.ndarray, move: np.ndarray, before: int | None, after: int | None) -> list[int]:
+    """Best tags of a stretch, given the tags on either side."""
+    score = emit[0] + (move[before] if before is not None else 0)
+    back = []
+    for e in emit[1:]:
+        both = score[:, None] + move
+        back.append(both.argmax(0))
+        score = both.max(0) + e
+    if after is not None:
+        score = score + move[:, after]
+    tags = [int(score.argmax())]
+    for b in reversed(back):
+        tags.append(int(b[tags[-1]]))
+    return tags[::-1]
+
+
+class Tagger:
+    """A field with the scores of the tokens it has met."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.most = 2 * float(field.move.max() - field.move.min())
+        self._new()
+
+    def _new(self) -> None:
+        self.row: dict[str, int] = {"": 0}
+        self.by_shape: dict[str, int] = {"": 0}
+        self.table = np.zeros((1024, 4, 3))
+
+    def _rows(self, tokens: list[str]) -> np.ndarray:
+        row = self.row
+        if len(row) > REMEMBERED:
+            self._new()
+            row = self.row
+        try:
+            return np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
+        except KeyError:
+            pass
+        for t in set(tokens) - row.keys():
+            shape = shape_of(t)
+            at = self.by_shape.get(shape)
+            if at is None:
+                at = self.by_shape[shape] = len(self.by_shape)
+                if at >= len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[at] = self.field.scores(shape)
+            row[t] = at
+        return np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        """Code point spans that the field tags as secrets."""
+        tokens = TOKEN.findall(text)
+        if not tokens:
+            return []
+        r = self._rows(tokens)
+        table = self.table
+        emit = table[r, 0] + self.field.weight[list(text_features(tokens))].sum(0)
+        emit[:-1] += table[r[1:], 1]
+        emit[1:] += table[r[:-1], 2]
+        emit[2:] += table[r[:-2], 3]
+        unsure = np.flatnonzero(emit[:, O] - np.maximum(emit[:, B], emit[:, I]) <= self.most)
+        if not len(unsure):
+            return []
+        found = []
+        for part in np.split(unsure, np.flatnonzero(np.diff(unsure) > 1) + 1):
+            a, b = int(part[0]), int(part[-1]) + 1
+            tags = viterbi(emit[a:b], self.field.move, O if a else None, O if b < len(tokens) else None)
+            for i, tag in enumerate(tags, a):
+                if tag == B or tag == I and (not found or found[-1][1] != i):
+                    found.append([i, i + 1])
+                elif tag == I:
+                    found[-1][1] = i + 1
+        if not found:
+            return []
+        at = [m.span() for m in TOKEN.finditer(text)]
+        return [(at[i][0], at[j - 1][1]) for i, j in found]
+
+
+def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Training segments around the rules' finds, and one elsewhere in each text."""
+    slots, tags = [], []
+    for text in texts:
+        tokens = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(text)]
+        if len(tokens) < SEGMENT:
+            tokens += [("", len(text), len(text))] * (SEGMENT - len(tokens))
+        tag = np.full(len(tokens), O)
+        starts = np.array([t[1] for t in tokens])
+        centres = [int(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % len(tokens)]
+        for a, kind, b in base_spans(text):
+            if kind == 0:
+                m = ASSIGN.match(text, a)
+                a = m.start(2)
+            i, j = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b, "left"))
+            tag[i] = B
+            tag[i + 1 : j] = I
+            centres.append(i)
+        shapes = [_features(shape_of(t[0])) if t[0] else _features("") for t in tokens]
+        whole = text_features([t[0] for t in tokens if t[0]])
+        for c in sorted(set(centres))[:4]:
+            s = max(0, min(c - SEGMENT // 2, len(tokens) - SEGMENT))
+            rows = []
+            for i in range(s, s + SEGMENT):
+                pick = lambda k, role: shapes[k][role] if 0 <= k < len(tokens) else ()
+                rows.append((pick(i, "own") + pick(i + 1, "next") + pick(i - 1, "last") + pick(i - 2, "before") + whole))
+            slots.append(rows)
+            tags.append(tag[s : s + SEGMENT])
+    width = max(len(r) for rows in slots for r in rows)
+    pad = _slot("pad")
+    out = np.full((len(slots), SEGMENT, width), pad, np.int64)
+    for a, rows in enumerate(slots):
+        for b, r in enumerate(rows):
+            out[a, b, : len(r)] = r
+    return out, np.array(tags), np.ones(len(slots))
+
+
+def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
+    """A field trained on the rules' finds in at most ``texts`` texts that have
+    one and as many that have none, chosen by hash; of each text at most 4 windows
+    of its tokens come to the driver."""
+    t = text_of(text)
+    hit = t.rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
+    chosen = docs.select(t.alias("text"), hit.alias("hit"), F.xxhash64(t).alias("h"))
+    # The ids of both samples first, so that texts don't take part in the sort.
+    cut_off = [chosen.where(F.col("hit") == side).select("h").distinct().orderBy("h").limit(texts).agg(F.max("h")).first()[0] for side in (True, False)]
+    if cut_off[0] is None:
+        return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
+    inside = (F.col("hit") & (F.col("h") <= cut_off[0])) | (~F.col("hit") & (F.col("h") <= (cut_off[1] if cut_off[1] is not None else -(1 << 63))))
+
+    def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        slots, tags, _ = _segments(batch.column(0).to_pylist())
+        slots = np.pad(slots, ((0, 0), (0, 0), (0, max(0, WIDTH - slots.shape[2]))), constant_values=_slot("pad"))
+        raw = [s.astype(np.int16).tobytes() for s in slots]
+        return pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array([t.astype(np.int8).tobytes() for t in tags], pa.binary())], ["slots", "tags"])
+
+    source = chosen.where(inside).select("text").distinct()
+    got = map_batches(source, windows, "slots binary, tags binary").orderBy("slots", "tags").toArrow()
+    slots = np.stack([np.frombuffer(x, np.int16).reshape(SEGMENT, WIDTH) for x in got.column(0).to_pylist()]).astype(np.int64)
+    tags = np.stack([np.frombuffer(x, np.int8) for x in got.column(1).to_pylist()]).astype(np.int64)
+    return train(slots, tags, np.ones(len(slots)))
+
+
+_TAGGERS: dict[bytes, Tagger] = {}
+
+
+def _tagger(shared) -> Tagger:
+    weight, move, key = shared.value
+    if key not in _TAGGERS:
+        _TAGGERS.clear()
+        _TAGGERS[key] = Tagger(Field(weight, move))
+    return _TAGGERS[key]
+
+
+def all_spans(text: str, tagger: Tagger) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """The rules' spans; those and the field's that lie in none of them."""
+    base = base_spans(text)
+    more = [(a, 3, b) for a, b in tagger.spans(text) if not any(x < b and a < y for x, _, y in base)]
+    return base, sorted(base + more)
+
+
+def _share(docs: DataFrame, field: Field):
+    key = hashlib.md5(field.weight.tobytes() + field.move.tobytes()).digest()
+    return docs.sparkSession.sparkContext.broadcast((field.weight, field.move, key))
+
+
+def scan_secrets(docs: DataFrame, field: Field | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_spans of every row."""
+    shared = _share(docs, field or fit(docs, text))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for t in batch.column(1).to_pylist():
+            base, spans = all_spans(t, _tagger(shared))
+            n = Counter(k for _, k, _ in base)
+            rows.append((n[0], n[1], n[2], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans)))
+        types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), types, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_spans"])
+
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    return map_batches(source, run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_spans long")
+
+
+def redact(docs: DataFrame, field: Field | None = None, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by ``mark``; other columns,
+    rows and null texts stay as they are."""
+    shared = _share(docs, field or fit(docs, text))
+    position = docs.columns.index(text)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for t in batch.column(position).to_pylist():
+            if t:
+                _, spans = all_spans(t, _tagger(shared))
+                parts, last = [], 0
+                for a, _, b in spans:
+                    if b > last:
+                        parts += [t[last:a], mark] if a >= last else []
+                        last = b
+                t = "".join([*parts, t[last:]])
+            out.append(t)
+        columns = list(batch.columns)
+        columns[position] = pa.array(out, pa.string())
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return map_batches(docs, run, docs.schema, column=text)
