@@ -13,8 +13,8 @@ changes no result, and only the short stretches between them are decoded.
 
 Null and empty texts have no spans.  Repeated rows get equal results.  Very long
 texts are scanned whole.  Spans count code points.  Other columns are kept by
-``redact``, whatever their names.  An empty table gives no rows; without a rule's
-find in the sample, the field adds nothing.
+``redact``, whatever their names.  An empty table gives no rows; without a
+hint of a secret in any text, the field adds nothing.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_of
+from .common import cut, map_batches, text_of
 
 KINDS = ("assign", "access", "hex", "crf")
 #: The rules.
@@ -39,7 +39,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"[\w+/.=-]+|[^\w\s+/.=-]+")
-#: Texts with a rule's find, and as many without, that the field is trained on.
+#: Words that are told apart; of others only the shape counts.
+CONTEXT = frozenset("access account api apikey auth authorization aws basic bearer client credential credentials id is key login pass passphrase passwd password private pwd pw secret signing session token user was with".split())
+#: The training sample is rich in texts that have one of these.
+HINTS = ("password", "Password", "passwd", "secret", "Secret", "token", "Token", "api_key", "apikey", "API_KEY", "AKIA")
+#: Texts with a hint of a secret, and as many without, that the field is trained on.
 TRAIN_TEXTS = 400
 SEGMENT = 16
 FEATURES = 1 << 13
@@ -90,8 +94,10 @@ def shape_of(token: str) -> str:
     if token.isalpha():
         low = token.lower()
         case = "lower" if token == low else "upper" if token.isupper() else "title" if token.istitle() else "mixed"
-        word = f"w={low}" if len(token) <= 12 else "w=long"
+        word = f"w={low}" if low in CONTEXT else "w=other"
         return f"letters {case}\tsize={_size(len(token))}\t{word}"
+    if "_" in token and (named := [w for w in token.lower().split("_") if w in CONTEXT]):
+        return f"name\tsize={_size(len(token))}\tw={named[-1]}"
     if not any(c.isalnum() for c in token):
         return f"marks\tm={token[:3]}"
     runs = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", token)))
@@ -200,7 +206,9 @@ class Tagger:
             return np.fromiter(map(row.__getitem__, tokens), np.int64, len(tokens))
         except KeyError:
             pass
-        for t in set(tokens) - row.keys():
+        for t in set(tokens):
+            if t in row:
+                continue
             shape = shape_of(t)
             at = self.by_shape.get(shape)
             if at is None:
@@ -278,17 +286,21 @@ def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
-    """A field trained on the rules' finds in at most ``texts`` texts that have
-    one and as many that have none, chosen by hash; of each text at most 4 windows
+    """A field trained on the rules' finds in at most ``texts`` texts that hint at
+    a secret and as many others, chosen by hash; of each text at most 4 windows
     of its tokens come to the driver."""
     t = text_of(text)
-    hit = t.rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
+    hit = F.lit(False)
+    for word in HINTS:
+        hit = hit | t.contains(word)
+    # The hashes of both samples first, so that texts don't take part in the sort.
     chosen = docs.select(t.alias("text"), hit.alias("hit"), F.xxhash64(t).alias("h"))
-    # The ids of both samples first, so that texts don't take part in the sort.
-    cut_off = [chosen.where(F.col("hit") == side).select("h").distinct().orderBy("h").limit(texts).agg(F.max("h")).first()[0] for side in (True, False)]
-    if cut_off[0] is None:
+    keys = cut(chosen.select("hit", "h").distinct())
+    most = {side: keys.where(F.col("hit") == side).orderBy("h").limit(texts).agg(F.max("h")).first()[0] for side in (True, False)}
+    if most[True] is None:
         return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
-    inside = (F.col("hit") & (F.col("h") <= cut_off[0])) | (~F.col("hit") & (F.col("h") <= (cut_off[1] if cut_off[1] is not None else -(1 << 63))))
+    least = -(1 << 63)
+    inside = F.col("h") <= F.when(F.col("hit"), most[True]).otherwise(least if most[False] is None else most[False])
 
     def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         slots, tags, _ = _segments(batch.column(0).to_pylist())
