@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, packing, quality_rules, secret_scan, simhash, token_counts
+from . import flac, license_scan, mixing, packing, quality_rules, secret_scan, simhash, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op2_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_digests(flac.store_texts(documents(spark, sf_dir)))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -42,5 +46,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, op8_secret_scan, op10_license_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, op8_secret_scan, op10_license_scan)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
