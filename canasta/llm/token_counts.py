@@ -6,7 +6,7 @@
 3. Per-document pre-token frequencies are joined to those counts and summed.
    The most frequent ``HEAD`` pre-tokens, which are most of all occurrences and
    the only hot join keys, are joined inside the tasks against a table of at most
-   ``HEAD`` hashes and counts (16 bytes each); the rest meet theirs in a shuffled
+   ``HEAD`` hashes and counts (20 bytes each); the rest meet theirs in a shuffled
    join, where no key is hot, because a key outside the head is rarer than all
    keys in it.
 
@@ -17,16 +17,18 @@ any names.  An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, row_ids, text_of, written
+from .common import map_batches, row_ids, steps, text_of, written
 from .pretoken import cuts, distinct, hashes, strings, vocabulary, whole
 
-#: Pre-tokens whose counts travel to every task: 16 bytes each, 32 MB at most.
-HEAD = 1 << 21
+#: Pre-tokens whose counts travel to every task: 20 bytes each, 20 MB at most.
+HEAD = 1 << 20
 
 
 def pretoken_table(docs: DataFrame, vocab: str, text: str = "text") -> DataFrame:
@@ -71,9 +73,9 @@ def count_tokens(docs: DataFrame, vocab: str, limit: int, text: str = "text", do
     least, *head = head_of(table)
     shared = docs.sparkSession.sparkContext.broadcast(head)
 
-    def frequencies(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def frequencies(batch: pa.RecordBatch, numbers: Iterator[int]) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
-        rows = batch.column(2)
+        rows = pa.array([next(numbers) for _ in texts], pa.int64())
         parts, owner, special = vocabulary(vocab).parts(texts)
         p = cuts(parts)
         first, kind = distinct(p)
@@ -100,15 +102,13 @@ def count_tokens(docs: DataFrame, vocab: str, limit: int, text: str = "text", do
         keys = pa.array([f"\0{r}" for r in rows.to_pylist()] + strings(p, first[which]), pa.string())
         return pa.RecordBatch.from_arrays([row, ids, sizes, pa.array(np.concatenate([tokens, times])), keys, pa.array(np.arange(n + m) < n)], ["row", "doc_id", "n_bytes", "n", "pretoken", "own"])
 
-    def numbered(batches):
-        ids = row_ids()
-        for batch in batches:
-            rows = pa.array([next(ids) for _ in range(batch.num_rows)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, rows], ["doc_id", "text", "row"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = row_ids()
+        for batch in steps(batches):
+            yield frequencies(batch, numbers)
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    source = source.mapInArrow(numbered, "doc_id long, text string, row long")
-    freq = map_batches(source, frequencies, "row long, doc_id long, n_bytes long, n long, pretoken string, own boolean")
+    freq = source.mapInArrow(run, "row long, doc_id long, n_bytes long, n long, pretoken string, own boolean")
     rare = table.where(F.col("n") < least).select("pretoken", "pieces")
     joined = freq.join(rare, "pretoken", "left")
     times = F.when(F.col("own"), F.lit(1)).otherwise(F.col("pieces"))
