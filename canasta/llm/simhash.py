@@ -272,12 +272,38 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("fp"), F.col("b").alias("root")).distinct())
 
 
+def rooted(first: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fp, root, component_id of each fingerprint of ``first`` (fp, id)."""
+    member = cut(components(links(first.select("fp"), radius)).join(first, "fp"))
+    least = cut(member.groupBy("root").agg(F.min("id").alias("least")))
+    named = member.join(least, "root").select("fp", "root", "least")
+    return cut(first.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "id").alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (hex), component_id of each row."""
     found = cut(fingerprints(docs, text, doc_id))
-    first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    member = cut(components(links(first.select("fp"), radius)).join(first, "fp"))
-    least = cut(member.groupBy("root").agg(F.min("id").alias("least")))
-    named = member.join(least, "root").select("fp", "least")
-    named = cut(first.join(named, "fp", "left").select("fp", F.coalesce("least", "id").alias("component_id")))
+    named = rooted(cut(found.groupBy("fp").agg(F.min("doc_id").alias("id"))), radius)
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` but one of each component: that with the least id (of
+    equal ids the least fingerprint, of equal rows any; null ids last)."""
+    found = cut(fingerprints(docs, text, doc_id))
+    named = rooted(cut(found.groupBy("fp").agg(F.min("doc_id").alias("id"))), radius)
+    if not found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
+        lost = cut(found.join(named, "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("simhash__id")))
+        return docs.join(small(lost), docs[doc_id] == lost["simhash__id"], "left_anti")
+    # Ids that are null or come twice don't tell rows apart: their fingerprints do.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    best = found.join(named, "fp").groupBy("root").agg(F.min(order).alias("b")).select(F.col("b.doc_id").alias("simhash__id"), F.col("b.fp").alias("simhash__best"))
+    name = "simhash__fp"
+
+    def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = majority([shingle_hashes(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], [*batch.schema.names, name])
+
+    all_ = map_batches(docs, marked, docs.schema.add(name, "long") if name not in docs.columns else docs.schema, column=text)
+    kept = all_.join(cut(best), all_[doc_id].eqNullSafe(F.col("simhash__id")) & (F.col(name) == F.col("simhash__best")))
+    return kept.dropDuplicates([doc_id, name]).select(*docs.columns)
