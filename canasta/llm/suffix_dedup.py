@@ -1,0 +1,365 @@
+"""Suffix-array dedup: bytes covered by a string of ``SPAN`` bytes that also starts
+elsewhere are removed.
+
+1. Anchors.  In every window of SPAN bytes the ``GRAM``-byte strings with the least
+   hash are anchors, so equal windows have equal anchors at equal places.  Anchors
+   whose hash is found once can't lie in a repeat and go.
+2. Contexts.  All windows around an anchor lie in a context of at most 2 * SPAN -
+   GRAM bytes.  Equal contexts (by two 64-bit hashes) are counted; all windows of
+   a context that comes twice are repeats, and one copy of it goes on.
+3. Suffix arrays.  The different contexts of an anchor meet in one task, in blocks.
+   Suffixes smaller than their successors are sorted directly, the others are
+   induced from them by scans over the buckets of first bytes.  Adjacent windows
+   with a common prefix of SPAN bytes or more, at different places, are repeats.
+   An anchor with more than ``CHUNK`` contexts is split into chunks, and each pair
+   of chunks has a block of its own.
+4. The spans of each text are merged and cut out.
+
+Texts are told apart by their MD5, so copies share all work.  Null texts are empty;
+texts shorter than SPAN keep all bytes.  Repeated rows (with the same id too) are
+copies of each other.  Very long texts are read whole.  Other columns may have any
+names.  An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import functools
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut, map_batches, text_of, written
+
+SPAN, GRAM = 200, 64
+REACH = SPAN - GRAM  # of a context on either side of its anchor's bytes
+CHUNK = 2048
+BLOCK_BYTES = 1 << 20
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+# --- hashes and anchors -------------------------------------------------------
+
+
+@functools.lru_cache(maxsize=2)
+def _tables(k: int) -> np.ndarray:
+    return np.random.default_rng(k).integers(1, 1 << 63, 256, np.int64).astype(np.uint64) | np.uint64(1)
+
+
+@functools.lru_cache(maxsize=4)
+def _powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASES[k] | 1, pow(_BASES[k] | 1, -1, 1 << 64)):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+class Ranges:
+    """64-bit hashes of byte ranges of one array."""
+
+    def __init__(self, data: np.ndarray, k: int):
+        up, self.down = _powers(k, 1 << max(10, len(data).bit_length()))
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_tables(k)[data] * up[: len(data)], out=self.total[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self.total[end] - self.total[start]) * self.down[start]
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(29))
+
+    def grams(self, size: int) -> np.ndarray:
+        n = len(self.total) - size
+        h = (self.total[size:] - self.total[:n]) * self.down[:n]
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(29))
+
+
+def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
+    """Least or largest of each ``width`` neighbours: out[i] is of x[i:i + width]."""
+    fold, fill = (np.minimum, np.iinfo(np.uint64).max) if least else (np.maximum, 0)
+    n = len(x) - width + 1
+    rows = -(-len(x) // width)
+    grid = np.full(rows * width, fill, np.uint64)
+    grid[: len(x)] = x
+    grid = grid.reshape(rows, width)
+    ahead = fold.accumulate(grid, axis=1).ravel()
+    back = fold.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return fold(back[:n], ahead[width - 1 : width - 1 + n])
+
+
+def anchors(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of anchors in joined texts, and the hashes of their grams."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(data) < SPAN or size.max(initial=0) < SPAN:
+        return none
+    h = Ranges(data, 0).grams(GRAM)
+    width = REACH + 1
+    valid = np.zeros(len(data) + 1, np.int64)  # windows inside one text
+    long = size >= SPAN
+    np.add.at(valid, begin[long], 1)
+    np.add.at(valid, begin[long] + size[long] - SPAN + 1, -1)
+    n = len(h) - width + 1
+    ok = np.cumsum(valid)[:n] > 0
+    low = np.where(ok, sliding(h, width, True), np.uint64(0))
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
+    best = sliding(padded, width, False)  # over the windows that hold each gram
+    at = np.flatnonzero((best == h) & (best > 0))
+    return at, h[at]
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
+
+
+def anchor_table(docs: DataFrame) -> DataFrame:
+    """Of t, text: t, pos, a (gram hash), c, d (context hashes), low, high (the
+    context's bytes in the text) for each anchor."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+        data, begin, size = _joined(texts)
+        at, a = anchors(data, begin, size)
+        owner = np.searchsorted(begin, at, "right") - 1
+        low = np.maximum(at - REACH, begin[owner])
+        high = np.minimum(at + SPAN, begin[owner] + size[owner])
+        mark = ((at - low) * 1009 + (high - low)).astype(np.uint64) * np.uint64(_BASES[1])
+        c, d = ((Ranges(data, k).of(low, high) + mark).view(np.int64) for k in (0, 1))
+        shift = begin[owner]
+        columns = [batch.column(0).take(pa.array(owner)), *(pa.array(x.astype(np.int32)) for x in (at - shift, low - shift, high - shift)), pa.array(a.view(np.int64)), pa.array(c), pa.array(d)]
+        return pa.RecordBatch.from_arrays(columns, ["t", "pos", "low", "high", "a", "c", "d"])
+
+    return map_batches(docs, run, "t binary, pos int, low int, high int, a long, c long, d long")
+
+
+# --- suffix arrays ------------------------------------------------------------
+
+
+def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int = SPAN) -> np.ndarray:
+    """The ``wanted`` places of a text (a mask), and some that they need, in the
+    order of their suffixes' first ``depth`` bytes, by two-stage sorting.  The text
+    ends in ``depth`` + 16 zeros or more."""
+    n = len(text)
+    step = np.sign(text[1:].astype(np.int16) - text[:-1])
+    change = np.flatnonzero(step)
+    nearest = np.searchsorted(change, np.arange(n - 1))
+    small_ = np.zeros(n, bool)  # smaller than its successor
+    inside = nearest < len(change)
+    small_[:-1][inside] = step[change[nearest[inside]]] > 0
+    # A larger suffix is induced from its successor: take all up to the next small.
+    index = np.where(small_, np.arange(n), n - 1)
+    following = np.minimum.accumulate(index[::-1])[::-1]
+    at = np.flatnonzero(wanted)
+    reach = np.zeros(n + 1, np.int32)
+    np.add.at(reach, at, 1)
+    np.add.at(reach, following[at] + 1, -1)
+    use = np.cumsum(reach)[:n] > 0
+    # Stage one: sort the small ones, eight bytes at a time, ties only.
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    words = np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1)).copy().view(">u8").ravel().astype(np.uint64)
+    place = np.flatnonzero(use & small_)
+    order = np.argsort(words[place], kind="stable")
+    place = place[order]
+    group = np.cumsum(np.append(True, words[place[1:]] != words[place[:-1]])) if len(place) else np.zeros(0, np.int64)
+    done = 8
+    while done < depth + 8 and len(place):
+        tied = np.append(group[1:] == group[:-1], False)
+        tied[1:] |= tied[:-1].copy()
+        some = np.flatnonzero(tied)
+        if not len(some):
+            break
+        key = words[np.minimum(place[some] + done, n - 1)]
+        order = np.lexsort((key, group[some]))
+        place[some] = place[some][order]
+        key = key[order]
+        fresh = np.zeros(len(place), np.int64)
+        g = group[some]
+        fresh[some[1:]] = (key[1:] != key[:-1]) & (g[1:] == g[:-1])
+        group = group + np.cumsum(fresh)
+        done += 8
+    # Stage two: scan the buckets of first bytes upwards; each suffix read puts the
+    # one before it, if that is larger, at the end of its bucket.
+    first = text[place]
+    edge = np.searchsorted(first, np.arange(257))
+    large: list[list[np.ndarray]] = [[] for _ in range(256)]
+    out: list[np.ndarray] = []
+    lead = n - 1 if not small_[n - 1] and use[n - 1] else None
+    if lead is not None:
+        large[int(text[lead])].append(np.array([lead]))
+
+    def before(x: np.ndarray) -> np.ndarray:
+        x = x[x > 0] - 1
+        return x[use[x] & ~small_[x]]
+
+    for c in range(256):
+        read = []
+        now = np.concatenate(large[c]) if large[c] else np.zeros(0, np.int64)
+        while len(now):
+            read.append(now)
+            prev = before(now)
+            now = prev[text[prev] == c]
+        read.append(place[edge[c] : edge[c + 1]])
+        scanned = np.concatenate(read)
+        out.append(scanned)
+        prev = before(scanned)
+        prev = prev[text[prev] > c]
+        if len(prev):
+            order = np.argsort(text[prev], kind="stable")
+            prev = prev[order]
+            cuts_ = np.flatnonzero(np.diff(text[prev])) + 1
+            for part in np.split(prev, cuts_):
+                large[int(text[part[0]])].append(part)
+    return np.concatenate(out)
+
+
+def common_prefix(text: np.ndarray, x: np.ndarray, y: np.ndarray, most: int = SPAN) -> np.ndarray:
+    """Whether text[x:] and text[y:] share ``most`` bytes (a multiple of 8)."""
+    same = np.ones(len(x), bool)
+    some = np.arange(len(x))
+    view = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1))
+    for k in range(0, most, 8):
+        equal = (view[x[some] + k] == view[y[some] + k]).all(1)
+        same[some[~equal]] = False
+        some = some[equal]
+        if not len(some):
+            break
+    return same
+
+
+def repeated_windows(contexts: list[bytes], origin: np.ndarray, low: np.ndarray, left: np.ndarray) -> list[list[tuple[int, int]]]:
+    """For each context, the merged ranges (in its text) of its windows that also
+    start elsewhere in the block.  ``origin`` numbers the texts, ``low`` is where a
+    context begins in its text, ``left`` how far its anchor lies in it."""
+    size = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    begin = np.cumsum(size + 1) - size - 1
+    text = np.frombuffer(b"\0".join(contexts) + bytes(SPAN + 32), np.uint8)
+    last = np.minimum(left, size - SPAN)  # of the places where a window may start
+    wanted = np.zeros(len(text) + 1, np.int32)
+    some = last >= 0
+    np.add.at(wanted, begin[some], 1)
+    np.add.at(wanted, begin[some] + last[some] + 1, -1)
+    mask = np.cumsum(wanted)[: len(text)] > 0
+    order = sorted_suffixes(text, mask)
+    order = order[mask[order]]
+    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    if len(order) < 2:
+        return out
+    run = np.append(0, np.cumsum(~common_prefix(text, order[:-1], order[1:])))
+    owner = np.searchsorted(begin, order, "right") - 1
+    start = order - begin[owner] + low[owner]
+    place = origin[owner] << 40 | start
+    heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    apart = np.minimum.reduceat(place, heads) != np.maximum.reduceat(place, heads)
+    hit = np.flatnonzero(apart[run])
+    by = np.lexsort((start[hit], owner[hit]))
+    o, s = owner[hit][by], start[hit][by]
+    if len(o):
+        fresh = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (s[1:] > s[:-1] + SPAN)))
+        for a, b in zip(fresh.tolist(), [*(fresh[1:] - 1).tolist(), len(o) - 1], strict=True):
+            out[o[a]].append((int(s[a]), int(s[b]) + SPAN))
+    return out
+
+
+# --- the whole ----------------------------------------------------------------
+
+
+def repeated_spans(keyed: DataFrame) -> DataFrame:
+    """Of t, text (a row for each row of the corpus): t, spans (low and high of the
+    ranges that repeat) for each text that has some."""
+    table = anchor_table(keyed)
+    again = cut(table.groupBy("a").count().where("count > 1").select("a"))
+    found = written(table.join(again, "a", "left_semi"))
+    classes = written(found.groupBy("a", "c", "d").agg(F.count("*").alias("n"), F.min(F.struct("t", "pos", "low", "high")).alias("r")))
+    # Every window of a context that comes twice is a repeat.
+    twice = classes.where("n > 1").select("a", "c", "d")
+    sure = found.join(twice, ["a", "c", "d"], "left_semi").where(F.col("high") - F.col("low") >= SPAN).select("t", "low", "high")
+    # Different contexts of one anchor are compared.
+    mixed = cut(classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1"))
+    some = classes.join(mixed, "a").where(F.col("r.high") - F.col("r.low") >= SPAN)
+    some = some.select(F.col("r.t").alias("t"), F.struct("a", "n", "m", "r.pos", "r.low", "r.high").alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
+    texts = keyed.groupBy("t").agg(F.first("text").alias("text")).join(some, "t")
+
+    def fetch(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        rows = []
+        for t, text, xs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            raw = text.encode("utf-8", "surrogatepass")
+            rows += [(x["a"], t, x["n"], x["m"], x["pos"] - x["low"], x["low"], raw[x["low"] : x["high"]]) for x in xs]
+        if not rows:
+            return None
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["a", "t", "n", "m", "left", "low", "context"])
+
+    got = map_batches(texts.select("t", "text", "xs"), fetch, "a long, t binary, n long, m long, left int, low int, context binary")
+    chunks = F.ceil(F.col("m") / CHUNK)
+    got = got.withColumn("k", F.pmod(F.xxhash64("context"), chunks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    got = got.select("t", "n", "left", "low", "context", F.xxhash64("a", F.least("k", "o"), F.greatest("k", "o")).alias("g"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def block(rows: list[tuple]) -> pa.RecordBatch:
+            t, n, left, low, context, _ = zip(*rows, strict=True)
+            number: dict[bytes, int] = {}
+            origin = np.array([number.setdefault(x, len(number)) for x in t], np.int64)
+            spans = repeated_windows(list(context), origin, np.array(low, np.int64), np.array(left, np.int64))
+            flat = [(t[i], a, b) for i, own in enumerate(spans) if n[i] == 1 for a, b in own]
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.binary()), pa.array([f[1] for f in flat], pa.int32()), pa.array([f[2] for f in flat], pa.int32())], ["t", "low", "high"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size >= BLOCK_BYTES and row[5] != held[-1][5]:
+                    yield block(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[4])
+        if held:
+            yield block(held)
+
+    more = got.repartition("g").sortWithinPartitions("g").mapInArrow(compare, "t binary, low int, high int")
+    return sure.unionByName(more).groupBy("t").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of the bytes that the spans cover."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep_text``,
+    kept (the bytes left) of every row."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    keyed = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("t"), "text")
+    spans = cut(repeated_spans(keyed.select("t", "text")))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for raw, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            data = raw.encode("utf-8", "surrogatepass")
+            runs = merged([(x["low"], x["high"]) for x in own or []])
+            parts, last = [], 0
+            for a, b in runs:
+                parts.append(data[last:a])
+                last = b
+            kept = b"".join([*parts, data[last:]])
+            out.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
+        columns = list(zip(*out, strict=True))
+        arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())]
+        return pa.RecordBatch.from_arrays(arrays + [pa.array(columns[4], pa.binary())] * keep_text, names)
+
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
+    joined = keyed.join(spans, "t", "left").select("doc_id", "text", "spans")
+    return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
