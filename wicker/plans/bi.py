@@ -14,8 +14,8 @@ def weekly_chain_cost(savings: DataFrame) -> DataFrame:
     return savings.groupBy("version", "week", "week_end", "chain", "chain_group").agg(
         F.count("*").alias("places"),
         rounded(F.median("basket_cost")).alias("median_cost"),
-        rounded(quantile("basket_cost", 0.25)).alias("p25_cost"),
-        rounded(quantile("basket_cost", 0.75)).alias("p75_cost"),
+        rounded(quantile("basket_cost", 0.25), 4).alias("p25_cost"),
+        rounded(quantile("basket_cost", 0.75), 4).alias("p75_cost"),
         F.count_if("is_cheapest").alias("times_cheapest"),
         share(F.col("is_cheapest")).alias("pct_cheapest"),
         rounded(F.median("saving")).alias("median_saving"),
@@ -36,7 +36,7 @@ def weekly_savings(savings: DataFrame, all_chains: int = 4) -> DataFrame:
         F.count_if(F.col("groups_compared") >= 2).alias("places_with_rivals"),
         rounded(F.median("gap")).alias("median_gap"),
         rounded(F.median("gap_pct")).alias("median_gap_pct"),
-        rounded(quantile("gap", 0.9)).alias("p90_gap"),
+        rounded(quantile("gap", 0.9), 4).alias("p90_gap"),
         rounded(F.median(rivals)).alias("median_gap_rivals"),
     ).join(top, keys)
 

@@ -29,7 +29,7 @@ def flag_outliers(obs: DataFrame, params: Params = Params(), key: str = "product
 def consolidate(obs: DataFrame, keys: list[str], price: str, bit: str) -> DataFrame:
     """keys, price, n_source_rows, catalog_mask, has_conflict: equal observations in
     one row; a conflict is a group of ``keys`` with more than one price."""
-    out = obs.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(F.count("*").alias("n_source_rows"), F.bit_or(F.shiftleft(F.lit(1), F.col(bit))).alias("catalog_mask"))
+    out = obs.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(F.count("*").alias("n_source_rows"), F.bit_or(F.call_function("shiftleft", F.lit(1), F.col(bit))).alias("catalog_mask"))
     return out.withColumn("has_conflict", F.count("*").over(Window.partitionBy(*keys)) > 1)
 
 

@@ -83,7 +83,7 @@ flagged AS (
   FROM obs o LEFT JOIN centre USING (product_id) LEFT JOIN spread USING (product_id))"""
 AVAILABLE = """available AS (
   SELECT version, chain, place_id, week, item, i.n IS NOT NULL AS available, coalesce(i.n, 0) AS n_observations
-  FROM baskets, basket LEFT JOIN (SELECT chain, place_id, week, item, n_observations AS n FROM items) i USING (chain, place_id, week, item))"""
+  FROM (SELECT * FROM baskets, basket) LEFT JOIN (SELECT chain, place_id, week, item, n_observations AS n FROM items) i USING (chain, place_id, week, item))"""
 
 
 def sql(*parts: str, select: str) -> str:
@@ -172,8 +172,8 @@ def consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, select=f"""
-  SELECT version, week, week_end, chain, chain_group, count(*) AS places, {r("median(basket_cost)")} AS median_cost, {r("quantile_cont(basket_cost, 0.25)")} AS p25_cost,
-         {r("quantile_cont(basket_cost, 0.75)")} AS p75_cost, count(*) FILTER (WHERE is_cheapest) AS times_cheapest, {r("100.0::DOUBLE * avg(is_cheapest::INT)", 1)} AS pct_cheapest,
+  SELECT version, week, week_end, chain, chain_group, count(*) AS places, {r("median(basket_cost)")} AS median_cost, {r("quantile_cont(basket_cost, 0.25)", 4)} AS p25_cost,
+         {r("quantile_cont(basket_cost, 0.75)", 4)} AS p75_cost, count(*) FILTER (WHERE is_cheapest) AS times_cheapest, {r("100.0::DOUBLE * avg(is_cheapest::INT)", 1)} AS pct_cheapest,
          {r("median(saving)")} AS median_saving, {r("median(saving_pct)")} AS median_saving_pct, CAST(sum(n_observations) AS BIGINT) AS n_observations
   FROM savings GROUP BY version, week, week_end, chain, chain_group"""))
 def weekly_chain_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +183,7 @@ def weekly_chain_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, """c AS (SELECT *, count(*) OVER (PARTITION BY week, cheapest_chain) AS n FROM
   (SELECT DISTINCT version, week, week_end, place_id, chains_compared, groups_compared, gap, gap_pct, cheapest_chain FROM savings))""", select=f"""
   SELECT version, week, week_end, count(*) AS places, count(*) FILTER (WHERE chains_compared = 4) AS places_with_all_chains, count(*) FILTER (WHERE groups_compared >= 2) AS places_with_rivals,
-         {r("median(gap)")} AS median_gap, {r("median(gap_pct)")} AS median_gap_pct, {r("quantile_cont(gap, 0.9)")} AS p90_gap,
+         {r("median(gap)")} AS median_gap, {r("median(gap_pct)")} AS median_gap_pct, {r("quantile_cont(gap, 0.9)", 4)} AS p90_gap,
          {r("median(gap) FILTER (WHERE groups_compared >= 2)")} AS median_gap_rivals, first(cheapest_chain ORDER BY n DESC, cheapest_chain) AS most_often_cheapest
   FROM c GROUP BY version, week, week_end"""))
 def weekly_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
