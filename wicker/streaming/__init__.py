@@ -1,0 +1,2 @@
+"""Nothing here: the price-basket method has no streams; files are loaded as whole
+replacements by ``wicker.sources.files.incremental_load``."""
