@@ -1,0 +1,391 @@
+"""Each operator against a brute-force version, over awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from wicker.llm import common, flac, license_scan, mixing, packing, pretoken, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts
+
+VOCAB = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="session")
+def given(docs):
+    return [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+
+
+def same(df, want, columns):
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert Counter(map(repr, got)) == Counter(map(repr, want))
+
+
+# --- 1 ---------------------------------------------------------------------------
+
+
+def test_period_keeps_windows():
+    for slots in ({"a": 1, "b": 2, "c": 7}, {"a": 333, "b": 333, "c": 334}, {f"s{i}": i + 1 for i in range(20)}):
+        at, n = mixing.period(slots), sum(slots.values())
+        assert sorted(x for own in at.values() for x in own) == list(range(n))
+        for s, own in at.items():
+            for i, t in enumerate(own, 1):
+                assert (i - 1) * n // slots[s] <= t < -(-i * n // slots[s])
+
+
+def test_mix(spark, docs):
+    out = mixing.mix(docs, block_rows=2, resolution=10)
+    assert out.count() == docs.count() and set(docs.columns) < set(out.columns) and "mix_slot_1" in out.columns
+    assert out.select("mix_position").distinct().count() == docs.count()
+    big = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
+    weights = {"hot": 0.1, **{f"s{i}": 0.9 / 7 for i in range(7)}}
+    got = mixing.mix(big, weights, block_rows=4, resolution=100).select("source", "mix_block", "mix_slot", "mix_phase").distinct().where("mix_phase = 0").orderBy("mix_slot").collect()
+    own, total = mixing.quanta(weights, 100), sum(mixing.quanta(weights, 100).values())
+    seen = Counter()
+    for t, r in enumerate(got, 1):
+        seen[r.source] += 1
+        assert all(abs(seen[s] - t * own[s] / total) < 1 for s in own)
+    with pytest.raises(ValueError, match="no weight"):
+        mixing.mix(big, {"hot": 1.0})
+
+
+# --- 2 ---------------------------------------------------------------------------
+
+
+def test_flac_roundtrip(docs, given):
+    stored = flac.store_texts(docs)
+    want = []
+    for i, t in given:
+        raw = t.encode()
+        p = raw + b"\xff" * (-len(raw) % 576 or (0 if raw else 576))
+        want.append((i, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:])))
+    same(flac.media_digests(stored), want, ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32"])
+    blocks = flac.pcm_blocks(stored.where("doc_id = 8")).orderBy("sample_offset").collect()
+    assert [b.sample_offset for b in blocks] == [576 * i for i in range(len(blocks))]
+    text = dict(given)[8].encode()
+    assert b"".join(bytes(b.pcm) for b in blocks)[: len(text)] == text
+
+
+def test_flac_kinds_and_damage():
+    rng = np.random.default_rng(1)
+    loud = rng.integers(0, 256, 5760, np.uint8).tobytes()
+    wave = (128 + 100 * np.sin(np.arange(5760) / 9)).astype(np.uint8).tobytes()
+    payloads = [bytes(576), loud, wave, b"\xff" * 1152]
+    streams = flac.encode(payloads)
+    assert [flac.pcm_bytes(p.samples, 8) for p in flac.decode(streams)] == payloads
+    assert len(streams[2]) < len(wave) / 1.5 and flac.stream_info(streams[2]).seek[0] == (0, 0)
+    for at in (60, 120, len(streams[2]) - 1):
+        bad = bytearray(streams[2])
+        bad[at] ^= 1
+        if at > flac.stream_info(streams[2]).frames_at:
+            with pytest.raises(ValueError):
+                flac.decode([bytes(bad)])
+
+
+# --- 3 and 6 ---------------------------------------------------------------------
+
+
+def test_pretokens_match_the_library():
+    lib = Tokenizer.from_file(VOCAB).pre_tokenizer
+    rng = np.random.default_rng(3)
+    letters = list("ab'sStrevmld 1  \n\t!.é漢 　२’͸\U0001f389")
+    cases = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(3000)]
+    p = pretoken.cuts(cases)
+    got = defaultdict(list)
+    for o, s, e in zip(p.owner, p.start, p.end, strict=True):
+        got[int(o)].append(int(e - s))
+    for i, c in enumerate(cases):
+        assert got[i] == [b - a for _, (a, b) in lib.pre_tokenize_str(c)]
+
+
+@pytest.fixture(scope="session")
+def encoded(given):
+    return [(i, t, e.ids) for (i, t), e in zip(given, Tokenizer.from_file(VOCAB).encode_batch([t for _, t in given], add_special_tokens=False), strict=True)]
+
+
+@pytest.mark.parametrize("head", [1 << 20, 5])
+def test_token_counts(docs, encoded, head, monkeypatch):
+    monkeypatch.setattr(token_counts.head_of, "__defaults__", (head,))
+    same(token_counts.count_tokens(docs, VOCAB, 20), [(i, len(t.encode()), len(x), len(x) > 20) for i, t, x in encoded], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+
+
+@pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(64, 3, 64)])
+def test_packing(docs, encoded, limits):
+    rows = packing.pack_documents(docs, VOCAB, limits, keep_ids=True).collect()
+    ids = Counter()
+    for _, _, x in encoded:
+        ids.update([*x, 1])
+    assert Counter(v for r in rows for v in r.ids) == ids
+    bins = defaultdict(list)
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length
+        bins[r.sequence_id].append((r.offset, r.length))
+    for own in bins.values():
+        own.sort()
+        assert [a for a, _ in own] == list(np.cumsum([0] + [b for _, b in own[:-1]]))
+        assert sum(b for _, b in own) <= limits.tokens and len(own) <= max(limits.segments, 1)
+
+
+def test_pack_examples(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(t), int(t * rng.random())) for i, t in enumerate(rng.integers(1, 400, 600))]
+    df = spark.createDataFrame(rows, "k long, t long, l long")
+    got = packing.pack_examples(df, packing.Limits(512, 4, 400), "k", "t", "l").join(df, "k").groupBy("sequence_id").agg(F.sum("t").alias("t"), F.count("*").alias("n"), F.sum("l").alias("l"))
+    assert got.agg(F.sum("n")).first()[0] == 600 and got.where("t > 512 OR n > 4 OR l > 400").count() == 0
+    with pytest.raises(Exception, match="over the limits"):
+        packing.pack_examples(df, packing.Limits(100, 4, 100), "k", "t", "l").collect()
+
+
+# --- 4 ---------------------------------------------------------------------------
+
+
+def brute_fingerprint(text):
+    w = text.encode().lower().split()
+    sh = [b" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([b" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def test_near_duplicates(docs, given):
+    fps = [brute_fingerprint(t) for _, t in given]
+    root = list(range(len(fps)))
+    for _ in fps:
+        for a in range(len(fps)):
+            for b in range(len(fps)):
+                if (fps[a] ^ fps[b]).bit_count() <= 4:
+                    root[a] = root[b] = min(root[a], root[b])
+    least = defaultdict(list)
+    for (i, _), r in zip(given, root, strict=True):
+        least[r] += [i] if i is not None else []
+    same(simhash.near_duplicates(docs), [(i, format(f, "016x"), min(least[r], default=None)) for (i, _), f, r in zip(given, fps, root, strict=True)], ["doc_id", "fingerprint", "component_id"])
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(root))
+    plain = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    assert simhash.keep_one(plain).count() == len({r for (i, _), r in zip(given, root, strict=True) if i is not None})
+
+
+def test_bit_slices_against_distances(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 40, np.int64).astype(np.uint64)
+    fp = np.unique(np.concatenate([base] + [base ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) for _ in range(12)]))
+    want = {(a, b) for a in range(len(fp)) for b in range(a + 1, len(fp)) if int(fp[a] ^ fp[b]).bit_count() <= 4}
+    planes, got = simhash.bit_planes(fp), set()
+    for d in range(1, len(fp)):
+        valid = np.packbits(np.arange(planes.shape[1] * 64) < len(fp) - d, bitorder="little").view(np.uint64)
+        got |= {(int(a), int(a) + d) for a in simhash.near(planes, valid, d)}
+    assert got == want
+    monkeypatch.setattr(simhash, "CHUNK", 8)  # hot keys are split
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
+    comp = {r.fp: r.root for r in simhash.components(simhash.links(df)).collect()}
+    for a, b in want:
+        assert comp[int(fp[a : a + 1].view(np.int64)[0])] == comp[int(fp[b : b + 1].view(np.int64)[0])]
+
+
+def test_masks_always_leave_a_key():
+    rng = np.random.default_rng(2)
+    for n in (10, 1 << 28, 1 << 34, 1 << 40):
+        masks = simhash.key_masks(n)
+        for _ in range(200):
+            flips = sum(1 << int(k) for k in rng.choice(64, 4, replace=False))
+            assert any(not flips & m for m in masks)
+
+
+# --- 5 ---------------------------------------------------------------------------
+
+
+def test_quality_rules(docs, given):
+    want = []
+    for i, t in given:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        c = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        rep = {k + j for k in range(len(w) - 4) if c[tuple(w[k : k + 5])] > 1 for j in range(5)}
+        want.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(rep), len(w) < 10 or 100 * len(rep) > 20 * len(w)))
+    out = quality_rules.judge(docs)
+    same(out, want, ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"])
+    assert out.where("base_failed AND kept").count() == 0
+    kept = quality_rules.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == out.where("kept").count()
+
+
+def test_sketch_is_close_and_merges(spark):
+    df = spark.range(5000).select((F.rand(3) * 10).alias("x"), (F.col("id") % 4).cast("string").alias("g"))
+    for m in quality_rules.RATIOS:
+        df = df.withColumn(m, F.col("x"))
+    sketch = quality_rules.sketches(df, F.col("g"), F.lit("s"))
+    for keys, part in ((["lang", "source"], sketch), ([], quality_rules.merged(sketch))):
+        got = quality_rules.quantiles(part, keys, (0.25, 0.75)).where("measure = 'repeats'").first()
+        exact = np.quantile(df.toPandas().x if not keys else df.where(F.col("g") == got.lang).toPandas().x, [0.25, 0.75])
+        assert np.allclose([got.q0, got.q1], exact, rtol=0.03)
+
+
+# --- 7 ---------------------------------------------------------------------------
+
+
+def brute_repeats(texts, span=200):
+    raw = [t.encode() for t in texts]
+    n = Counter(b[i : i + span] for b in raw for i in range(len(b) - span + 1))
+    out = []
+    for b in raw:
+        gone = np.zeros(len(b) + 1, np.int64)
+        for i in range(len(b) - span + 1):
+            if n[b[i : i + span]] > 1:
+                gone[i] += 1
+                gone[i + span] -= 1
+        hit = np.cumsum(gone)[: len(b)] > 0
+        out.append((len(b), int(hit.sum()), int((np.diff(np.append(0, hit.astype(int))) == 1).sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~hit].tobytes()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [2048, 3])
+def test_suffix_dedup(spark, docs, given, chunk, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    short = docs.where("length(text) < 1000 OR text IS NULL")
+    some = [(i, t) for i, t in given if len(t) < 1000]
+    same(suffix_dedup.remove_repeats(short), [(i, *x) for (i, _), x in zip(some, brute_repeats([t for _, t in some]), strict=True)], columns)
+    rng = np.random.default_rng(4)
+    word = lambda k: "".join(rng.choice(list("abcdé \n"), k))
+    shared, phrase = [word(k) for k in (199, 200, 230, 500)], word(120)
+    texts = [word(150) + shared[i % 4] + word(90) + phrase + word(50) for i in range(40)]
+    texts += ["z" * 450, "ab" * 300, texts[0], texts[1][:300], shared[3] + shared[3][1:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    same(suffix_dedup.remove_repeats(df), [(i, *x) for i, x in enumerate(brute_repeats(texts))], columns)
+
+
+def test_two_stage_order():
+    rng = np.random.default_rng(6)
+    for letters in (2, 5, 200):
+        text = np.concatenate([rng.integers(1, 1 + letters, 700).astype(np.uint8), np.zeros(suffix_dedup.SPAN + 32, np.uint8)])
+        wanted = np.zeros(len(text), bool)
+        wanted[: 600 : 1 if letters < 5 else 2] = True
+        order = [i for i in suffix_dedup.sorted_suffixes(text, wanted).tolist() if wanted[i]]
+        raw = text.tobytes()
+        assert order == sorted(np.flatnonzero(wanted).tolist(), key=lambda i: raw[i:])
+
+
+# --- 8 ---------------------------------------------------------------------------
+
+
+def test_secrets(docs, given):
+    want = []
+    for i, t in given:
+        a = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 6]
+        b = [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        c = [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
+        text = ",".join(f"{('assign', 'access', 'hex')[k]}:{x}:{y}" for x, k, y in sorted(a + b + c))
+        want.append((i, len(a), len(b), len(c), hashlib.sha256(text.encode()).hexdigest()))
+    same(secret_scan.scan_secrets(docs), want, ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"])
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert "hunter2" not in out[10] and "AKIA" not in out[10] and out[10].endswith("end") and out[8] == dict(given)[8]
+
+
+def test_cuts_of_the_chain_change_nothing():
+    rng = np.random.default_rng(8)
+    field = secret_scan.Field(rng.normal(0, 1, (secret_scan.FEATURES, 3)), rng.normal(0, 0.5, (3, 3)))
+    tagger = secret_scan.Tagger(field)
+    for _ in range(60):
+        tokens = [str(x) for x in rng.choice(["a", "token", "=", "0f3a9b", "Zx81", "der", "AKIA77"], 30)]
+        text = " ".join(tokens)
+        found = secret_scan.TOKEN.findall(text)
+        r = tagger._rows(found)
+        emit = tagger.table[r, 0] + field.weight[list(secret_scan.text_features(found))].sum(0)
+        emit[:-1] += tagger.table[r[1:], 1]
+        emit[1:] += tagger.table[r[:-1], 2]
+        emit[2:] += tagger.table[r[:-2], 3]
+        tags = secret_scan.viterbi(emit, field.move, None, None)
+        covered = {k for a, b in tagger.spans(text) for k in range(a, b)}
+        at = [m.start() for m in secret_scan.TOKEN.finditer(text)]
+        assert [at[i] in covered for i in range(len(found))] == [t != secret_scan.O for t in tags]
+
+
+def test_field_learns_new_forms(spark):
+    rng = np.random.default_rng(10)
+    hexes = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    words = "the of and then over under about river stone green paper light".split()
+    line = lambda: " ".join(rng.choice(words, 12))
+    rows = [(f'{line()} token = "{hexes(40)}" {line()}',) for _ in range(60)] + [(f"{line()} {line()} call 555-0100 or 1234567.",) for _ in range(60)]
+    tagger = secret_scan.Tagger(secret_scan.fit(spark.createDataFrame(rows, "text string")))
+    assert [tuple(x) for x in tagger.spans('the token "9f86d081884c7d659a2f" and')] and not tagger.spans("the river and 1234567 green")
+
+
+# --- 9 ---------------------------------------------------------------------------
+
+
+def test_mil(spark, docs):
+    rng = np.random.default_rng(12)
+    good = lambda: " ".join(rng.choice(["river", "stone", "paper", "light", "under"], 150)) + "."
+    bad = lambda: good() + " " + " ".join(rng.choice(["BUY!!", "$$$", "###", "NOW!!"], 80))
+    rows = [(i, bad() if i % 3 == 0 else good(), int(i % 3 != 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality_mil.fit(df.select("doc_id", "text"), df.select("doc_id", "quality"))
+    out = quality_mil.score_documents(df, model).join(df, "doc_id")
+    assert out.where("held_out").count() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(300))
+    assert out.where("held_out AND predicted = quality").count() > 0.9 * out.where("held_out").count()
+    odd = quality_mil.score_documents(docs, model)
+    assert odd.count() == docs.count() and odd.where("score IS NULL OR score < 0 OR score > 1").count() == 0
+    none = quality_mil.fit(docs, df.select("doc_id", "quality").limit(0))
+    assert quality_mil.score_documents(docs, none).where("score <> 0.5").count() == 0
+
+
+# --- 10 --------------------------------------------------------------------------
+
+
+def test_licenses(docs, given):
+    want = []
+    for i, t in given:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        found, labels = [], set()
+        for phrase, label in license_scan.PHRASES.items():
+            p = phrase.split()
+            at = [k for k in range(len(w)) if w[k : k + len(p)] == p]
+            found += at
+            labels |= {label} if at else set()
+        want.append((i, len(w), len(found), min(found, default=None), max(found, default=None), ",".join(sorted(labels))))
+    out = license_scan.scan_licenses(docs)
+    same(out, want, ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"])
+    assert out.where("doc_id = 11").first().labels == "cc-by,cc-by-nc-4.0,gpl,gpl-3.0,reserved"
+
+
+def test_template_automaton():
+    a = license_scan.compile_template("granted to <<var;words=1-2>> for <<beginOptional>>any <<endOptional>>use")
+    run = lambda t: a.run(license_scan.words_of(t), 0)
+    assert run("Granted to ACME Inc. for any use") == run("granted to you for use") == 1.0
+    assert run("granted to for use") < 1 and run("granted to a b c for use") < 1 and run("granted to you for some use") == 0.75
+
+
+# --- all -------------------------------------------------------------------------
+
+
+def test_empty_tables(spark, docs):
+    none = spark.createDataFrame([], docs.schema)
+    assert mixing.mix(none).count() == 0
+    for out in (
+        flac.media_digests(flac.store_texts(none)), token_counts.count_tokens(none, VOCAB, 9), simhash.near_duplicates(none), simhash.keep_one(none), quality_rules.judge(none),
+        quality_rules.keep_good(none), packing.pack_documents(none, VOCAB, packing.Limits()), suffix_dedup.remove_repeats(none), secret_scan.scan_secrets(none), secret_scan.redact(none), license_scan.scan_licenses(none),
+    ):
+        assert out.count() == 0
+
+
+def test_pipeline_stages(spark, docs):
+    import corpus_pipeline
+
+    d = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, d = d, common.written(stage(spark, d, ""))
+        assert d.columns == before.columns
+        if name in ("secret_scan", "mixing"):
+            assert d.count() == before.count()
+        if name == "mixing":
+            assert Counter(map(repr, d.collect())) == Counter(map(repr, before.collect()))
+    packed = corpus_pipeline.STAGES[-1][1](spark, d, "")
+    ids = Tokenizer.from_file(VOCAB).encode_batch([r.text or "" for r in d.collect()], add_special_tokens=False)
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(e.ids) + 1 for e in ids)

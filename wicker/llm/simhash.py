@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import cut, map_batches, small, text_of
 
@@ -299,11 +300,13 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
     best = found.join(named, "fp").groupBy("root").agg(F.min(order).alias("b")).select(F.col("b.doc_id").alias("simhash__id"), F.col("b.fp").alias("simhash__best"))
     name = "simhash__fp"
+    while name in docs.columns:
+        name += "_"
 
     def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = majority([shingle_hashes(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], [*batch.schema.names, name])
 
-    all_ = map_batches(docs, marked, docs.schema.add(name, "long") if name not in docs.columns else docs.schema, column=text)
+    all_ = map_batches(docs, marked, StructType([*docs.schema.fields, StructField(name, LongType())]), column=text)
     kept = all_.join(cut(best), all_[doc_id].eqNullSafe(F.col("simhash__id")) & (F.col(name) == F.col("simhash__best")))
     return kept.dropDuplicates([doc_id, name]).select(*docs.columns)
