@@ -15,6 +15,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 WHOLE_FILE_BYTES = 1 << 30
 
 
+def _western() -> tuple[str, str]:
+    """Characters that windows-1252 has where ISO-8859-1 has controls."""
+    pairs = [(chr(b), bytes([b]).decode("windows-1252", "ignore")) for b in range(0x80, 0xA0)]
+    pairs = [(a, b) for a, b in pairs if b]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+_WESTERN = _western()
+
+
 @dataclass(frozen=True)
 class Dialect:
     """Of one file: what its readers must know."""
@@ -63,14 +73,19 @@ def read_text_table(spark: SparkSession, files: list[str], columns: list[str], d
     """All columns as text, with _corrupt (the line, if it doesn't fit) and the
     source_file of each row; files of one dialect in one read."""
     schema = StructType([StructField(c, StringType()) for c in [*columns, "_corrupt"]])
-    reader = spark.read.schema(schema).options(header=True, sep=dialect.delimiter, encoding=dialect.encoding, quote='"', escape='"', multiLine=dialect.multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
-    return reader.csv(files).withColumn("source_file", F.col("_metadata.file_path"))
+    western = dialect.encoding == "windows-1252"  # Spark reads its subset; the rest is mapped
+    reader = spark.read.schema(schema).options(header=True, sep=dialect.delimiter, encoding="ISO-8859-1" if western else dialect.encoding, quote='"', escape='"', multiLine=dialect.multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    rows = reader.csv(files).withColumn("source_file", F.col("_metadata.file_path"))
+    return rows.withColumns({c: F.translate(c, *_WESTERN) for c in columns}) if western else rows
 
 
 def read_with_rejects(spark: SparkSession, files: list[str], columns: list[str], dialect: Dialect = Dialect()) -> tuple[DataFrame, DataFrame]:
     """Rows that fit, and lines that don't with their file."""
     rows = read_text_table(spark, files, columns, dialect)
-    return rows.where("_corrupt IS NULL").drop("_corrupt"), rows.where("_corrupt IS NOT NULL").select("source_file", F.col("_corrupt").alias("line"))
+    # Naming all columns makes the parser look at whole lines whatever is selected.
+    whole = F.length(F.concat_ws("", *columns)) >= 0
+    good = rows.where(F.col("_corrupt").isNull() & whole).drop("_corrupt")
+    return good, rows.where(F.col("_corrupt").isNotNull() & whole).select("source_file", F.col("_corrupt").alias("line"))
 
 
 def reconcile_counts(rows: DataFrame, inventory: DataFrame) -> DataFrame:
