@@ -147,43 +147,23 @@ def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int = SPAN) ->
     order of their suffixes' first ``depth`` bytes, by two-stage sorting.  The text
     ends in ``depth`` + 16 zeros or more."""
     n = len(text)
-    step = np.sign(text[1:].astype(np.int16) - text[:-1])
-    change = np.flatnonzero(step)
-    nearest = np.searchsorted(change, np.arange(n - 1))
+    differs, up = text[1:] != text[:-1], text[1:] > text[:-1]
+    change = np.flatnonzero(differs)
+    nearest = np.cumsum(differs) - differs  # the first change from each place on
     small_ = np.zeros(n, bool)  # smaller than its successor
     inside = nearest < len(change)
-    small_[:-1][inside] = step[change[nearest[inside]]] > 0
+    small_[:-1][inside] = up[change[nearest[inside]]]
     # A larger suffix is induced from its successor: take all up to the next small.
     index = np.where(small_, np.arange(n), n - 1)
     following = np.minimum.accumulate(index[::-1])[::-1]
     at = np.flatnonzero(wanted)
-    reach = np.zeros(n + 1, np.int32)
-    np.add.at(reach, at, 1)
-    np.add.at(reach, following[at] + 1, -1)
+    reach = np.bincount(at, minlength=n + 1) - np.bincount(following[at] + 1, minlength=n + 1)
     use = np.cumsum(reach)[:n] > 0
-    # Stage one: sort the small ones, eight bytes at a time, ties only.
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1)).copy().view(">u8").ravel().astype(np.uint64)
+    # Stage one: sort the small ones by their first ``depth`` bytes and a little more.
     place = np.flatnonzero(use & small_)
-    order = np.argsort(words[place], kind="stable")
-    place = place[order]
-    group = np.cumsum(np.append(True, words[place[1:]] != words[place[:-1]])) if len(place) else np.zeros(0, np.int64)
-    done = 8
-    while done < depth + 8 and len(place):
-        tied = np.append(group[1:] == group[:-1], False)
-        tied[1:] |= tied[:-1].copy()
-        some = np.flatnonzero(tied)
-        if not len(some):
-            break
-        key = words[np.minimum(place[some] + done, n - 1)]
-        order = np.lexsort((key, group[some]))
-        place[some] = place[some][order]
-        key = key[order]
-        fresh = np.zeros(len(place), np.int64)
-        g = group[some]
-        fresh[some[1:]] = (key[1:] != key[:-1]) & (g[1:] == g[:-1])
-        group = group + np.cumsum(fresh)
-        done += 8
+    rows = np.lib.stride_tricks.as_strided(text, (n - depth - 7, depth + 8), (1, 1))
+    keys = np.ascontiguousarray(rows[place]).view(f"S{depth + 8}").ravel()
+    place = place[np.argsort(keys, kind="stable")]
     # Stage two: scan the buckets of first bytes upwards; each suffix read puts the
     # one before it, if that is larger, at the end of its bucket.
     first = text[place]
@@ -219,15 +199,16 @@ def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int = SPAN) ->
     return np.concatenate(out)
 
 
-def common_prefix(text: np.ndarray, x: np.ndarray, y: np.ndarray, most: int = SPAN) -> np.ndarray:
-    """Whether text[x:] and text[y:] share ``most`` bytes (a multiple of 8)."""
+def common_prefix(words: np.ndarray, x: np.ndarray, y: np.ndarray, most: int = SPAN) -> np.ndarray:
+    """Whether the texts from x and from y share ``most`` bytes (a multiple of 8);
+    ``words`` holds the eight bytes from each place."""
     same = np.ones(len(x), bool)
     some = np.arange(len(x))
-    view = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1))
     for k in range(0, most, 8):
-        equal = (view[x[some] + k] == view[y[some] + k]).all(1)
-        same[some[~equal]] = False
-        some = some[equal]
+        equal = words[x + k] == words[y + k]
+        if not equal.all():
+            same[some[~equal]] = False
+            some, x, y = some[equal], x[equal], y[equal]
         if not len(some):
             break
     return same
@@ -241,17 +222,16 @@ def repeated_windows(contexts: list[bytes], origin: np.ndarray, low: np.ndarray,
     begin = np.cumsum(size + 1) - size - 1
     text = np.frombuffer(b"\0".join(contexts) + bytes(SPAN + 32), np.uint8)
     last = np.minimum(left, size - SPAN)  # of the places where a window may start
-    wanted = np.zeros(len(text) + 1, np.int32)
     some = last >= 0
-    np.add.at(wanted, begin[some], 1)
-    np.add.at(wanted, begin[some] + last[some] + 1, -1)
+    wanted = np.bincount(begin[some], minlength=len(text) + 1) - np.bincount(begin[some] + last[some] + 1, minlength=len(text) + 1)
     mask = np.cumsum(wanted)[: len(text)] > 0
     order = sorted_suffixes(text, mask)
     order = order[mask[order]]
     out: list[list[tuple[int, int]]] = [[] for _ in contexts]
     if len(order) < 2:
         return out
-    run = np.append(0, np.cumsum(~common_prefix(text, order[:-1], order[1:])))
+    words = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1)).copy().view(np.uint64).ravel()
+    run = np.append(0, np.cumsum(~common_prefix(words, order[:-1], order[1:])))
     owner = np.searchsorted(begin, order, "right") - 1
     start = order - begin[owner] + low[owner]
     place = origin[owner] << 40 | start
