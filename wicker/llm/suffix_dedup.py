@@ -5,7 +5,7 @@ elsewhere are removed.
    hash are anchors, so equal windows have equal anchors at equal places.  Anchors
    whose hash is found once can't lie in a repeat and go.
 2. Contexts.  All windows around an anchor lie in a context of at most 2 * SPAN -
-   GRAM bytes.  Equal contexts (by two 64-bit hashes) are counted; all windows of
+   GRAM bytes.  Equal contexts (by the anchor's hash and another one) are counted; all windows of
    a context that comes twice are repeats, and one copy of it goes on.
 3. Suffix arrays.  The different contexts of an anchor meet in one task, in blocks.
    Suffixes smaller than their successors are sorted directly, the others are
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, text_of, written
@@ -119,24 +119,38 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
 
 
-def anchor_table(docs: DataFrame) -> DataFrame:
-    """Of t, text: t, pos, a (gram hash), c, d (context hashes), low, high (the
-    context's bytes in the text) for each anchor."""
+def anchor_table(docs: DataFrame, contexts: bool = True) -> DataFrame:
+    """Of t, text: a (gram hash) for each anchor and, with ``contexts``, t, c (hash
+    of the context) and p: the anchor's place, how far the context reaches to its
+    left, and the context's length, in one number."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
         data, begin, size = _joined(texts)
         at, a = anchors(data, begin, size)
+        if not contexts:
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64))], ["a"])
         owner = np.searchsorted(begin, at, "right") - 1
         low = np.maximum(at - REACH, begin[owner])
         high = np.minimum(at + SPAN, begin[owner] + size[owner])
         mark = ((at - low) * 1009 + (high - low)).astype(np.uint64) * np.uint64(_BASES[1])
-        c, d = ((Ranges(data, k).of(low, high) + mark).view(np.int64) for k in (0, 1))
-        shift = begin[owner]
-        columns = [batch.column(0).take(pa.array(owner)), *(pa.array(x.astype(np.int32)) for x in (at - shift, low - shift, high - shift)), pa.array(a.view(np.int64)), pa.array(c), pa.array(d)]
-        return pa.RecordBatch.from_arrays(columns, ["t", "pos", "low", "high", "a", "c", "d"])
+        c = (Ranges(data, 1).of(low, high) + mark).view(np.int64)
+        p = (at - begin[owner]) << 20 | (at - low) << 10 | (high - low)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(p), pa.array(a.view(np.int64)), pa.array(c)], ["t", "p", "a", "c"])
 
-    return map_batches(docs, run, "t binary, pos int, low int, high int, a long, c long, d long")
+    return map_batches(docs, run, "t binary, p long, a long, c long" if contexts else "a long")
+
+
+def _size(p: str) -> Column:
+    return F.col(p).bitwiseAND(F.lit(1023))
+
+
+def _left(p: str) -> Column:
+    return F.shiftright(p, 10).bitwiseAND(F.lit(1023))
+
+
+def _low(p: str) -> Column:
+    return (F.shiftright(p, 20) - _left(p)).cast("int")
 
 
 # --- suffix arrays ------------------------------------------------------------
@@ -253,24 +267,24 @@ def repeated_windows(contexts: list[bytes], origin: np.ndarray, low: np.ndarray,
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """Of t, text (a row for each row of the corpus): t, spans (low and high of the
     ranges that repeat) for each text that has some."""
-    table = anchor_table(keyed)
-    again = cut(table.groupBy("a").count().where("count > 1").select("a"))
-    found = written(table.join(again, "a", "left_semi"))
-    classes = written(found.groupBy("a", "c", "d").agg(F.count("*").alias("n"), F.min(F.struct("t", "pos", "low", "high")).alias("r")))
+    again = cut(anchor_table(keyed, contexts=False).groupBy("a").count().where("count > 1").select("a"))
+    found = written(anchor_table(keyed).join(again, "a", "left_semi"))
+    classes = written(found.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("t", "p")).alias("r")))
     # Every window of a context that comes twice is a repeat.
-    twice = classes.where("n > 1").select("a", "c", "d")
-    sure = found.join(twice, ["a", "c", "d"], "left_semi").where(F.col("high") - F.col("low") >= SPAN).select("t", "low", "high")
+    twice = classes.where("n > 1").select("a", "c")
+    sure = found.join(twice, ["a", "c"], "left_semi").where(_size("p") >= SPAN).select("t", _low("p").alias("low"), (_low("p") + _size("p")).cast("int").alias("high"))
     # Different contexts of one anchor are compared.
     mixed = cut(classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1"))
-    some = classes.join(mixed, "a").where(F.col("r.high") - F.col("r.low") >= SPAN)
-    some = some.select(F.col("r.t").alias("t"), F.struct("a", "n", "m", "r.pos", "r.low", "r.high").alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
+    some = classes.join(mixed, "a").where(_size("r.p") >= SPAN)
+    x = F.struct("a", "n", "m", _left("r.p").alias("left"), _low("r.p").alias("low"), _size("r.p").alias("size"))
+    some = some.select(F.col("r.t").alias("t"), x.alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
     texts = keyed.groupBy("t").agg(F.first("text").alias("text")).join(some, "t")
 
     def fetch(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
         for t, text, xs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            rows += [(x["a"], t, x["n"], x["m"], x["pos"] - x["low"], x["low"], raw[x["low"] : x["high"]]) for x in xs]
+            rows += [(x["a"], t, x["n"], x["m"], x["left"], x["low"], raw[x["low"] : x["low"] + x["size"]]) for x in xs]
         if not rows:
             return None
         types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
