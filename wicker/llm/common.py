@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -87,4 +89,9 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of documents; Python workers will find this package where the
+    driver did, unless the session already ships it."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
