@@ -14,7 +14,7 @@ changes no result, and only the short stretches between them are decoded.
 Null and empty texts have no spans.  Repeated rows get equal results.  Very long
 texts are scanned whole.  Spans count code points.  Other columns are kept by
 ``redact``, whatever their names.  An empty table gives no rows; without a
-hint of a secret in any text, the field adds nothing.
+find of the rules in any text, the field adds nothing.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, text_of
@@ -41,9 +41,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"[\w+/.=-]+|[^\w\s+/.=-]+")
 #: Words that are told apart; of others only the shape counts.
 CONTEXT = frozenset("access account api apikey auth authorization aws basic bearer client credential credentials id is key login pass passphrase passwd password private pwd pw secret signing session token user was with".split())
-#: The training sample is rich in texts that have one of these.
-HINTS = ("password", "Password", "passwd", "secret", "Secret", "token", "Token", "api_key", "apikey", "API_KEY", "AKIA")
-#: Texts with a hint of a secret, and as many without, that the field is trained on.
+#: Of every text in which a rule matches, lower case has one of these,
+#: it has AKIA, or the rule is the one for hex.
+WORDS = ("passw", "secret", "token", "api")
+#: Texts with a find of the rules, and as many without, that the field is trained on.
 TRAIN_TEXTS = 400
 SEGMENT = 16
 FEATURES = 1 << 13
@@ -58,7 +59,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the rules' finds, in order."""
     out = []
     low = text.lower()
-    if any(k in low for k in ("passw", "secret", "token", "api")) or not low.isascii():
+    if any(k in low for k in WORDS) or not low.isascii():
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
@@ -126,6 +127,11 @@ class Field:
     weight: np.ndarray  # (FEATURES, 3)
     move: np.ndarray  # (3, 3)
 
+    @property
+    def trained(self) -> bool:
+        """Whether it prefers any tag; all scores of one that doesn't are equal."""
+        return bool(self.weight.any() or self.move.any())
+
     def scores(self, shape: str) -> np.ndarray:
         """(4, 3): own, to the token before, to the next, to the one after it."""
         f = _features(shape)
@@ -189,6 +195,7 @@ class Tagger:
 
     def __init__(self, field: Field):
         self.field = field
+        self.trained = field.trained
         self.most = 2 * float(field.move.max() - field.move.min())
         self._new()
 
@@ -221,7 +228,7 @@ class Tagger:
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Code point spans that the field tags as secrets."""
-        tokens = TOKEN.findall(text)
+        tokens = TOKEN.findall(text) if self.trained else []
         if not tokens:
             return []
         r = self._rows(tokens)
@@ -285,20 +292,29 @@ def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.array(tags), np.ones(len(slots))
 
 
+def rule_matches(t: Column) -> Column:
+    """Whether a rule matches in a text; the rules' expressions as Java reads them."""
+    low = F.lower(t)
+    named = low.contains(WORDS[0])
+    for word in WORDS[1:]:
+        named = named | low.contains(word)
+    assign = ASSIGN.pattern.replace("[A-Za-z0-9+/_.=-]+", "[A-Za-z0-9+/_.=-]{6,}")
+    return (t.contains("AKIA") & t.rlike(ACCESS.pattern)) | (named & t.rlike(f"(?i){assign}")) | t.rlike(HEX.pattern)
+
+
 def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
-    """A field trained on the rules' finds in at most ``texts`` texts that hint at
-    a secret and as many others, chosen by hash; of each text at most 4 windows
-    of its tokens come to the driver."""
+    """A field trained on the rules' finds in at most ``texts`` texts that have one
+    and as many others, chosen by hash; of each text at most 4 windows of its
+    tokens come to the driver.  Without finds, a field that adds nothing."""
     t = text_of(text)
-    hit = F.lit(False)
-    for word in HINTS:
-        hit = hit | t.contains(word)
+    hit = rule_matches(t)
     # The hashes of both samples first, so that texts don't take part in the sort.
     chosen = docs.select(t.alias("text"), hit.alias("hit"), F.xxhash64(t).alias("h"))
     keys = cut(chosen.select("hit", "h").distinct())
     most = {side: keys.where(F.col("hit") == side).orderBy("h").limit(texts).agg(F.max("h")).first()[0] for side in (True, False)}
+    nothing = Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
     if most[True] is None:
-        return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
+        return nothing
     least = -(1 << 63)
     inside = F.col("h") <= F.when(F.col("hit"), most[True]).otherwise(least if most[False] is None else most[False])
 
@@ -312,7 +328,7 @@ def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
     got = map_batches(source, windows, "slots binary, tags binary").orderBy("slots", "tags").toArrow()
     slots = np.stack([np.frombuffer(x, np.int16).reshape(SEGMENT, WIDTH) for x in got.column(0).to_pylist()]).astype(np.int64)
     tags = np.stack([np.frombuffer(x, np.int8) for x in got.column(1).to_pylist()]).astype(np.int64)
-    return train(slots, tags, np.ones(len(slots)))
+    return train(slots, tags, np.ones(len(slots))) if (tags != O).any() else nothing
 
 
 _TAGGERS: dict[bytes, Tagger] = {}
