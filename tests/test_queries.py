@@ -38,3 +38,13 @@ def test_against_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_package_parse_all_keeps_every_part(spark, tmp_path):
+    rows = [(k, 7 + k, f"name {k}", "TYPE") for k in range(12)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int, p_name string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r.product_id: r for r in entry.queries()["package_parse_all"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(12))
+    for k in (4, 10):
+        assert got[k].package == f"Frasco {7 + k} gr. o {8 + k} gr."
+        assert (got[k].base_unit, got[k].content, got[k].rule, got[k].needs_review) == ("kg", round((7 + k) * 0.001, 6), "alternatives", True)

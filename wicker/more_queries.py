@@ -71,6 +71,17 @@ def package_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.parse_packages(rows, "package").select("product_id", "package", "base_unit", "content", "rule", "needs_review")
 
 
+@query(f"""SELECT p_partkey AS product_id, {_PACKED} AS package,
+  CASE p_partkey % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'piece' WHEN 3 THEN 'piece' WHEN 4 THEN 'kg' END AS base_unit,
+  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
+  CASE p_partkey % 6 WHEN 0 THEN 'quantity' WHEN 1 THEN 'pack' WHEN 2 THEN 'count_with_slash' WHEN 3 THEN 'count' WHEN 4 THEN 'alternatives' ELSE 'none' END AS rule,
+  p_partkey % 6 >= 4 AS needs_review
+FROM part""")
+def package_parse_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part, the texts with two quantities included, which package_parse and its SQL leave out."""
+    return packages.parse_packages(_packages(spark, sf_dir), "package").select("product_id", "package", "base_unit", "content", "rule", "needs_review")
+
+
 @query("""SELECT p_partkey AS product_id, CASE WHEN p_partkey % 6 = 0 THEN 'bag' WHEN p_partkey % 6 = 1 AND p_size > 6 THEN 'tins' WHEN p_partkey % 6 = 3 THEN 'rolls' END AS item_id
 FROM part WHERE p_partkey % 6 IN (0, 3) OR (p_partkey % 6 = 1 AND p_size > 6)""")
 def rule_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
