@@ -48,3 +48,12 @@ def test_package_parse_all_keeps_every_part(spark, tmp_path):
     for k in (4, 10):
         assert got[k].package == f"Frasco {7 + k} gr. o {8 + k} gr."
         assert (got[k].base_unit, got[k].content, got[k].rule, got[k].needs_review) == ("kg", round((7 + k) * 0.001, 6), "alternatives", True)
+
+
+def test_canonical_key_all_folds_whole_texts(spark, tmp_path):
+    head = "le même début " * 8
+    rows = [(1, head + "Café  au lait. . "), (2, head + "cafe au\nlait"), (3, head + "thé"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    start = "LE MEME DEBUT " * 8
+    got = {r.doc_id: r.key for r in entry.queries()["canonical_key_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: start + "CAFE AU LAIT", 2: start + "CAFE AU LAIT", 3: start + "THE", 4: None}

@@ -32,6 +32,12 @@ def canonical_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.canonical_key(F.substring("text", 1, 80)).alias("key"))
 
 
+@query(r"""SELECT doc_id, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(text, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS key FROM documents""")
+def canonical_key_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of whole documents, which canonical_key and its SQL cut at 80 characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.canonical_key("text").alias("key"))
+
+
 @query("""WITH m AS (SELECT l_partkey, bit_or(1 << CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS mask FROM lineitem GROUP BY 1)
 SELECT l_partkey AS product_id, mask, concat_ws(' + ', CASE WHEN mask & 1 > 0 THEN 'ALPHA' END, CASE WHEN mask & 2 > 0 THEN 'NORMAL' END, CASE WHEN mask & 4 > 0 THEN 'RETURN' END) AS catalogs FROM m""")
 def catalog_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
