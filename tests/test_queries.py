@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import duckdb
 import pytest
@@ -57,3 +58,31 @@ def test_canonical_key_all_folds_whole_texts(spark, tmp_path):
     start = "LE MEME DEBUT " * 8
     got = {r.doc_id: r.key for r in entry.queries()["canonical_key_all"](spark, str(tmp_path)).collect()}
     assert got == {1: start + "CAFE AU LAIT", 2: start + "CAFE AU LAIT", 3: start + "THE", 4: None}
+
+
+def test_lost_char_correction_all_against_brute_force(spark, tmp_path):
+    long = "Der Bär läuft über die Straße, señor. " * 2500
+    texts = [
+        (long + "Ende", "de"), (long + "Ändé", "de"), (long + "?nd?", "de"), ("Café?", "fr"), ("Caf? ÉTÉ", None), ("Café ÉTÉ", None), ("caf\u00ea ÉTÉ", "xx"), ("Caf? ETE", "en"),
+        ("a?b", "en"), ("x" * 70 + "é", "es"), ("x" * 70 + "ó", "es"), ("x" * 70 + "É", "es"), ("\\Qé\\E.*", "fr"), ("\\q?\\e.*", "fr"), ("?", "en"), (None, "en"), ("", "en"), ("Pan", "es"),
+    ]
+    spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    letters = "éèêçñöäüßíóá"
+    values = {t for t, _ in texts if t is not None}
+    values |= {t.translate(str.maketrans(letters, "?" * len(letters))) for t in values if set(letters) & set(t)}
+    key = lambda t: "".join(c for c in unicodedata.normalize("NFD", " ".join(t.replace("ß", "SS").split()).upper()) if c.isascii()).rstrip(" .")
+
+    def fits(d, c):
+        if len(d) != len(c) or "?" in c or c.isascii():
+            return False
+        return all(not b.isascii() if a == "?" else a.lower() == b.lower() for a, b in zip(d, c, strict=True))
+
+    want = {}
+    for d in values:
+        if "?" in d:
+            found = [c for c in values if fits(d, c)]
+            n = len({key(c) for c in found})
+            best = min(found, key=lambda c: (-sum(not x.isascii() for x in c), c.encode()), default=d)
+            want[d] = (n, best if n == 1 else d, n != 1)
+    got = {r.value: (r.candidates, r.corrected, r.needs_review) for r in entry.queries()["lost_char_correction_all"](spark, str(tmp_path)).collect()}
+    assert got == want and {n for n, _, _ in want.values()} == {0, 1, 2}

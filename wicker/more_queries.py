@@ -115,6 +115,16 @@ def lost_char_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.correct_lost_chars(values).drop("column")
 
 
+@query()
+def lost_char_correction_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of all documents, real marks included, and their damaged copies;
+    lost_char_correction and its SQL take prefixes of some.  Too long for SQL's expressions."""
+    letters = "éèêçñöäüßíóá"
+    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("value")).where(F.col("value").isNotNull()).distinct()
+    damaged = texts.where(F.col("value").rlike(f"[{letters}]")).select(F.translate("value", letters, "?" * len(letters)).alias("value"))
+    return normalize.correct_lost_chars(texts.unionByName(damaged).select(F.lit("text").alias("column"), "value")).drop("column")
+
+
 @query("""WITH d AS (SELECT CAST(unnest(generate_series(min(l_shipdate)::DATE, max(l_shipdate)::DATE, INTERVAL 1 DAY)) AS DATE) AS date FROM lineitem)
 SELECT date, year(date) AS year, month(date) AS month, day(date) AS day, isodow(date) AS iso_weekday,
   list_extract(['lunes','martes','miércoles','jueves','viernes','sábado','domingo'], isodow(date)::INT) AS weekday, isoyear(date) AS iso_year, week(date) AS iso_week,

@@ -26,19 +26,23 @@ def correct_lost_chars(values: DataFrame, mark: str = "?") -> DataFrame:
     (column, value): characters beyond ASCII were lost to ``mark``.  A candidate is
     an intact value of the same column and length that is equal elsewhere, letter
     case aside, and has a character beyond ASCII at every mark.  One candidate key
-    corrects, none or several go to review.  Both sides meet on their skeleton."""
+    corrects, none or several go to review.  Both sides meet on a hash of their
+    skeleton, which is then compared."""
     v = F.col("value")
-    skeleton = F.lower(F.regexp_replace(v, r"[^\x00-\x7F]|\?", "?"))
-    damaged = values.where(v.contains(mark)).select("column", v.alias("damaged"), skeleton.alias("skeleton"))
-    intact = values.where(~v.contains(mark) & v.rlike(r"[^\x00-\x7F]")).select("column", v.alias("candidate"), skeleton.alias("skeleton"), canonical_key(v).alias("key"), F.regexp_count(v, F.lit(r"[^\x00-\x7F]")).alias("beyond"))
-    # Characters beyond ASCII that weren't lost must agree too.
-    pattern = F.concat(F.lit(r"(?iu)^\Q"), F.replace(F.col("damaged"), F.lit(mark), F.lit(r"\E[^\x00-\x7F]\Q")), F.lit(r"\E$"))
-    fits = F.col("candidate").rlike(pattern) if isinstance(pattern, str) else F.call_function("rlike", F.col("candidate"), pattern)
-    pairs = damaged.join(intact, ["column", "skeleton"], "left").withColumn("ok", F.coalesce(fits, F.lit(False)))
+    skeleton = lambda c: F.lower(F.regexp_replace(c, r"[^\x00-\x7F]|\?", "?"))
+    damaged = values.where(v.contains(mark)).select("column", v.alias("damaged"), F.xxhash64(skeleton(v)).alias("h"))
+    intact = values.where(~v.contains(mark) & v.rlike(r"[^\x00-\x7F]")).select("column", v.alias("candidate"), F.xxhash64(skeleton(v)).alias("h"))
+    d, x = F.col("damaged"), F.col("candidate")
+    # Characters beyond ASCII that weren't lost must agree too.  No expression is built from a text: it would fail on long ones.
+    beyond = lambda c: F.split(F.regexp_replace(c, r"[\x00-\x7F&&[^?]]", ""), "")
+    agree = F.forall(F.arrays_zip(beyond(d).alias("a"), beyond(x).alias("b")), lambda p: (p["a"] == mark) | (F.lower(p["a"]) == F.lower(p["b"])) | (F.upper(p["a"]) == F.upper(p["b"])))
+    fits = (skeleton(d) == skeleton(x)) & (~d.rlike(r"[^\x00-\x7F]") | agree)
+    pairs = damaged.join(intact, ["column", "h"], "left").withColumn("ok", F.coalesce(fits, F.lit(False)))
     c = F.when(F.col("ok"), F.col("candidate"))
-    each = pairs.groupBy("column", "damaged").agg(
-        F.countDistinct(F.when(F.col("ok"), F.col("key"))).alias("candidates"),
-        F.min_by(c, F.when(F.col("ok"), F.struct(-F.col("beyond"), F.col("candidate")))).alias("best"),
+    # Grouped as they were joined: texts aren't dealt out again.
+    each = pairs.groupBy("column", "h", "damaged").agg(
+        F.countDistinct(F.when(F.col("ok"), F.md5(canonical_key(x)))).alias("candidates"),
+        F.min_by(c, F.when(F.col("ok"), F.struct((-F.regexp_count(x, F.lit(r"[^\x00-\x7F]"))).alias("n"), x.alias("x")))).alias("best"),
     )
     one = F.col("candidates") == 1
     return each.select("column", F.col("damaged").alias("value"), "candidates", F.when(one, F.col("best")).otherwise(F.col("damaged")).alias("corrected"), (~one).alias("needs_review"))
