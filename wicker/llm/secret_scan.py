@@ -343,10 +343,22 @@ def _tagger(shared) -> Tagger:
 
 
 def all_spans(text: str, tagger: Tagger) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """The rules' spans; those and the field's that lie in none of them."""
+    """The rules' spans; those and the parts of the field's that lie outside them."""
     base = base_spans(text)
-    more = [(a, 3, b) for a, b in tagger.spans(text) if not any(x < b and a < y for x, _, y in base)]
-    return base, sorted(base + more)
+    return base, sorted(base + [(a, 3, b) for span in tagger.spans(text) for a, b in outside(text, *span, base)])
+
+
+def outside(text: str, start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span in none of the spans of ``base``, without blanks at
+    their ends."""
+    parts, at = [], start
+    for a, _, b in base:  # in order of their starts
+        if b > at and a < end:
+            parts.append((at, a))
+            at = b
+    parts.append((at, end))
+    trimmed = ((a + len(t) - len(t.lstrip()), b - len(t) + len(t.rstrip())) for a, b in parts if a < b and (t := text[a:b]).strip())
+    return list(trimmed)
 
 
 def _share(docs: DataFrame, field: Field):
@@ -386,7 +398,7 @@ def redact(docs: DataFrame, field: Field | None = None, text: str = "text", mark
                 parts, last = [], 0
                 for a, _, b in spans:
                     if b > last:
-                        parts += [t[last:a], mark] if a >= last else []
+                        parts += [t[last:a], mark] if a > last or not parts and a >= last else []
                         last = b
                 t = "".join([*parts, t[last:]])
             out.append(t)
