@@ -249,14 +249,13 @@ def brute_repeats(texts, span=200):
 def test_suffix_dedup(spark, docs, given, chunk, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    short = docs.where("length(text) < 1000 OR text IS NULL")
-    some = [(i, t) for i, t in given if len(t) < 1000]
-    same(suffix_dedup.remove_repeats(short), [(i, *x) for (i, _), x in zip(some, brute_repeats([t for _, t in some]), strict=True)], columns)
+    same(suffix_dedup.remove_repeats(docs), [(i, *x) for (i, _), x in zip(given, brute_repeats([t for _, t in given]), strict=True)], columns)
     rng = np.random.default_rng(4)
     word = lambda k: "".join(rng.choice(list("abcdé \n"), k))
     shared, phrase = [word(k) for k in (199, 200, 230, 500)], word(120)
     texts = [word(150) + shared[i % 4] + word(90) + phrase + word(50) for i in range(40)]
-    texts += ["z" * 450, "ab" * 300, texts[0], texts[1][:300], shared[3] + shared[3][1:]]
+    long = "".join(word(40) + phrase + shared[i % 4] for i in range(60))
+    texts += [long, long[:9000] + "!" + long[9000:], long[3000:], "\0" * 700 + long[:300] + "\0" * 211, "z" * 450, "ab" * 300, texts[0], texts[1][:300], shared[3] + shared[3][1:]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     same(suffix_dedup.remove_repeats(df), [(i, *x) for i, x in enumerate(brute_repeats(texts))], columns)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import tempfile
@@ -23,14 +24,28 @@ BROADCAST_ROWS = 200_000
 STEP_BYTES = 1 << 20
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.  Only a
+    local session may be without one; it gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return _local_folder()
+
+
+@functools.lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder and read back, so that its lineage
     ends there and a lost executor costs a re-read, not a re-run."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -38,12 +53,22 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back:
     like ``cut``, but compressed and read column by column."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-tables-")
-    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, *columns: Column) -> DataFrame:
+    """A row for each ``key`` with the aggregates ``columns``, written in the shared
+    folder as a table bucketed by ``key``: joins on ``key`` then leave it in place."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"wicker_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, key).groupBy(key).agg(*columns)
+    rows.write.bucketBy(buckets, key).option("path", f"{shared_folder(spark)}/tables/{name}").option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def row_ids() -> Iterator[int]:
     """Ids that no other task of the same stage gives; the same after a retry."""
     return itertools.count((TaskContext.get().partitionId() if TaskContext.get() else 0) << 40)

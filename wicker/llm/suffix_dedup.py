@@ -1,24 +1,27 @@
 """Suffix-array dedup: bytes covered by a string of ``SPAN`` bytes that also starts
 elsewhere are removed.
 
-1. Anchors.  In every window of SPAN bytes the ``GRAM``-byte strings with the least
-   hash are anchors, so equal windows have equal anchors at equal places.  Anchors
-   whose hash is found once can't lie in a repeat and go.
-2. Contexts.  All windows around an anchor lie in a context of at most 2 * SPAN -
-   GRAM bytes.  Equal contexts (by the anchor's hash and another one) are counted; all windows of
-   a context that comes twice are repeats, and one copy of it goes on.
-3. Suffix arrays.  The different contexts of an anchor meet in one task, in blocks.
-   Suffixes smaller than their successors are sorted directly, the others are
-   induced from them by scans over the buckets of first bytes.  Adjacent windows
-   with a common prefix of SPAN bytes or more, at different places, are repeats.
-   An anchor with more than ``CHUNK`` contexts is split into chunks, and each pair
-   of chunks has a block of its own.
-4. The spans of each text are merged and cut out.
-
-Texts are told apart by their MD5, so copies share all work.  Null texts are empty;
-texts shorter than SPAN keep all bytes.  Repeated rows (with the same id too) are
-copies of each other.  Very long texts are read whole.  Other columns may have any
-names.  An empty table gives no rows.
+1. Texts.  Different texts are kept once, with their number of copies, in a table
+   bucketed by their MD5, which all later steps read without moving texts again.
+2. Anchors.  In every window of SPAN bytes the ``GRAM``-byte strings with the least
+   hash are anchors, so equal windows have equal anchors at equal places.  An anchor
+   rules the windows in which it is the least; they are neighbours.  Anchors whose
+   hash is found once can't lie in a repeat and go.
+3. Contexts.  The windows that an anchor rules make up its context.  Equal contexts
+   (by the anchor's hash and another one) are counted; all windows of a context that
+   comes twice are repeats, and one copy of it goes on.
+4. Suffix arrays.  The different contexts of an anchor meet in one task, in blocks.
+   They are cut into parts of ``PART`` windows by the distance to the anchor, and
+   equal parts are kept once.  Suffixes smaller than their successors are sorted
+   directly, the others are induced from them by scans over the buckets of first
+   bytes.  Adjacent windows with a common prefix of SPAN bytes or more, at different
+   places, are repeats.  An anchor with more than ``CHUNK`` contexts is split into
+   chunks, and each pair of chunks has a block of its own.
+5. The spans of each text are merged and cut out.
+
+Null texts are empty; texts shorter than SPAN keep all bytes.  Repeated rows (with
+the same id too) are copies of each other.  Very long texts are read whole.  Other
+columns may have any names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, text_of, written
+from .common import bucketed, map_batches, text_of, written
 
 SPAN, GRAM = 200, 64
-REACH = SPAN - GRAM  # of a context on either side of its anchor's bytes
+REACH = SPAN - GRAM  # of a window on either side of its anchor's bytes
 CHUNK = 2048
+PART = 32
 BLOCK_BYTES = 1 << 20
+STRIDE = 8192  # suffixes whose bytes are compared at once
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -94,11 +99,12 @@ def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return fold(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of anchors in joined texts, and the hashes of their grams."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def anchors(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each anchor in joined texts: its place, the hash of its gram, and the
+    starts of the first and the last window that it rules."""
+    none = np.zeros(0, np.int64)
     if len(data) < SPAN or size.max(initial=0) < SPAN:
-        return none
+        return none, none.astype(np.uint64), none, none
     h = Ranges(data, 0).grams(GRAM)
     width = REACH + 1
     valid = np.zeros(len(data) + 1, np.int64)  # windows inside one text
@@ -111,7 +117,21 @@ def anchors(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.n
     padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
     best = sliding(padded, width, False)  # over the windows that hold each gram
     at = np.flatnonzero((best == h) & (best > 0))
-    return at, h[at]
+    # Neighbouring windows with the same least hash, and the anchors inside them.
+    start = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    end = np.append(start[1:], n) - 1
+    some = low[start] > 0
+    start, end = start[some], end[some]
+    first, after = np.searchsorted(at, start), np.searchsorted(at, end + width)
+    each = after - first
+    run = np.repeat(np.arange(len(start)), each)
+    k = np.arange(len(run)) - np.repeat(np.cumsum(each) - each, each) + first[run]
+    own = h[at[k]] == low[start[run]]
+    k, run = k[own], run[own]
+    order = np.argsort(k, kind="stable")
+    k, run = k[order], run[order]
+    at = at[k]
+    return at, h[at], np.maximum(start[run], at - REACH), np.minimum(end[run], at)
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,26 +139,25 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
 
 
-def anchor_table(docs: DataFrame, contexts: bool = True) -> DataFrame:
-    """Of t, text: a (gram hash) for each anchor and, with ``contexts``, t, c (hash
-    of the context) and p: the anchor's place, how far the context reaches to its
-    left, and the context's length, in one number."""
+def anchor_table(texts: DataFrame, contexts: bool = True) -> DataFrame:
+    """Of t, text, k (copies): a (gram hash) and k for each anchor and, with
+    ``contexts``, t, c (hash of the context) and p: the anchor's place, how far the
+    context reaches to its left, and the context's length, in one number."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-        data, begin, size = _joined(texts)
-        at, a = anchors(data, begin, size)
-        if not contexts:
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64))], ["a"])
+        raw = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+        data, begin, size = _joined(raw)
+        at, a, first, last = anchors(data, begin, size)
         owner = np.searchsorted(begin, at, "right") - 1
-        low = np.maximum(at - REACH, begin[owner])
-        high = np.minimum(at + SPAN, begin[owner] + size[owner])
-        mark = ((at - low) * 1009 + (high - low)).astype(np.uint64) * np.uint64(_BASES[1])
-        c = (Ranges(data, 1).of(low, high) + mark).view(np.int64)
-        p = (at - begin[owner]) << 20 | (at - low) << 10 | (high - low)
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(p), pa.array(a.view(np.int64)), pa.array(c)], ["t", "p", "a", "c"])
+        of, hashes, copies = pa.array(owner), pa.array(a.view(np.int64)), batch.column(2)
+        if not contexts:
+            return pa.RecordBatch.from_arrays([hashes, copies.take(of)], ["a", "k"])
+        mark = ((at - first) * 1009 + (last - first)).astype(np.uint64) * np.uint64(_BASES[1])
+        c = (Ranges(data, 1).of(first, last + SPAN) + mark).view(np.int64)
+        p = (at - begin[owner]) << 20 | (at - first) << 10 | (last + SPAN - first)
+        return pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(p), hashes, pa.array(c), copies.take(of)], ["t", "p", "a", "c", "k"])
 
-    return map_batches(docs, run, "t binary, p long, a long, c long" if contexts else "a long")
+    return map_batches(texts.select("t", "text", "k"), run, "t binary, p long, a long, c long, k long" if contexts else "a long, k long")
 
 
 def _size(p: str) -> Column:
@@ -213,107 +232,147 @@ def sorted_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int = SPAN) ->
     return np.concatenate(out)
 
 
-def common_prefix(words: np.ndarray, x: np.ndarray, y: np.ndarray, most: int = SPAN) -> np.ndarray:
-    """Whether the texts from x and from y share ``most`` bytes (a multiple of 8);
-    ``words`` holds the eight bytes from each place."""
-    same = np.ones(len(x), bool)
-    some = np.arange(len(x))
-    for k in range(0, most, 8):
-        equal = words[x + k] == words[y + k]
-        if not equal.all():
-            same[some[~equal]] = False
-            some, x, y = some[equal], x[equal], y[equal]
-        if not len(some):
-            break
-    return same
-
-
-def repeated_windows(contexts: list[bytes], origin: np.ndarray, low: np.ndarray, left: np.ndarray) -> list[list[tuple[int, int]]]:
-    """For each context, the merged ranges (in its text) of its windows that also
-    start elsewhere in the block.  ``origin`` numbers the texts, ``low`` is where a
-    context begins in its text, ``left`` how far its anchor lies in it."""
+def common_prefix(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Whether the suffixes at adjacent places of ``order`` share SPAN bytes."""
+    rows = np.lib.stride_tricks.as_strided(text, (len(text) - SPAN + 1, SPAN), (1, 1))
+    out = np.empty(len(order) - 1, bool)
+    for i in range(0, len(out), STRIDE):
+        words = rows[order[i : i + STRIDE + 1]].view(np.uint64)
+        out[i : i + STRIDE] = (words[1:] == words[:-1]).all(1)
+    return out
+
+
+def repeated_windows(contexts: list[bytes], place: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, first and last starts (in them) of the runs of windows that also
+    start elsewhere in the block.  ``place`` numbers the place of each context's
+    first byte in the corpus, ``several`` tells that it stands in other places too."""
     size = np.fromiter(map(len, contexts), np.int64, len(contexts))
     begin = np.cumsum(size + 1) - size - 1
     text = np.frombuffer(b"\0".join(contexts) + bytes(SPAN + 32), np.uint8)
-    last = np.minimum(left, size - SPAN)  # of the places where a window may start
-    some = last >= 0
-    wanted = np.bincount(begin[some], minlength=len(text) + 1) - np.bincount(begin[some] + last[some] + 1, minlength=len(text) + 1)
-    mask = np.cumsum(wanted)[: len(text)] > 0
+    mask = np.cumsum(np.bincount(begin, minlength=len(text) + 1) - np.bincount(begin + size - SPAN + 1, minlength=len(text) + 1))[: len(text)] > 0
     order = sorted_suffixes(text, mask)
     order = order[mask[order]]
-    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    if len(order) < 2:
-        return out
-    words = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1)).copy().view(np.uint64).ravel()
-    run = np.append(0, np.cumsum(~common_prefix(words, order[:-1], order[1:])))
+    run = np.append(0, np.cumsum(~common_prefix(text, order)))
     owner = np.searchsorted(begin, order, "right") - 1
-    start = order - begin[owner] + low[owner]
-    place = origin[owner] << 40 | start
+    start = order - begin[owner]
+    where = place[owner] + start
     heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-    apart = np.minimum.reduceat(place, heads) != np.maximum.reduceat(place, heads)
-    hit = np.flatnonzero(apart[run])
-    by = np.lexsort((start[hit], owner[hit]))
-    o, s = owner[hit][by], start[hit][by]
-    if len(o):
-        fresh = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (s[1:] > s[:-1] + SPAN)))
-        for a, b in zip(fresh.tolist(), [*(fresh[1:] - 1).tolist(), len(o) - 1], strict=True):
-            out[o[a]].append((int(s[a]), int(s[b]) + SPAN))
-    return out
+    apart = (np.minimum.reduceat(where, heads) != np.maximum.reduceat(where, heads)) | np.logical_or.reduceat(several[owner], heads)
+    hit = np.zeros(len(text) + 1, bool)
+    hit[order[apart[run]]] = True
+    edge = np.flatnonzero(np.diff(hit, prepend=False))  # separators are no windows
+    low, high = edge[::2], edge[1::2] - 1
+    owner = np.searchsorted(begin, low, "right") - 1
+    return owner, low - begin[owner], high - begin[owner]
+
+
+def compared(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a block of contexts (a, t, n, left, low, context): row number, low and
+    high of the ranges of its text that are repeats, for rows with n = 1."""
+    number: dict[bytes, int] = {}
+    parts: dict[tuple[int, int, bytes], int] = {}
+    groups: dict[tuple[int, int], int] = {}  # different parts at a distance from an anchor
+    place: list[int] = []
+    several: list[bool] = []
+    part, row, offset = [], [], []
+    for i, (a, t, _, left, low, context) in enumerate(rows):
+        at = (number.setdefault(t, len(number)) << 40) + low
+        last = left - len(context) + SPAN  # distance of the last window to the anchor
+        for far in range(left | (PART - 1), last - 1, -PART):
+            b = far // PART
+            near = max(last, b * PART)
+            far = min(left, far)
+            key = (a, far, context[left - far : left - near + SPAN])
+            j = parts.get(key)
+            if j is None:
+                j = parts[key] = len(place)
+                place.append(at + left - far)
+                several.append(False)
+                groups[a, b] = groups.get((a, b), 0) + 1
+            elif place[j] != at + left - far:
+                several[j] = True
+            part.append(j)
+            row.append(i)
+            offset.append(low + left - far)
+    many = np.array(several)
+    keys = list(parts)
+    todo = [j for j, (a, far, _) in enumerate(keys) if groups[a, far // PART] > 1]
+    sure = np.flatnonzero(many)
+    size = np.fromiter((len(k[2]) for k in keys), np.int64, len(keys))
+    found = [(sure, np.zeros(len(sure), np.int64), size[sure] - SPAN)]
+    if todo:
+        own, first, last = repeated_windows([keys[j][2] for j in todo], np.array(place, np.int64)[todo], many[todo])
+        own = np.array(todo)[own]
+        new = ~many[own]
+        found.append((own[new], first[new], last[new]))
+    own, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
+    # Back to the rows that hold each part.
+    part_, row_, offset_ = np.array(part), np.array(row), np.array(offset, np.int64)
+    keep = np.fromiter((r[2] == 1 for r in rows), bool, len(rows))[row_]
+    part_, row_, offset_ = part_[keep], row_[keep], offset_[keep]
+    by = np.argsort(part_, kind="stable")
+    begin = np.searchsorted(part_[by], own)
+    each = np.searchsorted(part_[by], own, "right") - begin
+    at = by[np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(begin, each)]
+    r, low, high = row_[at], offset_[at] + np.repeat(first, each), offset_[at] + np.repeat(last, each) + SPAN
+    by = np.lexsort((low, r))
+    r, low, high = r[by], low[by], high[by]
+    if not len(r):
+        return r, low, high
+    # The ranges of a row are of much the same length and follow each other.
+    top = np.maximum.accumulate(high + (r << 40))
+    fresh = np.append(True, (r[1:] != r[:-1]) | (low[1:] + (r[1:] << 40) > top[:-1]))
+    heads = np.flatnonzero(fresh)
+    return r[heads], low[heads], np.maximum.reduceat(high, heads)
 
 
 # --- the whole ----------------------------------------------------------------
 
 
-def repeated_spans(keyed: DataFrame) -> DataFrame:
-    """Of t, text (a row for each row of the corpus): t, spans (low and high of the
-    ranges that repeat) for each text that has some."""
-    again = cut(anchor_table(keyed, contexts=False).groupBy("a").count().where("count > 1").select("a"))
-    found = written(anchor_table(keyed).join(again, "a", "left_semi"))
-    classes = written(found.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("t", "p")).alias("r")))
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """Of t, text, k (a row for each different text, with its copies): t, spans
+    (low and high of the ranges that repeat) for each text that has some."""
+    again = written(anchor_table(texts, contexts=False).groupBy("a").agg(F.sum("k").alias("n")).where("n > 1").select("a"))
+    found = written(anchor_table(texts).join(again, "a", "left_semi"))
+    classes = written(found.groupBy("a", "c").agg(F.sum("k").alias("n"), F.min(F.struct("t", "p")).alias("r")))
     # Every window of a context that comes twice is a repeat.
     twice = classes.where("n > 1").select("a", "c")
-    sure = found.join(twice, ["a", "c"], "left_semi").where(_size("p") >= SPAN).select("t", _low("p").alias("low"), (_low("p") + _size("p")).cast("int").alias("high"))
+    sure = found.join(twice, ["a", "c"], "left_semi").select("t", _low("p").alias("low"), (_low("p") + _size("p")).cast("int").alias("high"))
     # Different contexts of one anchor are compared.
-    mixed = cut(classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1"))
-    some = classes.join(mixed, "a").where(_size("r.p") >= SPAN)
+    mixed = classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1")
     x = F.struct("a", "n", "m", _left("r.p").alias("left"), _low("r.p").alias("low"), _size("r.p").alias("size"))
-    some = some.select(F.col("r.t").alias("t"), x.alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
-    texts = keyed.groupBy("t").agg(F.first("text").alias("text")).join(some, "t")
-
-    def fetch(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        rows = []
-        for t, text, xs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            raw = text.encode("utf-8", "surrogatepass")
-            rows += [(x["a"], t, x["n"], x["m"], x["left"], x["low"], raw[x["low"] : x["low"] + x["size"]]) for x in xs]
-        if not rows:
-            return None
-        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["a", "t", "n", "m", "left", "low", "context"])
-
-    got = map_batches(texts.select("t", "text", "xs"), fetch, "a long, t binary, n long, m long, left int, low int, context binary")
+    some = classes.join(mixed, "a").select(F.col("r.t").alias("t"), x.alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
+
+    def fetch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(2)
+        owner, x = lists.value_parent_indices(), lists.flatten()
+        low, size = (x.field(n).to_pylist() for n in ("low", "size"))
+        raw = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+        context = [raw[i][a : a + n] for i, a, n in zip(owner.to_pylist(), low, size, strict=True)]
+        fields = {n: x.field(n) for n in ("a", "n", "m", "left", "low")}
+        return pa.RecordBatch.from_pydict({"t": batch.column(0).take(owner), **fields, "context": pa.array(context, pa.binary())})
+
+    got = map_batches(texts.join(some, "t").select("t", "text", "xs"), fetch, "t binary, a long, n long, m long, left long, low int, context binary")
     chunks = F.ceil(F.col("m") / CHUNK)
     got = got.withColumn("k", F.pmod(F.xxhash64("context"), chunks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    got = got.select("t", "n", "left", "low", "context", F.xxhash64("a", F.least("k", "o"), F.greatest("k", "o")).alias("g"))
+    got = got.select("a", "t", "n", "left", "low", "context", F.xxhash64("a", F.least("k", "o"), F.greatest("k", "o")).alias("g"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size, group = 0, None
 
         def block(rows: list[tuple]) -> pa.RecordBatch:
-            t, n, left, low, context, _ = zip(*rows, strict=True)
-            number: dict[bytes, int] = {}
-            origin = np.array([number.setdefault(x, len(number)) for x in t], np.int64)
-            spans = repeated_windows(list(context), origin, np.array(low, np.int64), np.array(left, np.int64))
-            flat = [(t[i], a, b) for i, own in enumerate(spans) if n[i] == 1 for a, b in own]
-            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.binary()), pa.array([f[1] for f in flat], pa.int32()), pa.array([f[2] for f in flat], pa.int32())], ["t", "low", "high"])
+            row, low, high = compared(rows)
+            return pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i in row.tolist()], pa.binary()), pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["t", "low", "high"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= BLOCK_BYTES and row[5] != held[-1][5]:
+            for *row, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size >= BLOCK_BYTES and g != group:
                     yield block(held)
                     held, size = [], 0
-                held.append(row)
-                size += len(row[4])
+                held.append(tuple(row))
+                size += len(row[5])
+                group = g
         if held:
             yield block(held)
 
@@ -337,7 +396,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     kept (the bytes left) of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     keyed = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("t"), "text")
-    spans = cut(repeated_spans(keyed.select("t", "text")))
+    texts = bucketed(keyed, "t", F.first("text").alias("text"), F.count("*").alias("k"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -354,6 +413,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())]
         return pa.RecordBatch.from_arrays(arrays + [pa.array(columns[4], pa.binary())] * keep_text, names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
-    joined = keyed.join(spans, "t", "left").select("doc_id", "text", "spans")
-    return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
+    names = ["t", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
+    joined = texts.join(repeated_spans(texts), "t", "left").select("t", "text", "spans")
+    digests = map_batches(joined, run, "t binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
+    return keyed.select("doc_id", "t").join(digests, "t").select("doc_id", *names[1:])
