@@ -90,6 +90,123 @@ def test_flac_kinds_and_damage():
                 flac.decode([bytes(bad)])
 
 
+def test_flac_header_inside_a_frame(spark):
+    """Bytes of a verbatim frame that look like the next frame's header."""
+    rng = np.random.default_rng(11)
+    wide = "".join(map(chr, rng.integers(0x4E00, 0x9000, 120)))
+    texts = [wide[:i] + "\x7fx  @A," + wide[i:] for i in range(1, 100, 9)]
+    payloads = [flac.padded(t)[0] for t in texts]
+    for n in range(1, 40):  # whole headers of any next frame, in noise
+        raw = bytearray(rng.integers(0, 256, 576 * 3, np.uint8).tobytes())
+        head = bytes(b ^ 0x80 for b in flac._header(n % 3))
+        at = 576 * (n % 3 - 1 if n % 3 else 0) + 20 + n
+        raw[at : at + len(head)] = head
+        payloads.append(bytes(raw))
+    streams = flac.encode(payloads)
+    assert [flac.pcm_bytes(p.samples, 8) for p in flac.decode(streams)] == payloads
+    # The last resort finds the same frames as the headers do.
+    info = flac.stream_info(streams[0])
+    assert flac._walked(streams[0], info) == flac._frames(streams[0], info, checked=True)
+    out = flac.media_digests(flac.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert {r.doc_id: r.payload_sha256 for r in out.collect()} == {i: hashlib.sha256(flac.padded(t)[0]).hexdigest() for i, t in enumerate(texts)}
+
+
+class BitWriter:
+    def __init__(self):
+        self.bits = []
+
+    def put(self, value, width):
+        self.bits += [value >> i & 1 for i in range(width - 1, -1, -1)]
+
+    def rice(self, value, k):
+        u = value << 1 if value >= 0 else (-value << 1) - 1
+        self.bits += [0] * (u >> k) + [1]
+        self.put(u, k)
+
+    def bytes(self):
+        self.bits += [0] * (-len(self.bits) % 8)
+        return np.packbits(self.bits).tobytes()
+
+
+def write_subframe(w, x, depth, kind, order=0, coef=(), precision=0, shift=0, wasted=0, parts=0, rice=(3,), wide=4):
+    """One channel's samples, coded as told; ``rice``: parameter of each partition,
+    or (escape, width)."""
+    code = {"constant": 0, "verbatim": 1, "fixed": 8 + order, "linear": 31 + order}[kind]
+    w.put(code << 1 | (wasted > 0), 8)
+    if wasted:
+        w.put(1, wasted)
+    x, depth = [v >> wasted for v in x], depth - wasted
+    if kind in ("constant", "verbatim"):
+        for v in x[:1] if kind == "constant" else x:
+            w.put(v, depth)
+        return
+    for v in x[:order]:
+        w.put(v, depth)
+    if kind == "fixed":
+        coef = flac.FIXED[order]
+    else:
+        w.put(precision - 1, 4)
+        w.put(shift, 5)
+        for c in coef:
+            w.put(c, precision)
+    w.put(wide - 4, 2)
+    w.put(parts, 4)
+    each = len(x) >> parts
+    for i in range(len(x)):
+        k = rice[i // each % len(rice)]
+        if i % each == 0:
+            if isinstance(k, tuple):
+                w.put((1 << wide) - 1, wide)
+                w.put(k[1], 5)
+            else:
+                w.put(k, wide)
+        if i >= order:
+            r = x[i] - (sum(c * x[i - 1 - j] for j, c in enumerate(coef)) >> shift)
+            w.put(r, k[1]) if isinstance(k, tuple) else w.rice(r, k)
+
+
+def stream_of(frames, bits, channels, block):
+    """A stream of frames (channel code, samples by channel, subframe arguments)."""
+    body, samples = b"", []
+    for n, (code, x, how) in enumerate(frames):
+        head = bytes([0xFF, 0xF8, 0x70, code << 4 | {8: 1, 12: 2, 16: 4, 24: 6}[bits] << 1]) + flac._number_bytes(n) + (block - 1).to_bytes(2, "big")
+        head += bytes([int(flac.crc8(np.frombuffer(head, np.uint8)[None])[0])])
+        w = BitWriter()
+        coded = [list(c) for c in x]
+        if code == 8:
+            coded[1] = [a - b for a, b in zip(*x, strict=True)]
+        elif code == 9:
+            coded[0] = [a - b for a, b in zip(*x, strict=True)]
+        elif code == 10:
+            coded = [[(a + b) >> 1 for a, b in zip(*x, strict=True)], [a - b for a, b in zip(*x, strict=True)]]
+        for c, (own, args) in enumerate(zip(coded, how, strict=True)):
+            write_subframe(w, own, bits + (code == 9 and c == 0 or code in (8, 10) and c == 1), **args)
+        frame = head + w.bytes()
+        body += frame + flac._crc16_of(frame).to_bytes(2, "big")
+        samples.append(np.array(x, np.int64).T)
+    x = np.ascontiguousarray(np.concatenate(samples))
+    raw = x.astype("<i8").view(np.uint8).reshape(len(x), -1, 8)[:, :, : -(-bits // 8)].tobytes()
+    info = block.to_bytes(2, "big") * 2 + bytes(6) + (44100 << 44 | channels - 1 << 41 | bits - 1 << 36 | len(x)).to_bytes(8, "big") + hashlib.md5(raw).digest()
+    return b"fLaC\x80" + len(info).to_bytes(3, "big") + info + body, x
+
+
+def test_flac_decoder_on_streams_of_all_kinds():
+    rng = np.random.default_rng(13)
+    block = 96
+    walk = lambda bits, mul=1: [int(v) * mul for v in np.clip(np.cumsum(rng.integers(-40, 41, block)), -(1 << bits - 3) // mul, (1 << bits - 3) // mul)]
+    linear = lambda order, precision, shift: {"kind": "linear", "order": order, "coef": tuple(int(c) for c in rng.integers(-20, 21, order)), "precision": precision, "shift": shift}
+    for bits in (8, 12, 16, 24):
+        hows = [{"kind": "verbatim"}, *({"kind": "fixed", "order": o, "parts": o % 3, "rice": (2, 5, 7, 4)} for o in range(5)), *({**linear(o, 7, 4), "parts": 1, "rice": (6, 8)} for o in (1, 2, 5, 12, 31, 32))]
+        hows += [{"kind": "fixed", "order": 2, "parts": 2, "rice": (5, ("escape", bits + 4), 3, ("escape", bits + 4))}, {"kind": "fixed", "order": 1, "rice": (17 if bits > 12 else 9,), "wide": 5}]
+        mono = [(0, [walk(bits)], [h]) for h in hows] + [(0, [[7] * block], [{"kind": "constant"}]), (0, [walk(bits, 4)], [{"kind": "fixed", "order": 2, "wasted": 2}]), (0, [walk(bits, 2)], [{"kind": "verbatim", "wasted": 1}])]
+        fixed = {"kind": "fixed", "order": 2, "rice": (6,)}
+        stereo = [(code, [walk(bits), walk(bits)], [fixed, {"kind": "verbatim"}][:: 1 if code % 2 else -1]) for code in (1, 8, 9, 10)] + [(10, [walk(bits), walk(bits)], [fixed, linear(8, 8, 5)])]
+        many = [(4, [walk(bits) for _ in range(5)], [fixed, {"kind": "verbatim"}, linear(3, 6, 3), fixed, fixed])]
+        streams = [stream_of(f, bits, c, block) for f, c in ((mono, 1), (stereo, 2), (many, 5))]
+        for pcm, (_, x) in zip(flac.decode([s for s, _ in streams]), streams, strict=True):
+            assert (pcm.samples == x).all() and pcm.info.bits == bits
+
+
 # --- 3 and 6 ---------------------------------------------------------------------
 
 

@@ -1,7 +1,8 @@
 """Media columns: FLAC.
 
 The decoder reads whole streams: it finds frames by their checked headers, verifies
-the CRC-8 of every header and the CRC-16 of every frame, decodes Rice residuals,
+the CRC-8 of every header and the CRC-16 of every frame (bytes inside a frame that
+look like the next header are passed over), decodes Rice residuals,
 restores constant, verbatim, fixed and linear predictors of one to eight channels
 (with left, right and middle/side pairs), and compares the MD5 of the samples with
 the stream's.  ``pcm_blocks`` writes a row of PCM for each frame with the offset of
@@ -283,15 +284,14 @@ def _frame_header(data: bytes, at: int, info: Info) -> tuple[int, int, int, int,
     return None if c else (number if h[1] == 0xF8 else -1, block, h[3] >> 4, depth, end + 1)
 
 
-def _frames(data: bytes, info: Info) -> list[tuple[int, int, int, int, int, int, int]]:
+Frame = tuple[int, int, int, int, int, int, int]
+
+
+def _frames(data: bytes, info: Info, checked: bool = False) -> list[Frame]:
     """(start, end, first sample, block size, channel code, bits, header size) of
-    each frame: the next frame starts where a header is valid and the bytes up to
-    it pass their CRC-16, which the caller checks for all frames at once."""
-    out, at, sample, head = [], info.frames_at, 0, _frame_header(data, info.frames_at, info)
-    if head is None:
-        if at == len(data) and not info.samples:
-            return []
-        raise ValueError("no frame after the metadata")
+    each frame: the next frame starts where a valid header carries the next number
+    and, with ``checked``, the bytes up to it pass their CRC-16."""
+    out, at, sample, head = [], info.frames_at, 0, _first_header(data, info)
     while head is not None:
         number, block, code, depth, size = head
         end, head = at + size, None
@@ -301,7 +301,7 @@ def _frames(data: bytes, info: Info) -> list[tuple[int, int, int, int, int, int,
                 end = len(data)
                 break
             if data[end + 1 : end + 2] in (b"\xf8", b"\xf9") and (after := _frame_header(data, end, info)) and after[0] in (number + 1, -1):
-                if after[0] == number + 1 or not int(crc16(np.frombuffer(data[at:end], np.uint8)[None])[0]):
+                if after[0] == number + 1 and not checked or not _crc16_of(data[at:end]):
                     head = after
                     break
             end += 1
@@ -310,6 +310,41 @@ def _frames(data: bytes, info: Info) -> list[tuple[int, int, int, int, int, int,
     return out
 
 
+def _walked(data: bytes, info: Info) -> list[Frame]:
+    """As ``_frames``, but each frame ends where its own samples do."""
+    out, at, sample, head = [], info.frames_at, 0, _first_header(data, info)
+    bits = _Bits(np.frombuffer(data, np.uint8))
+    while head is not None:
+        _, block, code, depth, size = head
+        row = np.array([(at, len(data), sample, block, code, depth, size)], np.int64)
+        end = int(_samples(bits, row)[1][0])
+        out.append((at, end, sample, block, code, depth, size))
+        at, sample = end, sample + block
+        head = _frame_header(data, at, info)
+    if at != len(data):
+        raise ValueError("no frame where one should start")
+    return out
+
+
+def _first_header(data: bytes, info: Info) -> tuple[int, int, int, int, int] | None:
+    head = _frame_header(data, info.frames_at, info)
+    if head is None and (info.frames_at != len(data) or info.samples):
+        raise ValueError("no frame after the metadata")
+    return head
+
+
+def _crc16_of(raw: bytes) -> int:
+    table, c = _crc_list(), 0
+    for b in raw:
+        c = table[c >> 8 ^ b] ^ (c << 8 & 0xFFFF)
+    return c
+
+
+@functools.cache
+def _crc_list() -> list[int]:
+    return _crc_table(0x8005, 16).tolist()
+
+
 class _Bits:
     """Reads bit fields at many places of one byte array."""
 
@@ -388,6 +423,8 @@ def _subframes(bits: _Bits, pos: np.ndarray, block: np.ndarray, depth: np.ndarra
         pos[on] += 6
         if (wide[on] > 5).any():
             raise ValueError("a reserved residual method")
+        if (block[on] >> parts[on] << parts[on] != block[on]).any() or (block[on] >> parts[on] < order[on]).any():
+            raise ValueError("partitions that don't fit the block")
     plain = np.flatnonzero(kind == 1)
     for size in np.unique(block[plain]):
         some = plain[block[plain] == size]
@@ -451,47 +488,49 @@ class Pcm:
     frames: list[tuple[int, int, int]]
 
 
-def decode(streams: list[bytes]) -> list[Pcm]:
-    """All samples of the streams, every checksum verified."""
-    infos = [stream_info(s) for s in streams]
-    found = [_frames(s, i) for s, i in zip(streams, infos, strict=True)]
+def _samples(bits: _Bits, rows: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Samples (samples, channels) of each frame, and the place after its CRC-16."""
+    start, _, _, block, code, depth, head = rows.T
+    channels = np.where(code < 8, code + 1, 2)
+    pos = (start + head) * 8
+    side = np.stack([code == 9, (code == 8) | (code == 10)], 1)  # channels with one bit more
+    got = np.zeros((len(pos), int(channels.max()), int(block.max())), np.int64)
+    for c in range(got.shape[1]):
+        on = np.flatnonzero(channels > c)
+        extra = side[on, c].astype(np.int64) if c < 2 else 0
+        x, pos[on] = _subframes(bits, pos[on], block[on], depth[on] + extra)
+        got[on, c, : x.shape[1]] = x
+    pair = got[:, :2]
+    left, right, middle = (np.flatnonzero(code == v) for v in (8, 9, 10))
+    if len(left):
+        pair[left, 1] = pair[left, 0] - pair[left, 1]
+    if len(right):
+        pair[right, 0] += pair[right, 1]
+    if len(middle):
+        m, d = pair[middle, 0] << 1 | pair[middle, 1] & 1, pair[middle, 1]
+        pair[middle, 0], pair[middle, 1] = (m + d) >> 1, (m - d) >> 1
+    return [got[i, : channels[i], : block[i]].T for i in range(len(pos))], (pos + 7 >> 3) + 2
+
+
+def _decoded_frames(streams: list[bytes], infos: list[Info], found: list[list[Frame]]) -> list[Pcm]:
     base = np.cumsum([0, *map(len, streams)])
     data = np.frombuffer(b"".join(streams), np.uint8)
     rows = np.array([(base[i] + f[0], base[i] + f[1], *f[2:]) for i, frames in enumerate(found) for f in frames], np.int64).reshape(-1, 7)
-    start, end, _, block, code, depth, head = rows.T
-    blocks: list[np.ndarray] = [None] * len(rows)
+    blocks: list[np.ndarray] = []
     bits = _Bits(data)
     for a in range(0, len(rows), 4096):
-        s = slice(a, a + 4096)
-        if crc16(_right_aligned(data, start[s], end[s])).any():
+        part = rows[a : a + 4096]
+        if crc16(_right_aligned(data, part[:, 0], part[:, 1])).any():
             raise ValueError("a frame fails its CRC-16")
-        channels = np.where(code[s] < 8, code[s] + 1, 2)
-        pos = (start[s] + head[s]) * 8
-        side = np.stack([code[s] == 9, (code[s] == 8) | (code[s] == 10)], 1)  # channels with one bit more
-        got = np.zeros((len(pos), int(channels.max()), int(block[s].max())), np.int64)
-        for c in range(got.shape[1]):
-            on = np.flatnonzero(channels > c)
-            extra = side[on, c].astype(np.int64) if c < 2 else 0
-            x, pos[on] = _subframes(bits, pos[on], block[s][on], depth[s][on] + extra)
-            got[on, c, : x.shape[1]] = x
-        if ((pos + 7 >> 3) + 2 != end[s]).any():
+        x, end = _samples(bits, part)
+        if (end != part[:, 1]).any():
             raise ValueError("a frame has bytes left over")
-        pair = got[:, :2]
-        left, right, middle = (np.flatnonzero(code[s] == v) for v in (8, 9, 10))
-        if len(left):
-            pair[left, 1] = pair[left, 0] - pair[left, 1]
-        if len(right):
-            pair[right, 0] += pair[right, 1]
-        if len(middle):
-            m, d = pair[middle, 0] << 1 | pair[middle, 1] & 1, pair[middle, 1]
-            pair[middle, 0], pair[middle, 1] = (m + d) >> 1, (m - d) >> 1
-        for i in range(len(pos)):
-            blocks[a + i] = got[i, : channels[i], : block[a + i]].T
+        blocks += x
     out, at = [], 0
     for info, frames in zip(infos, found, strict=True):
         own = blocks[at : at + len(frames)]
         at += len(frames)
-        x = np.concatenate(own) if own else np.zeros((0, info.channels), np.int64)
+        x = np.ascontiguousarray(np.concatenate(own)) if own else np.zeros((0, info.channels), np.int64)
         if info.samples and len(x) != info.samples:
             raise ValueError("samples are missing")
         wide = -(-info.bits // 8)
@@ -502,12 +541,31 @@ def decode(streams: list[bytes]) -> list[Pcm]:
     return out
 
 
+def decode(streams: list[bytes]) -> list[Pcm]:
+    """All samples of the streams, every checksum verified.  Frames are taken to end
+    at the first header with the next number; only a stream whose checksums deny that
+    is read again, first with a CRC-16 for each such header, then frame by frame."""
+    infos = [stream_info(s) for s in streams]
+    try:
+        return _decoded_frames(streams, infos, [_frames(s, i) for s, i in zip(streams, infos, strict=True)])
+    except ValueError:
+        if len(streams) > 1:
+            return [pcm for s in streams for pcm in decode([s])]
+    try:
+        return _decoded_frames(streams, infos, [_frames(streams[0], infos[0], checked=True)])
+    except ValueError as error:
+        try:
+            return _decoded_frames(streams, infos, [_walked(streams[0], infos[0])])
+        except ValueError:
+            raise error from None
+
+
 def pcm_bytes(x: np.ndarray, bits: int) -> bytes:
     """Samples as in a WAV file: unsigned to 8 bits, little-endian signed above."""
     if bits <= 8:
         return (x + 128).astype(np.uint8).tobytes()
     wide = -(-bits // 8)
-    return x.astype("<i8").view(np.uint8).reshape(*x.shape, 8)[..., :wide].tobytes()
+    return np.ascontiguousarray(x).astype("<i8").view(np.uint8).reshape(*x.shape, 8)[..., :wide].tobytes()
 
 
 # --- DataFrames ---------------------------------------------------------------
