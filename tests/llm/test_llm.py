@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -41,18 +43,72 @@ def test_period_keeps_windows():
                 assert (i - 1) * n // slots[s] <= t < -(-i * n // slots[s])
 
 
+def brute_edf(blocks, weights):
+    """(source, block, slot) slot by slot: of the released blocks the one that is
+    due first; phases begin anew where a source ends."""
+    left, done, slot, out = dict(blocks), Counter(), 0, []
+    while left:
+        total = sum(Fraction(str(weights[s])) for s in left)
+        w = {s: Fraction(str(weights[s])) / total for s in left}
+        start, served = slot, Counter()
+        while all(left.values()):
+            t = slot - start
+            due = {s: math.ceil((served[s] + 1) / w[s]) for s in left if math.floor(served[s] / w[s]) <= t}
+            s = min(due, key=lambda s: (due[s], s))
+            out.append((s, done[s], slot))
+            served[s] += 1
+            done[s] += 1
+            left[s] -= 1
+            slot += 1
+        left = {s: n for s, n in left.items() if n}
+    return out
+
+
+def planned(plan):
+    """(source, block, slot) of all blocks of a plan of phases."""
+    return sorted(((s, b, base + (b - first) // n * length + at[(b - first) % n]) for s, _, first, end, base, length, n, at in plan for b in range(first, end)), key=lambda x: x[2])
+
+
+def test_phases_are_edf_slot_by_slot():
+    for blocks, weights in (
+        ({"a": 5, "b": 40, "c": 17}, {"a": 0.2, "b": 0.5, "c": 0.3}),
+        ({"a": 30, "b": 1, "c": 90, "d": 7}, {"a": 0.31, "b": 0.01, "c": 0.67, "d": 0.01}),
+        ({f"s{i}": 3 + i * 5 for i in range(9)}, {f"s{i}": (i + 1) / 45 for i in range(9)}),
+    ):
+        shares = mixing.quanta(weights, 1000)
+        assert planned(mixing.phases(blocks, weights, 1000)) == brute_edf(blocks, shares)
+
+
+def test_shares_are_the_given_weights():
+    weights = {"big": 0.7, "middle": 0.29999, "rare": 0.00001}
+    blocks = {"big": 700_000, "middle": 299_990, "rare": 14}
+    got = mixing.phases(blocks, weights)
+    order = planned(got)
+    assert [x[2] for x in order] == list(range(sum(blocks.values())))
+    name = np.array([x[0] for x in order])
+    for p in range(got[-1][1] + 1):
+        rows = [x for x in got if x[1] == p]
+        low, high = rows[0][4], max(max(base + (b - first) // n * length + at[(b - first) % n] for b in (end - 1,)) for _, _, first, end, base, length, n, at in rows) + 1
+        total = sum(weights[x[0]] for x in rows)
+        for s in weights:
+            served = np.cumsum(name[low:high] == s)
+            assert np.abs(served - (weights[s] / total if s in {x[0] for x in rows} else 0) * np.arange(1, high - low + 1)).max() < 1
+    last = mixing.phases({"a": 4, "b": 3, "z": 5}, {"a": 0.5, "b": 0.5, "z": 0})
+    assert [s for s, _, _ in planned(last)][-5:] == ["z"] * 5
+
+
 def test_mix(spark, docs):
     out = mixing.mix(docs, block_rows=2, resolution=10)
     assert out.count() == docs.count() and set(docs.columns) < set(out.columns) and "mix_slot_1" in out.columns
     assert out.select("mix_position").distinct().count() == docs.count()
     big = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
     weights = {"hot": 0.1, **{f"s{i}": 0.9 / 7 for i in range(7)}}
-    got = mixing.mix(big, weights, block_rows=4, resolution=100).select("source", "mix_block", "mix_slot", "mix_phase").distinct().where("mix_phase = 0").orderBy("mix_slot").collect()
-    own, total = mixing.quanta(weights, 100), sum(mixing.quanta(weights, 100).values())
-    seen = Counter()
-    for t, r in enumerate(got, 1):
-        seen[r.source] += 1
-        assert all(abs(seen[s] - t * own[s] / total) < 1 for s in own)
+    got = mixing.mix(big, weights, block_rows=4, resolution=1000)
+    counts = {r.source: -(-r["count"] // 4) for r in big.groupBy("source").count().collect()}
+    blocks = got.select("source", "mix_block", "mix_slot").distinct().orderBy("mix_slot").collect()
+    assert [tuple(x) for x in blocks] == brute_edf(counts, mixing.quanta(weights, 1000))
+    first = got.where("mix_phase = 0")
+    assert first.where("mix_slot < mix_release OR mix_slot >= mix_deadline").count() == 0
     with pytest.raises(ValueError, match="no weight"):
         mixing.mix(big, {"hot": 1.0})
 

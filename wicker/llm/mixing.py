@@ -6,10 +6,13 @@ placed in each slot, always the released one with the earliest deadline.  With
 weights that sum to 1 no deadline is missed, so at any slot each source is less
 than one block away from its share.
 
-Weights are whole shares of a period of ``resolution`` slots or a few more.  A
-schedule repeats after each period, so only one period is worked out, on the
-driver, and every block finds its slot by arithmetic.  When a source ends, a new
-phase begins in which the others share its weight.  Every row is placed, once.
+Weights are exact: they become whole slots of a period, their common denominator.
+Only weights with no common denominator up to ``resolution`` are rounded, to whole
+slots of a period of that length (one slot at least).  A schedule repeats after each
+period, so at most one period is worked out, on the driver, and every block finds
+its slot by arithmetic.  When a source ends, a new phase begins in which the others
+share its weight.  Sources of weight 0 follow after all others, in equal shares.
+Every row is placed, once.
 
 A null source counts as the empty name.  Repeated rows and null ids are placed
 like any others; equal rows are interchangeable.  Texts aren't looked at.  Other
@@ -19,15 +22,19 @@ columns are kept, whatever their names.  An empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import small
 
-#: Slots of a period.
-RESOLUTION = 1000
+#: Slots of a period, at most.
+RESOLUTION = 1_000_000
 #: Rows of a block.
 BLOCK_ROWS = 16
 #: Rows that one task orders at once.
@@ -37,17 +44,24 @@ RUN = 4096
 
 
 def quanta(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
-    """Slots of each source in a period: largest remainders, one at least."""
-    total, period = sum(weights.values()), max(resolution, 4 * len(weights))
-    share = {s: max(1.0, w / total * period) for s, w in weights.items()}
-    out = {s: int(x) for s, x in share.items()}
-    for s in sorted(share, key=lambda s: (out[s] - share[s], s))[: max(0, period - sum(out.values()))]:
+    """Slots of each source in a period: exact shares if they have a common
+    denominator up to ``resolution``, else largest remainders, one at least."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total = sum(exact.values())
+    share = {s: w / total for s, w in exact.items()}
+    length = math.lcm(*(x.denominator for x in share.values()))
+    if length <= resolution:
+        return {s: int(x * length) for s, x in share.items()}
+    length = max(resolution, 4 * len(weights))
+    out = {s: max(1, int(x * length)) for s, x in share.items()}
+    for s in sorted(share, key=lambda s: (out[s] - share[s] * length, s))[: max(0, length - sum(out.values()))]:
         out[s] += 1
     return out
 
 
-def period(slots: dict[str, int]) -> dict[str, list[int]]:
-    """Pfair schedule of one period: the slots of each source, in order."""
+def period(slots: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
+    """Pfair schedule of one period: the slots of each source, in order.  With
+    ``left`` (blocks of each source) it stops where the first source ends."""
     length = sum(slots.values())
     waiting = [(0, -(-length // n), s, 1) for s, n in slots.items()]  # release, deadline, source, block
     heapq.heapify(waiting)
@@ -59,6 +73,8 @@ def period(slots: dict[str, int]) -> dict[str, list[int]]:
             heapq.heappush(ready, (due, s, i))
         _, s, i = heapq.heappop(ready)
         out[s].append(slot)
+        if left and i == left[s]:
+            break
         if i < slots[s]:
             heapq.heappush(waiting, (i * length // slots[s], -(-(i + 1) * length // slots[s]), s, i + 1))
     return out
@@ -66,18 +82,24 @@ def period(slots: dict[str, int]) -> dict[str, list[int]]:
 
 def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int = RESOLUTION) -> list[tuple]:
     """(source, phase, first block, end block, first slot, period, slots of the
-    source in a period): a row for each phase in which a source has blocks."""
+    source in a period, those worked out): a row for each phase in which a source
+    has blocks."""
     left = {s: n for s, n in blocks.items() if n}
+    named = {s: weights[s] for s in left if weights[s]}
+    shares = quanta(named, resolution) if named else {}
     done = dict.fromkeys(left, 0)
     base, out, number = 0, [], 0
     while left:
-        own = quanta({s: weights[s] for s in left}, resolution)
-        length, at = sum(own.values()), period(own)
-        end = min((n - 1) // own[s] * length + at[s][(n - 1) % own[s]] + 1 for s, n in left.items())
-        for s in sorted(left):
+        own = {s: shares[s] for s in left if s in shares} or dict.fromkeys(left, 1)
+        whole = math.gcd(*own.values())
+        own = {s: n // whole for s, n in own.items()}
+        length, at = sum(own.values()), period(own, left)
+        ends = [(left[s] - 1) // n * length + at[s][(left[s] - 1) % n] + 1 for s, n in own.items() if (left[s] - 1) % n < len(at[s])]
+        end = min(ends)
+        for s in sorted(own):
             served = end // length * own[s] + sum(x < end % length for x in at[s])
             if served:
-                out.append((s, number, done[s], done[s] + served, base, length, at[s]))
+                out.append((s, number, done[s], done[s] + served, base, length, own[s], at[s]))
             done[s] += served
             left[s] -= served
         left = {s: n for s, n in left.items() if n}
@@ -86,15 +108,18 @@ def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int =
 
 
 def tempered(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
-    """Weights that lean towards small sources: counts to a power."""
-    return {s: n**power for s, n in counts.items()}
+    """Weights that lean towards small sources: counts to a power, in millionths of
+    their sum (one at least)."""
+    raw = {s: n**power for s, n in counts.items()}
+    total = sum(raw.values())
+    return {s: max(1, round(1e6 * w / total)) / 1e6 for s, w in raw.items()}
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with mix_block (of its source), mix_phase, mix_release and
     mix_deadline (slots of the phase), mix_slot, mix_position (place in the mix,
     ascending with the slot); a name that ``docs`` has gets a number.  ``weights`` by source; without them, row counts to
-    ``power``.  Sources that ``weights`` doesn't name are an error."""
+    ``power``.  Sources that ``weights`` doesn't name, and negative weights, are an error."""
     taken = {c.lower() for c in docs.columns}
     own = lambda name: next(n for n in (name, *(f"{name}_{i}" for i in range(1, 1000))) if n.lower() not in taken)
     s, h, b, r, n = (own(f"mix__{x}") for x in "shbrn")
@@ -103,7 +128,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     keyed = docs.withColumn(s, F.coalesce(F.col(source).cast("string"), F.lit(""))).withColumn(h, F.xxhash64(doc_id))
     counts = {row[s]: row["count"] for row in keyed.groupBy(s).count().collect()}  # one row for each source
     weights = weights or tempered(counts, power)
-    if missing := [x for x in counts if not weights.get(x)]:
+    if missing := [x for x in counts if weights.get(x, -1) < 0]:
         raise ValueError(f"no weight for {missing[:5]}")
 
     # Number the rows of each source: order within buckets, then sums over buckets.
@@ -122,17 +147,19 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     placed = placed.withColumn(block, F.floor(F.col(r) / block_rows))
 
     plan = phases({x: -(-c // block_rows) for x, c in counts.items()}, weights, resolution)
-    table = spark.createDataFrame(plan, f"{s} string, {phase} int, {first} long, {end} long, {base} long, {length} long, {at} array<long>")
+    table = spark.createDataFrame([x[:7] for x in plan], f"{s} string, {phase} int, {first} long, {end} long, {base} long, {length} long, {n} long")
     inside = (placed[s] == table[s]) & (F.col(block) >= F.col(first)) & (F.col(block) < F.col(end))
-    out = placed.join(small(table), inside).drop(s)
-    i, size, p = F.col(block) - F.col(first), F.size(at).cast("long"), F.col(length)
-    slot = F.col(base) + F.floor(i / size) * p + F.element_at(at, (i % size + 1).cast("int"))
+    out = placed.join(small(table), inside).drop(table[s]).withColumn(b, F.col(block) - F.col(first)).withColumn(h, F.expr(f"{b} % {n}"))
+    size = [len(x[7]) for x in plan]
+    slots = {s: pa.array([x[0] for x in plan]).take(np.repeat(np.arange(len(plan)), size)), phase: pa.array(np.repeat([x[1] for x in plan], size), pa.int32()), h: pa.array(np.concatenate([np.arange(k) for k in size])), at: pa.array(np.concatenate([x[7] for x in plan]), pa.int64())}
+    out = out.join(small(spark.createDataFrame(pa.table(slots))), [s, phase, h])
+    slot = F.expr(f"{base} + {b} div {n} * {length} + {at}")
     return out.select(
         *docs.columns,
         F.col(block).alias(own("mix_block")),
         F.col(phase).alias(own("mix_phase")),
-        F.floor(i * p / size).alias(own("mix_release")),
-        F.ceil((i + 1) * p / size).alias(own("mix_deadline")),
+        F.expr(f"{b} * {length} div {n}").alias(own("mix_release")),
+        F.expr(f"(({b} + 1) * {length} + {n} - 1) div {n}").alias(own("mix_deadline")),
         slot.alias(own("mix_slot")),
         (slot * block_rows + F.col(r) % block_rows).alias(own("mix_position")),
     )
