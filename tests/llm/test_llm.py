@@ -293,18 +293,32 @@ def test_token_counts(docs, encoded, head, monkeypatch):
 @pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(64, 3, 64)])
 def test_packing(docs, encoded, limits):
     rows = packing.pack_documents(docs, VOCAB, limits, keep_ids=True).collect()
-    ids = Counter()
-    for _, _, x in encoded:
-        ids.update([*x, 1])
-    assert Counter(v for r in rows for v in r.ids) == ids
-    bins = defaultdict(list)
+    bins, pieces = defaultdict(list), defaultdict(list)
     for r in rows:
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length
         bins[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id, r.doc_tokens].append((r.start, tuple(r.ids)))
     for own in bins.values():
         own.sort()
         assert [a for a, _ in own] == list(np.cumsum([0] + [b for _, b in own[:-1]]))
-        assert sum(b for _, b in own) <= limits.tokens and len(own) <= max(limits.segments, 1)
+        total = sum(b for _, b in own)
+        assert total <= limits.tokens and len(own) <= max(limits.segments, 1) and (total == limits.tokens or not total & (total - 1))
+    # Every id of every document lies in one piece, at its place.
+    want = defaultdict(list)
+    for i, _, x in encoded:
+        want[i, len(x) + 1].append([*x, 1])
+    assert set(want) == set(pieces)
+    for k, docs_ in want.items():
+        for start, ids in pieces[k]:
+            assert any(tuple(d[start : start + len(ids)]) == ids for d in docs_)
+        assert Counter(x for start, ids in pieces[k] for x in zip(range(start, start + len(ids)), ids, strict=True)) == Counter(x for d in docs_ for x in enumerate(d))
+
+
+def test_short_documents_leave_no_padding(spark):
+    df = spark.createDataFrame([(i, "one two three four"[: 4 + 5 * (i % 3)]) for i in range(3000)], "doc_id long, text string").repartition(2)
+    rows = packing.pack_documents(df, VOCAB, packing.Limits()).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k")).collect()
+    assert max(r.k for r in rows) > 100 and max(r.k for r in rows) <= 128
+    assert all(not r.n & (r.n - 1) for r in rows)
 
 
 def test_pack_examples(spark):
@@ -313,8 +327,35 @@ def test_pack_examples(spark):
     df = spark.createDataFrame(rows, "k long, t long, l long")
     got = packing.pack_examples(df, packing.Limits(512, 4, 400), "k", "t", "l").join(df, "k").groupBy("sequence_id").agg(F.sum("t").alias("t"), F.count("*").alias("n"), F.sum("l").alias("l"))
     assert got.agg(F.sum("n")).first()[0] == 600 and got.where("t > 512 OR n > 4 OR l > 400").count() == 0
-    with pytest.raises(Exception, match="over the limits"):
-        packing.pack_examples(df, packing.Limits(100, 4, 100), "k", "t", "l").collect()
+    over = packing.pack_examples(df, packing.Limits(100, 4, 100), "k", "t", "l").join(df, "k").groupBy("sequence_id").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
+    assert over.agg(F.sum("n")).first()[0] == 600 and over.where("t > 100 AND n > 1").count() == 0
+
+
+def test_conversations_under_three_limits(spark):
+    rng = np.random.default_rng(15)
+    turns = [(c, t, "assistant" if t % 2 else "user", "wort " * int(rng.integers(0, 60))) for c in range(300) for t in range(int(rng.integers(1, 7)))] + [(None, 0, None, None)]
+    tok, want = Tokenizer.from_file(VOCAB), defaultdict(lambda: [0, 0])
+    for c, _, role, text in turns:
+        n = len(tok.encode(text or "", add_special_tokens=False).ids) + 1
+        want[c][0] += n
+        want[c][1] += n * (role == "assistant")
+    examples = packing.conversation_examples(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), VOCAB)
+    same(examples, [(c, *x) for c, x in want.items()], ["conv_id", "tokens", "loss"])
+    limits = packing.Limits(512, 8, 300)
+    rows = packing.pack_examples(examples.coalesce(1), limits, "conv_id", "tokens", "loss").collect()
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length, want[r.conv_id]))
+    assert Counter(r.conv_id for r in rows) == Counter(list(want))
+    tight = [0, 0, 0]
+    for own in bins.values():
+        own.sort(key=lambda x: x[0])
+        assert [x[0] for x in own] == list(np.cumsum([0] + [x[1] for x in own[:-1]]))
+        sums = sum(x[1] for x in own), len(own), sum(x[2][1] for x in own)
+        assert len(own) == 1 or all(a <= b for a, b in zip(sums, (512, 8, 300), strict=True))
+        for k, (a, b) in enumerate(zip(sums, (512, 8, 300), strict=True)):
+            tight[k] += a > 0.95 * b
+    assert min(tight) > 0 and sum(x for x, _ in want.values()) / (512 * len(bins)) > 0.8
 
 
 # --- 4 ---------------------------------------------------------------------------

@@ -8,8 +8,10 @@ the largest dot product is cut so that its head fills the room.  Pieces wait in
 pool of bounded size, so a task's memory doesn't grow with its input, and no data
 move between tasks: each task packs the rows of its own partition.
 
-What the last sequence of a task holds is cut at powers of two, since a sequence
-whose length is a power of two needs no padding.
+What a sequence holds that another limit than that of tokens has closed (as for very
+short documents), or that is a task's last, is cut at powers of two, since a sequence
+whose length is a power of two needs no padding.  Whole examples are never cut; one
+that is over a limit has a sequence of its own.
 
 Null texts count as empty (the end token alone).  Repeated rows and repeated or
 null ids are packed like any others.  Very long texts are cut into full sequences
@@ -63,7 +65,8 @@ class VectorPacker:
 
     def add(self, key: int, tokens: int, loss: int, start: int = 0) -> Iterator[list[tuple[int, int, int]]]:
         if not self.cut and (tokens > self.limits.tokens or loss > self.limits.loss):
-            raise ValueError(f"an example of {tokens} tokens, {loss} with loss, is over the limits")
+            yield [(key, start, tokens)]
+            return
         if tokens > self.limits.tokens or loss > self.limits.loss:  # full sequences first
             size = min(self.limits.tokens, tokens * self.limits.loss // max(loss, 1))
             while tokens > size:
@@ -130,8 +133,8 @@ def powers_of_two(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int
 
 def pack_examples(examples: DataFrame, limits: Limits, key: str, tokens: str, loss: str) -> DataFrame:
     """Whole examples, such as instruction data, under all limits at once: key,
-    sequence_id, offset, length of each.  Null counts are zero; an example over a
-    limit is an error.  No example is cut."""
+    sequence_id, offset, length of each.  Null counts are zero.  No example is cut;
+    one over a limit is alone in its sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, held, number = VectorPacker(limits, cut=False), {}, _first_sequence()
@@ -200,6 +203,23 @@ class Encoder:
         return [np.concatenate(x) for x in out]
 
 
+def conversation_examples(turns: DataFrame, vocab: str, end_id: int = 1, conversation: str = "conv_id", role: str = "role", text: str = "text", learned: str = "assistant") -> DataFrame:
+    """conversation, tokens, loss of each conversation: the tokens of its turns with
+    an end token each; those of the role ``learned`` bear loss.  Null texts are
+    empty; turns without a conversation make up one example."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(vocab))
+        for batch in steps(batches):
+            size = [len(x) + 1 for x in encoder.encode(batch.column(1).to_pylist())]
+            loss = [n if own else 0 for n, own in zip(size, batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(loss, pa.int64())], ["key", "tokens", "loss"])
+
+    source = turns.select(F.col(conversation).cast("long").alias("key"), text_of(text).alias("text"), F.col(role).eqNullSafe(learned).alias("own"))
+    each = source.mapInArrow(run, "key long, tokens long, loss long").groupBy("key").agg(F.sum("tokens").alias("tokens"), F.sum("loss").alias("loss"))
+    return each.withColumnRenamed("key", conversation)
+
+
 def pack_documents(docs: DataFrame, vocab: str, limits: Limits, end_id: int = 1, text: str = "text", doc_id: str = "doc_id", keep_ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset and, with ``keep_ids``, its ids.  Every token bears loss."""
@@ -231,23 +251,24 @@ def pack_documents(docs: DataFrame, vocab: str, limits: Limits, end_id: int = 1,
                 arrays.append(pa.array([c.astype(np.int32) for c in columns[7]], pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        last: list[tuple[int, int, int]] = []
+        def placed(bin_: list[tuple[int, int, int]]) -> None:
+            if sum(size for _, _, size in bin_) == limits.tokens:
+                place(bin_)
+            else:
+                for part in powers_of_two(bin_):
+                    place(part)
+
         for batch in steps(batches):
             for id_, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 held[key] = [id_, ids, len(ids)]
                 for bin_ in packer.add(key, len(ids), len(ids)):
-                    place(bin_)
+                    placed(bin_)
                 key += 1
             if rows:
                 yield flushed()
         for bin_ in packer.finish():
-            if packer.n:
-                place(bin_)
-            else:
-                last = bin_
-        for bin_ in powers_of_two(last):
-            place(bin_)
+            placed(bin_)
         if rows:
             yield flushed()
 

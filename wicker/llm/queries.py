@@ -38,6 +38,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), packing.Limits())
 
 
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations as instruction data: all three limits bind."""
+    vocab = public_tokenizers.path("byte_bpe_50k.json")
+    examples = packing.conversation_examples(spark.read.parquet(f"{sf_dir}/conversations.parquet"), vocab)
+    return packing.pack_examples(examples, packing.Limits(8192, 8, 6144), "conv_id", "tokens", "loss")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
@@ -55,5 +62,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
