@@ -624,6 +624,61 @@ def test_template_automaton():
     assert run("granted to for use") < 1 and run("granted to a b c for use") < 1 and run("granted to you for some use") == 0.75
 
 
+def pattern_of(markup):
+    """The same template as an expression over `` w0 w1 ... ``."""
+    out = []
+    for part in re.split(r"(<<[^>]*>>)", markup):
+        if part == "<<beginOptional>>":
+            out.append("(?:")
+        elif part == "<<endOptional>>":
+            out.append(")?")
+        elif part.startswith("<<var"):
+            out.append("(?: [^ ]+){%s,%s}" % tuple(re.findall(r"\d+", part)))
+        elif part.startswith("<<alt;"):
+            out.append("(?:" + "|".join("".join(f" {w.decode()}" for w in license_scan.words_of(x)) for x in part[6:-2].split("|")) + ")")
+        else:
+            out += [f" {w.decode()}" for w in license_scan.words_of(part)]
+    return re.compile("".join(out) + "(?= |$)")
+
+
+def drawn(markup, rng):
+    """A text that the template accepts."""
+    markup = re.sub(r"<<alt;([^>]*)>>", lambda m: f" {rng.choice(m[1].split('|'))} ", markup)
+    markup = re.sub(r"<<var;words=(\d+)-(\d+)>>", lambda m: " " + "Acme " * int(rng.integers(int(m[1]), int(m[2]) + 1)), markup)
+    while "<<beginOptional>>" in markup:
+        markup = re.sub(r"<<beginOptional>>((?:(?!<<).)*)<<endOptional>>", lambda m: m[1] if rng.random() < 0.5 else " ", markup, count=1, flags=re.S)
+    return markup
+
+
+def test_own_labels_against_expressions(spark):
+    rng = np.random.default_rng(17)
+    texts = []
+    for markup in license_scan.TEMPLATES.values():
+        for k in range(8):
+            words = ("Vor dem Text. " + drawn(markup, rng) + " und danach").split()
+            at = int(rng.integers(3, len(words) - 2))
+            if k > 3:  # one word lost, changed, doubled or put in
+                words[at : at + 1] = ([], ["anders"], [words[at]] * 2, [words[at], "zwischen"])[k - 4]
+            texts.append(" ".join(words))
+    texts += [texts[0] + " " + texts[9], "released released into the public domain", "CC0", "Copyright " * 30 + "All rights reserved"]
+    patterns = {label: pattern_of(m) for label, m in license_scan.TEMPLATES.items()}
+    want, hits = [], Counter()
+    for i, t in enumerate(texts):
+        joined = "".join(f" {w.decode()}" for w in license_scan.words_of(t))
+        labels = {label for label, p in patterns.items() if p.search(joined)}
+        hits.update(labels)
+        labels |= {label for phrase, label in license_scan.PHRASES.items() if f" {phrase} " in joined + " "}
+        want.append((i, ",".join(sorted(labels))))
+    assert set(hits) == set(patterns) and sum(hits.values()) < len(texts)
+    same(license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), want, ["doc_id", "labels"])
+    full = license_scan.compile_template(license_scan.TEMPLATES["mit"])
+    first = license_scan.words_of("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files")
+    assert 0 < full.run(first, 0) < 0.2
+    for bad in ("<<var;words=1-2>> is", "<<beginOptional>>a<<endOptional>>"):
+        with pytest.raises(ValueError, match="a template"):
+            license_scan.compile_template(bad)
+
+
 # --- all -------------------------------------------------------------------------
 
 
