@@ -462,6 +462,7 @@ def brute_repeats(texts, span=200):
 @pytest.mark.parametrize("chunk", [2048, 3])
 def test_suffix_dedup(spark, docs, given, chunk, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(suffix_dedup, "HOT", chunk)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     same(suffix_dedup.remove_repeats(docs), [(i, *x) for (i, _), x in zip(given, brute_repeats([t for _, t in given]), strict=True)], columns)
     rng = np.random.default_rng(4)
