@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -531,11 +532,68 @@ def test_field_learns_new_forms(spark):
     assert [tuple(x) for x in tagger.spans('the token "9f86d081884c7d659a2f" and')] and not tagger.spans("the river and 1234567 green")
 
 
+HELD_OUT_KEYS = ("signing key", "client credential", "auth code", "pw", "passcode", "Login pin", "my passphrase", "service account pass", "api auth", "wifi pwd")
+HELD_OUT_TIES = (" -> {}", " := {}", " ({})", " equals {}", ": <{}>", " | {} |", " - {}")
+
+
+def test_field_finds_forms_that_nothing_spells_out(spark):
+    """Held-out credential words and ties: recall, and false finds on clean texts."""
+    rng = np.random.default_rng(19)
+    syllables = "la ver den oi tion ness gra pol mi tar ek sun wei fol bra ter".split()
+    prose = lambda n: " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) + ("." if rng.random() < 0.1 else "") for _ in range(n))
+    hexes = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    rows = [(prose(60) + f' token = "{hexes(40)}" ' * (i % 3 == 0) + prose(30),) for i in range(400)]
+    tagger = secret_scan.Tagger(secret_scan.fit(spark.createDataFrame(rows, "text string")))
+    caught = whole = wrong = 0
+    for _ in range(300):
+        text, a, b = secret_scan.planted(prose(80), rng, True, HELD_OUT_KEYS, HELD_OUT_TIES)
+        if any(x <= a and b <= y for x, _, y in secret_scan.base_spans(text)):
+            continue
+        whole += 1
+        covered = {i for x, _, y in secret_scan.all_spans(text, tagger)[1] for i in range(x, y)}
+        caught += covered >= set(range(a, b))
+        wrong += bool(covered - set(range(a - 2, b + 2)))
+    assert whole > 250 and caught >= 0.9 * whole and wrong <= 0.03 * whole
+    assert sum(bool(tagger.spans(prose(100))) for _ in range(500)) <= 2
+    decoys = [secret_scan.planted(prose(80), rng, False, HELD_OUT_KEYS, HELD_OUT_TIES)[0] for _ in range(300)]
+    assert sum(bool(tagger.spans(t)) for t in decoys) <= 0.3 * len(decoys)
+
+
+def brute_field(field, tokens_slots, tags):
+    """Log likelihood of tags by summing over all of them."""
+    emit = field.weight[tokens_slots].sum(1)
+    score = lambda y: sum(emit[i, t] for i, t in enumerate(y)) + sum(field.move[a, b] for a, b in zip(y, y[1:], strict=False))
+    every = [score(y) for y in itertools.product(range(3), repeat=len(emit))]
+    top = max(every)
+    return score(tags) - top - math.log(sum(math.exp(x - top) for x in every))
+
+
+def test_training_climbs_the_likelihood(monkeypatch):
+    rng = np.random.default_rng(20)
+    slots, tags = rng.integers(0, 40, (6, 4, 3)), rng.integers(0, 3, (6, 4))
+    total = []
+    for rounds in (1, 5, 25, 100):
+        monkeypatch.setattr(secret_scan, "ROUNDS", rounds)
+        field = secret_scan.train(slots, tags, np.ones(6))
+        total.append(sum(brute_field(field, s, t.tolist()) for s, t in zip(slots, tags, strict=True)))
+    assert total == sorted(total) and total[-1] > total[0] + 2
+    # One step from zero goes along the gradient by differences.
+    monkeypatch.setattr(secret_scan, "ROUNDS", 1)
+    field = secret_scan.train(slots, tags, np.ones(6))
+    zero = secret_scan.Field(np.zeros_like(field.weight), np.zeros((3, 3)))
+    for f in np.unique(slots)[:10]:
+        for y in range(3):
+            moved = secret_scan.Field(zero.weight.copy(), zero.move)
+            moved.weight[f, y] = 1e-4
+            slope = sum(brute_field(moved, s, t.tolist()) - brute_field(zero, s, t.tolist()) for s, t in zip(slots, tags, strict=True)) / 1e-4
+            assert abs(slope) < 1e-3 or np.sign(slope) == np.sign(field.weight[f, y])
+
+
 def test_secrets_without_a_word_for_them(spark):
     words = "the river and then a stone under green paper, over light. "
     clean = [(i, words * (i + 1)) for i in range(5)]
     df = spark.createDataFrame([*clean, (5, ""), (6, None), (7, "one")], "doc_id long, text string")
-    assert not secret_scan.fit(df).trained
+    assert not secret_scan.fit(df.where("text IS NULL OR text = ''")).trained
     assert secret_scan.scan_secrets(df).where("n_spans > 0 OR spans <> ''").count() == 0
     assert {r.doc_id: r.text for r in secret_scan.redact(df).collect()} == {r.doc_id: r.text for r in df.collect()}
     found = [words + "0123456789abcdef01234567 " + words, words + "PASSWORD=HUNTER2HUNTER2 " + words, words + "TOKEN: ABCDEFGH12 " + words]

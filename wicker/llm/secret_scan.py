@@ -3,9 +3,12 @@
 Rules find the plain cases.  Beside them a CRF tags every token of a text as the
 beginning of a secret, inside one, or outside, from the token's shape, the words
 around it and features of the whole text; Viterbi decoding picks the best tags.
-The field is trained on the rules' own finds in at most ``TRAIN_TEXTS`` texts, with
-the secret's letters hidden behind their shape, so that it generalises from the
-context and the shape to secrets that no rule spells out.
+The field is trained on windows of the corpus: the rules' own finds, and secrets in
+other forms that are planted into its texts (other credential words, other ways to
+tie a value to them, other kinds of values), beside decoys that look alike (the same
+words before plain ones, dates, numbers, names).  Secrets' letters are hidden behind
+their shape and credential words share a feature, so that the field generalises from
+the context and the shape to forms that neither a rule nor a planted one spells out.
 
 A token whose margin for "outside" is larger than any change of transitions could
 make up for is outside in every best path.  The chain is cut at such tokens, which
@@ -13,8 +16,8 @@ changes no result, and only the short stretches between them are decoded.
 
 Null and empty texts have no spans.  Repeated rows get equal results.  Very long
 texts are scanned whole.  Spans count code points.  Other columns are kept by
-``redact``, whatever their names.  An empty table gives no rows; without a
-find of the rules in any text, the field adds nothing.
+``redact``, whatever their names.  An empty table gives no rows; without any text
+with a word, the field adds nothing.
 """
 
 from __future__ import annotations
@@ -38,18 +41,28 @@ KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-TOKEN = re.compile(r"[\w+/.=-]+|[^\w\s+/.=-]+")
-#: Words that are told apart; of others only the shape counts.
-CONTEXT = frozenset("access account api apikey auth authorization aws basic bearer client credential credentials id is key login pass passphrase passwd password private pwd pw secret signing session token user was with".split())
+TOKEN = re.compile(r"[\w+/.-]+=*|[^\w\s+/.-]+")
+#: Words that are told apart, those for credentials and others near
+#: them; of all other words only the shape counts.
+CREDENTIALS = frozenset("apikey auth authorization bearer credential credentials key passcode passphrase passwd password pass pin private pwd pw secret signing token".split())
+CONTEXT = CREDENTIALS | frozenset("access account api aws basic client id is login session user was with".split())
+#: What is planted for training.  Credential words, what ties a value
+#: to them, and words and values that are no secrets.
+KEYS = ("pwd", "Pwd", "pass", "passphrase", "password", "Password", "PASSWD", "secret", "token", "api key", "API key", "access key", "private key", "credential", "credentials", "session key", "bearer", "Bearer", "user pwd", "SECRET_KEY", "db_pass", "auth_token", "accessKey")
+TIES = (" = {}", "={}", ": {}", ":{}", " {}", " is {}", " => {}", ' = "{}"', "='{}'", ': "{}"', " '{}'", " was {}", " set to {}", " `{}`", "[{}]", " [{}]", ": ({})", " <{}>", " / {}", "... {}", " ~ {} ~")
+OTHERS = ("commit", "version", "order", "file", "id", "etag", "build", "size", "date", "model", "page", "user", "account", "number", "client", "session", "ticket", "die", "le", "el")
+PLAIN = ("required", "expired", "invalid", "below", "none", "changed", "management", "reset", "policy", "holder", "length", "field", "optional", "encrypted", "stored", "rotation", "your_password_here", "the", "and", "of", "not", "two", "see")
 #: Of every text in which a rule matches, lower case has one of these,
 #: it has AKIA, or the rule is the one for hex.
 WORDS = ("passw", "secret", "token", "api")
-#: Texts with a find of the rules, and as many without, that the field is trained on.
-TRAIN_TEXTS = 400
+#: Texts with a find of the rules, and as many without, that the field is trained on,
+#: and secrets and decoys planted into each.
+TRAIN_TEXTS = 300
+PLANTED, DECOYS = 3, 6
 SEGMENT = 16
 FEATURES = 1 << 13
-#: Features of a token: five of its own, of three neighbours each, two of the text.
-WIDTH = 22
+#: Features of a token: six of its own, of three neighbours each, two of the text.
+WIDTH = 26
 ROUNDS, RATE = 40, 0.2
 REMEMBERED = 1 << 20
 B, I, O = 0, 1, 2
@@ -92,22 +105,27 @@ def _features(shape: str) -> dict[str, tuple[int, ...]]:
 def shape_of(token: str) -> str:
     """The features of a token, tab-separated: a short word's letters; of others
     the classes of characters, the length and how mixed they are."""
-    if token.isalpha():
-        low = token.lower()
-        case = "lower" if token == low else "upper" if token.isupper() else "title" if token.istitle() else "mixed"
+    core = token.rstrip("=")
+    tied = "" if core == token or not core else "\ttied"
+    if core.isalpha():
+        low = core.lower()
+        case = "lower" if core == low else "upper" if core.isupper() else "title" if core.istitle() else "mixed"
         word = f"w={low}" if low in CONTEXT else "w=other"
-        return f"letters {case}\tsize={_size(len(token))}\t{word}"
-    if "_" in token and (named := [w for w in token.lower().split("_") if w in CONTEXT]):
-        return f"name\tsize={_size(len(token))}\tw={named[-1]}"
+        kin = "credential" if low in CREDENTIALS else "near" if low in CONTEXT else "plain"
+        return f"letters {case}\tsize={_size(len(core))}\t{word}\t{kin}{tied}"
+    named = [w for w in re.split(r"[_.-]", re.sub(r"(?<=[a-z])(?=[A-Z])", "_", core).lower()) if w in CONTEXT] if len(core) < 32 else []
+    if named and not any(c.isdigit() for c in core):
+        kin = "credential" if CREDENTIALS & set(named) else "near"
+        return f"name\tsize={_size(len(core))}\tw={named[-1]}\t{kin}{tied}"
     if not any(c.isalnum() for c in token):
         return f"marks\tm={token[:3]}"
-    runs = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", token)))
+    runs = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", core)))
     flat = "".join(sorted(set(runs)))[:6]
-    count = Counter(token)
-    entropy = -sum(n / len(token) * math.log2(n / len(token)) for n in count.values())
-    changes = len(re.findall(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]", token))
-    hexes = "hex" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", token) else "not hex"
-    return f"kind={flat}\tsize={_size(len(token))}\tentropy={round(entropy * 2)}\tchanges={_size(changes)}\t{hexes} {_size(len(token))}"
+    count = Counter(core)
+    entropy = -sum(n / len(core) * math.log2(n / len(core)) for n in count.values())
+    changes = len(re.findall(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]|(?<=[a-z])[A-Z]", core))
+    hexes = "hex" if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", core) else "not hex"
+    return f"kind={flat}\tsize={_size(len(core))}\tentropy={round(entropy * 2)}\tchanges={_size(changes)}\t{hexes} {_size(len(core))}{tied}"
 
 
 def text_features(tokens: list[str]) -> tuple[int, ...]:
@@ -255,41 +273,112 @@ class Tagger:
         return [(at[i][0], at[j - 1][1]) for i, j in found]
 
 
-def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training segments around the rules' finds, and one elsewhere in each text."""
+def secret_value(rng: np.random.Generator) -> str:
+    """A random secret of one of several kinds."""
+    draw = lambda letters, low, high: "".join(rng.choice(list(letters), int(rng.integers(low, high + 1))))
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kind = int(rng.integers(9))
+    if kind == 0:
+        return draw(upper + lower + digits + "+/", 18, 48) + "=" * int(rng.integers(3))
+    if kind == 1:
+        return draw(digits + "ABCDEF", 12, 48)
+    if kind == 2:
+        return draw(digits + "abcdef", 10, 23)
+    if kind == 3:
+        return draw(lower, 2, 3) + "_" + draw(upper + lower + digits, 14, 40)
+    if kind == 4:  # a password with marks inside
+        return draw(upper + lower, 3, 7) + draw("!@#$%&*", 1, 2) + draw(lower + digits, 2, 5) + draw(digits, 1, 3)
+    if kind == 5:
+        return ".".join(draw(upper + lower + digits + "_-", 8, 24) for _ in range(3))
+    if kind == 6:
+        return "-".join(draw(digits + "abcdef", n, n) for n in (8, 4, 4, 4, 12))
+    if kind == 7:
+        return draw(lower, 3, 8) + draw(digits, 2, 4) + draw(lower + digits, 2, 8)
+    return draw(upper + lower + digits, 10, 40)
+
+
+def _plain_value(rng: np.random.Generator, words: list[str]) -> str:
+    """What may stand where a secret could, and is none."""
+    n = lambda low, high: int(rng.integers(low, high))
+    kinds = (
+        lambda: str(rng.choice(words)), lambda: str(rng.choice(PLAIN)), lambda: str(n(0, 10 ** n(1, 17))), lambda: f"{n(1990, 2031)}-{n(1, 13):02}-{n(1, 29):02}", lambda: f"{n(0, 256)}.{n(0, 256)}.{n(0, 256)}.{n(0, 256)}",
+        lambda: f"v{n(0, 20)}.{n(0, 20)}.{n(0, 99)}", lambda: f"{rng.choice(words)}.{n(0, 100)}@mail{n(0, 10)}.example.com", lambda: f"+{n(10, 99)} {n(100, 999)} {n(10**5, 10**7)}", lambda: f"IMG_{n(2000, 2031)}{n(10, 13)}{n(10, 29)}.jpg", lambda: f"{n(1, 500)}kg", lambda: f"{rng.choice(words)}_{rng.choice(words)}", lambda: f"{n(0, 24):02}:{n(0, 60):02}",
+        lambda: str(rng.choice(words))[:2].upper() + str(rng.choice(words)), lambda: str(rng.choice(words)) + str(rng.choice(words)).title(), lambda: f"{rng.choice(words)}{n(0, 100)}", lambda: f"{rng.choice(words).upper()}_{rng.choice(words).upper()}",
+    )
+    return kinds[n(0, len(kinds))]()
+
+
+def planted(text: str, rng: np.random.Generator, secret: bool, keys: tuple[str, ...] = KEYS, ties: tuple[str, ...] = TIES) -> tuple[str, int, int]:
+    """``text`` with a secret, or with a decoy, put in between two words, and the
+    span of its value."""
+    words = [w for w in re.findall(r"[^\W\d_]+", text[:4000]) if w.lower() not in CONTEXT] or list(PLAIN)
+    tie = str(rng.choice(ties))
+    if secret:
+        key, value = str(rng.choice(keys)), secret_value(rng)
+    else:
+        kind = int(rng.integers(4))
+        key, value = str(rng.choice(keys if kind < 2 else OTHERS)), _plain_value(rng, words)
+        if kind == 3:
+            key, tie = "", "{}"
+        elif key in OTHERS and rng.random() < 0.2:
+            value = "".join(rng.choice(list("0123456789abcdef"), int(rng.integers(7, 20))))
+    before, after = (key + tie).split("{}")
+    gaps = [m.end() for m in re.finditer(r"\s+", text)] or [0]
+    at = int(rng.choice(gaps))
+    lead = text[:at] + before
+    return f"{lead}{value}{after} {text[at:]}", len(lead), len(lead) + len(value)
+
+
+def value_spans(text: str) -> list[tuple[int, int]]:
+    """What is secret in the rules' finds."""
+    return [(ASSIGN.match(text, a).start(2) if kind == 0 else a, b) for a, kind, b in base_spans(text)]
+
+
+def _windows(text: str, spans: list[tuple[int, int]], centres: list[int], slots: list, tags: list) -> None:
+    """Windows around places of a text, with the features and tags of their tokens."""
+    at = [m.span() for m in TOKEN.finditer(text)]
+    tokens = [text[a:b] for a, b in at]
+    whole = text_features(tokens)
+    tag = np.full(max(len(at), SEGMENT), O)
+    starts = np.array([a for a, _ in at])
+    for a, b in spans:
+        i, j = max(0, int(np.searchsorted(starts, a, "right")) - 1), int(np.searchsorted(starts, b, "left"))
+        tag[i] = B
+        tag[i + 1 : j] = I
+    shapes: dict[int, dict] = {}
+
+    def pick(k: int, role: str) -> tuple[int, ...]:
+        if not 0 <= k < len(tokens):
+            return ()
+        if k not in shapes:
+            shapes[k] = _features(shape_of(tokens[k]))
+        return shapes[k][role]
+
+    for c in centres:
+        i = max(0, int(np.searchsorted(starts, c, "right")) - 1)
+        s = max(0, min(i - SEGMENT // 2, len(tokens) - SEGMENT))
+        slots.append([pick(k, "own") + pick(k + 1, "next") + pick(k - 1, "last") + pick(k - 2, "before") + whole for k in range(s, s + SEGMENT)])
+        tags.append(tag[s : s + SEGMENT])
+
+
+def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Training windows of texts: around the rules' finds (three at most), two
+    anywhere, and around what is planted."""
     slots, tags = [], []
     for text in texts:
-        tokens = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(text)]
-        if len(tokens) < SEGMENT:
-            tokens += [("", len(text), len(text))] * (SEGMENT - len(tokens))
-        tag = np.full(len(tokens), O)
-        starts = np.array([t[1] for t in tokens])
-        centres = [int(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % len(tokens)]
-        for a, kind, b in base_spans(text):
-            if kind == 0:
-                m = ASSIGN.match(text, a)
-                a = m.start(2)
-            i, j = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b, "left"))
-            tag[i] = B
-            tag[i + 1 : j] = I
-            centres.append(i)
-        shapes = [_features(shape_of(t[0])) if t[0] else _features("") for t in tokens]
-        whole = text_features([t[0] for t in tokens if t[0]])
-        for c in sorted(set(centres))[:4]:
-            s = max(0, min(c - SEGMENT // 2, len(tokens) - SEGMENT))
-            rows = []
-            for i in range(s, s + SEGMENT):
-                pick = lambda k, role: shapes[k][role] if 0 <= k < len(tokens) else ()
-                rows.append((pick(i, "own") + pick(i + 1, "next") + pick(i - 1, "last") + pick(i - 2, "before") + whole))
-            slots.append(rows)
-            tags.append(tag[s : s + SEGMENT])
-    width = max(len(r) for rows in slots for r in rows)
-    pad = _slot("pad")
-    out = np.full((len(slots), SEGMENT, width), pad, np.int64)
+        if not TOKEN.search(text):
+            continue
+        rng = np.random.default_rng(int(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16))
+        own = value_spans(text)
+        _windows(text, own, [a for a, _ in own[:3]] + rng.integers(0, len(text), 2).tolist(), slots, tags)
+        for k in range(PLANTED + DECOYS):
+            new, a, b = planted(text[:20000], rng, secret=k < PLANTED)
+            _windows(new, value_spans(new) + [(a, b)] * (k < PLANTED), [a], slots, tags)
+    out = np.full((len(slots), SEGMENT, WIDTH), _slot("pad"), np.int64)
     for a, rows in enumerate(slots):
         for b, r in enumerate(rows):
             out[a, b, : len(r)] = r
-    return out, np.array(tags), np.ones(len(slots))
+    return out, np.array(tags).reshape(-1, SEGMENT)
 
 
 def rule_matches(t: Column) -> Column:
@@ -303,32 +392,31 @@ def rule_matches(t: Column) -> Column:
 
 
 def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
-    """A field trained on the rules' finds in at most ``texts`` texts that have one
-    and as many others, chosen by hash; of each text at most 4 windows of its
-    tokens come to the driver.  Without finds, a field that adds nothing."""
+    """A field trained on windows of at most ``texts`` texts in which a rule matches
+    and as many others, chosen by hash; of each text at most 5 windows and
+    ``PLANTED`` + ``DECOYS`` with something planted come to the driver.  Without any text, a
+    field that adds nothing."""
     t = text_of(text)
     hit = rule_matches(t)
     # The hashes of both samples first, so that texts don't take part in the sort.
     chosen = docs.select(t.alias("text"), hit.alias("hit"), F.xxhash64(t).alias("h"))
     keys = cut(chosen.select("hit", "h").distinct())
     most = {side: keys.where(F.col("hit") == side).orderBy("h").limit(texts).agg(F.max("h")).first()[0] for side in (True, False)}
-    nothing = Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
-    if most[True] is None:
-        return nothing
     least = -(1 << 63)
-    inside = F.col("h") <= F.when(F.col("hit"), most[True]).otherwise(least if most[False] is None else most[False])
+    inside = F.col("h") <= F.when(F.col("hit"), least if most[True] is None else most[True]).otherwise(least if most[False] is None else most[False])
 
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        slots, tags, _ = _segments(batch.column(0).to_pylist())
-        slots = np.pad(slots, ((0, 0), (0, 0), (0, max(0, WIDTH - slots.shape[2]))), constant_values=_slot("pad"))
-        raw = [s.astype(np.int16).tobytes() for s in slots]
-        return pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array([t.astype(np.int8).tobytes() for t in tags], pa.binary())], ["slots", "tags"])
+    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slots, tags = _segments(batch.column(0).to_pylist())
+        raw = [x.astype(np.int16).tobytes() for x in slots]
+        return pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array([x.astype(np.int8).tobytes() for x in tags], pa.binary())], ["slots", "tags"])
 
     source = chosen.where(inside).select("text").distinct()
     got = map_batches(source, windows, "slots binary, tags binary").orderBy("slots", "tags").toArrow()
+    if not got.num_rows:
+        return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
     slots = np.stack([np.frombuffer(x, np.int16).reshape(SEGMENT, WIDTH) for x in got.column(0).to_pylist()]).astype(np.int64)
     tags = np.stack([np.frombuffer(x, np.int8) for x in got.column(1).to_pylist()]).astype(np.int64)
-    return train(slots, tags, np.ones(len(slots))) if (tags != O).any() else nothing
+    return train(slots, tags, np.ones(len(slots)))
 
 
 _TAGGERS: dict[bytes, Tagger] = {}
