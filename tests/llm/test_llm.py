@@ -752,16 +752,54 @@ def test_empty_tables(spark, docs):
 
 
 def test_pipeline_stages(spark, docs):
+    """Each stage against what a brute-force version makes of its own input."""
     import corpus_pipeline
 
     d = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    told = "Many green rivers run under old stone bridges, and one night a clerk wrote token = 'Zk29fjQ8sLpw77' beside the paper lights."
+    d = d.unionByName(spark.createDataFrame([(50, told, "en", "s1", 1), (51, "password: hunter2hunter2 " + told[::-1], "en", "s1", 1)], d.schema))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before, d = d, common.written(stage(spark, d, ""))
         assert d.columns == before.columns
-        if name in ("secret_scan", "mixing"):
-            assert d.count() == before.count()
+        old, new = before.collect(), d.collect()
+        if name == "quality_rules":
+            judged = quality_rules.judge(before).select("doc_id", "n_words", "word_chars", "kept").collect()
+            good = Counter((r.doc_id, r.n_words, r.word_chars) for r in judged if r.kept)
+            words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+            assert Counter((r.doc_id, len(words(r.text)), sum(map(len, words(r.text)))) for r in new) == good
+            assert not Counter(map(repr, new)) - Counter(map(repr, old))
+        if name == "simhash":
+            fps = [brute_fingerprint(r.text or "") for r in old]
+            assert not Counter(map(repr, new)) - Counter(map(repr, old))
+            left = [brute_fingerprint(r.text or "") for r in new]
+            assert all((a ^ b).bit_count() > 4 for a, b in itertools.combinations(left, 2)) and all(any((f ^ g).bit_count() <= 4 for g in left) for f in fps)
+        if name == "secret_scan":
+            assert Counter((r.doc_id, r.lang, r.source) for r in new) == Counter((r.doc_id, r.lang, r.source) for r in old)
+            assert not any(secret_scan.base_spans(r.text or "") for r in new) and sum("[secret]" in (r.text or "") for r in new) >= sum(bool(secret_scan.base_spans(r.text or "")) for r in old) >= 2
         if name == "mixing":
-            assert Counter(map(repr, d.collect())) == Counter(map(repr, before.collect()))
+            assert Counter(map(repr, new)) == Counter(map(repr, old))
     packed = corpus_pipeline.STAGES[-1][1](spark, d, "")
     ids = Tokenizer.from_file(VOCAB).encode_batch([r.text or "" for r in d.collect()], add_special_tokens=False)
     assert packed.agg(F.sum("length")).first()[0] == sum(len(e.ids) + 1 for e in ids)
+
+
+def test_pipeline_of_nothing(spark, docs):
+    import corpus_pipeline
+
+    d = docs.select("doc_id", "text", "lang", "source", "n_chars").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        d = common.written(stage(spark, d, ""))
+    assert d.count() == 0
+
+
+def test_order_of_the_mix_survives_rereading(spark):
+    """Sequences in the order of their ids follow the weights, from files in any order."""
+    rows = spark.range(12000).select(F.col("id").alias("doc_id"), F.lit("eins zwei drei vier fünf").alias("text"), F.when(F.col("id") % 10 == 0, "rare").otherwise("often").alias("source"))
+    stored = common.written(mixing.in_order(rows).repartition(7, F.xxhash64("doc_id")))
+    packed = packing.pack_documents(mixing.in_order(stored), VOCAB, packing.Limits(256, 128, 256))
+    order = [r.doc_id % 10 == 0 for r in packed.where("start = 0").orderBy("sequence_id", "offset").collect()]
+    share = mixing.tempered({"rare": 1200, "often": 10800})["rare"]
+    phase = int(1200 / share)  # until the rare ones end
+    seen = np.cumsum(order)[:phase]
+    # A task's pool and a block may be ahead or behind.
+    assert np.abs(seen - share * np.arange(1, phase + 1)).max() < packing.POOL * share + 2 * mixing.BLOCK_ROWS and sum(order) == 1200

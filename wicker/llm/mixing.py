@@ -163,3 +163,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
         slot.alias(own("mix_slot")),
         (slot * block_rows + F.col(r) % block_rows).alias(own("mix_position")),
     )
+
+
+def in_order(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` in the order of their mix: partitions follow each other, and so do
+    the rows of a partition.  The same rows always get the same order."""
+    placed = mix(docs, **how)
+    position = [c for c in placed.columns if c.startswith("mix_position")][-1]
+    return placed.repartitionByRange(position).sortWithinPartitions(position).select(*docs.columns)

@@ -159,10 +159,9 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     while any(c.lower().startswith(p) for c in docs.columns):
         p = "_" + p
     named = docs.withColumns({p + "lang": text_of(lang), p + "source": text_of(source)})
-    # A generated row keeps the optimiser from moving the measures into the filter,
-    # where each would be worked out anew wherever it is named.
     own = [p + x for x in ("lang", "source", "n_words", "n_repeat_words", *RATIOS)]
-    measured = measures(named, text, p).select(*docs.columns, F.inline(F.array(F.struct(*own))))
+    # Written, since the thresholds and the filter both need the measures.
+    measured = written(measures(named, text, p).select(*docs.columns, *own))
     limits = cut(thresholds(cut(sketches(measured, F.col(p + "lang"), F.col(p + "source"), p))))
     judged = verdicts(measured, limits, p + "lang", p + "source", p)
     return judged.where(F.col(p + "kept")).select(*docs.columns)
