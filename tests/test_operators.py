@@ -13,34 +13,52 @@ from wicker.operators import normalize, packages, profile, quality, validation
 from wicker.plans import bi, marts
 from wicker.sources import files, publish
 
-CASES = [
-    ("LECHE ENTERA 1 L", "l", 1.0, False, "quantity"),
-    ("LECHE ENT. 1000 ML", "l", 1.0, False, "quantity"),
-    ("Bolsa 900 Gr. De grano", "kg", 0.9, False, "quantity"),
-    ("Paquete con 12 latas de 355 ml", "l", 4.26, False, "pack"),
-    ("Caja 200 gr. 50 sobres de 4 gr.", "kg", 0.2, False, "pack"),
-    ("Caja 300 gr. 50 sobres de 4 gr.", "kg", 0.2, True, "pack"),
-    ("Paquete 6 x 200 ml", "l", 1.2, False, "pack"),
-    ("Bolsa C/18", "piece", 18.0, False, "count_with_slash"),
-    ("Paquete 4 rollos", "piece", 4.0, False, "count"),
-    ("Pieza", "piece", 1.0, False, "implicit_count"),
-    ("Manojo", "piece", 1.0, False, "implicit_count"),
-    ("Docena", "piece", 12.0, False, "implicit_count"),
-    ("Pieza de 68 a 90 gr.", "piece", 1.0, False, "piece_with_range"),
-    ("Bolsa 800 o 880 gr.", "kg", 0.8, True, "alternatives"),
-    ("Bolsa 1 kg. y 500 ml.", "kg", 1.0, True, "quantity"),
-    ("Botella 3.564 gr.", "kg", 3.564, True, "quantity"),
-    ("Caja 85 gr. (35 gr. flan y 50 gr. caramelo)", "kg", 0.085, False, "quantity_with_parts"),
-    ("30 tabletas de 50 mg.", "piece", 30.0, False, "count"),
-    ("A granel", None, None, True, "none"),
-    (None, None, None, True, "none"),
+CASES = [  # text, base unit, content, review, rule, reason
+    ("Jugo de uva 1 L", "l", 1.0, False, "quantity", None),
+    ("Jugo de uva 1000 ml.", "l", 1.0, False, "quantity", None),
+    ("Aceite 1LT", "l", 1.0, False, "quantity", None),
+    ("Saco de 2,5 kilos", "kg", 2.5, False, "quantity", None),
+    ("Harina 750 Grs.con levadura", "kg", 0.75, False, "quantity", None),
+    ("Mezcla 80/20 en 3 kg", "kg", 3.0, False, "quantity", None),
+    ("Tarro A4 con tapa 200 g", "kg", 0.2, False, "quantity", None),
+    ("Charola con 6 vasos de 125 gr", "kg", 0.75, False, "pack", None),
+    ("Estuche C/ 10 Botellas 60 ml", "l", 0.6, False, "pack", None),
+    ("Refresco 6X250ML", "l", 1.5, False, "pack", None),
+    ("Te 40 gr. (20 sobres de 2 gr.)", "kg", 0.04, False, "pack", None),
+    ("Te 90 gr. (20 sobres de 2 gr.)", "kg", 0.04, True, "pack", "pack_against_total"),
+    ("Malla 3 latas de 1.250 gr", "kg", 3.75, True, "pack", "ambiguous_separator"),
+    ("Pan, pieza de 55 a 70 gr", "piece", 1.0, False, "piece_with_range", None),
+    ("Frasco 45 o 50 gr.", "kg", 0.045, True, "alternatives", "alternatives"),
+    ("Bote 1 lt. / 1.2 lt.", "l", 1.0, True, "alternatives", "alternatives"),
+    ("Bote 300/330 ml", "l", 0.3, True, "alternatives", "alternatives"),
+    ("Kit 2 kg y 250 ml", "kg", 2.0, True, "quantity", "mixed_units"),
+    ("Costal 5 kg, rinde 400 gr", "kg", 5.0, True, "quantity", "several_quantities"),
+    ("Tubo 2.750 gr", "kg", 2.75, True, "quantity", "ambiguous_separator"),
+    ("Bidon 4.125 lts", "l", 4.125, True, "quantity", "ambiguous_separator"),
+    ("Surtido 90 g (60 g mora y 30 g pera)", "kg", 0.09, False, "quantity_with_parts", None),
+    ("Queso, contenido variable, precio por KG", "kg", 1.0, False, "variable_content", None),
+    ("Toallas 24 o 28 piezas", "piece", 24.0, True, "alternatives", "alternatives"),
+    ("Servilletas C/150 blancas", "piece", 150.0, False, "count_with_slash", None),
+    ("Papel 12 rollos dobles", "piece", 12.0, False, "count", None),
+    ("Estuche 5 cajas. 20 sobres C/U", "piece", 20.0, True, "count", "count_per_pack"),
+    ("Analgesico 16 tabletas de 200 mg", "piece", 16.0, False, "count", None),
+    ("Rastrillo con 3. Azul", "piece", 3.0, False, "count_after_con", None),
+    ("Apio, manojo", "piece", 1.0, False, "implicit_count", None),
+    ("Huevo, docena", "piece", 12.0, False, "implicit_count", None),
+    ("Bolsa 0 kg", "kg", 0.0, True, "quantity", "content_not_positive"),
+    ("A granel", None, None, True, "none", "no_quantity"),
+    ("", None, None, True, "none", "no_quantity"),
+    (None, None, None, True, "none", "no_quantity"),
 ]
 
 
 def test_packages(spark):
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, package string")
     got = {r.i: r for r in packages.parse_packages(df, "package").collect()}
-    assert [(got[i].base_unit, got[i].content, got[i].needs_review, got[i].rule) for i in range(len(CASES))] == [c[1:] for c in CASES]
+    assert [(got[i].base_unit, got[i].content, got[i].needs_review, got[i].rule, got[i].review_reason) for i in range(len(CASES))] == [c[1:] for c in CASES]
+    by = {c[0]: got[i] for i, c in enumerate(CASES)}
+    assert (by["Te 40 gr. (20 sobres de 2 gr.)"].confidence, by["Charola con 6 vasos de 125 gr"].confidence, by["Refresco 6X250ML"].pack_units) == ("high", "medium", 6)
+    assert (by["Papel 12 rollos dobles"].count_subtype, by["Huevo, docena"].count_subtype, by["Apio, manojo"].count_subtype) == ("ROLLO", "PIEZA", "MANOJO")
 
 
 def test_package_decisions(spark):
