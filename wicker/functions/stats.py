@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..params import Params
+from .storage import written
 
 
 def rounded(x: Column, digits: int = 2) -> Column:
@@ -16,9 +18,11 @@ def rounded(x: Column, digits: int = 2) -> Column:
 
 
 def small_side(df: DataFrame, rows: int = Params.broadcast_rows) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows; else as it is,
-    for a shuffled join in which skewed keys are split at run time."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, a written table, with a broadcast hint if it has at most ``rows`` rows;
+    else as it is, for a shuffled join in which skewed keys are split at run time.
+    The count reads no column.  Tables that aren't written get no hint: the optimiser
+    knows the size of their files."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def one_row(df: DataFrame, other: DataFrame) -> DataFrame:
@@ -57,10 +61,33 @@ def quantile(x: str | Column, p: float) -> Column:
     return F.percentile(x, p)
 
 
-def robust_stats(df: DataFrame, key: str, value: str, keep: list[str] = ()) -> DataFrame:
+def robust_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """key, n, median, log_median, mad: medians of the positive values and median
-    absolute deviation of their logarithms; two passes, both grouped by the key."""
-    logs = df.where(F.col(value) > 0).select(key, value, F.ln(value).alias("log_value"))
-    centre = logs.groupBy(key).agg(F.count("*").alias("n"), F.median(value).alias("median"), F.median("log_value").alias("log_median"))
-    spread = logs.join(centre.select(key, "log_median"), key).groupBy(key).agg(F.median(F.abs(F.col("log_value") - F.col("log_median"))).alias("mad"))
-    return centre.join(spread, key)
+    absolute deviation of their logarithms; two passes, both grouped by the key, the
+    second over equal values once."""
+    logs = written(df.where(F.col(value) > 0).groupBy(key, F.col(value).alias("x__")).agg(F.count("*").alias("n__")).withColumn("log__", F.ln("x__")))
+    median = lambda c: F.expr(f"percentile({c}, 0.5, n__)")
+    centre = logs.groupBy(key).agg(F.sum("n__").alias("n"), median("x__").alias("median"), median("log__").alias("log_median"))
+    spread = logs.join(centre, key).groupBy(key, "n", "median", "log_median")
+    return spread.agg(F.expr("percentile(abs(log__ - log_median), 0.5, n__)").alias("mad"))
+
+
+def quantiles_of_all(df: DataFrame, column: str, at: dict[str, float], pieces: int = 1024) -> DataFrame:
+    """One row: exact continuous quantiles of a whole table (names and shares in
+    ``at``).  Equal values are counted, the counts are summed in ``pieces`` ranges
+    side by side and then over the ranges, so that no task orders all values."""
+    x = F.col(column)
+    counts = written(df.where(x.isNotNull()).groupBy(x.cast("double").alias("x")).agg(F.count("*").alias("k")))
+    ends = counts.agg(F.min("x").alias("low"), F.max("x").alias("high"), F.sum("k").alias("n"))
+    share = F.when(F.col("high") > F.col("low"), (F.col("x") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(0.0)
+    placed = one_row(counts, ends).withColumn("piece", F.floor(share * (pieces - 1)))
+    totals = placed.groupBy("piece").agg(F.sum("k").alias("k"))  # at most ``pieces`` rows
+    before = totals.select("piece", (F.sum("k").over(Window.orderBy("piece")) - F.col("k")).alias("before"))
+    upto = F.sum("k").over(Window.partitionBy("piece").orderBy("x")) + F.col("before")
+    ranked = placed.join(F.broadcast(before), "piece").select("x", "n", upto.alias("upto"))
+    found = []
+    for name, p in at.items():
+        h = (F.col("n") - 1) * F.lit(float(p))
+        found += [F.min(F.when(F.col("upto") > F.floor(h), F.col("x"))).alias(f"{name}__low"), F.min(F.when(F.col("upto") > F.ceil(h), F.col("x"))).alias(f"{name}__high"), F.max(h - F.floor(h)).alias(f"{name}__part")]
+    one = ranked.agg(*found)
+    return one.select(*[(F.col(f"{n}__low") + (F.col(f"{n}__high") - F.col(f"{n}__low")) * F.col(f"{n}__part")).alias(n) for n in at])

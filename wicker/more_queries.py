@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
+from .functions.storage import written
 
 from .operators import feasibility, normalize, packages, profile, quality, validation
 from .plans import marts
 from .plans.bindings import OBS, observations, table
-from .queries import BASKET, FLAGGED, ITEMS, PRICES, SAVINGS, P, _basket, _marts, query, r, sql
+from .queries import BASKET, FLAGGED, ITEMS, PRICES, SAVINGS, P, _basket, _baskets, _prices, query, r, sql
 
 
 @query("""SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, CAST(o_orderdate AS DATE) AS date, o_orderkey % 2 = 0 AS by_slash
@@ -26,16 +27,16 @@ def stage_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("o_orderkey", F.col("price").try_cast("decimal(12,2)").cast("double").alias("price"), T.parse_date_by_format(F.col("day"), F.col("format")).alias("date"), (F.col("format") == "yyyy/mm/dd").alias("by_slash"))
 
 
-@query(r"""SELECT doc_id, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(substr(text, 1, 80), 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS key FROM documents""")
+@query(r"""SELECT doc_id, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(text, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS key FROM documents""")
 def canonical_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of names: the first 80 characters of each document stand for one."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.canonical_key(F.substring("text", 1, 80)).alias("key"))
+    """Keys of whole documents."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.canonical_key("text").alias("key"))
 
 
 @query(r"""SELECT doc_id, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(text, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS key FROM documents""")
 def canonical_key_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of whole documents, which canonical_key and its SQL cut at 80 characters."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.canonical_key("text").alias("key"))
+    """The same as canonical_key, under the name it had when that one cut its texts."""
+    return canonical_key(spark, sf_dir)
 
 
 @query("""WITH m AS (SELECT l_partkey, bit_or(1 << CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS mask FROM lineitem GROUP BY 1)
@@ -52,40 +53,51 @@ def latest_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.latest_attributes(table(spark, sf_dir, "events"), ["user_id"], ["event_type", "props"], "ts", "event_id")
 
 
-_PACKED = """CASE p_partkey % 6 WHEN 0 THEN 'Bolsa ' || p_size || ' Kg. ' || p_type WHEN 1 THEN p_size || ' latas de 355 ml' WHEN 2 THEN 'Caja C/' || p_size
-  WHEN 3 THEN p_size || ' rollos' WHEN 4 THEN 'Frasco ' || p_size || ' gr. o ' || (p_size + 1) || ' gr.' ELSE p_name END"""
+#: Package texts by ``p_partkey % 12``: the text in SQL, and how it reads.  One of
+#: every rule, and some that go to review.
+_FORMS = [
+    ("'Bolsa ' || p_size || ' Kg. ' || p_type", "'kg'", "p_size::DOUBLE", "quantity", "NULL"),
+    ("p_size || ' latas de 355 ml'", "'l'", "round(p_size * 0.355, 6)::DOUBLE", "pack", "NULL"),
+    ("'Caja C/' || p_size", "'piece'", "p_size::DOUBLE", "count_with_slash", "NULL"),
+    ("p_size || ' rollos'", "'piece'", "p_size::DOUBLE", "count", "NULL"),
+    ("'Frasco ' || p_size || ' gr. o ' || (p_size + 1) || ' gr.'", "'kg'", "round(p_size * 0.001, 6)::DOUBLE", "alternatives", "'alternatives'"),
+    ("p_name", "NULL", "NULL::DOUBLE", "none", "'no_quantity'"),
+    ("'Pan, pieza de ' || p_size || ' a ' || (p_size + 9) || ' gr'", "'piece'", "1.0::DOUBLE", "piece_with_range", "NULL"),
+    ("'Caja ' || (3 * p_size) || ' ml (' || p_size || ' ml. y ' || (2 * p_size) || ' ml.)'", "'l'", "round(3 * p_size * 0.001, 6)::DOUBLE", "quantity_with_parts", "NULL"),
+    ("'Queso. Contenido variable ' || p_type || ' por KG'", "'kg'", "1.0::DOUBLE", "variable_content", "NULL"),
+    ("'Charola con ' || p_size || '. ' || p_type", "'piece'", "p_size::DOUBLE", "count_after_con", "NULL"),
+    ("'Docena ' || p_name", "'piece'", "12.0::DOUBLE", "implicit_count", "NULL"),
+    ("'Kit ' || p_size || ' kg y ' || p_size || ' ml'", "'kg'", "p_size::DOUBLE", "quantity", "'mixed_units'"),
+]
 
 
-def _packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("p_size").cast("string")
-    k = F.col("p_partkey") % 6
-    text = (
-        F.when(k == 0, F.concat(F.lit("Bolsa "), s, F.lit(" Kg. "), "p_type")).when(k == 1, F.concat(s, F.lit(" latas de 355 ml"))).when(k == 2, F.concat(F.lit("Caja C/"), s))
-        .when(k == 3, F.concat(s, F.lit(" rollos"))).when(k == 4, F.concat(F.lit("Frasco "), s, F.lit(" gr. o "), (F.col("p_size") + 1).cast("string"), F.lit(" gr."))).otherwise(F.col("p_name"))
-    )
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("item"), text.alias("package"))
+def _by_form(k: int) -> str:
+    return " ".join(f"WHEN {i} THEN {form[k]}" for i, form in enumerate(_FORMS))
 
 
-@query(f"""SELECT p_partkey AS product_id, {_PACKED} AS package,
-  CASE p_partkey % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'piece' WHEN 3 THEN 'piece' WHEN 4 THEN 'kg' END AS base_unit,
-  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 4 THEN NULL END AS content,
-  CASE p_partkey % 6 WHEN 0 THEN 'quantity' WHEN 1 THEN 'pack' WHEN 2 THEN 'count_with_slash' WHEN 3 THEN 'count' WHEN 4 THEN 'quantity' ELSE 'none' END AS rule,
-  p_partkey % 6 >= 4 AS needs_review
-FROM part WHERE p_partkey % 6 <> 4""")
+def _packages(spark: SparkSession, sf_dir: str, forms: int = len(_FORMS)) -> DataFrame:
+    """product_id, item, package: a package text for every part."""
+    text = "CASE p_partkey % {} {} END".format(forms, " ".join(f"WHEN {i} THEN {form[0]}" for i, form in enumerate(_FORMS[:forms])))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("item"), F.expr(text).alias("package"))
+
+
+@query(f"""SELECT p_partkey AS product_id, CASE p_partkey % 12 {_by_form(0)} END AS package, CASE p_partkey % 12 {_by_form(1)} END AS base_unit, CASE p_partkey % 12 {_by_form(2)} END AS content,
+  CASE p_partkey % 12 {" ".join(f"WHEN {i} THEN '{form[3]}'" for i, form in enumerate(_FORMS))} END AS rule, CASE p_partkey % 12 {_by_form(4)} END AS review_reason, p_partkey % 12 IN (4, 5, 11) AS needs_review
+FROM part""")
 def package_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _packages(spark, sf_dir).where(F.col("product_id") % 6 != 4)  # texts whose reading a short CASE can state
-    return packages.parse_packages(rows, "package").select("product_id", "package", "base_unit", "content", "rule", "needs_review")
+    """Every part, with a text for every rule."""
+    return packages.parse_packages(_packages(spark, sf_dir), "package").select("product_id", "package", "base_unit", "content", "rule", "review_reason", "needs_review")
 
 
-@query(f"""SELECT p_partkey AS product_id, {_PACKED} AS package,
+@query(f"""SELECT p_partkey AS product_id, CASE p_partkey % 6 {" ".join(f"WHEN {i} THEN {f[0]}" for i, f in enumerate(_FORMS[:6]))} END AS package,
   CASE p_partkey % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'piece' WHEN 3 THEN 'piece' WHEN 4 THEN 'kg' END AS base_unit,
   CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
   CASE p_partkey % 6 WHEN 0 THEN 'quantity' WHEN 1 THEN 'pack' WHEN 2 THEN 'count_with_slash' WHEN 3 THEN 'count' WHEN 4 THEN 'alternatives' ELSE 'none' END AS rule,
   p_partkey % 6 >= 4 AS needs_review
 FROM part""")
 def package_parse_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part, the texts with two quantities included, which package_parse and its SQL leave out."""
-    return packages.parse_packages(_packages(spark, sf_dir), "package").select("product_id", "package", "base_unit", "content", "rule", "needs_review")
+    """Every part, with the six simplest texts."""
+    return packages.parse_packages(_packages(spark, sf_dir, 6), "package").select("product_id", "package", "base_unit", "content", "rule", "needs_review")
 
 
 @query("""SELECT p_partkey AS product_id, CASE WHEN p_partkey % 6 = 0 THEN 'bag' WHEN p_partkey % 6 = 1 AND p_size > 6 THEN 'tins' WHEN p_partkey % 6 = 3 THEN 'rolls' END AS item_id
@@ -95,34 +107,34 @@ def rule_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("BAG", "kg", None, "bag", r"^BOLSA", None), ("TINS", "l", None, "tins", r"LATAS", r"^[1-6] LATAS"), ("ROLLS", "piece", "ROLLO", "rolls", None, None)],
         "key string, unit string, subtype string, item_id string, include string, exclude string",
     )
-    rows = packages.parse_packages(_packages(spark, sf_dir), "package")
+    rows = packages.parse_packages(_packages(spark, sf_dir, 6), "package")
     rows = rows.withColumn("rule_key", F.when(F.col("base_unit") == "kg", "BAG").when(F.col("base_unit") == "l", "TINS").otherwise("ROLLS"))
     return normalize.assign_by_rules(rows.select("product_id", "rule_key", "base_unit", "count_subtype", "package_key"), rules, "rule_key", "package_key").select("product_id", "item_id")
 
 
-@query(r"""WITH n AS (SELECT DISTINCT substr(text, 1, 60) AS v FROM documents WHERE lang IN ('fr', 'de', 'es') AND NOT contains(substr(text, 1, 60), '?')),
-d AS (SELECT DISTINCT translate(v, 'éèêçñöäüßíóá', '????????????') AS damaged FROM n WHERE regexp_matches(v, '[éèêçñöäüßíóá]')),
-i AS (SELECT v, lower(regexp_replace(v, '[^\x00-\x7F]', '?', 'g')) AS s, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(v, '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS k,
-             length(regexp_replace(v, '[\x00-\x7F]', '', 'g')) AS b FROM n WHERE regexp_matches(v, '[^\x00-\x7F]')),
-p AS (SELECT damaged, v, k, b FROM d JOIN i ON lower(regexp_replace(damaged, '[^\x00-\x7F]', '?', 'g')) = s AND regexp_full_match(v, '(?is)' || replace(regexp_replace(damaged, '([.*+|(){}^$\[\]\\])', '\\\1', 'g'), '?', '[^\x00-\x7F]'))),
+_LOST = "éèêçñöäüßíóá"
+
+
+@query(rf"""WITH t AS (SELECT DISTINCT text AS v FROM documents WHERE text IS NOT NULL),
+n AS (SELECT v FROM t UNION SELECT translate(v, '{_LOST}', '{"?" * len(_LOST)}') FROM t WHERE regexp_matches(v, '[{_LOST}]')),
+s AS (SELECT v, lower(regexp_replace(v, '[^\x00-\x7F]', '?', 'g')) AS skeleton, regexp_extract_all(v, '[^\x00-\x7F]|\?') AS beyond FROM n),
+d AS (SELECT v AS damaged, skeleton, beyond AS x FROM s WHERE contains(v, '?')),
+i AS (SELECT v, skeleton, beyond AS y, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(v, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS k FROM s WHERE NOT contains(v, '?') AND len(beyond) > 0),
+p AS (SELECT damaged, v, k, len(y) AS b FROM d JOIN i USING (skeleton)
+      WHERE len(list_filter(range(1, len(x) + 1), lambda j: NOT (x[j] = '?' OR lower(x[j]) = lower(y[j]) OR upper(x[j]) = upper(y[j])))) = 0),
 g AS (SELECT damaged, count(DISTINCT k) AS c, first(v ORDER BY b DESC, v) AS best FROM p GROUP BY 1)
 SELECT damaged AS value, coalesce(c, 0) AS candidates, CASE WHEN c = 1 THEN best ELSE damaged END AS corrected, coalesce(c, 0) <> 1 AS needs_review FROM d LEFT JOIN g USING (damaged)""")
 def lost_char_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de", "es")).select(F.substring("text", 1, 60).alias("value")).where(~F.col("value").contains("?")).distinct()
-    letters = "éèêçñöäüßíóá"
-    damaged = names.where(F.col("value").rlike(f"[{letters}]")).select(F.translate("value", letters, "?" * len(letters)).alias("value")).distinct()
-    values = names.unionByName(damaged).select(F.lit("name").alias("column"), "value")
-    return normalize.correct_lost_chars(values).drop("column")
+    """Whole texts of all documents, real marks included, and their damaged copies."""
+    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("value")).where(F.col("value").isNotNull()).distinct()
+    damaged = texts.where(F.col("value").rlike(f"[{_LOST}]")).select(F.translate("value", _LOST, "?" * len(_LOST)).alias("value"))
+    return normalize.correct_lost_chars(texts.unionByName(damaged).distinct().select(F.lit("text").alias("column"), "value")).drop("column")
 
 
 @query()
 def lost_char_correction_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts of all documents, real marks included, and their damaged copies;
-    lost_char_correction and its SQL take prefixes of some.  Too long for SQL's expressions."""
-    letters = "éèêçñöäüßíóá"
-    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("value")).where(F.col("value").isNotNull()).distinct()
-    damaged = texts.where(F.col("value").rlike(f"[{letters}]")).select(F.translate("value", letters, "?" * len(letters)).alias("value"))
-    return normalize.correct_lost_chars(texts.unionByName(damaged).select(F.lit("text").alias("column"), "value")).drop("column")
+    """The same as lost_char_correction, under the name it had when that one cut its texts."""
+    return lost_char_correction(spark, sf_dir)
 
 
 @query("""WITH d AS (SELECT CAST(unnest(generate_series(min(l_shipdate)::DATE, max(l_shipdate)::DATE, INTERVAL 1 DAY)) AS DATE) AS date FROM lineitem)
@@ -212,14 +224,15 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, PRICES, select="""SELECT place_id, week, chain, saving FROM savings s
   LEFT JOIN (SELECT place_id, week, chain, sum(vs_cheapest_basket) AS b FROM prices WHERE is_paired GROUP BY ALL) USING (place_id, week, chain) WHERE abs(coalesce(b, 0) - saving) > 0.05"""))
 def decomposition_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, savings = _marts(spark, sf_dir)
-    return quality.decomposition_gap(marts.item_decomposition(items, _basket(spark, sf_dir), savings, P), savings).select("place_id", "week", "chain", "saving")
+    _, savings, prices = _prices(spark, sf_dir)
+    return quality.decomposition_gap(prices, savings).select("place_id", "week", "chain", "saving")
 
 
 @query(sql(OBS, ITEMS, BASKET, select="SELECT place_id, week, chain, partial_cost AS recomputed, partial_cost AS published, true AS agrees FROM baskets WHERE week <= (SELECT max(week) FROM obs)"))
 def recomputed_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell recomputed from observations by a date window, against the mart."""
-    obs, _, baskets, _ = _marts(spark, sf_dir)
+    obs = observations(spark, sf_dir)
+    baskets = written(_baskets(spark, sf_dir, marts.rolling_item_price(obs, P)))
     cells = baskets.select("place_id", "week").distinct()
     again = validation.recompute_cells(obs, cells, _basket(spark, sf_dir), P)
     return validation.compare(again, baskets.withColumn("basket_cost", F.col("partial_cost")), P)

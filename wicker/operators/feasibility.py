@@ -14,7 +14,7 @@ def best_sku(obs: DataFrame, group: str, sku: str, chain: str, cell: list[str])
     the chain's cells it is in, then number of chains, least and mean presence."""
     total = obs.select(chain, *cell).distinct().groupBy(chain).agg(F.count("*").alias("n_cells"))
     there = obs.select(group, sku, chain, *cell).distinct().groupBy(group, sku, chain).agg(F.count("*").alias("n_there"))
-    share = there.join(F.broadcast(total), chain).withColumn("pct", 100.0 * F.col("n_there") / F.col("n_cells"))  # a row for each chain
+    share = there.join(total, chain).withColumn("pct", 100.0 * F.col("n_there") / F.col("n_cells"))
     each = share.groupBy(group, sku).agg(F.count("*").alias("n_chains"), rounded(F.min("pct"), 4).alias("min_pct"), rounded(F.avg("pct"), 4).alias("avg_pct"))
     order = Window.partitionBy(group).orderBy(F.desc("n_chains"), F.desc("min_pct"), F.desc("avg_pct"), sku)
     return each.withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
@@ -36,5 +36,5 @@ def scenario_cells(items: DataFrame, scenarios: DataFrame) -> DataFrame:
     """scenario, n_cells, pct_complete: compositions (scenario, item) over the cells
     of ``items``, joined once."""
     size = scenarios.groupBy("scenario").agg(F.count("*").alias("size"))
-    got = items.join(F.broadcast(scenarios), "item").groupBy("scenario", "chain", "place_id", "week").agg(F.count("*").alias("n"))  # compositions are short lists
-    return got.join(F.broadcast(size), "scenario").groupBy("scenario").agg(F.count("*").alias("n_cells"), rounded(100.0 * F.avg((F.col("n") == F.col("size")).cast("int"))).alias("pct_complete"))
+    got = items.join(scenarios, "item").groupBy("scenario", "chain", "place_id", "week").agg(F.count("*").alias("n"))
+    return got.join(size, "scenario").groupBy("scenario").agg(F.count("*").alias("n_cells"), rounded(100.0 * F.avg((F.col("n") == F.col("size")).cast("int"))).alias("pct_complete"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.stats import first_by, latest_value, small_side
+from ..functions.stats import first_by, latest_value
 from ..functions.text import canonical_key, surrogate
 
 #: Spellings of "no brand" as canonical keys.
@@ -60,7 +60,7 @@ def apply_corrections(df: DataFrame, corrections: DataFrame, columns: list[str])
     """``df`` with each of ``columns`` corrected, or as it was."""
     for c in columns:
         fix = corrections.where(F.col("column") == c).select(F.col("value").alias(c), F.col("corrected").alias("fix__"))
-        df = df.join(small_side(fix), c, "left").withColumn(c, F.coalesce("fix__", c)).drop("fix__")
+        df = df.join(fix, c, "left").withColumn(c, F.coalesce("fix__", c)).drop("fix__")
     return df
 
 
@@ -74,14 +74,14 @@ def map_brands(df: DataFrame, brand: str) -> DataFrame:
 def map_catalogs(values: DataFrame, seed: DataFrame) -> DataFrame:
     """original, catalog, bit, mask: by canonical key; unknown catalogs have no bit."""
     known = seed.select(canonical_key("catalog").alias("key"), "catalog", "bit")
-    out = values.select(F.col("value").alias("original"), canonical_key("value").alias("key")).join(F.broadcast(known), "key", "left")
+    out = values.select(F.col("value").alias("original"), canonical_key("value").alias("key")).join(known, "key", "left")
     return out.select("original", "catalog", "bit", F.call_function("shiftleft", F.lit(1), F.col("bit")).alias("mask"))
 
 
 def expand_mask(df: DataFrame, mask: str, seed: DataFrame, keys: list[str]) -> DataFrame:
     """keys, catalogs: the names of the catalogs in a bit mask, in order of bits."""
     bits = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda b: F.call_function("getbit", F.col(mask), b) == 1)
-    rows = df.select(*keys, F.explode(bits).alias("bit")).join(F.broadcast(seed.select("bit", "catalog")), "bit")
+    rows = df.select(*keys, F.explode(bits).alias("bit")).join(seed.select("bit", "catalog"), "bit")
     return rows.groupBy(*keys).agg(F.concat_ws(" + ", F.transform(F.array_sort(F.collect_set(F.struct("bit", "catalog"))), lambda x: x["catalog"])).alias("catalogs"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.stats import quantile, rounded
+from ..functions.stats import one_row, quantiles_of_all, rounded
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -22,8 +22,10 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def number_summary(df: DataFrame, column: str) -> DataFrame:
     """One row: rows that don't parse, negative, zero, and quantiles of the rest."""
     x = F.col(column).try_cast("double")
-    q = lambda p: rounded(quantile(x, p), 4)
-    return df.agg(F.count_if(x.isNull()).alias("n_unparsed"), F.count_if(x < 0).alias("n_negative"), F.count_if(x == 0).alias("n_zero"), rounded(F.min(x), 4).alias("min"), q(0.01).alias("p01"), q(0.5).alias("median"), q(0.99).alias("p99"), rounded(F.max(x), 4).alias("max"))
+    counts = df.agg(F.count_if(x.isNull()).alias("n_unparsed"), F.count_if(x < 0).alias("n_negative"), F.count_if(x == 0).alias("n_zero"), rounded(F.min(x), 4).alias("min"), rounded(F.max(x), 4).alias("max"))
+    found = quantiles_of_all(df.select(x.alias("x")), "x", {"p01": 0.01, "median": 0.5, "p99": 0.99})
+    both = one_row(counts, found.select(*[rounded(F.col(c), 4).alias(c) for c in found.columns]))
+    return both.select("n_unparsed", "n_negative", "n_zero", "min", "p01", "median", "p99", "max")
 
 
 def dates_by_file(df: DataFrame, file: str, date: str) -> DataFrame:

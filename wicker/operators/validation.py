@@ -22,11 +22,13 @@ def pick_cells(savings: DataFrame, outliers: DataFrame, n: int = 6) -> DataFrame
 
 
 def recompute_cells(obs: DataFrame, cells: DataFrame, basket: DataFrame, params: Params = Params()) -> DataFrame:
-    """Basket costs of some cells straight from observations: a window by dates, not
-    by replicated weeks."""
-    c = F.broadcast(cells.select(F.col("place_id"), F.col("week").alias("cell_week")))  # a few cells
-    inside = (F.col("date") >= F.date_sub("cell_week", 7 * params.previous_weeks)) & (F.col("date") < F.date_add("cell_week", 7))
-    rows = obs.join(c, "place_id").where(inside).join(F.broadcast(basket), "item")
+    """Basket costs of some cells straight from observations.  Every date names the
+    weeks whose window holds it, and rows meet their cells on place and week."""
+    monday = F.date_sub("date", F.weekday("date"))
+    weeks = F.transform(F.sequence(F.lit(0), F.lit(params.previous_weeks)), lambda k: F.date_add(monday, k * 7))
+    dated = obs.select("place_id", "chain", "item", "unit_price", F.explode(weeks).alias("cell_week"))
+    c = cells.select("place_id", F.col("week").alias("cell_week")).distinct()
+    rows = dated.join(c, ["place_id", "cell_week"], "left_semi").join(basket, "item")
     per = rows.groupBy("place_id", "cell_week", "chain", "item").agg((F.percentile("unit_price", 0.5) * F.first("quantity")).alias("cost"))
     return per.groupBy("place_id", F.col("cell_week").alias("week"), "chain").agg(rounded(F.sum("cost")).alias("cost"), F.count("*").alias("n_items"))
 

@@ -60,7 +60,8 @@ def weekly_item_differences(items: DataFrame, savings: DataFrame) -> DataFrame:
 def item_availability(baskets: DataFrame, items: DataFrame, basket: DataFrame) -> DataFrame:
     """Every cell with every item of the basket, and whether it is there."""
     cells = baskets.select("version", "chain", "place_id", "week")
-    dense = cells.crossJoin(F.broadcast(basket.select("item")))  # a basket is a short list
+    names = basket.agg(F.array_sort(F.collect_set("item")).alias("names"))  # a basket is a short list
+    dense = one_row(cells, names).select(*cells.columns, F.explode("names").alias("item"))
     there = items.select("chain", "place_id", "week", "item", "n_observations")
     return dense.join(there, ["chain", "place_id", "week", "item"], "left").select(
         "version", "chain", "place_id", "week", "item", F.col("n_observations").isNotNull().alias("available"), F.coalesce("n_observations", F.lit(0).cast("long")).alias("n_observations")

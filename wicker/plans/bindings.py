@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import small_side
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def chain_of(store: str) -> list[Column]:
+    """The chain of a store, and its group."""
+    return [F.concat(F.lit(f"{name} "), (F.col(store) % n).cast("string")).alias(alias) for name, n, alias in (("CHAIN", 4, "chain"), ("GROUP", 2, "chain_group"))]
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each order line: product_id, store_id, chain, chain_group,
     place_id, date, week, item, content, price, unit_price, flag, status."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    shop = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
-    line = table(spark, sf_dir, "lineitem").join(small_side(part), F.col("l_partkey") == F.col("p_partkey")).join(small_side(shop), F.col("l_suppkey") == F.col("s_suppkey"))
+    shop = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
+    line = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return line.select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("store_id"),
-        F.concat(F.lit("CHAIN "), (F.col("l_suppkey") % 4).cast("string")).alias("chain"),
-        F.concat(F.lit("GROUP "), (F.col("l_suppkey") % 2).cast("string")).alias("chain_group"),
+        *chain_of("l_suppkey"),
         F.col("n_regionkey").alias("place_id"),
         F.col("l_shipdate").cast("date").alias("date"),
         F.date_trunc("week", "l_shipdate").cast("date").alias("week"),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stats import first_by, one_row, robust_stats, rounded, small_side
+from ..functions.storage import written
 from ..params import Params
 
 CELL = ["chain", "place_id", "week"]
@@ -16,7 +17,7 @@ def flag_outliers(obs: DataFrame, params: Params = Params(), key: str = "product
     """``obs`` with median, deviation, rule (0 none, 1 far from the median, 2 far by
     the MAD) and is_outlier; no row is removed.  Values that aren't positive have no
     statistics and no rule."""
-    stats = small_side(robust_stats(obs, key, value).select(key, F.col("n").alias("n_product"), "median", "log_median", "mad"))
+    stats = small_side(written(robust_stats(obs, key, value)).select(key, F.col("n").alias("n_product"), "median", "log_median", "mad"))
     x, m = F.col(value), F.col("median")
     deviation = F.abs(F.ln(value) - F.col("log_median"))
     far = (x > params.outlier_factor * m) | (x < m / params.outlier_factor)
@@ -41,6 +42,12 @@ def rolling_weeks(df: DataFrame, previous: int, week: str = "week") -> DataFrame
     return one_row(moved, last).where(F.col(week) <= F.col("last_week")).drop("last_week")
 
 
+def distinct(column: str) -> Column:
+    """How many values a group has.  Several exact counts in one aggregate would
+    repeat every row for each; a set holds each value of the group once."""
+    return F.size(F.collect_set(column)).cast("long")
+
+
 def rolling_item_price(obs: DataFrame, params: Params = Params()) -> DataFrame:
     """Per chain, place, week and item, over the week and the previous ones."""
     rows = rolling_weeks(obs.select(*CELL, "item", "unit_price", "store_id", "product_id", "date"), params.previous_weeks)
@@ -49,9 +56,9 @@ def rolling_item_price(obs: DataFrame, params: Params = Params()) -> DataFrame:
         F.min("unit_price").alias("min_price"),
         F.max("unit_price").alias("max_price"),
         F.count("*").alias("n_observations"),
-        F.countDistinct("store_id").alias("n_stores"),
-        F.countDistinct("product_id").alias("n_products"),
-        F.countDistinct("date").alias("n_days"),
+        distinct("store_id").alias("n_stores"),
+        distinct("product_id").alias("n_products"),
+        distinct("date").alias("n_days"),
     ).withColumn("window_complete", F.date_sub("week", 7 * params.previous_weeks) >= F.col("first_week")).drop("first_week")
 
 
@@ -59,7 +66,7 @@ def basket_cost(items: DataFrame, basket: DataFrame, params: Params = Params())
     """Per chain, place and week: how many items there are and what they cost; the
     cost of the basket only where it is complete.  ``basket``: item, quantity."""
     total = basket.agg(F.count("*").alias("items_total"))
-    priced = items.join(small_side(basket), "item").withColumn("cost", F.col("median_price") * F.col("quantity"))
+    priced = items.join(basket, "item").withColumn("cost", F.col("median_price") * F.col("quantity"))
     cells = priced.groupBy(*CELL).agg(
         F.count("*").alias("items_available"),
         F.sum("cost").alias("sum_cost"),
@@ -89,22 +96,25 @@ def basket_cost(items: DataFrame, basket: DataFrame, params: Params = Params())
 
 def paired_savings(baskets: DataFrame, chains: DataFrame) -> DataFrame:
     """Every complete basket of a place and week in which at least two reference
-    chains have one, against the cheapest.  ``chains``: chain, chain_group."""
-    full = baskets.where(F.col("is_complete") & F.col("window_complete")).join(small_side(chains), "chain")
-    cell = ["place_id", "week"]
-    ends = full.groupBy(*cell).agg(
+    chains have one, against the cheapest.  ``chains``: chain, chain_group.  A place
+    and week has at most a row for each chain, so its rows travel in one array."""
+    full = baskets.where(F.col("is_complete") & F.col("window_complete")).join(chains, "chain")
+    cells = full.groupBy("place_id", "week").agg(
         F.count("*").alias("chains_compared"),
-        F.countDistinct("chain_group").alias("groups_compared"),
+        distinct("chain_group").alias("groups_compared"),
         F.min("basket_cost").alias("min_cost"),
         F.max("basket_cost").alias("max_cost"),
         F.median("basket_cost").alias("median_cost"),
         first_by("chain", "basket_cost", "chain").alias("cheapest_chain"),
         first_by("chain", -F.col("basket_cost"), "chain").alias("dearest_chain"),
-    ).where("chains_compared >= 2")
+        F.array_sort(F.collect_list("basket_cost")).alias("costs"),
+        F.collect_list(F.struct("version", "week_end", "chain", "chain_group", "basket_cost", "n_observations")).alias("rows"),
+    )
+    rows = cells.where("chains_compared >= 2").select("*", F.inline("rows"))
     c, low, mid, high = (F.col(x) for x in ("basket_cost", "min_cost", "median_cost", "max_cost"))
-    return full.join(ends, cell).select(
+    return rows.select(
         "version", "week", "week_end", "place_id", "chain", "chain_group", "basket_cost",
-        F.rank().over(Window.partitionBy(*cell).orderBy("basket_cost")).alias("position"),
+        F.array_position("costs", c).cast("int").alias("position"),  # equal costs share the first place
         "chains_compared", "groups_compared", "min_cost", "max_cost",
         rounded(mid).alias("median_cost"), "cheapest_chain", "dearest_chain",
         (F.col("chain") == F.col("cheapest_chain")).alias("is_cheapest"),
@@ -119,20 +129,21 @@ def paired_savings(baskets: DataFrame, chains: DataFrame) -> DataFrame:
 
 def item_decomposition(items: DataFrame, basket: DataFrame, savings: DataFrame, params: Params = Params()) -> DataFrame:
     """What each item costs in each chain, over the cheapest chain for the item, and
-    in paired cells against the chain with the cheapest basket."""
-    a = items.join(small_side(basket), "item").withColumn("cost", F.col("median_price") * F.col("quantity"))
-    cell = ["place_id", "week", "item"]
-    best = a.groupBy(*cell).agg(
+    in paired cells against the chain with the cheapest basket.  The chains of an
+    item in a place and week travel in one array."""
+    paired = savings.groupBy("place_id", "week").agg(F.first("cheapest_chain").alias("winner"), F.collect_set("chain").alias("paired"))
+    a = items.join(basket, "item").withColumn("cost", F.col("median_price") * F.col("quantity"))
+    cells = a.groupBy("place_id", "week", "item").agg(
         F.count("*").alias("chains_with_item"),
         F.min("median_price").alias("min_chain_price"),
         F.max("median_price").alias("max_chain_price"),
         first_by("chain", "median_price", "chain").alias("cheapest_item_chain"),
+        F.collect_list(F.struct("chain", "median_price", "cost", "n_observations", "n_stores", "n_products")).alias("rows"),
     )
-    paired = savings.select("place_id", "week", "chain", F.lit(True).alias("paired"))
-    winners = savings.select("place_id", "week", F.col("cheapest_chain").alias("chain")).distinct()
-    base = a.join(winners, ["place_id", "week", "chain"]).select(*cell, F.col("cost").alias("cost_in_cheapest"))
-    out = a.join(best, cell).join(paired, ["place_id", "week", "chain"], "left").join(base, cell, "left")
-    is_paired = F.col("paired").isNotNull()
+    out = cells.join(paired, ["place_id", "week"], "left")
+    base = F.get(F.filter("rows", lambda x: x["chain"] == F.col("winner")), F.lit(0))["cost"]
+    out = out.withColumn("cost_in_cheapest", base).select("*", F.inline("rows"))
+    is_paired = F.coalesce(F.array_contains("paired", F.col("chain")), F.lit(False))
     return out.select(
         F.lit(params.version).alias("version"), "week", "place_id", "chain", "item",
         rounded(F.col("median_price"), 4).alias("median_price"), rounded(F.col("cost"), 4).alias("item_cost"),
@@ -150,9 +161,9 @@ def coverage(flagged: DataFrame, baskets: DataFrame, basket: DataFrame, params:
     items that the rolling window offers (0 and false where it has no cell)."""
     own = flagged.groupBy(*CELL).agg(
         F.count("*").alias("n_observations"),
-        F.countDistinct("store_id").alias("n_stores"),
-        F.countDistinct("product_id").alias("n_products"),
-        F.countDistinct("date").alias("n_days"),
+        distinct("store_id").alias("n_stores"),
+        distinct("product_id").alias("n_products"),
+        distinct("date").alias("n_days"),
         F.count_if("is_outlier").alias("n_outliers"),
         F.count_if(F.col("content").isNull() | (F.col("content") <= 0)).alias("n_not_comparable"),
     )

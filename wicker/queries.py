@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.storage import written
 from .params import Params
 from .plans import bi, marts
-from .plans.bindings import OBS, observations, table
+from .plans.bindings import OBS, chain_of, observations, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,15 +95,25 @@ def _basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_type").alias("item")).distinct().withColumn("quantity", F.lit(1.0))
 
 
-def _chains(obs: DataFrame) -> DataFrame:
-    return obs.select("chain", "chain_group").distinct()
+def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chain, chain_group of all stores."""
+    return table(spark, sf_dir, "supplier").select(*chain_of("s_suppkey")).distinct()
 
 
-def _marts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    obs = observations(spark, sf_dir)
-    items = marts.rolling_item_price(obs, P)
-    baskets = marts.basket_cost(items, _basket(spark, sf_dir), P)
-    return obs, items, baskets, marts.paired_savings(baskets, _chains(obs))
+def _baskets(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    return marts.basket_cost(items, _basket(spark, sf_dir), P)
+
+
+def _savings(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
+    items = marts.rolling_item_price(observations(spark, sf_dir), P) if items is None else items
+    return marts.paired_savings(_baskets(spark, sf_dir, items), _chains(spark, sf_dir))
+
+
+def _prices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """items, savings (both written) and their decomposition."""
+    items = written(marts.rolling_item_price(observations(spark, sf_dir), P))
+    savings = written(_savings(spark, sf_dir, items))
+    return items, savings, marts.item_decomposition(items, _basket(spark, sf_dir), savings, P)
 
 
 @query(sql(OBS, ITEMS, select="SELECT * FROM items"))
@@ -112,18 +123,17 @@ def rolling_item_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql(OBS, ITEMS, BASKET, select="SELECT * FROM baskets"))
 def basket_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _marts(spark, sf_dir)[2]
+    return _baskets(spark, sf_dir, marts.rolling_item_price(observations(spark, sf_dir), P))
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, select="SELECT * FROM savings"))
 def paired_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _marts(spark, sf_dir)[3]
+    return _savings(spark, sf_dir)
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, PRICES, select="SELECT * FROM prices"))
 def item_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, savings = _marts(spark, sf_dir)
-    return marts.item_decomposition(items, _basket(spark, sf_dir), savings, P)
+    return _prices(spark, sf_dir)[2]
 
 
 @query(sql(OBS, ITEMS, BASKET, FLAGGED, f"""own AS (
@@ -135,7 +145,8 @@ def item_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
          coalesce(b.items_available, 0) AS items_available, (SELECT count(*) FROM basket) AS items_total, coalesce(b.is_complete, false) AS is_complete
   FROM own LEFT JOIN baskets b ON own.chain = b.chain AND own.place_id = b.place_id AND own.week = b.week"""))
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs, _, baskets, _ = _marts(spark, sf_dir)
+    obs = observations(spark, sf_dir)
+    baskets = _baskets(spark, sf_dir, marts.rolling_item_price(obs, P))
     return marts.coverage(marts.flag_outliers(obs, P), baskets, _basket(spark, sf_dir), P)
 
 
@@ -177,7 +188,7 @@ def consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
          {r("median(saving)")} AS median_saving, {r("median(saving_pct)")} AS median_saving_pct, CAST(sum(n_observations) AS BIGINT) AS n_observations
   FROM savings GROUP BY version, week, week_end, chain, chain_group"""))
 def weekly_chain_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.weekly_chain_cost(_marts(spark, sf_dir)[3])
+    return bi.weekly_chain_cost(_savings(spark, sf_dir))
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, """c AS (SELECT *, count(*) OVER (PARTITION BY week, cheapest_chain) AS n FROM
@@ -187,7 +198,7 @@ def weekly_chain_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
          {r("median(gap) FILTER (WHERE groups_compared >= 2)")} AS median_gap_rivals, first(cheapest_chain ORDER BY n DESC, cheapest_chain) AS most_often_cheapest
   FROM c GROUP BY version, week, week_end"""))
 def weekly_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.weekly_savings(_marts(spark, sf_dir)[3])
+    return bi.weekly_savings(written(_savings(spark, sf_dir)))
 
 
 _DEARER = "is_paired AND NOT s.is_cheapest"
@@ -201,14 +212,14 @@ _OVER = "chains_with_item >= 2 AND NOT is_cheapest_item_chain"
   FROM prices p LEFT JOIN (SELECT place_id, week, chain, is_cheapest FROM savings) s ON p.place_id = s.place_id AND p.week = s.week AND p.chain = s.chain
   GROUP BY p.version, p.week, p.item"""))
 def weekly_item_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, savings = _marts(spark, sf_dir)
-    return bi.weekly_item_differences(marts.item_decomposition(items, _basket(spark, sf_dir), savings, P), savings)
+    _, savings, prices = _prices(spark, sf_dir)
+    return bi.weekly_item_differences(prices, savings)
 
 
 @query(sql(OBS, ITEMS, BASKET, AVAILABLE, select="SELECT * FROM available"))
 def item_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, baskets, _ = _marts(spark, sf_dir)
-    return bi.item_availability(baskets, items, _basket(spark, sf_dir))
+    items = written(marts.rolling_item_price(observations(spark, sf_dir), P))
+    return bi.item_availability(_baskets(spark, sf_dir, items), items, _basket(spark, sf_dir))
 
 
 @query(sql(OBS, ITEMS, BASKET, AVAILABLE, select=f"""SELECT version, week, chain, item, count(*) AS cells, count(*) FILTER (WHERE available) AS cells_with_item,
@@ -223,14 +234,14 @@ p AS (SELECT f.*, ln(basket_cost / base) AS x FROM f JOIN b USING (chain, place_
   SELECT 'v1' AS version, week, 'ALL' AS scope, count(*) AS pairs, {r("100 * exp(avg(x))")} AS index FROM p GROUP BY week
   UNION ALL SELECT 'v1', week, chain, count(*), {r("100 * exp(avg(x))")} FROM p GROUP BY week, chain"""))
 def fixed_panel_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.fixed_panel_index(_marts(spark, sf_dir)[2], P)
+    return bi.fixed_panel_index(written(_baskets(spark, sf_dir, marts.rolling_item_price(observations(spark, sf_dir), P))), P)
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, """nation_cost AS (SELECT chain, median(basket_cost) AS n FROM savings GROUP BY 1),
 h AS (SELECT place_id, chain, median(basket_cost) AS c FROM savings GROUP BY ALL HAVING count(DISTINCT week) >= 4)""", select=f"""
   SELECT place_id, count(*) AS chains, {r("100 * exp(avg(ln(c / n)))")} AS level FROM h JOIN nation_cost USING (chain) GROUP BY place_id HAVING count(*) >= 2"""))
 def price_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.price_level(_marts(spark, sf_dir)[3])
+    return bi.price_level(written(_savings(spark, sf_dir)))
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, PRICES, f"""e AS (
@@ -238,8 +249,8 @@ def price_level(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM prices p JOIN savings v USING (place_id, week, chain) WHERE NOT v.is_cheapest GROUP BY item)""", select=f"""
   SELECT item, {r("s::DOUBLE")} AS accumulated, {r("100 * s::DOUBLE / nullif((SELECT sum(s)::DOUBLE FROM e), 0)", 1)} AS pct_of_net, median_difference, pct_cells_cheaper, cells FROM e"""))
 def explain_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, savings = _marts(spark, sf_dir)
-    return bi.explain_items(marts.item_decomposition(items, _basket(spark, sf_dir), savings, P), savings)
+    _, savings, prices = _prices(spark, sf_dir)
+    return bi.explain_items(prices, savings)
 
 
 _W = f"""w AS (SELECT week, chain, count(*) AS places, {r("median(basket_cost)")} AS median_cost, count(*) FILTER (WHERE is_cheapest) AS times_cheapest FROM savings GROUP BY week, chain)"""
@@ -251,7 +262,7 @@ _W = f"""w AS (SELECT week, chain, count(*) AS places, {r("median(basket_cost)")
   FROM (SELECT 'current' AS period, * FROM w WHERE week BETWEEN DATE '1996-01-01' AND DATE '1996-12-30'
         UNION ALL SELECT 'previous', * FROM w WHERE week BETWEEN DATE '1996-01-01' - 365 AND DATE '1995-12-31') GROUP BY period, chain"""))
 def period_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bi.period_rollup(_marts(spark, sf_dir)[3], "1996-01-01", "1996-12-30")
+    return bi.period_rollup(_savings(spark, sf_dir), "1996-01-01", "1996-12-30")
 
 
 @query(sql(OBS, ITEMS, f"""m AS (SELECT item, chain, {r("median(median_price)", 4)} AS x FROM items GROUP BY ALL)""", select=f"""

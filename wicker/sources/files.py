@@ -111,7 +111,7 @@ def incremental_load(spark: SparkSession, inventory: DataFrame, ledger: DataFram
     if not files:
         return plan
     rows, bad = read_with_rejects(spark, files, columns, dialect)
-    counts = reconcile_counts(rows, inventory.join(F.broadcast(plan.where("status IN ('new', 'replaced')").select("file")), "file", "left_semi"))
+    counts = reconcile_counts(rows, inventory.join(plan.where("status IN ('new', 'replaced')").select("file"), "file", "left_semi"))
     if wrong := counts.where("NOT agrees").limit(5).collect():
         raise ValueError(f"rows don't agree with lines: {[(w.file, w.n_rows, w.n_lines) for w in wrong]}; rejected: {bad.limit(1).count()}")
     rows = rows.withColumn("source_key", F.md5("source_file"))

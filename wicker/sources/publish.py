@@ -79,6 +79,6 @@ def hash_sample(df: DataFrame, keys: list[str], strata: dict[str, int]) -> DataF
 def encode_by_catalog(df: DataFrame, column: str, catalog: DataFrame) -> DataFrame:
     """``df`` with the value's place in a catalog (value, position) instead of the
     value; a value that the catalog lacks is an error."""
-    out = df.join(F.broadcast(catalog.select(F.col("value").alias(column), "position")), column, "left")  # a catalog is a short list
+    out = df.join(catalog.select(F.col("value").alias(column), "position"), column, "left")
     place = F.when(F.col("position").isNotNull(), F.col("position")).otherwise(F.raise_error(F.concat(F.lit(f"not in the catalog of {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))).cast("int"))
     return out.withColumn(column, place).drop("position")
