@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -17,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.storage import shared_folder, written  # noqa: F401  operators take both from here
+
 #: A side of a join is broadcast only if it has at most this many rows.
 BROADCAST_ROWS = 200_000
 
@@ -24,22 +24,6 @@ BROADCAST_ROWS = 200_000
 STEP_BYTES = 1 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.  Only a
-    local session may be without one; it gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return _local_folder()
-
-
-@functools.lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="spark-shared-")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder and read back, so that its lineage
     ends there and a lost executor costs a re-read, not a re-run."""
@@ -49,15 +33,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared checkpoint folder and read back:
-    like ``cut``, but compressed and read column by column."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, key: str, *columns: Column) -> DataFrame:
     """A row for each ``key`` with the aggregates ``columns``, written in the shared
     folder as a table bucketed by ``key``: joins on ``key`` then leave it in place."""
