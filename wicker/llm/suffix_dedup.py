@@ -330,31 +330,32 @@ def compared(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # --- the whole ----------------------------------------------------------------
 
 
-def among(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
-    """The rows whose key is among ``keys`` (by, n: rows of the key at most).  Keys with
-    more than a ``BROADCAST_ROWS``-th of all rows, so at most that many keys, are known
-    to every task and spread over as many parts as they fill."""
-    total = keys.agg(F.sum("n")).first()[0] or 0
+def among(rows: DataFrame, keys: DataFrame, by: list[str], spread: str) -> DataFrame:
+    """The rows whose key is among ``keys`` (by, m: rows of the key at most; each key
+    once), with m.  Keys with more than a ``BROADCAST_ROWS``-th of all rows, so at most
+    that many keys, are known to every task and dealt by ``spread`` to as many parts as
+    they fill."""
+    total = keys.agg(F.sum("m")).first()[0] or 0
     most = max(HOT, total // BROADCAST_ROWS)
-    parts = F.ceil(F.col("n") / most)
-    hot = F.broadcast(keys.where(F.col("n") > most).select(*by, parts.alias("parts")))
-    spread = F.coalesce(F.pmod(F.xxhash64("t", "p"), "parts"), F.lit(0))
-    dealt = keys.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
-    return rows.join(hot, by, "left").withColumn("part", spread).drop("parts").join(dealt, [*by, "part"], "left_semi").drop("part")
+    parts = F.ceil(F.col("m") / most)
+    hot = F.broadcast(keys.where(F.col("m") > most).select(*by, parts.alias("parts")))
+    part = F.coalesce(F.pmod(F.xxhash64(spread), "parts"), F.lit(0))
+    dealt = keys.select(*by, "m", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    return rows.join(hot, by, "left").withColumn("part", part).drop("parts").join(dealt, [*by, "part"]).drop("part")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """Of t, text, k (a row for each different text, with its copies): t, spans
     (low and high of the ranges that repeat) for each text that has some."""
-    again = written(anchor_table(texts, contexts=False).groupBy("a").agg(F.sum("k").alias("n")).where("n > 1"))
-    found = written(among(anchor_table(texts), again, ["a"]))
+    again = written(anchor_table(texts, contexts=False).groupBy("a").agg(F.sum("k").alias("m")).where("m > 1"))
+    found = written(among(anchor_table(texts), again, ["a"], "p").drop("m"))
     classes = written(found.groupBy("a", "c").agg(F.sum("k").alias("n"), F.min(F.struct("t", "p")).alias("r")))
     # Every window of a context that comes twice is a repeat.
-    sure = among(found, classes.where("n > 1"), ["a", "c"]).select("t", _low("p").alias("low"), (_low("p") + _size("p")).cast("int").alias("high"))
+    sure = among(found, classes.where("n > 1").select("a", "c", F.col("n").alias("m")), ["a", "c"], "p").select("t", _low("p").alias("low"), (_low("p") + _size("p")).cast("int").alias("high"))
     # Different contexts of one anchor are compared.
-    mixed = classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1")
+    mixed = written(classes.groupBy("a").agg(F.count("*").alias("m")).where("m > 1"))
     x = F.struct("a", "n", "m", _left("r.p").alias("left"), _low("r.p").alias("low"), _size("r.p").alias("size"))
-    some = classes.join(mixed, "a").select(F.col("r.t").alias("t"), x.alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
+    some = among(classes, mixed, ["a"], "c").select(F.col("r.t").alias("t"), x.alias("x")).groupBy("t").agg(F.collect_list("x").alias("xs"))
 
     def fetch(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(2)
