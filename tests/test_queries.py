@@ -6,6 +6,7 @@ import os
 import unicodedata
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -25,7 +26,7 @@ def con():
 
 def rows(frame):
     frame = frame[sorted(frame.columns)].astype(object)
-    value = lambda x: None if x is None or x != x else x if isinstance(x, (int, float, bool)) else str(x).replace(" 00:00:00", "")
+    value = lambda x: None if x is None or x is pd.NA or x != x else x if isinstance(x, (int, float, bool)) else str(x).replace(" 00:00:00", "")
     return sorted(repr(tuple(map(value, r))) for r in frame.itertuples(index=False))
 
 
