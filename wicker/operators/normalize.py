@@ -144,3 +144,9 @@ def calendar(first: Column, last: Column, rows: DataFrame) -> DataFrame:
         F.extract(F.lit("YEAROFWEEK"), d).cast("int").alias("iso_year"), F.weekofyear(d).alias("iso_week"), F.date_trunc("week", d).cast("date").alias("week"),
         F.when(F.day(d) <= 15, F.trunc(d, "month")).otherwise(F.date_add(F.trunc(d, "month"), 15)).alias("fortnight"), F.trunc(d, "month").alias("month_start"),
     )
+
+
+def damaged_spellings(corrections: DataFrame, keys: DataFrame) -> DataFrame:
+    """Damaged values whose correction has one of the wanted keys (key)."""
+    found = corrections.where(F.col("value") != F.col("corrected")).withColumn("key", canonical_key("corrected"))
+    return found.join(keys.select("key").distinct(), "key", "left_semi").select("value", "corrected")

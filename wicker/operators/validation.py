@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text as T
 from ..functions.stats import rounded
 from ..params import Params
+from .normalize import NO_BRAND
 
 
 def pick_cells(savings: DataFrame, outliers: DataFrame, n: int = 6) -> DataFrame:
@@ -40,3 +42,28 @@ def compare(recomputed: DataFrame, published: DataFrame, params: Params = Params
     both = a.join(b, ["place_id", "week", "chain"], "full")
     same = (F.col("recomputed").isNull() & F.col("published").isNull()) | (F.abs(F.col("recomputed") - F.col("published")) <= params.cost_tolerance)
     return both.withColumn("agrees", F.coalesce(same, F.lit(False)))
+
+
+def recompute_from_raw(raw: DataFrame, rules: DataFrame, parsed: DataFrame) -> DataFrame:
+    """place, week, chain, cost, n_items from raw lines and no table of the star
+    schema: each line's date by any format, keys, package and rule (the first that
+    fits), equal lines of a day once, median of the window times quantity.
+    ``rules``: key, unit, include, exclude, item_id, quantity; ``parsed``: package_key
+    with its reading."""
+    price = F.col("price").try_cast("decimal(12,2)").cast("double")
+    lines = raw.select(
+        T.canonical_key("product").alias("product"), T.canonical_key("package").alias("package_key"), T.canonical_key("brand").alias("brand"), price.alias("price"), T.parse_date_any(F.col("day")).alias("date"),
+        F.concat_ws("|", *[F.coalesce(T.canonical_key(c), F.lit("")) for c in ("store", "address", "state", "municipality")]).alias("store"),
+        F.concat_ws("|", T.canonical_key("state"), T.canonical_key("municipality")).alias("place"), T.canonical_key("chain").alias("chain"),
+    ).where(F.col("price").isNotNull() & F.col("date").isNotNull())
+    none = F.col("brand").isin(*NO_BRAND) | F.col("brand").isNull()
+    lines = lines.withColumn("brand", F.when(none, "SIN MARCA").otherwise(F.col("brand")))
+    r = rules.select(F.col("key").alias("r_key"), "unit", "include", "exclude", "item_id", "quantity")
+    meets = (F.col("product") == F.col("r_key")) & (F.col("base_unit") == F.col("unit")) & F.call_function("rlike", F.col("package_key"), F.col("include")) & ~F.coalesce(F.call_function("rlike", F.col("package_key"), F.col("exclude")), F.lit(False))
+    read = parsed.where("is_comparable").select("package_key", "base_unit", "content")
+    named = lines.join(read, "package_key").join(r, meets)
+    once = named.groupBy("product", "package_key", "brand", "store", "place", "chain", "date", "price").agg(F.min(F.struct("item_id", "quantity", "content")).alias("m"))
+    monday = F.date_sub("date", F.weekday("date"))
+    windows = once.select("place", "chain", "m.item_id", "m.quantity", rounded(F.col("price") / F.col("m.content"), 4).alias("unit_price"), F.explode(F.array(monday, F.date_add(monday, 7))).alias("week"))
+    per = windows.groupBy("place", "week", "chain", "item_id", "quantity").agg((F.percentile("unit_price", 0.5) * F.col("quantity")).alias("cost"))
+    return per.groupBy("place", "week", "chain").agg(rounded(F.sum("cost")).alias("cost"), F.count("*").alias("n_items"))
