@@ -172,3 +172,67 @@ def test_publish(spark, tmp_path):
     assert publish.encode_by_catalog(df.where("n < 9"), "n", catalog).count() == 9
     with pytest.raises(Exception, match="not in the catalog"):
         publish.encode_by_catalog(df, "n", catalog).collect()
+
+
+def test_load_with_ledger(spark, tmp_path):
+    columns = ["name", "price", "day"]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put = lambda name, *rows: (folder / name).write_text("\n".join(["name,price,day", *rows]) + "\n")
+    put("a.csv", "x,1,2024/01/02", "y,2,2024/01/03")
+    put("b.csv", "z,3,02/01/2024")
+    seen = lambda: files.file_inventory(spark, str(folder / "*.csv"))
+    ledger, target = str(tmp_path / "ledger"), str(tmp_path / "out")
+    load = lambda: {r.file[-5:]: r.status for r in files.load_with_ledger(spark, seen(), ledger, target, columns).collect()}
+    names = lambda: sorted(r.name for r in spark.read.parquet(target).collect())
+    assert load() == {"a.csv": "new", "b.csv": "new"} and names() == ["x", "y", "z"]
+    assert load() == {"a.csv": "unchanged", "b.csv": "unchanged"} and {r.n_rows for r in files.read_ledger(spark, ledger).collect()} == {1, 2}
+    put("a.csv", "w,1,2024/01/02")
+    assert load() == {"a.csv": "replaced", "b.csv": "unchanged"} and names() == ["w", "z"]
+    (folder / "b.csv").unlink()
+    assert load() == {"a.csv": "unchanged", "b.csv": "gone"} and names() == ["w"]
+    assert load() == {"a.csv": "unchanged"}
+    put("c.csv", '"two', 'lines",1,2024/01/02')
+    with pytest.raises(ValueError, match="agree"):
+        load()
+    assert names() == ["w"] and [r.state for r in spark.read.parquet(f"{ledger}_runs").orderBy("at").collect()][-2:] == ["running", "failed"]
+
+
+def test_physical_profile_and_versions(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,price,day\n"a, b",1,2024/01/02\nc,2,03/01/2024\nd,2\ne,2,x,y\n')
+    path = [str(tmp_path / "a.csv")]
+    got = {r.date_format: (r.n_rows, r.n_bad_width) for r in files.physical_profile(spark, path, ["name", "price", "day"], "day").collect()}
+    assert got["yyyy/mm/dd"] == (1, 0) and got["dd/mm/yyyy"] == (1, 0) and sum(n for n, _ in got.values()) == 4 and sum(b for _, b in got.values()) == 2
+    good, bad = files.read_with_rejects(spark, path, ["name", "price", "day"])
+    assert good.count() == 2 and {(r.line, r.n_fields, r.error) for r in bad.collect()} == {("d,2", 2, "too few fields"), ("e,2,x,y", 4, "too many fields")}
+    assert files.file_inventory(spark, path[0]).first().quotes == 2
+    v = lambda *rows: spark.createDataFrame(rows, "file string, sha256 string")
+    new, old = v(("a", "1"), ("b", "2"), ("c", "3")), v(("a", "1"), ("b", "9"), ("d", "4"))
+    assert {r.file: r.state for r in files.classify_versions(new, old).collect()} == {"a": "unchanged", "b": "pending", "c": "new", "d": "absent"}
+    assert {r.file: r.state for r in files.classify_versions(new, old, replace=True).collect()}["b"] == "replaced"
+    assert files.merged_by_name(new, new.withColumn("note", F.lit("x"))).where("note IS NULL").count() == 3
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("á", 1), (None, 2)], "value string, n int")
+    publish.save_tables({"t": df}, str(tmp_path / "tables"))
+    assert publish.load_tables(spark, str(tmp_path / "tables"), ["t"])["t"].count() == 2
+    publish.save_mapping(df, str(tmp_path / "map"))
+    assert {r.value for r in files.load_seed(spark, str(tmp_path / "map"), "value string, n int").collect()} == {"á", None}
+    assert publish.Layer().keep(spark, "a_view", df).count() == publish.Layer(str(tmp_path)).keep(spark, "a_table", df).count() == 2
+    weeks = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 3))], "week date, date date")
+    row = publish.publication_metadata(weeks, weeks, spark.createDataFrame([("f", 5)], "file string, n_rows long"), "v1").first()
+    assert (row.last_week, row.last_date, row.n_files, row.n_rows, row.version) == (dt.date(2024, 1, 1), dt.date(2024, 1, 3), 1, 5, "v1")
+
+
+def test_quantiles_of_all(spark):
+    import numpy as np
+
+    from wicker.functions.stats import quantiles_of_all
+
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(0, 10, 500).round(2), np.r_[rng.integers(0, 5, 300), 1e9], np.array([4.0]), np.repeat(2.0, 9)):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+        got = quantiles_of_all(df, "x", {"a": 0.01, "b": 0.5, "c": 0.99}, pieces=16).first()
+        assert np.allclose([got.a, got.b, got.c], np.quantile(values, [0.01, 0.5, 0.99]))
+    assert quantiles_of_all(df.limit(0), "x", {"a": 0.5}).first().a is None

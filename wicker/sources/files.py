@@ -5,12 +5,18 @@ Files are inspected by Spark readers only, so any store that Spark reads will do
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.storage import written
+from ..functions.text import date_format_of
+
 def _western() -> tuple[str, str]:
     """Characters that windows-1252 has where ISO-8859-1 has controls."""
     pairs = [(chr(b), bytes([b]).decode("windows-1252", "ignore")) for b in range(0x80, 0xA0)]
@@ -31,8 +37,8 @@ class Dialect:
 
 
 def file_inventory(spark: SparkSession, pattern: str) -> DataFrame:
-    """file, bytes, crc32, sha256, bom, encoding, lines, crlf, header, delimiter: a
-    row for each file.  The reader takes a whole file as one row, so a file over
+    """file, bytes, crc32, sha256, bom, encoding, lines, crlf, quotes, header,
+    delimiter: a row for each file.  The reader takes a whole file as one row, so a file over
     2 GB is an error: split it first."""
     raw = spark.read.format("binaryFile").load(pattern)
     c = F.col("content")
@@ -47,7 +53,7 @@ def file_inventory(spark: SparkSession, pattern: str) -> DataFrame:
     delimiter = F.max_by(F.col("d.c"), F.col("d.n"))
     rows = raw.select(
         F.col("path").alias("file"), F.col("length").alias("bytes"), F.crc32(c).alias("crc32"), F.sha2(c, 256).alias("sha256"), bom.alias("bom"), encoding.alias("encoding"),
-        lines.cast("long").alias("lines"), body.contains("\r\n").alias("crlf"), header.alias("header"), F.array(*[F.struct(F.lit(x).alias("c"), times(x).alias("n")) for x in (",", ";", "\t", "|")]).alias("ds"),
+        lines.cast("long").alias("lines"), body.contains("\r\n").alias("crlf"), (F.length(body) - F.length(F.replace(body, F.lit('"'), F.lit("")))).cast("long").alias("quotes"), header.alias("header"), F.array(*[F.struct(F.lit(x).alias("c"), times(x).alias("n")) for x in (",", ";", "\t", "|")]).alias("ds"),
     )
     best = rows.select("file", F.explode("ds").alias("d")).groupBy("file").agg(delimiter.alias("delimiter"))
     return rows.drop("ds").join(best, "file")
@@ -77,12 +83,16 @@ def read_text_table(spark: SparkSession, files: list[str], columns: list[str], d
 
 
 def read_with_rejects(spark: SparkSession, files: list[str], columns: list[str], dialect: Dialect = Dialect()) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit, and lines that don't with their file."""
+    """Rows that fit; and of lines that don't the file, the line, how many fields it
+    has and what is wrong.  Readers of splits know no line numbers."""
     rows = read_text_table(spark, files, columns, dialect)
     # Naming all columns makes the parser look at whole lines whatever is selected.
     whole = F.length(F.concat_ws("", *columns)) >= 0
+    fields = F.split(F.col("_corrupt"), F.concat(F.lit(r"\Q"), F.lit(dialect.delimiter), F.lit(r'\E(?=(?:[^"]*"[^"]*")*[^"]*$)')))
     good = rows.where(F.col("_corrupt").isNull() & whole).drop("_corrupt")
-    return good, rows.where(F.col("_corrupt").isNotNull() & whole).select("source_file", F.col("_corrupt").alias("line"))
+    return good, rows.where(F.col("_corrupt").isNotNull() & whole).select(
+        "source_file", F.col("_corrupt").alias("line"), F.size(fields).alias("n_fields"), F.when(F.size(fields) < len(columns), "too few fields").when(F.size(fields) > len(columns), "too many fields").otherwise("not readable").alias("error")
+    )
 
 
 def reconcile_counts(rows: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -102,11 +112,82 @@ def load_plan(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     return a.join(b, "file", "full").select("file", status.alias("status"))
 
 
+def physical_profile(spark: SparkSession, files: list[str], columns: list[str], date: str, dialect: Dialect = Dialect()) -> DataFrame:
+    """source_file, date_format, n_rows, n_bad_width: rows by the format of their
+    date, and lines with another number of fields."""
+    rows = read_text_table(spark, files, columns, dialect)
+    bad = F.col("_corrupt").isNotNull()
+    whole = F.length(F.concat_ws("", *columns)) >= 0  # as in ``read_with_rejects``
+    return rows.where(whole | bad).groupBy("source_file", date_format_of(F.col(date)).alias("date_format")).agg(F.count("*").alias("n_rows"), F.count_if(bad).alias("n_bad_width"))
+
+
+def classify_versions(incoming: DataFrame, known: DataFrame, replace: bool = False) -> DataFrame:
+    """file, state of each incoming or known file (file, sha256): new, unchanged,
+    replaced (with ``replace``), pending (a new version that waits for a decision) or
+    absent."""
+    a, b = incoming.select("file", F.col("sha256").alias("now")), known.select("file", F.col("sha256").alias("then"))
+    state = F.when(F.col("then").isNull(), "new").when(F.col("now").isNull(), "absent").when(F.col("now") == F.col("then"), "unchanged").otherwise("replaced" if replace else "pending")
+    return a.join(b, "file", "full").select("file", state.alias("state"))
+
+
+LEDGER = "file string, crc32 long, bytes long, encoding string, bom boolean, lines long, n_rows long, load_id string, loaded timestamp"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The latest entry of each file of a ledger; empty where there is none yet.
+    Files that were gone at their last load are left out."""
+    try:
+        rows = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+    entry = F.struct("load_id", "crc32", "bytes", "encoding", "bom", "lines", "n_rows", "loaded")
+    latest = rows.groupBy("file").agg(F.max_by(entry, F.struct("loaded", "load_id")).alias("e")).select("file", "e.*")
+    return latest.where("crc32 IS NOT NULL")
+
+
+def load_with_ledger(spark: SparkSession, inventory: DataFrame, ledger_path: str, target: str, columns: list[str], dialect: Dialect = Dialect()) -> DataFrame:
+    """An incremental load that reads the ledger before and appends to it after: new
+    and changed files with their rows, gone files as such.  A second run over the
+    same files does nothing.  The load's own entry goes to ``<ledger>_runs``, begun
+    before and ended after, also if it fails."""
+    load = uuid.uuid4().hex
+    runs = lambda state, loaded=0, message=None: spark.createDataFrame([(load, state, loaded, message)], "load_id string, state string, n_files int, message string").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{ledger_path}_runs")
+    runs("running")
+    ledger = written(read_ledger(spark, ledger_path))  # the file that is appended to below
+    try:
+        plan = written(incremental_load(spark, inventory, ledger, target, columns, dialect))
+    except ValueError as error:
+        runs("failed", 0, str(error))
+        raise
+    fresh = plan.where("status IN ('new', 'replaced')")
+    if n := fresh.count():
+        counts = spark.read.parquet(target).groupBy(F.col("source_file").alias("file")).agg(F.count("*").alias("n_rows"))
+        entry = inventory.join(fresh.select("file"), "file", "left_semi").join(counts, "file", "left")
+        entry.select("file", "crc32", "bytes", "encoding", "bom", "lines", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(load).alias("load_id"), F.current_timestamp().alias("loaded")).write.mode("append").parquet(ledger_path)
+    gone = plan.where("status = 'gone'").select("file", F.lit(load).alias("load_id"), F.current_timestamp().alias("loaded"))
+    if not gone.isEmpty():
+        spark.createDataFrame([], LEDGER).unionByName(gone, allowMissingColumns=True).write.mode("append").parquet(ledger_path)
+    runs("ok", n)
+    return plan
+
+
+def merged_by_name(*tables: DataFrame) -> DataFrame:
+    """Rows of several tables by column name; columns that one lacks are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def incremental_load(spark: SparkSession, inventory: DataFrame, ledger: DataFrame, target: str, columns: list[str], dialect: Dialect = Dialect()) -> DataFrame:
     """Loads new and changed files into ``target``, a folder for each source file, and
     returns the plan.  A file whose rows don't agree with its lines stops the load
-    before anything is written.  Unchanged files are not read."""
+    before anything is written.  Unchanged files are not read.  Rows of files that
+    are gone go too."""
     plan = load_plan(inventory, ledger)
+    gone = [x.file for x in plan.where("status = 'gone'").select("file").toLocalIterator()]
+    if gone:
+        dropped = spark.createDataFrame([(g,) for g in gone], "source_file string").withColumn("source_key", F.md5("source_file"))
+        _empty_folders(spark, target, [x.source_key for x in dropped.collect()])
     files = [x.file for x in plan.where("status IN ('new', 'replaced')").select("file").toLocalIterator()]  # names of one load
     if not files:
         return plan
@@ -119,6 +200,14 @@ def incremental_load(spark: SparkSession, inventory: DataFrame, ledger: DataFram
     return plan
 
 
+def _empty_folders(spark: SparkSession, target: str, keys: list[str]) -> None:
+    """Removes the folders of some source files, wherever ``target`` is stored."""
+    jvm = spark._jvm
+    for key in keys:
+        path = jvm.org.apache.hadoop.fs.Path(f"{target}/source_key={key}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def verify_manifest(actual: DataFrame, declared: DataFrame) -> DataFrame:
     """file, status: intact, corrupt, missing or undeclared, by SHA-256 and size."""
     a = actual.select("file", F.col("sha256").alias("now"), F.col("bytes").alias("size"))

@@ -59,6 +59,42 @@ def publish(spark: SparkSession, specs: list[PublishSpec], target: str) -> dict[
     return counts
 
 
+def publication_metadata(week: DataFrame, dates: DataFrame, files: DataFrame, version: str) -> DataFrame:
+    """One row: version, last week, last date, source files and their rows."""
+    out = week.agg(F.max("week").alias("last_week")).crossJoin(F.broadcast(dates.agg(F.max("date").alias("last_date"))))
+    return out.crossJoin(F.broadcast(files.agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows")))).withColumn("version", F.lit(version))
+
+
+def save_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each table as Parquet under its name."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def load_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
+
+
+def save_mapping(df: DataFrame, path: str) -> None:
+    """A mapping or a review queue as delimited text with a header, nulls as empty."""
+    df.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+
+
+@dataclass(frozen=True)
+class Layer:
+    """How a layer's tables are kept: as views, or as Parquet in ``folder``."""
+
+    folder: str | None = None
+
+    def keep(self, spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+        if self.folder is None:
+            df.createOrReplaceTempView(name)
+            return spark.table(name)
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+
 def published(spark: SparkSession, target: str, name: str) -> DataFrame:
     """A table of the latest version."""
     log = spark.read.parquet(f"{target}/log")
