@@ -657,6 +657,43 @@ def test_mil(spark, docs):
     assert quality_mil.score_documents(docs, none).where("score <> 0.5").count() == 0
 
 
+def test_mil_forward_and_training_against_loops(monkeypatch):
+    """Scores by plain loops over passages; one step of training goes down the slope
+    that differences of the loss give."""
+    rng = np.random.default_rng(21)
+    bags = np.array([1, 4, 2, 3, 6])
+    x = rng.normal(0, 1, (bags.sum(), quality_mil.N_FEATURES))
+    labels = np.array([0.0, 1, 1, 0, 1])
+
+    def loop(model):
+        w, out, at = model.w, [], 0
+        for n in bags:
+            h = [np.tanh(model.scaled(p) @ w["encode"] + w["shift"]) for p in x[at : at + n]]
+            e = [math.exp((np.tanh(v @ w["V"]) * (1 / (1 + np.exp(-(v @ w["U"]))))) @ w["gate"]) for v in h]
+            z = sum(k * v for k, v in zip(e, h, strict=True)) / sum(e)
+            out.append(1 / (1 + math.exp(-(z @ w["score"] + w["bias"]))))
+            at += n
+        return np.array(out)
+
+    loss = lambda p: -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+    losses, models = [], []
+    for rounds in (0, 3, 4, 60):
+        monkeypatch.setattr(quality_mil, "ROUNDS", rounds)
+        models.append(quality_mil.train(x, bags, labels))
+        assert np.allclose(models[-1].score(x, bags), loop(models[-1]))
+        losses.append(loss(loop(models[-1])))
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.5 * losses[0]
+    # The first step from a trained state moves each weight against its slope.
+    monkeypatch.setattr(quality_mil, "ROUNDS", 1)
+    start = quality_mil.train(x, bags, labels)
+    monkeypatch.setattr(quality_mil, "ROUNDS", 0)
+    zero = quality_mil.train(x, bags, labels)
+    for k in range(quality_mil.HIDDEN):
+        moved = quality_mil.Model(zero.centre, zero.scale, {**zero.w, "score": zero.w["score"] + 1e-6 * (np.arange(quality_mil.HIDDEN) == k)})
+        slope = (loss(loop(moved)) - loss(loop(zero))) / 1e-6
+        assert abs(slope) < 1e-6 or np.sign(start.w["score"][k] - zero.w["score"][k]) == -np.sign(slope)
+
+
 # --- 10 --------------------------------------------------------------------------
 
 
