@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .dimension_queries import CATALOG_MAP, SEEDS, SKUS, Star, basket_seed, catalog_seed
+from .dimension_queries import CATALOG_MAP, SEEDS, SKUS, Star
 from .functions import text as T
-from .functions.stats import rounded
 from .functions.storage import written
-from .more_queries import _FORMS, _by_form, _packages
+from .more_queries import _by_form, _packages
 from .operators import dimensions as D
 from .operators import packages, profile, quality
 from .plans import bi, marts

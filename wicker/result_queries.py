@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import more_queries as more
 from . import queries as Q
-from .dimension_queries import BASKET_OBS, CATALOG_MAP, CONSOLIDATED, FACT, PRODUCTS, SEEDS, SKUS, STORE_DIM, STORES, Star, basket_seed, chain_seed, iso_seed
+from .dimension_queries import BASKET_OBS, CATALOG_MAP, CONSOLIDATED, FACT, PRODUCTS, SEEDS, SKUS, STORE_DIM, STORES, Star, basket_seed, chain_seed
 from .functions.storage import written
 from .functions.text import canonical_key
 from .operators import dimensions as D
