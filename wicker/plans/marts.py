@@ -35,11 +35,10 @@ def consolidate(obs: DataFrame, keys: list[str], price: str, bit: str) -> DataFr
 
 
 def rolling_weeks(df: DataFrame, previous: int, week: str = "week") -> DataFrame:
-    """Every row in its own week and the ``previous`` next ones, so that a group by
-    week spans a window; weeks after the last observed one are cut."""
-    last = df.agg(F.max(week).alias("last_week"), F.min(week).alias("first_week"))
-    moved = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(previous)))).withColumn(week, F.date_add(week, F.col("k") * 7)).drop("k")
-    return one_row(moved, last).where(F.col(week) <= F.col("last_week")).drop("last_week")
+    """Every row in its own week (with ``own``) and the ``previous`` next ones, so that
+    a group by week spans a window."""
+    moved = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(previous))))
+    return moved.withColumns({week: F.date_add(week, F.col("k") * 7), "own": F.col("k") == 0}).drop("k")
 
 
 def distinct(column: str) -> Column:
@@ -49,17 +48,25 @@ def distinct(column: str) -> Column:
 
 
 def rolling_item_price(obs: DataFrame, params: Params = Params()) -> DataFrame:
-    """Per chain, place, week and item, over the week and the previous ones."""
+    """Per chain, place, week and item, over the week and the previous ones; weeks
+    after the last observed one are cut.  Written before that cut, so that the first
+    and the last week don't cost another pass over the observations."""
     rows = rolling_weeks(obs.select(*CELL, "item", "unit_price", "store_id", "product_id", "date"), params.previous_weeks)
-    return rows.groupBy(*CELL, "item", "first_week").agg(
-        F.median("unit_price").alias("median_price"),
-        F.min("unit_price").alias("min_price"),
-        F.max("unit_price").alias("max_price"),
-        F.count("*").alias("n_observations"),
-        distinct("store_id").alias("n_stores"),
-        distinct("product_id").alias("n_products"),
-        distinct("date").alias("n_days"),
-    ).withColumn("window_complete", F.date_sub("week", 7 * params.previous_weeks) >= F.col("first_week")).drop("first_week")
+    cells = written(
+        rows.groupBy(*CELL, "item").agg(
+            F.median("unit_price").alias("median_price"),
+            F.min("unit_price").alias("min_price"),
+            F.max("unit_price").alias("max_price"),
+            F.count("*").alias("n_observations"),
+            distinct("store_id").alias("n_stores"),
+            distinct("product_id").alias("n_products"),
+            distinct("date").alias("n_days"),
+            F.bool_or("own").alias("own"),
+        )
+    )
+    ends = cells.where("own").agg(F.min("week").alias("first_week"), F.max("week").alias("last_week"))
+    complete = F.date_sub("week", 7 * params.previous_weeks) >= F.col("first_week")
+    return one_row(cells, ends).where("week <= last_week").withColumn("window_complete", complete).drop("own", "first_week", "last_week")
 
 
 def basket_cost(items: DataFrame, basket: DataFrame, params: Params = Params()) -> DataFrame:

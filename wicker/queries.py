@@ -110,8 +110,8 @@ def _savings(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -
 
 
 def _prices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """items, savings (both written) and their decomposition."""
-    items = written(marts.rolling_item_price(observations(spark, sf_dir), P))
+    """items, savings (written) and their decomposition."""
+    items = marts.rolling_item_price(observations(spark, sf_dir), P)
     savings = written(_savings(spark, sf_dir, items))
     return items, savings, marts.item_decomposition(items, _basket(spark, sf_dir), savings, P)
 
@@ -218,7 +218,7 @@ def weekly_item_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql(OBS, ITEMS, BASKET, AVAILABLE, select="SELECT * FROM available"))
 def item_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = written(marts.rolling_item_price(observations(spark, sf_dir), P))
+    items = marts.rolling_item_price(observations(spark, sf_dir), P)
     return bi.item_availability(_baskets(spark, sf_dir, items), items, _basket(spark, sf_dir))
 
 

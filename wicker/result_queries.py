@@ -254,7 +254,7 @@ c AS (SELECT scenario, chain, place_id, week, count(*) = any_value(size) AS f FR
 k AS (SELECT scenario, count(*) AS place_weeks, count(DISTINCT place_id) AS places FROM (SELECT scenario, place_id, week FROM c WHERE f GROUP BY ALL HAVING count(*) >= 2) GROUP BY 1)
 SELECT x.*, coalesce(place_weeks, 0) AS place_weeks, coalesce(places, 0) AS places FROM (SELECT scenario, 'ALL' AS chain, count(*) AS n_cells, {_PCT("f")} AS pct_complete FROM c GROUP BY scenario UNION ALL SELECT scenario, chain, count(*), {_PCT("f")} FROM c GROUP BY scenario, chain) x LEFT JOIN k USING (scenario)""")
 def compositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = written(marts.rolling_item_price(observations(spark, sf_dir), P))
+    items = marts.rolling_item_price(observations(spark, sf_dir), P)
     return feasibility.compositions(items, spark.createDataFrame(_SCENARIOS, "scenario string, item string"))
 
 
@@ -300,3 +300,10 @@ def recomputed_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = again.crossJoin(F.broadcast(last)).where("week <= last").drop("last")
     both = validation.compare(again, published, P)
     return both.join(out, ["place_id", "chain", "week"], "left_anti")
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n_lines, any_value(substr(l_returnflag, 1, 1)) AS flag, count(*) FILTER (WHERE l_linestatus IS DISTINCT FROM 'O') AS n_not_open FROM lineitem GROUP BY ALL ORDER BY ALL")
+def lines_by_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grouped and ordered by all columns that are no aggregates."""
+    select = "SELECT l_returnflag, l_linestatus, count(*) AS n_lines, any_value(substr(l_returnflag, 1, 1)) AS flag, count(*) FILTER (WHERE l_linestatus IS DISTINCT FROM 'O') AS n_not_open FROM {lines} GROUP BY ALL ORDER BY ALL"
+    return spark.sql(select, lines=table(spark, sf_dir, "lineitem"))
