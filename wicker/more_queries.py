@@ -192,7 +192,7 @@ SELECT id, 'error' AS severity, CASE WHEN id IN ('R-04', 'R-06') THEN '==' ELSE
   SELECT 'R-02' AS id, 0.1::DOUBLE AS threshold, a::DOUBLE AS value FROM m UNION ALL SELECT 'R-03', 0.01, b FROM m UNION ALL SELECT 'R-04', 0, c FROM m UNION ALL SELECT 'R-05', 0, d FROM m UNION ALL SELECT 'R-06', 0, e FROM m)""")
 def rules_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    rules = quality.raw_rules(F.col("o_totalprice"), F.col("o_orderdate").cast("date"), [F.col("o_orderstatus"), F.col("o_orderpriority")], F.to_date(F.lit("2026-01-01")))
+    rules = quality.raw_rules(F.col("o_totalprice"), F.col("o_orderdate").cast("date"), [F.col("o_orderstatus"), F.col("o_orderpriority")], F.to_date(F.lit("2026-01-01")), earliest="1990-01-01")
     return quality.evaluate_rules(orders, rules)
 
 
