@@ -57,13 +57,17 @@ PLAIN = ("required", "expired", "invalid", "below", "none", "changed", "manageme
 WORDS = ("passw", "secret", "token", "api")
 #: Texts with a find of the rules, and as many without, that the field is trained on,
 #: and secrets and decoys planted into each.
-TRAIN_TEXTS = 300
+TRAIN_TEXTS = 250
 PLANTED, DECOYS = 3, 6
 SEGMENT = 16
+NEAR = 600  # characters around what is planted
 FEATURES = 1 << 13
-#: Features of a token: six of its own, of three neighbours each, two of the text.
-WIDTH = 26
-ROUNDS, RATE = 40, 0.2
+#: Features of a token, by column: at most six of its own, of three neighbours each,
+#: two of the text.
+GROUPS = (0, 6, 12, 18, 24, 26)
+WIDTH = GROUPS[-1]
+ROUNDS, RATE = 50, 0.35
+SECRET_WEIGHT = 6.0  # of a training window with a secret
 REMEMBERED = 1 << 20
 B, I, O = 0, 1, 2
 
@@ -162,16 +166,21 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(slots: np.ndarray, tags: np.ndarray, weight_of: np.ndarray) -> Field:
-    """Maximum likelihood for segments: slots (segments, tokens, features), tags
-    (segments, tokens); by forward-backward sums and Adagrad steps."""
+    """Maximum likelihood for segments: slots (segments, tokens, features; FEATURES
+    for none), tags (segments, tokens); by forward-backward sums and Adagrad steps."""
     n, length, width = slots.shape
     weight, move = np.zeros((FEATURES, 3)), np.zeros((3, 3))
     grad_w, grad_m = np.full_like(weight, 1e-3), np.full_like(move, 1e-3)
     gold = np.eye(3)[tags] * weight_of[:, None, None]
     gold_moves = np.einsum("sti,stj->ij", gold[:, :-1], np.eye(3)[tags[:, 1:]])
-    flat = slots.ravel()
+    # Few kinds of tokens stand in each role: their sums are worked out once a round.
+    flat = slots.reshape(n * length, width)
+    ends = GROUPS if width == WIDTH else (0, width)
+    kinds = [np.unique(flat[:, a:b], axis=0, return_inverse=True) for a, b in zip(ends, ends[1:], strict=False)]
+    kinds = [(rows, of.ravel()) for rows, of in kinds]
     for _ in range(ROUNDS):
-        emit = weight[slots].sum(2)
+        padded = np.concatenate([weight, np.zeros((1, 3))])
+        emit = sum(padded[rows].sum(1)[of] for rows, of in kinds).reshape(n, length, 3)
         ahead, behind = np.empty_like(emit), np.zeros_like(emit)
         ahead[:, 0] = emit[:, 0]
         for t in range(1, length):
@@ -182,8 +191,11 @@ def train(slots: np.ndarray, tags: np.ndarray, weight_of: np.ndarray) -> Field:
         belief = np.exp(ahead + behind - total[:, None, None]) * weight_of[:, None, None]
         pair = np.exp(ahead[:, :-1, :, None] + move + (emit + behind)[:, 1:, None, :] - total[:, None, None, None])
         moves = (pair * weight_of[:, None, None, None]).sum((0, 1))
-        error = ((gold - belief) / n).reshape(-1, 3).repeat(width, 0)
-        gw = np.stack([np.bincount(flat, error[:, y], FEATURES) for y in range(3)], 1) - 1e-5 * weight
+        error = ((gold - belief) / n).reshape(-1, 3)
+        gw = -1e-5 * weight
+        for rows, of in kinds:
+            for y in range(3):
+                gw[:, y] += np.bincount(rows.ravel(), np.bincount(of, error[:, y], len(rows)).repeat(rows.shape[1]), FEATURES + 1)[:FEATURES]
         gm = (gold_moves - moves) / n - 1e-4 * move
         grad_w += gw**2
         grad_m += gm**2
@@ -311,7 +323,7 @@ def _plain_value(rng: np.random.Generator, words: list[str]) -> str:
 def planted(text: str, rng: np.random.Generator, secret: bool, keys: tuple[str, ...] = KEYS, ties: tuple[str, ...] = TIES) -> tuple[str, int, int]:
     """``text`` with a secret, or with a decoy, put in between two words, and the
     span of its value."""
-    words = [w for w in re.findall(r"[^\W\d_]+", text[:4000]) if w.lower() not in CONTEXT] or list(PLAIN)
+    words = [w for w in re.findall(r"[^\W\d_]+", text) if w.lower() not in CONTEXT] or list(PLAIN)
     tie = str(rng.choice(ties))
     if secret:
         key, value = str(rng.choice(keys)), secret_value(rng)
@@ -334,11 +346,11 @@ def value_spans(text: str) -> list[tuple[int, int]]:
     return [(ASSIGN.match(text, a).start(2) if kind == 0 else a, b) for a, kind, b in base_spans(text)]
 
 
-def _windows(text: str, spans: list[tuple[int, int]], centres: list[int], slots: list, tags: list) -> None:
-    """Windows around places of a text, with the features and tags of their tokens."""
+def _windows(text: str, spans: list[tuple[int, int]], centres: list[int], whole: tuple[int, ...], slots: list, tags: list) -> None:
+    """Windows around places of a text (or of a part of one whose features are
+    ``whole``), with the features and tags of their tokens."""
     at = [m.span() for m in TOKEN.finditer(text)]
     tokens = [text[a:b] for a, b in at]
-    whole = text_features(tokens)
     tag = np.full(max(len(at), SEGMENT), O)
     starts = np.array([a for a, _ in at])
     for a, b in spans:
@@ -357,7 +369,7 @@ def _windows(text: str, spans: list[tuple[int, int]], centres: list[int], slots:
     for c in centres:
         i = max(0, int(np.searchsorted(starts, c, "right")) - 1)
         s = max(0, min(i - SEGMENT // 2, len(tokens) - SEGMENT))
-        slots.append([pick(k, "own") + pick(k + 1, "next") + pick(k - 1, "last") + pick(k - 2, "before") + whole for k in range(s, s + SEGMENT)])
+        slots.append([(pick(k, "own"), pick(k + 1, "next"), pick(k - 1, "last"), pick(k - 2, "before"), whole) for k in range(s, s + SEGMENT)])
         tags.append(tag[s : s + SEGMENT])
 
 
@@ -369,15 +381,18 @@ def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not TOKEN.search(text):
             continue
         rng = np.random.default_rng(int(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16))
+        whole = text_features(TOKEN.findall(text))
         own = value_spans(text)
-        _windows(text, own, [a for a, _ in own[:3]] + rng.integers(0, len(text), 2).tolist(), slots, tags)
+        _windows(text, own, [a for a, _ in own[:3]] + rng.integers(0, len(text), 2).tolist(), whole, slots, tags)
         for k in range(PLANTED + DECOYS):
-            new, a, b = planted(text[:20000], rng, secret=k < PLANTED)
-            _windows(new, value_spans(new) + [(a, b)] * (k < PLANTED), [a], slots, tags)
-    out = np.full((len(slots), SEGMENT, WIDTH), _slot("pad"), np.int64)
+            start = int(rng.integers(0, max(1, len(text) - NEAR)))  # a window needs no more around it
+            new, a, b = planted(text[start : start + NEAR], rng, secret=k < PLANTED)
+            _windows(new, value_spans(new) + [(a, b)] * (k < PLANTED), [a], whole, slots, tags)
+    out = np.full((len(slots), SEGMENT, WIDTH), FEATURES, np.int64)
     for a, rows in enumerate(slots):
-        for b, r in enumerate(rows):
-            out[a, b, : len(r)] = r
+        for b, groups in enumerate(rows):
+            for at, r in zip(GROUPS, groups, strict=False):
+                out[a, b, at : at + len(r)] = r
     return out, np.array(tags).reshape(-1, SEGMENT)
 
 
@@ -411,12 +426,13 @@ def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
         return pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array([x.astype(np.int8).tobytes() for x in tags], pa.binary())], ["slots", "tags"])
 
     source = chosen.where(inside).select("text").distinct()
+    source = source.repartition(docs.sparkSession.sparkContext.defaultParallelism)  # a few texts with much work each
     got = map_batches(source, windows, "slots binary, tags binary").orderBy("slots", "tags").toArrow()
     if not got.num_rows:
         return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
     slots = np.stack([np.frombuffer(x, np.int16).reshape(SEGMENT, WIDTH) for x in got.column(0).to_pylist()]).astype(np.int64)
     tags = np.stack([np.frombuffer(x, np.int8) for x in got.column(1).to_pylist()]).astype(np.int64)
-    return train(slots, tags, np.ones(len(slots)))
+    return train(slots, tags, np.where((tags != O).any(1), SECRET_WEIGHT, 1.0))
 
 
 _TAGGERS: dict[bytes, Tagger] = {}
