@@ -35,11 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 def bucketed(df: DataFrame, key: str, *columns: Column) -> DataFrame:
     """A row for each ``key`` with the aggregates ``columns``, written in the shared
-    folder as a table bucketed by ``key``: joins on ``key`` then leave it in place."""
+    folder as a table bucketed by ``key``: joins on ``key`` then leave it in place.  Rows
+    of a key are combined before they move, and the grouping deals them as the buckets
+    do, so each bucket is one file."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"wicker_{uuid.uuid4().hex}"
-    rows = df.repartition(buckets, key).groupBy(key).agg(*columns)
+    rows = df.groupBy(key).agg(*columns)
     rows.write.bucketBy(buckets, key).option("path", f"{shared_folder(spark)}/tables/{name}").option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
