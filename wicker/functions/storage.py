@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,3 +35,32 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def exclusive_prefix(totals: DataFrame, part: str, sums: dict[str, str]) -> DataFrame:
+    """``totals``, a row for each partition of a larger table, with the sums of each
+    column of ``sums`` over the parts before it, under the names given there.  What
+    goes through the driver is a few numbers a partition."""
+    spark = totals.sparkSession
+    rows = sorted(totals.collect(), key=lambda r: r[part])
+    before, out = dict.fromkeys(sums, 0), []
+    for r in rows:
+        out.append((*r, *before.values()))
+        before = {c: n + (r[c] or 0) for c, n in before.items()}
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in totals.schema)
+    return spark.createDataFrame(out, types + "".join(f", `{name}` long" for name in sums.values()))
+
+
+def numbered(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with a gapless number from 1 in the order of ``order`` (which is total):
+    rows are dealt by ranges, counted in each range, and numbered inside it after the
+    exclusive prefix of the counts, so no task orders all rows."""
+    if partitions:
+        dealt = df.repartitionByRange(partitions, *order)
+    else:
+        dealt = df.repartitionByRange(*order)
+    ranged = written(dealt.sortWithinPartitions(*order).withColumns({"part__": F.spark_partition_id(), "row__": F.monotonically_increasing_id()}))
+    totals = ranged.groupBy("part__").agg(F.count("*").alias("n"), F.min("row__").alias("first__"))
+    bases = exclusive_prefix(totals, "part__", {"n": "before__"}).select("part__", "first__", "before__")
+    placed = ranged.join(F.broadcast(bases), "part__")  # a row for each partition
+    return placed.withColumn(name, F.col("row__") - F.col("first__") + F.col("before__") + 1).drop("part__", "row__", "first__", "before__")
