@@ -7,13 +7,14 @@ The pattern that such vocabularies use is
 Every alternative is a run of one character class, so the cuts of a whole batch
 of texts follow from the classes of neighbouring characters and need no regular
 expression engine.  ``cuts`` finds them with array operations; ``distinct``
-groups equal pre-tokens by two independent 64-bit hashes, checked against each
-other, so each distinct pre-token becomes a Python string once per batch.
+groups pre-tokens by a 64-bit hash and compares the characters of those that share
+one, so each distinct pre-token becomes a Python string once per batch.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import unicodedata
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Stands between texts in a joined batch; not a character.
 GAP = 4
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BASE = 0x9E3779B97F4A7C15
 
 
 @functools.cache
@@ -109,49 +110,82 @@ def cuts(texts: list[str]) -> Pieces:
 
 
 @functools.cache
-def _mixed(k: int) -> np.ndarray:
+def _mixed() -> np.ndarray:
     """A fixed odd 64-bit number for each code point."""
     with np.errstate(over="ignore"):
-        x = (np.arange(0x110001, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASES[k])
+        x = (np.arange(0x110001, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASE)
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
     return x | np.uint64(1)
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = _BASES[k] | 1
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
-        up = np.full(n, base, np.uint64)
+        up = np.full(n, _BASE, np.uint64)
         up[0] = 1
         np.multiply.accumulate(up, out=up)
-        down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
+        down = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
         down[0] = 1
         np.multiply.accumulate(down, out=down)
     return up, down
 
 
-def hashes(p: Pieces, k: int) -> np.ndarray:
-    """A 64-bit polynomial hash of each piece."""
+def hashes(p: Pieces) -> np.ndarray:
+    """A 64-bit polynomial hash of each piece.  Different pieces may share one (some always
+    do, such as a long Thue-Morse word and its complement), so it only groups."""
     n = 1 << max(10, (len(p.points) - 1).bit_length()) if len(p.points) else 1
-    up, down = _powers(k, n)
+    up, down = _powers(n)
     with np.errstate(over="ignore"):
         total = np.zeros(len(p.points) + 1, np.uint64)
-        np.cumsum(_mixed(k)[p.points] * up[: len(p.points)], out=total[1:])
+        np.cumsum(_mixed()[p.points] * up[: len(p.points)], out=total[1:])
         h = (total[p.end] - total[p.start]) * down[p.start]
         h ^= h >> np.uint64(31)
         return h * np.uint64(0x94D049BB133111EB) + (p.end - p.start).astype(np.uint64)
 
 
 def distinct(p: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Index of one piece of each kind, and the kind of every piece."""
-    h = hashes(p, 0)
-    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
-    other = hashes(p, 1)
-    if not np.array_equal(other[first][kind], other):  # two pieces share one hash
-        _, first, kind = np.unique(np.stack([h, other], 1), axis=0, return_index=True, return_inverse=True)
-    return first, kind.ravel()
+    """Index of one piece of each kind, and the kind of every piece.  Pieces of one hash are
+    compared character by character; those that differ get kinds of their own."""
+    _, first, kind = np.unique(hashes(p), return_index=True, return_inverse=True)
+    kind = kind.ravel()
+    odd = np.flatnonzero(_differs(p, first[kind]))
+    if not len(odd):
+        return first, kind
+    more: dict[tuple[int, str], int] = {}
+    extra = []
+    for i, k, s in zip(odd.tolist(), kind[odd].tolist(), strings(p, odd), strict=True):
+        if (k, s) not in more:
+            more[k, s] = len(first) + len(extra)
+            extra.append(i)
+        kind[i] = more[k, s]
+    return np.append(first, np.array(extra, first.dtype)), kind
+
+
+def _differs(p: Pieces, other: np.ndarray) -> np.ndarray:
+    """Whether each piece differs from the piece at ``other``."""
+    size = p.end - p.start
+    out = size != (p.end - p.start)[other]
+    left = np.flatnonzero(~out & (other != np.arange(len(other))))
+    # The first characters of all pieces, then the next of those that have more.
+    for at in range(16):
+        left = left[size[left] > at]
+        if not len(left):
+            return out
+        unlike = p.points[p.start[left] + at] != p.points[p.start[other[left]] + at]
+        out[left[unlike]] = True
+    for i in left[size[left] > 16].tolist():
+        if not out[i]:
+            a, b, n = p.start[i], p.start[other[i]], size[i]
+            out[i] = not np.array_equal(p.points[a + 16 : a + n], p.points[b + 16 : b + n])
+    return out
+
+
+def digests(pretokens: list[str]) -> np.ndarray:
+    """The 128-bit BLAKE2b digest of each pre-token, as two 64-bit columns."""
+    joined = b"".join(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest() for s in pretokens)
+    return np.frombuffer(joined, "<u8").reshape(-1, 2)
 
 
 def strings(p: Pieces, which: np.ndarray) -> list[str]:
@@ -165,14 +199,6 @@ def strings(p: Pieces, which: np.ndarray) -> list[str]:
     return [joined[a:b] for a, b in zip([0, *stop[:-1]], stop, strict=True)]
 
 
-def whole(texts: list[str]) -> Pieces:
-    """Each text as one piece."""
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    end = np.cumsum(size)
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return Pieces(points, end - size, end, np.arange(len(texts)))
-
-
 def _byte_letters() -> dict[int, str]:
     """The printable letter that byte-level vocabularies write for each byte."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flac, license_scan, mixing, packing, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts
-from .common import documents
+from . import flac, license_scan, mixing, packing, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
+from .common import documents, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,5 +63,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan)}
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}"
+    return token_files.token_file_digests(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}

@@ -6,7 +6,7 @@
 3. Per-document pre-token frequencies are joined to those counts and summed.
    The most frequent ``HEAD`` pre-tokens, which are most of all occurrences and
    the only hot join keys, are joined inside the tasks against a table of at most
-   ``HEAD`` hashes and counts (20 bytes each); the rest meet theirs in a shuffled
+   ``HEAD`` BLAKE2b digests of 128 bits and counts (20 bytes each); the rest meet theirs in a shuffled
    join, where no key is hot, because a key outside the head is rarer than all
    keys in it.
 
@@ -25,15 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, row_ids, steps, text_of, written
-from .pretoken import cuts, distinct, hashes, strings, vocabulary, whole
+from .pretoken import cuts, digests, distinct, strings, vocabulary
 
 #: Pre-tokens whose counts travel to every task: 20 bytes each, 20 MB at most.
 HEAD = 1 << 20
 
 
 def pretoken_table(docs: DataFrame, vocab: str, text: str = "text") -> DataFrame:
-    """pretoken, n (occurrences), pieces, h and g (two 64-bit hashes): one row for
-    each distinct pre-token of all texts."""
+    """pretoken, n (occurrences), pieces, h and g (the halves of a 128-bit digest): one
+    row for each distinct pre-token of all texts."""
 
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts, _, _ = vocabulary(vocab).parts(batch.column(0).to_pylist())
@@ -43,8 +43,8 @@ def pretoken_table(docs: DataFrame, vocab: str, text: str = "text") -> DataFrame
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = batch.column(0).to_pylist()
-        v, p = vocabulary(vocab), whole(words)
-        columns = [batch.column(0), batch.column(1), pa.array([v.count(w) for w in words], pa.int64()), pa.array(hashes(p, 0).view(np.int64)), pa.array(hashes(p, 1).view(np.int64))]
+        v, d = vocabulary(vocab), digests(words).view(np.int64)
+        columns = [batch.column(0), batch.column(1), pa.array([v.count(w) for w in words], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1])]
         return pa.RecordBatch.from_arrays(columns, ["pretoken", "n", "pieces", "h", "g"])
 
     found = map_batches(docs.select(text_of(text).alias("text")), split, "pretoken string, n long")
@@ -53,8 +53,8 @@ def pretoken_table(docs: DataFrame, vocab: str, text: str = "text") -> DataFrame
 
 
 def head_of(table: DataFrame, most: int = HEAD) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """The least number of occurrences in the head, and the head's sorted hashes,
-    second hashes and piece counts; never more than ``most`` entries."""
+    """The least number of occurrences in the head, and the head's digests, sorted, in
+    halves, and piece counts; never more than ``most`` entries."""
     by_n = table.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).count().orderBy(F.desc("n")).collect()  # 2^20 rows at most
     least, held = (1 << 20) + 1, 0
     for n, rows in by_n:
@@ -80,7 +80,8 @@ def count_tokens(docs: DataFrame, vocab: str, limit: int, text: str = "text", do
         p = cuts(parts)
         first, kind = distinct(p)
         at, check, pieces = shared.value
-        h, g = hashes(p, 0)[first], hashes(p, 1)[first]
+        d = digests(strings(p, first))
+        h, g = d[:, 0], d[:, 1]
         known = np.zeros(len(first), np.int64)
         if len(at):
             i = np.minimum(np.searchsorted(at, h), len(at) - 1)
