@@ -91,9 +91,14 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table of documents; Python workers will find this package where the
-    driver did, unless the session already ships it."""
+    """The table of documents."""
+    return table(spark, sf_dir, "documents")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; Python workers will find this package where the driver did,
+    unless the session already ships it."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flac, license_scan, mixing, packing, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
-from .common import documents, shared_folder
+from . import centroids, flac, license_scan, mixing, packing, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
+from .common import documents, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +42,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole conversations as instruction data: all three limits bind."""
     vocab = public_tokenizers.path("byte_bpe_50k.json")
-    examples = packing.conversation_examples(spark.read.parquet(f"{sf_dir}/conversations.parquet"), vocab)
+    examples = packing.conversation_examples(table(spark, sf_dir, "conversations"), vocab)
     return packing.pack_examples(examples, packing.Limits(8192, 8, 6144), "conv_id", "tokens", "loss")
 
 
@@ -56,7 +56,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return quality_mil.score_documents(docs, quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return quality_mil.score_documents(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +68,9 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files)}
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op13_centroids)}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op13_centroids": centroids.oracle()}
