@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import centroids, flac, license_scan, mixing, packing, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
+from . import centroids, flac, license_scan, mixing, packing, periodic, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
 from .common import documents, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,9 +68,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse_runs(documents(spark, sf_dir), plant=True)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op13_centroids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op12_periodic_runs, op13_centroids)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op13_centroids": centroids.oracle()}
