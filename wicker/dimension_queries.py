@@ -53,7 +53,8 @@ sku_rows AS (SELECT product, package, brand, bit_or(mask) AS catalog_mask, CAST(
 sku_keys AS (SELECT *, {key_sql("product")} AS product_key, {key_sql("package")} AS package_key, coalesce({key_sql("brand")} IN ('S/M', 'SM', 'SIN MARCA', 'NO BRAND'), true) AS is_no_brand FROM sku_rows),
 skus AS (SELECT *, md5(coalesce(product_key, '') || '|' || coalesce(package_key, '') || '|' || brand_key) AS product_id
   FROM (SELECT *, CASE WHEN is_no_brand THEN 'SIN MARCA' ELSE {key_sql("brand")} END AS brand_key FROM sku_keys))"""
-_LAST = "arg_max({0}, ({1}, {0})) FILTER (WHERE {0} IS NOT NULL)"
+#: Undated rows never win, as in ``latest_value``.
+_LAST = "arg_max({0}, ({1}, {0})) FILTER (WHERE {0} IS NOT NULL AND {1} IS NOT NULL)"
 _BOXED = "CASE WHEN latitude BETWEEN 14 AND 33 AND longitude BETWEEN -119 AND -86 THEN {} END"
 STORES = f"""boxed AS (SELECT * REPLACE ({_BOXED.format("latitude")} AS latitude, {_BOXED.format("longitude")} AS longitude) FROM staged),
 store_rows AS (SELECT store, address, state, municipality, {", ".join(f"{_LAST.format(c, 'date')} AS {c}" for c in ("chain", "format", "latitude", "longitude"))},

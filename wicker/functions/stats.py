@@ -31,8 +31,9 @@ def one_row(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def latest_value(x: str, by: str, tie: str) -> Column:
-    """The value of ``x`` in the row with the largest (by, tie), nulls left out."""
-    found = F.col(x).isNotNull()
+    """The value of ``x`` in the row with the largest (by, tie).  Rows without a value or
+    without ``by`` never win; where there is no other, the result is null."""
+    found = F.col(x).isNotNull() & F.col(by).isNotNull()
     return F.max_by(F.when(found, F.col(x)), F.when(found, F.struct(F.col(by), F.col(tie))))
 
 
