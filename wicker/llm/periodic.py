@@ -1,12 +1,12 @@
 """Periodic runs: stretches of words that repeat with a period at least four times.
 
-1. A document is cut into tiles for each octave of periods, from b = 2^e to 2b - 1: one tile
-   every 2b words (the boundary), reaching 2b words back and 6b words ahead, so tiles overlap.
-   A run of period q has a boundary with 2q words of the run after it: the block of b words
-   at the boundary comes again q words later.  Tiles in which it doesn't hold nothing
-   of their octave and go no further; blocks are compared by hashes here, and a
-   false match only lets a tile through.
-2. Tiles are solved one by one, wherever they lie.  A Z-function ahead of the boundary and one
+1. A document is cut into tiles for each octave of periods, from b = 2^e to 2b - 1.  Boundaries
+   stand every b words; a tile has those of 256 words or 4b, and reaches b words back of the
+   first and 7b ahead of the last, so tiles overlap.  A run of period q has a boundary with 3q words of the run from there on, whose first 2q
+   come again q words later.  Boundaries without such words, and tiles without boundaries, go no
+   further; blocks of 2b words are compared by hashes here, and a false match only lets a
+   tile through.
+2. Tiles are solved one by one, wherever they lie.  A Z-function ahead of each boundary and one
    behind it tell for every period how far the words repeat on either side.
    What reaches the tile's edge is a fragment of a longer run.
 3. Fragments are shuffled by document and period and stitched where they share a period's
@@ -42,6 +42,8 @@ from .common import row_ids, steps, text_of, written
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: A run has this many periods at least, and this many words.
 TIMES, LEAST = 4, 6
+#: Words over which a tile has boundaries: so many, or four times the octave's least period.
+TILE_WORDS = 256
 #: Words of one batch of tiles.
 BATCH_WORDS = 1 << 18
 
@@ -72,8 +74,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def candidates(names: np.ndarray, begin: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """b, document, boundary (counted from the document's first word): tiles whose block
-    at the boundary comes again b to 2b - 1 words later, octave by octave."""
+    """b, document, boundary (counted from the document's first word): tiles in which the words from
+    the boundary on repeat three times with a period from b to 2b - 1, octave by octave, of
+    documents in which some go on as long as a run must."""
     with np.errstate(over="ignore"):
         h = _mix(names.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
         b = 1
@@ -81,20 +84,37 @@ def candidates(names: np.ndarray, begin: np.ndarray, size: np.ndarray) -> Iterat
             long = np.flatnonzero(size >= max(LEAST, TIMES * b))
             if not len(long):
                 return
-            each = (size[long] - 2 * b) // (2 * b) + 1  # boundaries with 2b words ahead
-            doc = np.repeat(long, each)
-            at = (np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)) * 2 * b
-            place, room = begin[doc] + at, size[doc] - at - b  # lags from b to room are inside
-            hit = np.zeros(len(doc), bool)
-            own = h[place]
-            for lag in range(b, 2 * b) if b < 64 else ():
-                hit |= (lag <= room) & (h[np.minimum(place + lag, len(h) - 1)] == own)
-            if b >= 64:
-                for i in range(len(doc)):
-                    hit[i] = (h[place[i] + b : place[i] + min(2 * b, room[i] + 1)] == own[i]).any()
-            yield b, doc[hit], at[hit]
             # Hashes of blocks twice as long; those beyond a document's end are never used.
             h = _mix(h * np.uint64(3) + _mix(np.concatenate([h[b:], np.zeros(min(b, len(h)), np.uint64)]) + np.uint64(b)))
+            each = (size[long] - 3 * b) // b + 1  # boundaries with 3b words from there on
+            doc = np.repeat(long, each)
+            at = (np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)) * b
+            place, room = begin[doc] + at, (size[doc] - at) // 3  # periods up to room fit
+            hit, strong = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+
+            def repeats(i: np.ndarray, x: np.ndarray, q: np.ndarray | int) -> None:
+                """Marks the boundaries i, at x, whose first b words came again q words later."""
+                again = h[x + 2 * (q - b)] == h[x + 3 * q - 2 * b]  # noqa: B023
+                i, x, q = i[again], x[again], q[again] if isinstance(q, np.ndarray) else q
+                hit[i] = True  # noqa: B023
+                # A run's first boundary has all but b - 1 of the words that a run must have.
+                end = np.maximum(LEAST, TIMES * q) - b + 1  # noqa: B023
+                tail = np.minimum(x + np.maximum(end - q - 2 * b, 0), len(h) - 1 - q)  # noqa: B023
+                full = (at[i] + end <= size[doc[i]]) & (h[tail] == h[tail + q])
+                strong[i[full]] = True  # noqa: B023
+
+            if b < 64:
+                own = h[place]
+                for q in range(b, 2 * b):
+                    i = np.flatnonzero((h[np.minimum(place + q, len(h) - 1)] == own) & (q <= room))
+                    repeats(i, place[i], q)
+            else:
+                for i, (x, most) in enumerate(zip(place.tolist(), room.tolist(), strict=True)):
+                    q = b + np.flatnonzero(h[x + b : x + min(2 * b, most + 1)] == h[x])
+                    if len(q):
+                        repeats(np.full(len(q), i), np.full(len(q), x), q)
+            hit &= np.isin(doc, doc[strong])
+            yield b, doc[hit], at[hit]
             b *= 2
 
 
@@ -123,27 +143,39 @@ def _prime_factors(n: int) -> tuple[int, ...]:
     return (*out, n) if n > 1 else tuple(out)
 
 
-def solve_tile(words: list[int], m: int, b: int, open_left: bool, open_right: bool) -> list[tuple[int, int, int]]:
-    """start, end (in the tile) and period of the stretches over boundary ``m`` whose smallest
-    period is from b to 2b - 1: whole runs, and fragments that reach an open edge."""
-    n, out = len(words), []
+def solve_boundary(words: list[int], m: int, b: int, open_left: bool, open_right: bool) -> Iterator[tuple[int, int, int]]:
+    """start, end and period of the stretches over boundary ``m`` whose smallest period is
+    from b to 2b - 1: whole runs, and fragments that reach an open edge."""
+    n = len(words)
     ahead = z_function(words[m:], min(2 * b, n - m))
     # Behind: the reversed words before the boundary, then those before each lag.
-    back = words[:m][::-1]
-    z = z_function([*back, None, *words[: m + 2 * b - 1][::-1]], len(back) + 1 + len(words[: m + 2 * b - 1]))
-    total = min(n, m + 2 * b - 1)
+    back, total = words[:m][::-1], min(n, m + 2 * b - 1)
+    z = z_function([*back, None, *words[:total][::-1]], len(back) + 1 + total)
     for q in range(b, min(2 * b, n - m)):
-        f = ahead[q]
         k = z[len(back) + 1 + total - m - q] if back and m + q <= total else 0
-        start, end = m - k, m + q + f
+        start, end = m - k, m + q + ahead[q]
         if end - start < 2 * q or any(ahead[q // r] >= q - q // r for r in _prime_factors(q)):
             continue
         if end - start >= max(LEAST, TIMES * q) or (start == 0 and open_left) or (end == n and open_right):
-            out.append((start, end, q))
-    return out
+            yield start, end, q
+
+
+def solve_tile(words: list[int], boundaries: list[int], b: int, open_left: bool, open_right: bool) -> list[tuple[int, int, int]]:
+    """start, end and period of what a tile holds: each boundary is solved over b words behind it and 7b
+    ahead, and fragments that share a period's length of words are joined."""
+    found: dict[int, list[list[int]]] = {}
+    for m in boundaries:
+        lo, hi = max(m - b, 0), min(m + 7 * b, len(words))
+        for start, end, q in solve_boundary(words[lo:hi], m - lo, b, lo > 0 or open_left, hi < len(words) or open_right):
+            own = found.setdefault(q, [])
+            if own and lo + start + q <= own[-1][1]:
+                own[-1][0], own[-1][1] = min(own[-1][0], lo + start), max(own[-1][1], lo + end)
+            else:
+                own.append([lo + start, lo + end])
+    return [(start, end, q) for q, own in found.items() for start, end in own]
 
 
-SPLIT = "row long, doc_id long, n long, sha string, text string, octave long, at long, begin long, size long, names array<int>"
+SPLIT = "row long, doc_id long, n long, sha string, text string, octave long, at array<int>, begin long, size long, names array<int>"
 
 
 def split_tiles(docs: DataFrame, plant: bool, text: str, doc_id: str) -> DataFrame:
@@ -151,7 +183,7 @@ def split_tiles(docs: DataFrame, plant: bool, text: str, doc_id: str) -> DataFra
     its words), and one for each tile that may hold something."""
 
     def record(columns: dict[str, list], k: int) -> pa.RecordBatch:
-        types = {"sha": pa.string(), "text": pa.string(), "names": pa.list_(pa.int32())}
+        types = {"sha": pa.string(), "text": pa.string(), "at": pa.list_(pa.int32()), "names": pa.list_(pa.int32())}
         order = [x.split()[0] for x in SPLIT.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * k), types.get(c, pa.int64())) for c in order], order)
 
@@ -167,12 +199,18 @@ def split_tiles(docs: DataFrame, plant: bool, text: str, doc_id: str) -> DataFra
             size = np.array([len(w) for w in words], np.int64)
             tiled: set[int] = set()
             for b, doc, at in candidates(names, begin, size):
+                if not len(doc):
+                    continue
                 tiled.update(doc.tolist())
-                for lo in range(0, len(doc), step := max(1, BATCH_WORDS // (8 * b))):
-                    d, m = doc[lo : lo + step], at[lo : lo + step]
-                    first, last = np.maximum(m - 2 * b, 0), np.minimum(m + 6 * b, size[d])
-                    pieces = [names[i + x : i + y] for i, x, y in zip(begin[d].tolist(), first.tolist(), last.tolist(), strict=True)]
-                    yield record({"row": [rows[i] for i in d.tolist()], "octave": [b] * len(d), "at": (m - first).tolist(), "begin": first.tolist(), "size": size[d].tolist(), "names": pieces}, len(d))
+                width = max(TILE_WORDS, 4 * b)
+                new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (at[1:] // width != at[:-1] // width)))
+                ends = np.append(new[1:], len(doc)) - 1
+                for lo in range(0, len(new), step := max(1, BATCH_WORDS // (width + 8 * b))):
+                    i, j = new[lo : lo + step], ends[lo : lo + step]
+                    d, first, last = doc[i], np.maximum(at[i] - b, 0), np.minimum(at[j] + 7 * b, size[doc[i]])
+                    pieces = [names[s + x : s + y] for s, x, y in zip(begin[d].tolist(), first.tolist(), last.tolist(), strict=True)]
+                    inner = [at[x : y + 1] - f for x, y, f in zip(i.tolist(), j.tolist(), first.tolist(), strict=True)]
+                    yield record({"row": [rows[k] for k in d.tolist()], "octave": [b] * len(d), "at": inner, "begin": first.tolist(), "size": size[d].tolist(), "names": pieces}, len(d))
             joined = [" ".join(w) for w in words]
             sha = [None if i in tiled else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for i, t in enumerate(joined)]
             kept = [t if i in tiled else None for i, t in enumerate(joined)]
@@ -243,7 +281,7 @@ def collapse_runs(docs: DataFrame, plant: bool = False, text: str = "text", doc_
     """doc_id, n_runs, the longest run (start, length, period, exponent_milli), runs_sha256 and
     collapsed_sha256 of every document; with ``plant``, of its planted form."""
     parts = written(split_tiles(docs, plant, text, doc_id))
-    tiles = parts.where("octave IS NOT NULL").repartition("row", "octave", "begin", "at")
+    tiles = parts.where("octave IS NOT NULL").repartition("row", "octave", "begin")
     runs = stitched(fragments(tiles))
     own = runs.groupBy("row").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
     texts = parts.where("octave IS NULL AND sha IS NULL").select("row", "doc_id", "text").join(own, "row", "left")
