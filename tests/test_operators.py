@@ -84,8 +84,9 @@ def test_lost_characters(spark):
 
 
 def test_latest_value_and_stats(spark):
-    df = spark.createDataFrame([(1, "a", 1), (1, None, 3), (1, "b", 2), (2, None, 1)], "k int, v string, t int")
-    assert {r.k: r.v for r in df.groupBy("k").agg(latest_value("v", "t", "v").alias("v")).collect()} == {1: "b", 2: None}
+    rows = [(1, "a", 1), (1, None, 3), (1, "b", 2), (1, "z", None), (2, None, 1), (3, "undated", None)]
+    df = spark.createDataFrame(rows, "k int, v string, t int")
+    assert {r.k: r.v for r in df.groupBy("k").agg(latest_value("v", "t", "v").alias("v")).collect()} == {1: "b", 2: None, 3: None}
     prices = spark.createDataFrame([(1, float(p)) for p in (1, 2, 3, 4, 0)], "k int, price double")
     row = robust_stats(prices, "k", "price").first()
     assert (row.n, row.median) == (4, 2.5)
@@ -148,15 +149,7 @@ def test_files(spark, tmp_path):
     assert status == {"a.csv": "ok", "b.csv": "ok", "c.csv": "moved", "d.csv": "ok"}
     good, bad = files.read_with_rejects(spark, [str(tmp_path / "b.csv")], ["name", "price", "day"], files.Dialect("windows-1252"))
     assert good.first().name == "Azúcar €" and bad.count() == 0
-    ledger = inventory.limit(0)
     one = inventory.where("file LIKE '%a.csv'")
-    target = str(tmp_path / "out")
-    plan = files.incremental_load(spark, one, ledger, target, ["name", "price", "day"])
-    assert [r.status for r in plan.collect()] == ["new"] and spark.read.parquet(target).count() == 2
-    assert [r.status for r in files.incremental_load(spark, one, one, target, ["name", "price", "day"]).collect()] == ["unchanged"]
-    with pytest.raises(ValueError, match="agree"):
-        files.incremental_load(spark, inventory.where("file LIKE '%d.csv'"), ledger, target, ["name", "price", "day"])
-    assert spark.read.parquet(target).count() == 2
     changed = one.withColumn("sha256", F.lit("x"))
     assert [r.status for r in files.verify_manifest(one, changed).collect()] == ["corrupt"]
 
@@ -174,30 +167,6 @@ def test_publish(spark, tmp_path):
         publish.encode_by_catalog(df, "n", catalog).collect()
 
 
-def test_load_with_ledger(spark, tmp_path):
-    columns = ["name", "price", "day"]
-    folder = tmp_path / "in"
-    folder.mkdir()
-    put = lambda name, *rows: (folder / name).write_text("\n".join(["name,price,day", *rows]) + "\n")
-    put("a.csv", "x,1,2024/01/02", "y,2,2024/01/03")
-    put("b.csv", "z,3,02/01/2024")
-    seen = lambda: files.file_inventory(spark, str(folder / "*.csv"))
-    ledger, target = str(tmp_path / "ledger"), str(tmp_path / "out")
-    load = lambda: {r.file[-5:]: r.status for r in files.load_with_ledger(spark, seen(), ledger, target, columns).collect()}
-    names = lambda: sorted(r.name for r in spark.read.parquet(target).collect())
-    assert load() == {"a.csv": "new", "b.csv": "new"} and names() == ["x", "y", "z"]
-    assert load() == {"a.csv": "unchanged", "b.csv": "unchanged"} and {r.n_rows for r in files.read_ledger(spark, ledger).collect()} == {1, 2}
-    put("a.csv", "w,1,2024/01/02")
-    assert load() == {"a.csv": "replaced", "b.csv": "unchanged"} and names() == ["w", "z"]
-    (folder / "b.csv").unlink()
-    assert load() == {"a.csv": "unchanged", "b.csv": "gone"} and names() == ["w"]
-    assert load() == {"a.csv": "unchanged"}
-    put("c.csv", '"two', 'lines",1,2024/01/02')
-    with pytest.raises(ValueError, match="agree"):
-        load()
-    assert names() == ["w"] and [r.state for r in spark.read.parquet(f"{ledger}_runs").orderBy("at").collect()][-2:] == ["running", "failed"]
-
-
 def test_physical_profile_and_versions(spark, tmp_path):
     (tmp_path / "a.csv").write_text('name,price,day\n"a, b",1,2024/01/02\nc,2,03/01/2024\nd,2\ne,2,x,y\n')
     path = [str(tmp_path / "a.csv")]

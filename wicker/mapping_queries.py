@@ -16,7 +16,7 @@ from .plans import marts
 from .plans.bindings import observations, table
 from .plans.raw import RAW, TEXTS, key_sql, raw_prices
 from .queries import ORACLES, P, query, sql
-from .sources import files
+from .sources import commits, files, splits
 
 
 @query(sql(RAW, select="SELECT source_file AS file, 'ok' AS header, 'new' AS status, count(*) AS n_rows, count(*) AS n_lines, true AS agrees, CASE WHEN bool_or(price = 'n/d') THEN 1 ELSE 0 END AS has_bad_price FROM raw GROUP BY source_file"))
@@ -26,10 +26,11 @@ def file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{shared_folder(spark)}/files/{uuid.uuid4().hex}"
     lines = raw_prices(spark, sf_dir).select(*TEXTS, "source_file")
     lines.repartition("source_file").write.partitionBy("source_file").option("header", True).csv(f"{base}/in")
-    inventory = written(files.file_inventory(spark, f"{base}/in/*/*.csv"))
+    inventory = written(splits.split_inventory(spark, f"{base}/in/*/*.csv"))
     headers = files.check_headers(inventory, TEXTS, []).select("file", F.col("status").alias("header"))
-    plan = files.load_with_ledger(spark, inventory, f"{base}/ledger", f"{base}/out", TEXTS)
-    rows = spark.read.parquet(f"{base}/out")
+    loaded = commits.TextTable(spark, f"{base}/out")
+    plan = commits.load_files(loaded, inventory, TEXTS)
+    rows = loaded.read()
     name = F.regexp_replace("file", "^file:/*", "/")
     counts = files.reconcile_counts(rows, inventory)
     bad = rows.groupBy(F.regexp_replace("source_file", "^file:/*", "/").alias("file")).agg(F.max((F.col("price") == "n/d").cast("int")).alias("has_bad_price"))

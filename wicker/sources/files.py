@@ -5,16 +5,13 @@ Files are inspected by Spark readers only, so any store that Spark reads will do
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.storage import written
 from ..functions.text import date_format_of
 
 def _western() -> tuple[str, str]:
@@ -74,7 +71,8 @@ def check_headers(inventory: DataFrame, required: list[str], optional: list[str]
 
 def read_text_table(spark: SparkSession, files: list[str], columns: list[str], dialect: Dialect = Dialect()) -> DataFrame:
     """All columns as text, with _corrupt (the line, if it doesn't fit) and the
-    source_file of each row; files of one dialect in one read."""
+    source_file of each row; files of one dialect in one read.  With ``multiline`` a file
+    is one task's work: ``splits.read_split`` reads large files in many."""
     schema = StructType([StructField(c, StringType()) for c in [*columns, "_corrupt"]])
     western = dialect.encoding == "windows-1252"  # Spark reads its subset; the rest is mapped
     reader = spark.read.schema(schema).options(header=True, sep=dialect.delimiter, encoding="ISO-8859-1" if western else dialect.encoding, quote='"', escape='"', multiLine=dialect.multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
@@ -130,88 +128,16 @@ def classify_versions(incoming: DataFrame, known: DataFrame, replace: bool = Fal
     return a.join(b, "file", "full").select("file", state.alias("state"))
 
 
-LEDGER = "file string, crc32 long, bytes long, encoding string, bom boolean, lines long, n_rows long, load_id string, loaded timestamp"
-
-
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The latest entry of each file of a ledger; empty where there is none yet.
-    Files that were gone at their last load are left out."""
-    try:
-        rows = spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER)
-    entry = F.struct("load_id", "crc32", "bytes", "encoding", "bom", "lines", "n_rows", "loaded")
-    latest = rows.groupBy("file").agg(F.max_by(entry, F.struct("loaded", "load_id")).alias("e")).select("file", "e.*")
-    return latest.where("crc32 IS NOT NULL")
-
-
-def load_with_ledger(spark: SparkSession, inventory: DataFrame, ledger_path: str, target: str, columns: list[str], dialect: Dialect = Dialect()) -> DataFrame:
-    """An incremental load that reads the ledger before and appends to it after: new
-    and changed files with their rows, gone files as such.  A second run over the
-    same files does nothing.  The load's own entry goes to ``<ledger>_runs``, begun
-    before and ended after, also if it fails."""
-    load = uuid.uuid4().hex
-    runs = lambda state, loaded=0, message=None: spark.createDataFrame([(load, state, loaded, message)], "load_id string, state string, n_files int, message string").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{ledger_path}_runs")
-    runs("running")
-    ledger = written(read_ledger(spark, ledger_path))  # the file that is appended to below
-    try:
-        plan = written(incremental_load(spark, inventory, ledger, target, columns, dialect))
-    except ValueError as error:
-        runs("failed", 0, str(error))
-        raise
-    fresh = plan.where("status IN ('new', 'replaced')")
-    if n := fresh.count():
-        counts = spark.read.parquet(target).groupBy(F.col("source_file").alias("file")).agg(F.count("*").alias("n_rows"))
-        entry = inventory.join(fresh.select("file"), "file", "left_semi").join(counts, "file", "left")
-        entry.select("file", "crc32", "bytes", "encoding", "bom", "lines", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(load).alias("load_id"), F.current_timestamp().alias("loaded")).write.mode("append").parquet(ledger_path)
-    gone = plan.where("status = 'gone'").select("file", F.lit(load).alias("load_id"), F.current_timestamp().alias("loaded"))
-    if not gone.isEmpty():
-        spark.createDataFrame([], LEDGER).unionByName(gone, allowMissingColumns=True).write.mode("append").parquet(ledger_path)
-    runs("ok", n)
-    return plan
-
-
 def merged_by_name(*tables: DataFrame) -> DataFrame:
     """Rows of several tables by column name; columns that one lacks are null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def incremental_load(spark: SparkSession, inventory: DataFrame, ledger: DataFrame, target: str, columns: list[str], dialect: Dialect = Dialect()) -> DataFrame:
-    """Loads new and changed files into ``target``, a folder for each source file, and
-    returns the plan.  A file whose rows don't agree with its lines stops the load
-    before anything is written.  Unchanged files are not read.  Rows of files that
-    are gone go too."""
-    plan = load_plan(inventory, ledger)
-    gone = [x.file for x in plan.where("status = 'gone'").select("file").toLocalIterator()]
-    if gone:
-        dropped = spark.createDataFrame([(g,) for g in gone], "source_file string").withColumn("source_key", F.md5("source_file"))
-        _empty_folders(spark, target, [x.source_key for x in dropped.collect()])
-    files = [x.file for x in plan.where("status IN ('new', 'replaced')").select("file").toLocalIterator()]  # names of one load
-    if not files:
-        return plan
-    rows, bad = read_with_rejects(spark, files, columns, dialect)
-    counts = reconcile_counts(rows, inventory.join(plan.where("status IN ('new', 'replaced')").select("file"), "file", "left_semi"))
-    if wrong := counts.where("NOT agrees").limit(5).collect():
-        raise ValueError(f"rows don't agree with lines: {[(w.file, w.n_rows, w.n_lines) for w in wrong]}; rejected: {bad.limit(1).count()}")
-    rows = rows.withColumn("source_key", F.md5("source_file"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key").parquet(target)
-    return plan
-
-
-def _empty_folders(spark: SparkSession, target: str, keys: list[str]) -> None:
-    """Removes the folders of some source files, wherever ``target`` is stored."""
-    jvm = spark._jvm
-    for key in keys:
-        path = jvm.org.apache.hadoop.fs.Path(f"{target}/source_key={key}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def verify_manifest(actual: DataFrame, declared: DataFrame) -> DataFrame:
-    """file, status: intact, corrupt, missing or undeclared, by SHA-256 and size."""
-    a = actual.select("file", F.col("sha256").alias("now"), F.col("bytes").alias("size"))
-    d = declared.select("file", F.col("sha256").alias("then"), F.col("bytes").alias("old"))
+def verify_manifest(actual: DataFrame, declared: DataFrame, by: str = "sha256") -> DataFrame:
+    """file, status: intact, corrupt, missing or undeclared, by size and SHA-256 (or, for files of any
+    size, ``by`` the crc32 of ``splits.split_inventory``)."""
+    a = actual.select("file", F.col(by).alias("now"), F.col("bytes").alias("size"))
+    d = declared.select("file", F.col(by).alias("then"), F.col("bytes").alias("old"))
     status = F.when(F.col("then").isNull(), "undeclared").when(F.col("now").isNull(), "missing").when((F.col("now") == F.col("then")) & (F.col("size") == F.col("old")), "intact").otherwise("corrupt")
     return a.join(d, "file", "full").select("file", status.alias("status"))
 
