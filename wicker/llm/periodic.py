@@ -44,8 +44,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TIMES, LEAST = 4, 6
 #: Words over which a tile has boundaries: so many, or four times the octave's least period.
 TILE_WORDS = 256
-#: Words of one batch of tiles.
-BATCH_WORDS = 1 << 18
+#: Words of one batch of tiles, and of the tiles that a task solves.
+BATCH_WORDS, TASK_WORDS = 1 << 18, 1 << 19
 
 
 def planted(doc_id: int | None, words: list[str]) -> list[str]:
@@ -281,7 +281,9 @@ def collapse_runs(docs: DataFrame, plant: bool = False, text: str = "text", doc_
     """doc_id, n_runs, the longest run (start, length, period, exponent_milli), runs_sha256 and
     collapsed_sha256 of every document; with ``plant``, of its planted form."""
     parts = written(split_tiles(docs, plant, text, doc_id))
-    tiles = parts.where("octave IS NOT NULL").repartition("row", "octave", "begin")
+    tiles = parts.where("octave IS NOT NULL")
+    words = tiles.agg(F.sum(F.size("names"))).first()[0] or 0
+    tiles = tiles.repartition(max(1, -(-words // TASK_WORDS)), "row", "octave", "begin")
     runs = stitched(fragments(tiles))
     own = runs.groupBy("row").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
     texts = parts.where("octave IS NULL AND sha IS NULL").select("row", "doc_id", "text").join(own, "row", "left")
