@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,7 +51,7 @@ def exclusive_prefix(totals: DataFrame, part: str, sums: dict[str, str]) -> Data
     return spark.createDataFrame(out, types + "".join(f", `{name}` long" for name in sums.values()))
 
 
-def numbered(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
+def numbered(df: DataFrame, order: list[str | Column], name: str, partitions: int | None = None) -> DataFrame:
     """``df`` with a gapless number from 1 in the order of ``order`` (which is total):
     rows are dealt by ranges, counted in each range, and numbered inside it after the
     exclusive prefix of the counts, so no task orders all rows."""

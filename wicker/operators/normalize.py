@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.stats import first_by, latest_value
+from ..functions.storage import numbered
 from ..functions.text import canonical_key, surrogate
 
 #: Spellings of "no brand" as canonical keys.
@@ -112,12 +112,13 @@ def store_keys(df: DataFrame, parts: list[str], place: list[str]) -> DataFrame:
 
 
 def review_queue(packages: DataFrame, corrections: DataFrame) -> DataFrame:
-    """What people should look at: in scope first, then by rows.  A dimension-size
-    frame, so one global order is cheap."""
+    """What people should look at: in scope first, then by rows; ranges of that order are
+    numbered side by side."""
     a = packages.where("needs_review").select(F.lit("package").alias("kind"), "value", "review_reason", "in_scope", "n_rows")
     b = corrections.where("needs_review").select(F.lit("text").alias("kind"), "value", F.lit("lost_characters").alias("review_reason"), "in_scope", "n_rows")
     both = a.unionByName(b)
-    return both.withColumn("priority", F.row_number().over(Window.orderBy(F.desc("in_scope"), F.desc("n_rows"), "kind", "value")))
+    order = [F.desc("in_scope"), F.desc("n_rows"), F.col("kind").asc(), F.col("value").asc()]
+    return numbered(both, order, "priority").withColumn("priority", F.col("priority").cast("int"))
 
 
 def most_used(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -127,9 +128,13 @@ def most_used(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def dense_id(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Whole numbers for distinct values.  One task orders all rows: only for
-    dimension-size frames; group facts by keys or hashes instead."""
-    return df.withColumn(name, F.dense_rank().over(Window.orderBy(*columns)))
+    """Whole numbers for distinct values, in their order (nulls first): the distinct values
+    are dealt by ranges and numbered after the exclusive prefix of the ranges' counts, and
+    rows take the number of theirs."""
+    keys = numbered(df.select(*columns).distinct(), [F.col(c).asc_nulls_first() for c in columns], name)
+    keys = keys.withColumn(name, F.col(name).cast("int")).withColumnsRenamed({c: f"{c}__" for c in columns})
+    same = [F.col(c).eqNullSafe(F.col(f"{c}__")) for c in columns]
+    return df.join(keys, same).drop(*[f"{c}__" for c in columns])
 
 
 def calendar(first: Column, last: Column, rows: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stats import one_row, rounded
+from ..functions.storage import numbered
 from ..sources.publish import encode_by_catalog
 
 OTHERS = "OTHERS"
@@ -17,10 +18,10 @@ REQUIRED = ("weekly_savings", "chain_cost", "index", "differences", "availabilit
 
 
 def catalog(values: DataFrame, column: str, first: tuple[str, ...] = ()) -> DataFrame:
-    """value, position from 0 of the distinct values of a dimension-size column, after
-    the values of ``first``."""
-    rows = values.select(F.col(column).alias("value")).distinct()
-    return rows.select("value", (F.row_number().over(Window.orderBy("value")) - 1 + len(first)).cast("int").alias("position"))
+    """value, position from 0 of the distinct values of a column in their order, after the
+    values of ``first``."""
+    rows = numbered(values.select(F.col(column).alias("value")).distinct(), ["value"], "position")
+    return rows.select("value", (F.col("position") - 1 + len(first)).cast("int").alias("position"))
 
 
 def week_axis(*tables: DataFrame) -> DataFrame:

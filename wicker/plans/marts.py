@@ -49,18 +49,24 @@ def distinct(column: str) -> Column:
 
 def rolling_item_price(obs: DataFrame, params: Params = Params()) -> DataFrame:
     """Per chain, place, week and item, over the week and the previous ones; weeks
-    after the last observed one are cut.  Written before that cut, so that the first
-    and the last week don't cost another pass over the observations."""
-    rows = rolling_weeks(obs.select(*CELL, "item", "unit_price", "store_id", "product_id", "date"), params.previous_weeks)
+    after the last observed one are cut.  Equal prices of a week are counted first; the counts are
+    dealt by chain, place and item, so the weeks of a window meet in one task, and each
+    takes part in its windows there: what is shuffled doesn't depend on their length.
+    Written before that cut, so that the first and the last week don't cost another pass over the observations."""
+    keys = ["chain", "place_id", "item"]
+    held = {f"{c}s": F.collect_set(c) for c in ("store_id", "product_id", "date")}
+    counted = obs.groupBy(*CELL, "item", "unit_price").agg(F.count("*").alias("n"), *[s.alias(c) for c, s in held.items()])
+    rows = rolling_weeks(counted.repartition(*keys), params.previous_weeks)
+    several = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
     cells = written(
         rows.groupBy(*CELL, "item").agg(
-            F.median("unit_price").alias("median_price"),
+            F.expr("percentile(unit_price, 0.5, n)").alias("median_price"),
             F.min("unit_price").alias("min_price"),
             F.max("unit_price").alias("max_price"),
-            F.count("*").alias("n_observations"),
-            distinct("store_id").alias("n_stores"),
-            distinct("product_id").alias("n_products"),
-            distinct("date").alias("n_days"),
+            F.sum("n").alias("n_observations"),
+            several("store_ids").alias("n_stores"),
+            several("product_ids").alias("n_products"),
+            several("dates").alias("n_days"),
             F.bool_or("own").alias("own"),
         )
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.storage import shared_folder, written
+from .operators import normalize
 from .plans.bindings import table
 from .queries import query
 from .sources import commits, files, publish, splits
@@ -98,3 +99,51 @@ def evolved_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = [loaded.manifest(v).select(F.concat(F.lit("n"), part).alias("part"), "load_id", F.lit(v).alias("version")) for v in (1, 2, 3)]
     seen = versions[0].unionByName(versions[1]).unionByName(versions[2]).groupBy("part", "load_id").agg(F.min("version").alias("version"), F.max("version").alias("last"))
     return rows.join(seen.where("last = 3"), "part").select("part", "name", "number", "folio", "version")
+
+
+_WEEKS = "SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, count(*) AS n FROM orders GROUP BY 1"
+_FIXED = "CASE WHEN n_nationkey % 3 = 0 THEN 'El ' || lower(n_name) ELSE n_name END"
+
+
+@query(f"""WITH weeks AS ({_WEEKS}), big AS (SELECT * FROM weeks WHERE n > 1)
+SELECT 'week' AS kind, CAST(week AS VARCHAR) AS name, n FROM big WHERE week > (SELECT max(week) FROM big) - 56
+UNION ALL SELECT 'nation', {_FIXED}, CAST(row_number() OVER (ORDER BY {_FIXED}) AS BIGINT) FROM nation
+UNION ALL SELECT 'published', 'v1 ' || (SELECT max(week) FROM weeks) || ' ' || (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), (SELECT count(*) FROM region) + (SELECT count(*) FROM nation)""")
+def publish_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that went through every sink: a mapping as delimited text, read as a seed and
+    applied; a layer; saved tables; a catalog's codes; two published tables and their
+    metadata, all read back from the version that readers see."""
+    base = f"{shared_folder(spark)}/published/{uuid.uuid4().hex}"
+    nation, key = table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    wrong = nation.where(key % 3 == 0).select(F.lit("n_name").alias("column"), F.col("n_name").alias("value"), F.concat(F.lit("El "), F.lower("n_name")).alias("corrected"))
+    publish.save_mapping(wrong, f"{base}/corrections")
+    seed = files.load_seed(spark, f"{base}/corrections", "column string, value string, corrected string")
+    names = normalize.apply_corrections(nation.select("n_name"), seed, ["n_name"])
+    kept = publish.Layer(f"{base}/layer").keep(spark, "names", names)
+    publish.save_tables({"names": kept}, f"{base}/tables")
+    names = publish.load_tables(spark, f"{base}/tables", ["names"])["names"]
+    catalog = normalize.dense_id(names.select(F.col("n_name").alias("value")).distinct(), ["value"], "position")
+    codes = publish.encode_by_catalog(names.withColumn("code", F.col("n_name")), "code", catalog)
+    orders = table(spark, sf_dir, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
+    weeks = orders.groupBy(F.trunc("date", "week").alias("week")).agg(F.count("*").alias("n"))
+    publish.publish(spark, [publish.PublishSpec("weeks", weeks, "n > 1", recent_weeks=8), publish.PublishSpec("names", codes)], f"{base}/out")
+    seen = lambda name: publish.published(spark, f"{base}/out", name)
+    counts = spark.createDataFrame([], "file string, n_rows long")
+    for name in ("region", "nation"):
+        counts = counts.unionByName(table(spark, sf_dir, name).agg(F.lit(name).alias("file"), F.count("*").alias("n_rows")))
+    about = publish.publication_metadata(weeks, orders, counts, "v1").select(F.lit("published").alias("kind"), F.concat_ws(" ", "version", "last_week", "last_date").alias("name"), F.col("n_rows").alias("n"))
+    of_weeks = seen("weeks").select(F.lit("week").alias("kind"), F.col("week").cast("string").alias("name"), "n")
+    return of_weeks.unionByName(seen("names").select(F.lit("nation").alias("kind"), F.col("n_name").alias("name"), F.col("code").cast("long").alias("n"))).unionByName(about)
+
+
+@query("""SELECT c_mktsegment || ' ' || (c_custkey % 10) AS file, CASE WHEN c_custkey % 10 = 3 THEN 'new' WHEN c_custkey % 10 = 4 THEN 'absent' WHEN c_custkey % 10 >= 8 THEN 'pending' ELSE 'unchanged' END AS state,
+  CASE WHEN c_custkey % 10 = 3 THEN 'new' WHEN c_custkey % 10 = 4 THEN 'absent' WHEN c_custkey % 10 >= 8 THEN 'replaced' ELSE 'unchanged' END AS with_replace FROM customer GROUP BY ALL""")
+def version_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of named sets of customers whose digests differ between two days."""
+    last = F.col("c_custkey") % 10
+    sets = table(spark, sf_dir, "customer").groupBy(F.concat_ws(" ", "c_mktsegment", last).alias("file"), last.alias("d")).agg(F.sha2(F.concat_ws(",", F.count("*"), F.bit_xor(F.xxhash64("c_custkey", "c_name"))), 256).alias("sha256"))
+    sets = written(sets)
+    now = sets.where("d <> 4").select("file", "sha256")
+    then = sets.where("d <> 3").select("file", F.when(F.col("d") >= 8, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"))
+    kept = files.classify_versions(now, then)
+    return kept.join(files.classify_versions(now, then, replace=True).withColumnRenamed("state", "with_replace"), "file")

@@ -6,7 +6,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampNTZType, TimestampType
 
@@ -16,13 +16,28 @@ PUBLISHABLE = (BooleanType, DateType, DecimalType, DoubleType, IntegerType, Long
 
 @dataclass(frozen=True)
 class PublishSpec:
-    """Of one table: its name there, a filter, and how many recent weeks (0: all)."""
+    """Of one table: its name there, a filter, how many recent weeks (0: all), and the columns
+    of its indexes in a database."""
 
     name: str
     table: DataFrame
     where: str | None = None
     recent_weeks: int = 0
     week: str = "week"
+    indexes: tuple[tuple[str, ...], ...] = ()
+
+    def rows(self) -> DataFrame:
+        """What is published; types that can't be are an error."""
+        df = self.table.where(self.where) if self.where else self.table
+        df = recent(df, self.week, self.recent_weeks) if self.recent_weeks else df
+        check_publishable(df.schema)
+        return df
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, whose rows are counted as they are written (``n``): nothing is worked out twice."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
 def check_publishable(schema: StructType) -> None:
@@ -43,17 +58,12 @@ def publish(spark: SparkSession, specs: list[PublishSpec], target: str) -> dict[
     version = uuid.uuid4().hex
     counts = {}
     for s in specs:
-        df = s.table.where(s.where) if s.where else s.table
-        df = recent(df, s.week, s.recent_weeks) if s.recent_weeks else df
-        check_publishable(df.schema)
         path = f"{target}/versions/{version}/{s.name}"
-        df = df.cache()
-        n = df.count()
+        df, seen = counted(s.rows())
         df.write.parquet(path)
-        df.unpersist()
-        if (kept := spark.read.parquet(path).count()) != n:
-            raise ValueError(f"{s.name}: {kept} rows written of {n}")
-        counts[s.name] = n
+        if (kept := spark.read.parquet(path).count()) != seen.get["n"]:
+            raise ValueError(f"{s.name}: {kept} rows written of {seen.get['n']}")
+        counts[s.name] = kept
     row = spark.createDataFrame([(version, json.dumps(counts))], "version string, counts string")
     row.withColumn("published", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{target}/log")
     return counts
