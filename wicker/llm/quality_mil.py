@@ -31,7 +31,6 @@ from .common import map_batches, text_of
 
 PASSAGE = 64
 TRAIN_ROWS = 6000
-TRAIN_PASSAGES = 64
 FOLDS = 5
 CUT = 0.3
 HIDDEN, GATES = 16, 8
@@ -168,10 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, bags = measure(batch.column(2).to_pylist())
-        parts = []
-        for part in np.split(x, np.cumsum(bags)[:-1]):
-            pick = np.unique(np.linspace(0, len(part) - 1, min(len(part), TRAIN_PASSAGES)).astype(int))
-            parts.append(part[pick].astype(np.float32).tobytes())
+        parts = [part.astype(np.float32).tobytes() for part in np.split(x, np.cumsum(bags)[:-1])]
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(parts, pa.binary())], ["id", "label", "x"])
 
     got = map_batches(source, run, "id long, label int, x binary").orderBy("id", "x").toArrow()
