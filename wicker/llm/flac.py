@@ -605,6 +605,11 @@ def _decoded(batch: pa.RecordBatch) -> list[Pcm | None]:
     return out
 
 
+def blocks(pcm: Pcm) -> list[tuple[int, int, bytes]]:
+    """Sample offset, samples and PCM bytes of each frame: any of them can be sought by its offset."""
+    return [(a, n, pcm_bytes(pcm.samples[a : a + n], pcm.info.bits)) for a, n, _ in pcm.frames]
+
+
 def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
     """key, sample_offset, n_samples, channels, bits, rate, pcm: a row for each
     frame, with the offset of its first sample in its stream."""
@@ -614,7 +619,7 @@ def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media") ->
         for k, pcm in zip(batch.column(0).to_pylist(), _decoded(batch), strict=True):
             if pcm is not None:
                 i = pcm.info
-                rows += [(k, a, n, i.channels, i.bits, i.rate, pcm_bytes(pcm.samples[a : a + n], i.bits)) for a, n, _ in pcm.frames]
+                rows += [(k, a, n, i.channels, i.bits, i.rate, block) for a, n, block in blocks(pcm)]
         columns = list(zip(*rows, strict=True)) or [[]] * 7
         types = [batch.schema.field(0).type] + [pa.int64()] * 5 + [pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
@@ -636,17 +641,40 @@ def features(pcm: Pcm) -> str:
 
 
 def media_digests(media: DataFrame) -> DataFrame:
-    """Of doc_id, n_bytes, media: the stored bytes read back, and their digests."""
+    """Of doc_id, n_bytes, media: the stored bytes read back, and their digests; status is ok,
+    missing (a null medium) or the reason why a stream can't be read, and then the rest is null
+    (but for the size and digest of a stream that is there)."""
+
+    def read(raw: bytes | None) -> tuple:
+        if raw is None:
+            return (None,) * 6 + ("missing",)
+        stored = (len(raw), hashlib.sha256(raw).hexdigest())
+        try:
+            (pcm,) = decode([raw])
+        except ValueError as error:
+            return (None, None, None, *stored, None, str(error))
+        return of(pcm, raw)
+
+    def of(pcm: Pcm, raw: bytes) -> tuple:
+        # The payload is put together from its blocks, in the order of their sample offsets.
+        payload = b"".join(block for _, _, block in sorted(blocks(pcm)))
+        digest = hashlib.sha256(raw).hexdigest()
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(raw), digest, features(pcm), "ok"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for raw, pcm in zip(batch.column(2).to_pylist(), _decoded(batch), strict=True):
-            payload = pcm_bytes(pcm.samples, pcm.info.bits)
-            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(raw), hashlib.sha256(raw).hexdigest(), features(pcm)))
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        raws = batch.column(2).to_pylist()
+        some = [r for r in raws if r is not None]
+        try:
+            found = iter([of(pcm, raw) for pcm, raw in zip(decode(some), some, strict=True)])
+            rows = [read(None) if r is None else next(found) for r in raws]
+        except ValueError:  # a damaged one: each on its own
+            rows = [read(r) for r in raws]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names)
 
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "status"]
+    types = ("long", "long", "long", "string", "long", "long", "string", "string", "string")
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
     return map_batches(media.select("doc_id", "n_bytes", "media"), run, schema, column="media", limit=1 << 21)
+

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import centroids, flac, license_scan, mixing, packing, periodic, quality_mil, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, token_files
 from .common import documents, shared_folder, table
@@ -23,6 +24,12 @@ def op2_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(flac.store_texts(documents(spark, sf_dir)))
 
 
+def media_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every PCM block of the stored texts, with its sample offset and digest."""
+    found = flac.pcm_blocks(flac.store_texts(documents(spark, sf_dir)))
+    return found.select("doc_id", "sample_offset", "n_samples", F.sha2("pcm", 256).alias("pcm_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -76,5 +83,5 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op12_periodic_runs, op13_centroids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, media_blocks, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op12_periodic_runs, op13_centroids)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op13_centroids": centroids.oracle()}
