@@ -57,10 +57,12 @@ PLAIN = ("required", "expired", "invalid", "below", "none", "changed", "manageme
 WORDS = ("passw", "secret", "token", "api")
 #: Texts with a find of the rules, and as many without, that the field is trained on,
 #: and secrets and decoys planted into each.
-TRAIN_TEXTS = 250
+TRAIN_TEXTS = 300
 PLANTED, DECOYS = 3, 6
+#: Training windows that come to the driver at most, by hash: 500 bytes each.
+TRAIN_WINDOWS = 20_000
 SEGMENT = 16
-NEAR = 600  # characters around what is planted
+NEAR = 20_000  # characters around what is planted
 FEATURES = 1 << 13
 #: Features of a token, by column: at most six of its own, of three neighbours each,
 #: two of the text.
@@ -374,8 +376,8 @@ def _windows(text: str, spans: list[tuple[int, int]], centres: list[int], whole:
 
 
 def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Training windows of texts: around the rules' finds (three at most), two
-    anywhere, and around what is planted."""
+    """Training windows of texts: around each of the rules' finds, two anywhere, and around
+    what is planted."""
     slots, tags = [], []
     for text in texts:
         if not TOKEN.search(text):
@@ -383,7 +385,7 @@ def _segments(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(int(hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16))
         whole = text_features(TOKEN.findall(text))
         own = value_spans(text)
-        _windows(text, own, [a for a, _ in own[:3]] + rng.integers(0, len(text), 2).tolist(), whole, slots, tags)
+        _windows(text, own, [a for a, _ in own] + rng.integers(0, len(text), 2).tolist(), whole, slots, tags)
         for k in range(PLANTED + DECOYS):
             start = int(rng.integers(0, max(1, len(text) - NEAR)))  # a window needs no more around it
             new, a, b = planted(text[start : start + NEAR], rng, secret=k < PLANTED)
@@ -408,9 +410,9 @@ def rule_matches(t: Column) -> Column:
 
 def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
     """A field trained on windows of at most ``texts`` texts in which a rule matches
-    and as many others, chosen by hash; of each text at most 5 windows and
-    ``PLANTED`` + ``DECOYS`` with something planted come to the driver.  Without any text, a
-    field that adds nothing."""
+    and as many others, chosen by hash; their windows (each find of a rule, two anywhere,
+    ``PLANTED`` + ``DECOYS`` with something planted) come to the driver, ``TRAIN_WINDOWS`` at most, chosen
+    by hash too.  Without any text, a field that adds nothing."""
     t = text_of(text)
     hit = rule_matches(t)
     # The hashes of both samples first, so that texts don't take part in the sort.
@@ -427,7 +429,8 @@ def fit(docs: DataFrame, text: str = "text", texts: int = TRAIN_TEXTS) -> Field:
 
     source = chosen.where(inside).select("text").distinct()
     source = source.repartition(docs.sparkSession.sparkContext.defaultParallelism)  # a few texts with much work each
-    got = map_batches(source, windows, "slots binary, tags binary").orderBy("slots", "tags").toArrow()
+    found = map_batches(source, windows, "slots binary, tags binary").orderBy(F.xxhash64("slots", "tags"), "slots", "tags")
+    got = found.limit(TRAIN_WINDOWS).toArrow()
     if not got.num_rows:
         return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
     slots = np.stack([np.frombuffer(x, np.int16).reshape(SEGMENT, WIDTH) for x in got.column(0).to_pylist()]).astype(np.int64)
