@@ -168,6 +168,20 @@ def test_flac_header_inside_a_frame(spark):
     assert {r.doc_id: r.payload_sha256 for r in out.collect()} == {i: hashlib.sha256(flac.padded(t)[0]).hexdigest() for i, t in enumerate(texts)}
 
 
+def test_flac_missing_and_damaged_streams(spark):
+    stored = [tuple(r) for r in flac.store_texts(spark.createDataFrame([(1, "a text"), (2, None), (3, "x" * 2000)], "doc_id long, text string")).collect()]
+    broken = bytearray(stored[2][2])
+    broken[-3] ^= 0x55
+    rows = [*stored, (4, 5, None), (5, 2000, bytes(broken)), (6, 0, b""), (7, 1, b"not a stream")]
+    got = {r.doc_id: r for r in flac.media_digests(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary").coalesce(1)).collect()}
+    assert [got[i].status for i in (1, 2, 3, 4)] == ["ok", "ok", "ok", "missing"] and got[4].payload_sha256 is None and got[4].media_bytes is None
+    for i in (5, 6, 7):
+        assert got[i].status not in ("ok", "missing") and got[i].payload_sha256 is None and got[i].media_bytes == len(rows[i - 1][2])
+    assert got[3].payload_sha256 == hashlib.sha256(flac.padded("x" * 2000)[0]).hexdigest()
+    blocks = flac.pcm_blocks(spark.createDataFrame(rows[:4], "doc_id long, n_bytes long, media binary")).orderBy("doc_id", "sample_offset").collect()
+    assert b"".join(b.pcm for b in blocks if b.doc_id == 3) == flac.padded("x" * 2000)[0] and {b.doc_id for b in blocks} == {1, 2, 3}
+
+
 class BitWriter:
     def __init__(self):
         self.bits = []
@@ -460,10 +474,11 @@ def brute_repeats(texts, span=200):
     return out
 
 
-@pytest.mark.parametrize("chunk", [2048, 3])
-def test_suffix_dedup(spark, docs, given, chunk, monkeypatch):
+@pytest.mark.parametrize("chunk,many", [(2048, 32768), (3, 48), (3, 2)])
+def test_suffix_dedup(spark, docs, given, chunk, many, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
     monkeypatch.setattr(suffix_dedup, "HOT", chunk)
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     same(suffix_dedup.remove_repeats(docs), [(i, *x) for (i, _), x in zip(given, brute_repeats([t for _, t in given]), strict=True)], columns)
     rng = np.random.default_rng(4)
@@ -476,6 +491,20 @@ def test_suffix_dedup(spark, docs, given, chunk, monkeypatch):
     same(suffix_dedup.remove_repeats(df), [(i, *x) for i, x in enumerate(brute_repeats(texts))], columns)
 
 
+def test_suffix_dedup_of_an_anchor_with_very_many_contexts(spark):
+    """The rows that windows make grow with the contexts, not with their pairs."""
+    made = []
+    for n in (300, 600):
+        gram = "".join(chr(97 + i * i % 26) for i in range(64))
+        rows = [(b"%d" % i, i, 1, 68, 0, (f"{i:068d}" + gram + f"{i:068d}").encode()) for i in range(n)]
+        rows += [(b"x%d" % i, i, 1, 68, 0, rows[0][5]) for i in range(2)]
+        df = spark.createDataFrame([(7, t, 1, left, low, c) for t, _, _, left, low, c in rows], "a long, t binary, n long, left long, low int, context binary")
+        got = suffix_dedup._counted_windows(df)
+        assert {bytes(r.t) for r in got.collect()} == {b"0", b"x0", b"x1"} and got.count() == 3
+        made.append(got.count())
+    assert made[0] == made[1]
+
+
 def test_two_stage_order():
     rng = np.random.default_rng(6)
     for letters in (2, 5, 200):

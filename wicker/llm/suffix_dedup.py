@@ -2,13 +2,13 @@
 elsewhere are removed.
 
 1. Texts.  Different texts are kept once, with their number of copies, in a table
-   bucketed by their MD5, which all later steps read without moving texts again.
+   bucketed by their SHA-256, which all later steps read without moving texts again.
 2. Anchors.  In every window of SPAN bytes the ``GRAM``-byte strings with the least
    hash are anchors, so equal windows have equal anchors at equal places.  An anchor
    rules the windows in which it is the least; they are neighbours.  Anchors whose
    hash is found once can't lie in a repeat and go.
 3. Contexts.  The windows that an anchor rules make up its context.  Equal contexts
-   (by the anchor's hash and another one) are counted; all windows of a context that
+   (by 128 bits of BLAKE2b) are counted; all windows of a context that
    comes twice are repeats, and one copy of it goes on.
 4. Suffix arrays.  The different contexts of an anchor meet in one task, in blocks.
    They are cut into parts of ``PART`` windows by the distance to the anchor, and
@@ -16,7 +16,9 @@ elsewhere are removed.
    directly, the others are induced from them by scans over the buckets of first
    bytes.  Adjacent windows with a common prefix of SPAN bytes or more, at different
    places, are repeats.  An anchor with more than ``CHUNK`` contexts is split into
-   chunks, and each pair of chunks has a block of its own.
+   chunks, and each pair of chunks has a block of its own.  Equal windows lie at the same
+   distance from their anchor; of an anchor with more than ``MANY`` contexts, for which pairs of
+   chunks would cost more, the windows are counted by anchor, distance and digest instead.
 5. The spans of each text are merged and cut out.
 
 Null texts are empty; texts shorter than SPAN keep all bytes.  Repeated rows (with
@@ -40,6 +42,7 @@ from .common import BROADCAST_ROWS, bucketed, map_batches, text_of, written
 SPAN, GRAM = 200, 64
 REACH = SPAN - GRAM  # of a window on either side of its anchor's bytes
 CHUNK = 2048
+MANY = 16 * CHUNK
 PART = 32
 HOT = 1024  # rows of a key that stay together
 BLOCK_BYTES = 1 << 20
@@ -66,19 +69,13 @@ def _powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Ranges:
-    """64-bit hashes of byte ranges of one array."""
+    """64-bit hashes of byte ranges of one array; they choose anchors, and decide nothing."""
 
     def __init__(self, data: np.ndarray, k: int):
         up, self.down = _powers(k, 1 << max(10, len(data).bit_length()))
         self.total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_tables(k)[data] * up[: len(data)], out=self.total[1:])
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.total[end] - self.total[start]) * self.down[start]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
-
     def grams(self, size: int) -> np.ndarray:
         n = len(self.total) - size
         h = (self.total[size:] - self.total[:n]) * self.down[:n]
@@ -140,9 +137,14 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
 
 
+def _digest(content: bytes, left: int) -> bytes:
+    """128 bits of BLAKE2b of a context and how far it reaches to its anchor's left."""
+    return hashlib.blake2b(content, digest_size=16, salt=left.to_bytes(2, "little")).digest()
+
+
 def anchor_table(texts: DataFrame, contexts: bool = True) -> DataFrame:
     """Of t, text, k (copies): a (gram hash) and k for each anchor and, with
-    ``contexts``, t, c (hash of the context) and p: the anchor's place, how far the
+    ``contexts``, t, c (digest of the context) and p: the anchor's place, how far the
     context reaches to its left, and the context's length, in one number."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -153,12 +155,12 @@ def anchor_table(texts: DataFrame, contexts: bool = True) -> DataFrame:
         of, hashes, copies = pa.array(owner), pa.array(a.view(np.int64)), batch.column(2)
         if not contexts:
             return pa.RecordBatch.from_arrays([hashes, copies.take(of)], ["a", "k"])
-        mark = ((at - first) * 1009 + (last - first)).astype(np.uint64) * np.uint64(_BASES[1])
-        c = (Ranges(data, 1).of(first, last + SPAN) + mark).view(np.int64)
+        joined, left = data.tobytes(), (at - first).tolist()
+        c = [_digest(joined[i : j + SPAN], k) for i, j, k in zip(first.tolist(), last.tolist(), left, strict=True)]
         p = (at - begin[owner]) << 20 | (at - first) << 10 | (last + SPAN - first)
-        return pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(p), hashes, pa.array(c), copies.take(of)], ["t", "p", "a", "c", "k"])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(p), hashes, pa.array(c, pa.binary()), copies.take(of)], ["t", "p", "a", "c", "k"])
 
-    return map_batches(texts.select("t", "text", "k"), run, "t binary, p long, a long, c long, k long" if contexts else "a long, k long")
+    return map_batches(texts.select("t", "text", "k"), run, "t binary, p long, a long, c binary, k long" if contexts else "a long, k long")
 
 
 def _size(p: str) -> Column:
@@ -367,6 +369,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_pydict({"t": batch.column(0).take(owner), **fields, "context": pa.array(context, pa.binary())})
 
     got = map_batches(texts.join(some, "t").select("t", "text", "xs"), fetch, "t binary, a long, n long, m long, left long, low int, context binary")
+    if not mixed.where(F.col("m") > MANY).isEmpty():
+        got = written(got)
+        sure = sure.unionByName(_counted_windows(got.where(F.col("m") > MANY)))
+        got = got.where(F.col("m") <= MANY)
     chunks = F.ceil(F.col("m") / CHUNK)
     got = got.withColumn("k", F.pmod(F.xxhash64("context"), chunks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     got = got.select("a", "t", "n", "left", "low", "context", F.xxhash64("a", F.least("k", "o"), F.greatest("k", "o")).alias("g"))
@@ -394,6 +400,24 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     return sure.unionByName(more).groupBy("t").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
+def _counted_windows(contexts: DataFrame) -> DataFrame:
+    """t, low, high of the repeated windows of contexts (a, t, n, left, low, context) that stand in
+    one place each (n = 1): every window is a row, and equal ones are counted before they are joined."""
+
+    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for a, t, n, left, low, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows += [(a, left - i, _digest(context[i : i + SPAN], 0), t, low + i, n) for i in range(len(context) - SPAN + 1)]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), types, strict=True)], ["a", "d", "w", "t", "low", "n"])
+
+    source = contexts.select("a", "t", "n", "left", "low", "context")
+    windows = map_batches(source, split, "a long, d long, w binary, t binary, low int, n long", column="context", limit=1 << 18)
+    several = written(windows.groupBy("a", "d", "w").agg(F.sum("n").alias("m")).where("m > 1"))
+    found = among(windows.where("n = 1"), several, ["a", "d", "w"], "t")
+    return found.select("t", "low", (F.col("low") + SPAN).alias("high"))
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of the bytes that the spans cover."""
     out: list[list[int]] = []
@@ -409,7 +433,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep_text``,
     kept (the bytes left) of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    keyed = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("t"), "text")
+    keyed = rows.select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("t"), "text")
     texts = bucketed(keyed, "t", F.first("text").alias("text"), F.count("*").alias("k"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
