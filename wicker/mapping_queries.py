@@ -93,7 +93,7 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.review_queue(parsed, texts)
 
 
-_VALIDATED = f"""WITH savings AS ({ORACLES["paired_savings"]}), outliers AS ({ORACLES["robust_outliers"]}), bad AS (SELECT n_regionkey AS place_id, CAST(date_trunc('week', date) AS DATE) AS week FROM outliers JOIN supplier ON s_suppkey = store_id JOIN nation ON n_nationkey = s_nationkey WHERE rule = 1 AND price > 20 * median),
+_VALIDATED = f"""WITH savings AS ({ORACLES["paired_savings"]}), outliers AS ({ORACLES["robust_outliers"]}), bad AS (SELECT n_regionkey AS place_id, CAST(date_trunc('week', date) AS DATE) AS week FROM outliers JOIN supplier ON s_suppkey = store_id JOIN nation ON n_nationkey = s_nationkey),
 c AS (SELECT DISTINCT place_id, week, chains_compared FROM savings WHERE (place_id, week) NOT IN (SELECT place_id, week FROM bad UNION SELECT place_id, week + 7 FROM bad)),
 b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY place_id ORDER BY chains_compared DESC, md5(place_id || '|' || week)) = 1)
 SELECT * FROM b ORDER BY chains_compared DESC, md5(place_id || '|' || week) LIMIT 3"""
@@ -101,9 +101,9 @@ SELECT * FROM b ORDER BY chains_compared DESC, md5(place_id || '|' || week) LIMI
 
 @query(_VALIDATED)
 def validation_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paired cells without far outliers in their window, one of each place."""
-    flagged = marts.flag_outliers(observations(spark, sf_dir), P).where((F.col("rule") == 1) & (F.col("price") > 20 * F.col("median")))
-    return validation.pick_cells(written(Q.paired_savings(spark, sf_dir)), flagged, 3)
+    """Paired cells without outliers in their window, one of each place."""
+    flagged = marts.flag_outliers(observations(spark, sf_dir), P).where("is_outlier")
+    return validation.pick_cells(written(Q.paired_savings(spark, sf_dir)), flagged, 3, P)
 
 
 @query("SELECT p_brand, p_type, CAST(dense_rank() OVER (ORDER BY p_brand, p_type) AS INT) AS id FROM (SELECT DISTINCT p_brand, p_type FROM part)")

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..functions.sketches import distinct_sketches, merged_distinct
 from ..functions.stats import one_row, quantiles_of_all, rounded
 
 
-def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column, n_rows, n_empty, n_distinct: all columns in one aggregate."""
+def column_profile(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
+    """column, n_rows, n_empty, n_distinct: all columns in one aggregate.  Exact counts repeat
+    every row for each column; ``approximate`` ones, within ``sketches.distinct_error``, don't."""
+    if approximate:
+        return merged_distinct(distinct_sketches(df, [], columns), [], columns)
     parts = []
     for c in columns:
         text = F.col(c).cast("string")

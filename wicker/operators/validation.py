@@ -9,13 +9,15 @@ from pyspark.sql.window import Window
 from ..functions import text as T
 from ..functions.stats import rounded
 from ..params import Params
+from ..plans.marts import rolling_weeks
 from .normalize import NO_BRAND
 
 
-def pick_cells(savings: DataFrame, outliers: DataFrame, n: int = 6) -> DataFrame:
+def pick_cells(savings: DataFrame, outliers: DataFrame, n: int = 6, params: Params = Params()) -> DataFrame:
     """``n`` paired cells without outliers in their window, one for each place, most
     chains first, then by a hash."""
-    bad = outliers.select("place_id", "week").unionByName(outliers.select("place_id", F.date_add("week", 7).alias("week"))).distinct()
+    found = outliers.select("place_id", "week").distinct()
+    bad = rolling_weeks(found, params.previous_weeks).select("place_id", "week").distinct()
     cells = savings.select("place_id", "week", "chains_compared").distinct().join(bad, ["place_id", "week"], "left_anti")
     mark = F.md5(F.concat_ws("|", "place_id", "week"))
     order = Window.partitionBy("place_id").orderBy(F.desc("chains_compared"), mark)
@@ -44,7 +46,7 @@ def compare(recomputed: DataFrame, published: DataFrame, params: Params = Params
     return both.withColumn("agrees", F.coalesce(same, F.lit(False)))
 
 
-def recompute_from_raw(raw: DataFrame, rules: DataFrame, parsed: DataFrame) -> DataFrame:
+def recompute_from_raw(raw: DataFrame, rules: DataFrame, parsed: DataFrame, params: Params = Params()) -> DataFrame:
     """place, week, chain, cost, n_items from raw lines and no table of the star
     schema: each line's date by any format, keys, package and rule (the first that
     fits), equal lines of a day once, median of the window times quantity.
@@ -61,9 +63,13 @@ def recompute_from_raw(raw: DataFrame, rules: DataFrame, parsed: DataFrame) -> D
     r = rules.select(F.col("key").alias("r_key"), "unit", "include", "exclude", "item_id", "quantity")
     meets = (F.col("product") == F.col("r_key")) & (F.col("base_unit") == F.col("unit")) & F.call_function("rlike", F.col("package_key"), F.col("include")) & ~F.coalesce(F.call_function("rlike", F.col("package_key"), F.col("exclude")), F.lit(False))
     read = parsed.where("is_comparable").select("package_key", "base_unit", "content")
-    named = lines.join(read, "package_key").join(r, meets)
+    # Rules are tried once for each different product and package, then joined by these.
+    kinds = lines.select("product", "package_key").distinct().join(read, "package_key").join(r, meets)
+    named = lines.join(kinds.select("product", "package_key", "item_id", "quantity", "content"), ["product", "package_key"])
     once = named.groupBy("product", "package_key", "brand", "store", "place", "chain", "date", "price").agg(F.min(F.struct("item_id", "quantity", "content")).alias("m"))
     monday = F.date_sub("date", F.weekday("date"))
-    windows = once.select("place", "chain", "m.item_id", "m.quantity", rounded(F.col("price") / F.col("m.content"), 4).alias("unit_price"), F.explode(F.array(monday, F.date_add(monday, 7))).alias("week"))
+    unit_price = rounded(F.col("price") / F.col("m.content"), 4).alias("unit_price")
+    own = once.select("place", "chain", "m.item_id", "m.quantity", unit_price, monday.alias("week"))
+    windows = rolling_weeks(own, params.previous_weeks)
     per = windows.groupBy("place", "week", "chain", "item_id", "quantity").agg((F.percentile("unit_price", 0.5) * F.col("quantity")).alias("cost"))
     return per.groupBy("place", "week", "chain").agg(rounded(F.sum("cost")).alias("cost"), F.count("*").alias("n_items"))
