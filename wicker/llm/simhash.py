@@ -13,6 +13,12 @@ soon as all their distances exceed the radius.  Keys with many fingerprints are
 split into chunks, and every pair of chunks is compared in a task of its own.  A
 task returns a spanning star of each group it links, never all pairs.
 
+Texts of a given Jaccard similarity (``similar_links``): a fingerprint of 64 bits can't find these
+exactly, since 0.8 over five words means about 8 bits on average, and up to 13.  Here the keys
+are samples of the bits, enough of them for a pair of 10 differing bits to share a key in 95 cases
+of 100; the same comparison gives pairs within 13 bits, and the nearest of each
+fingerprint are checked exactly, shingle by shingle.
+
 Components: alternating large and small stars over the links, each round cut from
 its lineage.  Exact copies share a fingerprint and are never compared.
 
@@ -24,6 +30,7 @@ names.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
@@ -34,10 +41,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from .common import cut, map_batches, small, text_of
 
 RADIUS, WORDS, SEED = 4, 4, 42
+#: Of ``similar_links``: shingles and similarity that count, bits within which fingerprints are
+#: candidates, and how many of the nearest ones are checked.
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+WIDE, NEAREST = 13, 3
+#: Fingerprints of a group that are this near in its order are all paired.
+BESIDE = 8
 #: Fingerprints of one key that are compared in one place.
 CHUNK = 4096
 #: Lanes that a task compares at once, unless one group has more.
@@ -110,13 +124,14 @@ def _full(a, b, c):
 
 def near(planes: np.ndarray, valid: np.ndarray, d: int, radius: int = RADIUS) -> np.ndarray:
     """Lanes i, among the bits of ``valid``, whose distance to lane i + d is at
-    most ``radius`` (under 8)."""
+    most ``radius`` (under 16)."""
+    wide = radius > 7  # a fourth counter
     step, shift = divmod(d, 64)
     at = np.flatnonzero(valid)
     live = valid[at]
     ones = np.zeros(len(at), np.uint64)
-    twos, fours, over = ones.copy(), ones.copy(), ones.copy()
-    limit = [np.uint64(0xFFFFFFFFFFFFFFFF if radius >> k & 1 else 0) for k in range(3)]
+    twos, fours, eights, over = ones.copy(), ones.copy(), ones.copy(), ones.copy()
+    limit = [np.uint64(0xFFFFFFFFFFFFFFFF if radius >> k & 1 else 0) for k in range(4)]
     for p in range(0, 64, 7):
         some = planes[p : p + 7]
         right = some[:, at + step]
@@ -134,10 +149,12 @@ def near(planes: np.ndarray, valid: np.ndarray, d: int, radius: int = RADIUS) ->
         ones = ones ^ one
         twos, carry = _full(twos, two, carry)
         fours, carry = _full(fours, four, carry)
+        if wide:
+            eights, carry = eights ^ carry, eights & carry
         over |= carry
         # counter > radius, from the highest bit down
         more, same = over, ~over
-        for bit, k in ((fours, 2), (twos, 1), (ones, 0)):
+        for bit, k in (((eights, 3),) if wide else ()) + ((fours, 2), (twos, 1), (ones, 0)):
             more = more | (same & bit & ~limit[k])
             same = same & ~(bit ^ limit[k])
         left = live & ~more
@@ -145,7 +162,7 @@ def near(planes: np.ndarray, valid: np.ndarray, d: int, radius: int = RADIUS) ->
         if not len(keep):
             return np.zeros(0, np.int64)
         if len(keep) < len(at):  # words in which every distance exceeds the radius
-            at, live, ones, twos, fours, over, left = at[keep], live[keep], ones[keep], twos[keep], fours[keep], over[keep], left[keep]
+            at, live, ones, twos, fours, eights, over, left = (x[keep] for x in (at, live, ones, twos, fours, eights, over, left))
     bits = np.unpackbits(left.view(np.uint8).reshape(len(left), 8), axis=1, bitorder="little")
     row, col = np.nonzero(bits)
     return at[row] * 64 + col
@@ -159,13 +176,15 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS, pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Links (fingerprint, root) that connect what lies within ``radius`` inside
-    each group; ``group`` is sorted."""
+    each group; ``group`` is sorted.  With ``pairs``, pairs within the radius instead: all of
+    fingerprints at most ``BESIDE`` places apart, and those that connected something."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     size = np.diff(np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group)))
     order = np.argsort(-np.repeat(size, size), kind="stable")  # large groups first
     fp, group, size = fp[order], group[order], np.repeat(size, size)[order]
-    parent = np.arange(len(fp))
+    parent, fp_all = np.arange(len(fp)), fp
     lane = np.arange(len(fp))  # of the whole, for each lane still compared
     planes, d, rebuilt = bit_planes(fp), 1, 1
     while True:
@@ -178,6 +197,10 @@ def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[n
         a = near(planes, valid, d, radius)
         if len(a):
             x, y = lane[a], lane[a + d]
+            if pairs:
+                parent = _roots(parent)
+                own = slice(None) if d <= BESIDE else parent[x] != parent[y]
+                found.append((fp_all[x[own]], fp_all[y[own]]))
             while True:
                 parent = _roots(parent)
                 low, high = np.minimum(parent[x], parent[y]), np.maximum(parent[x], parent[y])
@@ -186,7 +209,7 @@ def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[n
                     break
                 np.minimum.at(parent, high[open_], low[open_])
         d += 1
-        if d >= 2 * rebuilt:  # groups that are one component need no more
+        if d >= 2 * rebuilt and not (pairs and d <= BESIDE):  # groups that are one component need no more
             rebuilt, parent = d, _roots(parent)
             root = parent[lane]
             begins = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
@@ -197,6 +220,9 @@ def spanning(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[n
             if keep.sum() < 0.9 * len(keep):
                 group, size, lane = group[keep], size[keep], lane[keep]
                 planes = bit_planes(fp[lane])
+    if pairs:
+        none = [(fp[:0], fp[:0])]
+        return tuple(np.concatenate(x) for x in zip(*(found or none), strict=True))
     parent = _roots(parent)
     moved = np.flatnonzero(parent != np.arange(len(parent)))
     return fp[moved], fp[parent[moved]]
@@ -213,25 +239,35 @@ def key_masks(n: int, radius: int = RADIUS) -> list[int]:
     return [reduce(int.__or__, c) for c in combinations(part, blocks - radius)]
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def sampled_masks(n: int, bits: int = 64, differing: int = 10, missed: float = 0.05) -> list[int]:
+    """Bit masks of which one leaves two fingerprints with ``differing`` different bits equal, but for a
+    share ``missed`` of such pairs; longer and more ones for more fingerprints."""
+    k = min(40, max(16, n.bit_length() - 2))
+    equal = math.prod((bits - k - i) / (bits - i) for i in range(differing))
+    rng = np.random.default_rng(SEED)
+    return [sum(1 << int(b) for b in rng.permutation(bits)[:k]) for _ in range(math.ceil(math.log(missed) / math.log1p(-equal)))]
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, masks: list[int] | None = None, pairs: bool = False) -> DataFrame:
     """a, b: links between the fingerprints ``fp`` that connect all within the
-    radius of each other."""
-    masks = key_masks(distinct.count(), radius)
+    radius of each other (with ``masks``: of those that one of these leaves equal; with
+    ``pairs``: as ``spanning`` gives them)."""
+    masks = masks or key_masks(distinct.count(), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)])
     keyed = distinct.select("fp", F.inline(keys))
     hot = keyed.groupBy("t", "k").count().where(F.col("count") > CHUNK).select("t", "k", F.ceil(F.col("count") / CHUNK).alias("chunks"))
     dealt = keyed.join(small(cut(hot)), ["t", "k"], "left").withColumn("c", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1))
-    pairs = dealt.select("t", "k", "fp", "c", other.alias("o"))
-    pairs = pairs.select("fp", F.xxhash64("t", "k", F.least("c", "o"), F.greatest("c", "o")).alias("g"))
+    spread = dealt.select("t", "k", "fp", "c", other.alias("o"))
+    spread = spread.select("fp", F.xxhash64("t", "k", F.least("c", "o"), F.greatest("c", "o")).alias("g"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
         def flush(fp: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-            a, b = spanning(fp, g, radius)
+            a, b = spanning(fp, g, radius, pairs)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
@@ -248,10 +284,45 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         if count:
             yield flush(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    grouped = pairs.repartition("g").sortWithinPartitions("g", "fp")
+    grouped = spread.repartition("g").sortWithinPartitions("g", "fp")
     return grouped.mapInArrow(compare, "a long, b long").distinct()
 
 
+def jaccard(a: str, b: str, words: int = SIMILAR_WORDS) -> float:
+    """Of the sets of ``words``-word shingles."""
+    x, y = (set(shingle_hashes(t, words)) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def similar_links(docs: DataFrame, first: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: fingerprints of texts whose Jaccard similarity over five words is ``similarity`` or more.
+    ``first``: fp and the least id of its documents, which stand for it."""
+    found = cut(links(first.select("fp"), WIDE, sampled_masks(first.count()), pairs=True))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    away = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(away, "b"))
+    best = both.withColumn("rank", rank).where(F.col("rank") <= NEAREST)
+    best = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    wanted = best.select(F.col("a").alias("fp")).union(best.select("b")).distinct().join(first, "fp")
+
+    def same_print(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        """Rows of the id whose own fingerprint it is (an id may have several texts)."""
+        own = majority([shingle_hashes(t) for t in batch.column(1).to_pylist()]).view(np.int64)
+        return batch.filter(pa.array(own == batch.column(0).to_numpy()))
+
+    source = docs.select(F.col(doc_id).cast("long").alias("simhash__id"), text_of(text).alias("text"))
+    texts = wanted.join(source, F.col("id").eqNullSafe(F.col("simhash__id"))).select("fp", "text")
+    texts = cut(map_batches(texts, same_print, "fp long, text string").groupBy("fp").agg(F.min("text").alias("text")))
+
+    def alike(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        return pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    one = best.join(texts.withColumnsRenamed({"fp": "a", "text": "x"}), "a")
+    two = one.join(texts.withColumnsRenamed({"fp": "b", "text": "y"}), "b").select("a", "b", "x", "y")
+    return map_batches(two, alike, "a long, b long", column="x")
+
+
 # --- components ---------------------------------------------------------------
 
 
@@ -273,9 +344,9 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("fp"), F.col("b").alias("root")).distinct())
 
 
-def rooted(first: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """fp, root, component_id of each fingerprint of ``first`` (fp, id)."""
-    member = cut(components(links(first.select("fp"), radius)).join(first, "fp"))
+def rooted(first: DataFrame, found: DataFrame) -> DataFrame:
+    """fp, root, component_id of each fingerprint of ``first`` (fp, id) by the links ``found``."""
+    member = cut(components(found).join(first, "fp"))
     least = cut(member.groupBy("root").agg(F.min("id").alias("least")))
     named = member.join(least, "root").select("fp", "root", "least")
     return cut(first.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "id").alias("component_id")))
@@ -284,15 +355,18 @@ def rooted(first: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (hex), component_id of each row."""
     found = cut(fingerprints(docs, text, doc_id))
-    named = rooted(cut(found.groupBy("fp").agg(F.min("doc_id").alias("id"))), radius)
+    first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    named = rooted(first, links(first.select("fp"), radius))
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` but one of each component: that with the least id (of
-    equal ids the least fingerprint, of equal rows any; null ids last)."""
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+    """One row of ``docs`` for each component: that with the least id (of equal ids the
+    least fingerprint, of equal rows any; null ids last).  With ``similarity``, texts link by it and
+    not by ``radius``; equal fingerprints link always."""
     found = cut(fingerprints(docs, text, doc_id))
-    named = rooted(cut(found.groupBy("fp").agg(F.min("doc_id").alias("id"))), radius)
+    first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    named = rooted(first, similar_links(docs, first, text, doc_id, similarity) if similarity else links(first.select("fp"), radius))
     if not found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
         lost = cut(found.join(named, "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("simhash__id")))
         return docs.join(small(lost), docs[doc_id] == lost["simhash__id"], "left_anti")
