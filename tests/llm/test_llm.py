@@ -114,6 +114,16 @@ def test_mix(spark, docs):
         mixing.mix(big, {"hot": 1.0})
 
 
+def test_mix_deals_one_id_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rows = [(None, "a")] * 900 + [(7, "a")] * 600 + [(i, "b") for i in range(500)] + [(i, "a") for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string").repartition(5)
+    got = mixing.mix(df, {"a": 0.5, "b": 0.5}, block_rows=4).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter(rows) and len({r.mix_position for r in got}) == len(rows)
+    blocks = Counter((r.source, r.mix_block) for r in got)
+    assert set(blocks.values()) == {4} and len(blocks) == len(rows) // 4
+
+
 # --- 2 ---------------------------------------------------------------------------
 
 

@@ -27,11 +27,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small
+from .common import small, written
 
 #: Slots of a period, at most.
 RESOLUTION = 1_000_000
@@ -39,6 +39,8 @@ RESOLUTION = 1_000_000
 BLOCK_ROWS = 16
 #: Rows that one task orders at once.
 BUCKET_ROWS = 2048
+#: Times as many make a bucket too full.
+HOT = 8
 #: Buckets of a source that are summed at once.
 RUN = 4096
 
@@ -122,7 +124,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     ``power``.  Sources that ``weights`` doesn't name, and negative weights, are an error."""
     taken = {c.lower() for c in docs.columns}
     own = lambda name: next(n for n in (name, *(f"{name}_{i}" for i in range(1, 1000))) if n.lower() not in taken)
-    s, h, b, r, n = (own(f"mix__{x}") for x in "shbrn")
+    s, h, b, r, n, part = (own(f"mix__{x}") for x in ("s", "h", "b", "r", "n", "part"))
     block, phase, first, end, base, length, at = (own(f"mix__{x}") for x in ("block", "phase", "first", "end", "base", "length", "at"))
     spark = docs.sparkSession
     keyed = docs.withColumn(s, F.coalesce(F.col(source).cast("string"), F.lit(""))).withColumn(h, F.xxhash64(doc_id))
@@ -136,14 +138,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
         plan_types = (("mix_block", "long"), ("mix_phase", "int"), ("mix_release", "long"), ("mix_deadline", "long"), ("mix_slot", "long"), ("mix_position", "long"))
         return docs.select("*", *(F.lit(None).cast(kind).alias(own(name)) for name, kind in plan_types))
     buckets = small(spark.createDataFrame([(x, -(-c // BUCKET_ROWS)) for x, c in counts.items()], f"{s} string, {n} long"))
-    keyed = keyed.join(buckets, s).withColumn(b, F.pmod(h, n)).drop(n)
-    each = keyed.groupBy(s, b).agg(F.count("*").alias("rows")).withColumn("run", F.floor(F.col(b) / RUN))
+    keyed = keyed.join(buckets, s).withColumn(b, F.pmod(h, n)).drop(n).withColumn(part, F.monotonically_increasing_id())
+    # Null ids, and ids that come again and again, share a bucket; one with too many rows is dealt anew.
+    full = keyed.groupBy(s, b).agg(F.count("*").alias(n)).where(F.col(n) > HOT * BUCKET_ROWS).select(s, b, F.ceil(F.col(n) / BUCKET_ROWS).alias(n))
+    keyed = keyed.join(small(written(full)), [s, b], "left").withColumn(part, F.coalesce(F.pmod(part, n), F.lit(0))).drop(n)
+    each = keyed.groupBy(s, b, part).agg(F.count("*").alias("rows")).withColumn("run", F.floor(F.col(b) / RUN))
     runs = each.groupBy(s, "run").agg(F.sum("rows").alias("run_rows"))
-    before = lambda x, *by: F.coalesce(F.sum(x).over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    runs = runs.select(s, "run", before("run_rows", s, "run").alias("run_before"))
-    each = each.withColumn("before", before("rows", s, "run", b)).join(runs, [s, "run"]).select(s, b, (F.col("before") + F.col("run_before")).alias(n))
-    in_bucket = F.row_number().over(Window.partitionBy(s, b).orderBy(h, doc_id)) - 1
-    placed = keyed.withColumn(r, in_bucket).join(small(each), [s, b]).withColumn(r, F.col(r) + F.col(n)).drop(n, h, b)
+
+    def before(x: str, by: list[str], *order: str) -> Column:
+        return F.coalesce(F.sum(x).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    runs = runs.select(s, "run", before("run_rows", [s], "run").alias("run_before"))
+    each = each.withColumn("before", before("rows", [s, "run"], b, part)).join(runs, [s, "run"])
+    each = each.select(s, b, part, (F.col("before") + F.col("run_before")).alias(n))
+    in_bucket = F.row_number().over(Window.partitionBy(s, b, part).orderBy(h, doc_id)) - 1
+    placed = keyed.withColumn(r, in_bucket).join(small(each), [s, b, part]).withColumn(r, F.col(r) + F.col(n)).drop(n, h, b, part)
     placed = placed.withColumn(block, F.floor(F.col(r) / block_rows))
 
     plan = phases({x: -(-c // block_rows) for x, c in counts.items()}, weights, resolution)
