@@ -184,3 +184,12 @@ def dim_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").groupBy(F.upper("p_name").alias("product_key")).agg(F.count("*").alias("n_parts"))
     rows = D.dim_basket(basket_seed(spark), P).join(parts, "product_key", "left")
     return rows.select("version", "item_id", "product_key", "is_current", F.coalesce("n_parts", F.lit(0)).alias("n_parts"))
+
+
+@query(sql(SEEDS, select="SELECT (SELECT max(version) FROM items_seed WHERE version = 'v1') AS version, p_type AS item, count(*) AS n_parts FROM part GROUP BY p_type"))
+def single_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of each item under the one current version of the basket."""
+    from .plans.bindings import table
+
+    version = D.current_version(D.dim_basket(basket_seed(spark), P))
+    return table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("item")).agg(F.count("*").alias("n_parts")).withColumn("version", F.lit(version))

@@ -145,9 +145,11 @@ def item_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
          coalesce(b.items_available, 0) AS items_available, (SELECT count(*) FROM basket) AS items_total, coalesce(b.is_complete, false) AS is_complete
   FROM own LEFT JOIN baskets b ON own.chain = b.chain AND own.place_id = b.place_id AND own.week = b.week"""))
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
-    baskets = _baskets(spark, sf_dir, marts.rolling_item_price(obs, P))
-    return marts.coverage(marts.flag_outliers(obs, P), baskets, _basket(spark, sf_dir), P)
+    flagged = marts.flag_outliers(observations(spark, sf_dir), P)
+    wanted = ["chain", "place_id", "week", "item", "unit_price", "store_id", "product_id", "date", "content", "is_outlier"]
+    flagged = written(flagged.select(*wanted))  # the rolling prices and the coverage both read it
+    baskets = _baskets(spark, sf_dir, marts.rolling_item_price(flagged, P))
+    return marts.coverage(flagged, baskets, _basket(spark, sf_dir), P)
 
 
 _RULES = "SELECT product_id, store_id, date, {r} AS price, rule, n AS n_product, {m} AS median FROM flagged WHERE rule > 0".format(r=r("price", 4), m=r("m", 4))
