@@ -428,6 +428,15 @@ def test_bit_slices_against_distances(spark, monkeypatch):
         assert comp[int(fp[a : a + 1].view(np.int64)[0])] == comp[int(fp[b : b + 1].view(np.int64)[0])]
 
 
+def test_rows_of_a_hot_key_grow_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    rows = []
+    for n in (1000, 2000, 8000):
+        low = spark.range(n).select(F.expr("pmod(xxhash64(id), 1L << 40)").alias("fp")).distinct()  # all share 24 bits
+        rows.append(simhash.groups(low, 4, [(1 << 64) - (1 << 40)]).count() / low.count())
+    assert max(rows) <= 5 and rows[2] <= rows[0] * 1.1
+
+
 def test_masks_always_leave_a_key():
     rng = np.random.default_rng(2)
     for n in (10, 1 << 28, 1 << 34, 1 << 40):

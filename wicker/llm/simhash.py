@@ -9,9 +9,9 @@ share a key (the bits are dealt into more blocks than may differ, and a key is
 all but ``RADIUS`` of the blocks).  Rows of one key are lanes: bit plane p holds
 bit p of every lane, a lane is compared with the one d places on by shifting the
 planes, distances grow in carry-save counters, and words of 64 lanes are left as
-soon as all their distances exceed the radius.  Keys with many fingerprints are
-split into chunks, and every pair of chunks is compared in a task of its own.  A
-task returns a spanning star of each group it links, never all pairs.
+soon as all their distances exceed the radius.  The fingerprints of a key with many are
+keyed again by blocks of their other bits; only if a block has many still, it is split into
+chunks, and every pair of chunks is compared in a task of its own.  A task returns a spanning star of each group it links, never all pairs.
 
 Texts of a given Jaccard similarity (``similar_links``): a fingerprint of 64 bits can't find these
 exactly, since 0.8 over five words means about 8 bits on average, and up to 13.  Here the keys
@@ -248,19 +248,18 @@ def sampled_masks(n: int, bits: int = 64, differing: int = 10, missed: float = 0
     return [sum(1 << int(b) for b in rng.permutation(bits)[:k]) for _ in range(math.ceil(math.log(missed) / math.log1p(-equal)))]
 
 
+def _other_blocks(mask: int, radius: int) -> list[int]:
+    """The bits outside a mask as ``radius`` + 1 masks (signed)."""
+    bits = [p for p in range(64) if not mask >> p & 1]
+    out = [sum(1 << p for p in bits[j :: radius + 1]) for j in range(radius + 1)]
+    return [m - (1 << 64) if m >> 63 else m for m in out]
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, masks: list[int] | None = None, pairs: bool = False) -> DataFrame:
     """a, b: links between the fingerprints ``fp`` that connect all within the
     radius of each other (with ``masks``: of those that one of these leaves equal; with
     ``pairs``: as ``spanning`` gives them)."""
-    masks = masks or key_masks(distinct.count(), radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)])
-    keyed = distinct.select("fp", F.inline(keys))
-    hot = keyed.groupBy("t", "k").count().where(F.col("count") > CHUNK).select("t", "k", F.ceil(F.col("count") / CHUNK).alias("chunks"))
-    dealt = keyed.join(small(cut(hot)), ["t", "k"], "left").withColumn("c", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1))
-    spread = dealt.select("t", "k", "fp", "c", other.alias("o"))
-    spread = spread.select("fp", F.xxhash64("t", "k", F.least("c", "o"), F.greatest("c", "o")).alias("g"))
+    spread = groups(distinct, radius, masks or key_masks(distinct.count(), radius))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -288,6 +287,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, masks: list[int] | None = N
     return grouped.mapInArrow(compare, "a long, b long").distinct()
 
 
+def groups(distinct: DataFrame, radius: int, masks: list[int]) -> DataFrame:
+    """fp, g: the groups in which fingerprints are compared; rows grow with the fingerprints
+    of a key until ``CHUNK`` of them agree in a block of the other bits too."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)])
+    keyed = distinct.select("fp", F.inline(keys))
+    full = cut(keyed.groupBy("t", "k").count().where(F.col("count") > CHUNK).select("t", "k", F.lit(True).alias("full")))
+    if full.isEmpty():
+        return keyed.select("fp", F.xxhash64("t", "k").alias("g"))
+    # A key with too many: two of its fingerprints that are near agree in one of ``radius`` + 1
+    # blocks of the other bits.  A block that still has too many is split into chunks.
+    rest = F.array(*[F.array(*[F.lit(x) for x in _other_blocks(m, radius)]) for m in masks])
+    j = F.when(F.col("full"), F.sequence(F.lit(1), F.lit(radius + 1))).otherwise(F.array(F.lit(0)))
+    keyed = keyed.join(small(full), ["t", "k"], "left").withColumn("j", F.explode(j))
+    block = F.when(F.col("j") > 0, F.col("fp").bitwiseAND(F.get(F.get(rest, "t"), F.col("j") - 1))).otherwise(0)
+    keyed = keyed.select("fp", "t", "k", "j", block.alias("r"))
+    by = ["t", "k", "j", "r"]
+    hot = keyed.where("j > 0").groupBy(*by).count().where(F.col("count") > CHUNK).select(*by, F.ceil(F.col("count") / CHUNK).alias("chunks"))
+    dealt = keyed.join(small(cut(hot)), by, "left").withColumn("c", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("chunks", F.lit(1)) - 1))
+    spread = dealt.select(*by, "fp", "c", other.alias("o"))
+    return spread.select("fp", F.xxhash64(*by, F.least("c", "o"), F.greatest("c", "o")).alias("g"))
+
+
 def jaccard(a: str, b: str, words: int = SIMILAR_WORDS) -> float:
     """Of the sets of ``words``-word shingles."""
     x, y = (set(shingle_hashes(t, words)) for t in (a, b))
