@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stats import one_row, rounded
+from ..params import Params
+from ..plans.marts import rolling_weeks
 
 
 def best_sku(obs: DataFrame, group: str, sku: str, chain: str, cell: list[str]) -> DataFrame:
@@ -57,16 +59,18 @@ def completeness_by_chain(obs: DataFrame, best: DataFrame, item: str = "item", s
     return n.groupBy("scenario", "chain").agg(F.count("*").alias("n_cells"), pct(F.col("n") == F.col("n_items")).alias("pct_complete"), pct(F.col("n") >= F.col("n_items") - 1).alias("pct_missing_one"))
 
 
-def definition_coverage(obs: DataFrame, definitions: DataFrame, text: str) -> DataFrame:
+def definition_coverage(obs: DataFrame, definitions: DataFrame, text: str, params: Params = Params()) -> DataFrame:
     """definition, chain, n_cells, pct_cells, median_unit_price: of alternative
     definitions of items (definition, item, include, exclude) the share of a chain's
-    places and weeks (with the week before) that have one, and its usual price."""
+    places and weeks (with the weeks before) that have one, and its usual price.
+    Definitions are tried once for each different item and text."""
     d = definitions.select("definition", F.col("item").alias("d_item"), "include", "exclude")
     meets = (F.col("item") == F.col("d_item")) & F.call_function("rlike", F.col(text), F.col("include")) & ~F.coalesce(F.call_function("rlike", F.col(text), F.col("exclude")), F.lit(False))
-    windows = F.explode(F.array(F.col("week"), F.date_add("week", 7)))
-    cells = obs.select("chain", "place_id", windows.alias("week")).distinct().groupBy("chain").agg(F.count("*").alias("n_all"))
-    rows = obs.join(d, meets).select("definition", "chain", "place_id", "week", "unit_price")
-    there = rows.select("definition", "chain", "place_id", windows.alias("week")).distinct().groupBy("definition", "chain").agg(F.count("*").alias("n_cells"))
+    spread = lambda df: rolling_weeks(df.distinct(), params.previous_weeks).drop("own").distinct()
+    cells = spread(obs.select("chain", "place_id", "week")).groupBy("chain").agg(F.count("*").alias("n_all"))
+    kinds = obs.select("item", text).distinct().join(d, meets).select("item", text, "definition")
+    rows = obs.join(kinds, ["item", text]).select("definition", "chain", "place_id", "week", "unit_price")
+    there = spread(rows.select("definition", "chain", "place_id", "week")).groupBy("definition", "chain").agg(F.count("*").alias("n_cells"))
     price = rows.groupBy("definition", "chain").agg(rounded(F.median("unit_price"), 4).alias("median_unit_price"))
     out = there.join(cells, "chain").join(price, ["definition", "chain"])
     return out.select("definition", "chain", "n_cells", rounded(100.0 * F.col("n_cells") / F.col("n_all"), 1).alias("pct_cells"), "median_unit_price")

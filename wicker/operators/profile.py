@@ -6,11 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions.sketches import distinct_sketches, merged_distinct
 from ..functions.stats import one_row, quantiles_of_all, rounded
+from ..functions.storage import numbered
 
 
 def column_profile(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
@@ -40,10 +40,11 @@ def dates_by_file(df: DataFrame, file: str, date: str) -> DataFrame:
 
 
 def overlapping_files(dates: DataFrame, file: str) -> DataFrame:
-    """Files whose dates reach into the next file's; one row for each file, so one
-    global order is cheap."""
-    w = Window.orderBy("first_date", file)
-    return dates.withColumns({"next_file": F.lead(file).over(w), "next_first": F.lead("first_date").over(w)}).where("next_first <= last_date")
+    """Files whose dates reach into the next file's, which is that of the next number in the
+    order of first dates."""
+    placed = numbered(dates, ["first_date", file], "place__")
+    after = placed.select((F.col("place__") - 1).alias("place__"), F.col(file).alias("next_file"), F.col("first_date").alias("next_first"))
+    return placed.join(after, "place__").drop("place__").where("next_first <= last_date")
 
 
 def spelling_variants(df: DataFrame, column: str, key) -> DataFrame:
