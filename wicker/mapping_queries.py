@@ -39,7 +39,8 @@ def file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql(RAW, select=f"""SELECT "column", value, count(*) AS n_rows, bool_or(s) AS in_scope, min(product) AS example FROM (
-  SELECT 'brand' AS "column", brand AS value, {key_sql("catalog")} IN ('BASICOS', 'PACIC') AS s, product FROM raw UNION ALL SELECT 'catalog', catalog, {key_sql("catalog")} IN ('BASICOS', 'PACIC'), product FROM raw
+  SELECT 'brand' AS "column", brand AS value, {key_sql("catalog")} IN ('BASICOS', 'PACIC') AS s, product FROM raw UNION ALL SELECT 'catalog', catalog,
+      {key_sql("catalog")} IN ('BASICOS', 'PACIC'), product FROM raw
   UNION ALL SELECT 'latitude', latitude, {key_sql("catalog")} IN ('BASICOS', 'PACIC'), product FROM raw) WHERE value IS NOT NULL GROUP BY ALL"""))
 def distinct_in_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct values with rows, scope and an example."""
@@ -47,8 +48,10 @@ def distinct_in_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey AS product_id, CASE p_partkey % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'piece' WHEN 3 THEN 'kg' WHEN 4 THEN 'kg' END AS base_unit,
-  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN 2.5::DOUBLE WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
-  p_partkey % 6 IN (2, 5) AS needs_review, p_partkey % 6 NOT IN (2, 5) AS is_comparable, CASE p_partkey % 6 WHEN 2 THEN 'exclude' WHEN 3 THEN 'correct' WHEN 4 THEN 'confirm' ELSE 'auto' END AS method FROM part""")
+  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN 2.5::DOUBLE
+      WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
+  p_partkey % 6 IN (2, 5) AS needs_review, p_partkey % 6 NOT IN (2, 5) AS is_comparable, CASE p_partkey % 6 WHEN 2 THEN 'exclude' WHEN 3 THEN 'correct'
+      WHEN 4 THEN 'confirm' ELSE 'auto' END AS method FROM part""")
 def package_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with manual decisions for three forms of package."""
     parsed = packages.parse_packages(more._packages(spark, sf_dir, 6), "package")
@@ -60,7 +63,8 @@ def package_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH v AS (SELECT CASE p_partkey % 7 WHEN 0 THEN 'S/M' WHEN 1 THEN ' sin   marca. ' ELSE p_brand END AS brand, p_name AS product FROM part), k AS (SELECT *, {key_sql("brand")} AS b FROM v)
-SELECT brand, product, CASE WHEN b IN ('S/M', 'SM', 'SIN MARCA', 'NO BRAND') OR b IS NULL THEN 'SIN MARCA' ELSE b END AS brand_key, coalesce(b IN ('S/M', 'SM', 'SIN MARCA', 'NO BRAND'), true) AS is_no_brand, {key_sql("product")} AS product_key FROM k""")
+SELECT brand, product, CASE WHEN b IN ('S/M', 'SM', 'SIN MARCA', 'NO BRAND') OR b IS NULL THEN 'SIN MARCA' ELSE b END AS brand_key, coalesce(b IN ('S/M', 'SM',
+    'SIN MARCA', 'NO BRAND'), true) AS is_no_brand, {key_sql("product")} AS product_key FROM k""")
 def product_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products and brands to their keys, all spellings of no brand as one."""
     k = F.col("p_partkey") % 7
@@ -69,7 +73,8 @@ def product_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH lost AS ({ORACLES["lost_char_correction"]}), m AS (SELECT value, 'manual ' || md5(value) AS corrected FROM lost WHERE needs_review UNION SELECT 'not there', 'added')
-SELECT md5(coalesce(l.value, m.value)) AS value, coalesce(candidates, 0) AS candidates, md5(coalesce(m.corrected, l.corrected)) AS corrected, m.corrected IS NULL AND coalesce(needs_review, false) AS needs_review, CASE WHEN m.corrected IS NOT NULL THEN 'manual' ELSE 'auto' END AS method
+SELECT md5(coalesce(l.value, m.value)) AS value, coalesce(candidates, 0) AS candidates, md5(coalesce(m.corrected, l.corrected)) AS corrected, m.corrected IS NULL
+    AND coalesce(needs_review, false) AS needs_review, CASE WHEN m.corrected IS NOT NULL THEN 'manual' ELSE 'auto' END AS method
 FROM lost l FULL JOIN m ON l.value = m.value""")
 def text_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual corrections for all that went to review, and one that has no automatic
@@ -81,7 +86,8 @@ def text_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.md5("value").alias("value"), "candidates", F.md5("corrected").alias("corrected"), "needs_review", "method")
 
 
-@query("""WITH p AS (SELECT CASE p_partkey % 6 WHEN 4 THEN 'Frasco ' || p_size || ' gr. o ' || (p_size + 1) || ' gr.' WHEN 5 THEN p_name END AS value, CASE p_partkey % 6 WHEN 4 THEN 'alternatives' ELSE 'no_quantity' END AS review_reason, p_type <> 'PROMO' AS s FROM part WHERE p_partkey % 6 >= 4),
+@query("""WITH p AS (SELECT CASE p_partkey % 6 WHEN 4 THEN 'Frasco ' || p_size || ' gr. o ' || (p_size + 1) || ' gr.' WHEN 5 THEN p_name END AS value, CASE p_partkey % 6
+    WHEN 4 THEN 'alternatives' ELSE 'no_quantity' END AS review_reason, p_type <> 'PROMO' AS s FROM part WHERE p_partkey % 6 >= 4),
 q AS (SELECT 'package' AS kind, value, any_value(review_reason) AS review_reason, bool_or(s) AS in_scope, count(*) AS n_rows FROM p GROUP BY value
   UNION ALL SELECT 'text', n_name || '?', 'lost_characters', true, n_regionkey + 1 FROM nation)
 SELECT *, CAST(row_number() OVER (ORDER BY in_scope DESC, n_rows DESC, kind, value) AS INT) AS priority FROM q""")
@@ -89,11 +95,13 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packages and texts that people should look at, in order."""
     rows = more._packages(spark, sf_dir, 6).groupBy(F.col("package").alias("value")).agg(F.bool_or(F.col("item") != "PROMO").alias("in_scope"), F.count("*").alias("n_rows"))
     parsed = packages.parse_packages(rows, "value")
-    texts = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit("?")).alias("value"), F.lit(True).alias("needs_review"), F.lit(True).alias("in_scope"), (F.col("n_regionkey") + 1).cast("long").alias("n_rows"))
+    texts = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit("?")).alias("value"), F.lit(True).alias("needs_review"), F.lit(True).alias("in_scope"),
+        (F.col("n_regionkey") + 1).cast("long").alias("n_rows"))
     return normalize.review_queue(parsed, texts)
 
 
-_VALIDATED = f"""WITH savings AS ({ORACLES["paired_savings"]}), outliers AS ({ORACLES["robust_outliers"]}), bad AS (SELECT n_regionkey AS place_id, CAST(date_trunc('week', date) AS DATE) AS week FROM outliers JOIN supplier ON s_suppkey = store_id JOIN nation ON n_nationkey = s_nationkey),
+_VALIDATED = f"""WITH savings AS ({ORACLES["paired_savings"]}), outliers AS ({ORACLES["robust_outliers"]}), bad AS (SELECT n_regionkey AS place_id,
+    CAST(date_trunc('week', date) AS DATE) AS week FROM outliers JOIN supplier ON s_suppkey = store_id JOIN nation ON n_nationkey = s_nationkey),
 c AS (SELECT DISTINCT place_id, week, chains_compared FROM savings WHERE (place_id, week) NOT IN (SELECT place_id, week FROM bad UNION SELECT place_id, week + 7 FROM bad)),
 b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY place_id ORDER BY chains_compared DESC, md5(place_id || '|' || week)) = 1)
 SELECT * FROM b ORDER BY chains_compared DESC, md5(place_id || '|' || week) LIMIT 3"""

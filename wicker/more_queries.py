@@ -24,7 +24,8 @@ def stage_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", F.col("o_totalprice").cast("string").alias("price"), F.when(slash, F.date_format(d, "yyyy/MM/dd")).otherwise(F.date_format(d, "dd/MM/yyyy")).alias("day"),
         F.when(slash, "yyyy/mm/dd").otherwise("dd/mm/yyyy").alias("format"),
     )
-    return raw.select("o_orderkey", F.col("price").try_cast("decimal(12,2)").cast("double").alias("price"), T.parse_date_by_format(F.col("day"), F.col("format")).alias("date"), (F.col("format") == "yyyy/mm/dd").alias("by_slash"))
+    return raw.select("o_orderkey", F.col("price").try_cast("decimal(12,2)").cast("double").alias("price"), T.parse_date_by_format(F.col("day"),
+        F.col("format")).alias("date"), (F.col("format") == "yyyy/mm/dd").alias("by_slash"))
 
 
 @query(r"""SELECT doc_id, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(text, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS key FROM documents""")
@@ -40,7 +41,8 @@ def canonical_key_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH m AS (SELECT l_partkey, bit_or(1 << CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS mask FROM lineitem GROUP BY 1)
-SELECT l_partkey AS product_id, mask, concat_ws(' + ', CASE WHEN mask & 1 > 0 THEN 'ALPHA' END, CASE WHEN mask & 2 > 0 THEN 'NORMAL' END, CASE WHEN mask & 4 > 0 THEN 'RETURN' END) AS catalogs FROM m""")
+SELECT l_partkey AS product_id, mask, concat_ws(' + ', CASE WHEN mask & 1 > 0 THEN 'ALPHA' END, CASE WHEN mask & 2 > 0 THEN 'NORMAL' END, CASE
+    WHEN mask & 4 > 0 THEN 'RETURN' END) AS catalogs FROM m""")
 def catalog_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed = spark.createDataFrame([("ALPHA", 0, "A"), ("NORMAL", 1, "N"), ("RETURN", 2, "R")], "catalog string, bit int, l_returnflag string")
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"), "l_returnflag").join(F.broadcast(seed), "l_returnflag")
@@ -48,7 +50,8 @@ def catalog_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.expand_mask(masks, "mask", seed, ["product_id"]).join(masks, "product_id").select("product_id", "mask", "catalogs")
 
 
-@query("""SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(props, (ts, event_id)) FILTER (WHERE props IS NOT NULL) AS props, max(ts) AS last_ts FROM events GROUP BY user_id""")
+@query("""SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(props, (ts, event_id)) FILTER (WHERE props IS NOT NULL) AS props, max(ts) AS last_ts
+    FROM events GROUP BY user_id""")
 def latest_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.latest_attributes(table(spark, sf_dir, "events"), ["user_id"], ["event_type", "props"], "ts", "event_id")
 
@@ -82,7 +85,8 @@ def _packages(spark: SparkSession, sf_dir: str, forms: int = len(_FORMS)) -> Dat
 
 
 @query(f"""SELECT p_partkey AS product_id, CASE p_partkey % 12 {_by_form(0)} END AS package, CASE p_partkey % 12 {_by_form(1)} END AS base_unit, CASE p_partkey % 12 {_by_form(2)} END AS content,
-  CASE p_partkey % 12 {" ".join(f"WHEN {i} THEN '{form[3]}'" for i, form in enumerate(_FORMS))} END AS rule, CASE p_partkey % 12 {_by_form(4)} END AS review_reason, p_partkey % 12 IN (4, 5, 11) AS needs_review
+  CASE p_partkey % 12 {" ".join(f"WHEN {i} THEN '{form[3]}'" for i, form in enumerate(_FORMS))} END AS rule, CASE p_partkey % 12 {_by_form(4)} END AS review_reason,
+      p_partkey % 12 IN (4, 5, 11) AS needs_review
 FROM part""")
 def package_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part, with a text for every rule."""
@@ -91,7 +95,8 @@ def package_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT p_partkey AS product_id, CASE p_partkey % 6 {" ".join(f"WHEN {i} THEN {f[0]}" for i, f in enumerate(_FORMS[:6]))} END AS package,
   CASE p_partkey % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'l' WHEN 2 THEN 'piece' WHEN 3 THEN 'piece' WHEN 4 THEN 'kg' END AS base_unit,
-  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
+  CASE p_partkey % 6 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size * 0.355, 6)::DOUBLE WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN p_size::DOUBLE
+      WHEN 4 THEN round(p_size * 0.001, 6)::DOUBLE END AS content,
   CASE p_partkey % 6 WHEN 0 THEN 'quantity' WHEN 1 THEN 'pack' WHEN 2 THEN 'count_with_slash' WHEN 3 THEN 'count' WHEN 4 THEN 'alternatives' ELSE 'none' END AS rule,
   p_partkey % 6 >= 4 AS needs_review
 FROM part""")
@@ -119,7 +124,8 @@ _LOST = "éèêçñöäüßíóá"
 n AS (SELECT v FROM t UNION SELECT translate(v, '{_LOST}', '{"?" * len(_LOST)}') FROM t WHERE regexp_matches(v, '[{_LOST}]')),
 s AS (SELECT v, lower(regexp_replace(v, '[^\x00-\x7F]', '?', 'g')) AS skeleton, regexp_extract_all(v, '[^\x00-\x7F]|\?') AS beyond FROM n),
 d AS (SELECT v AS damaged, skeleton, beyond AS x FROM s WHERE contains(v, '?')),
-i AS (SELECT v, skeleton, beyond AS y, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(v, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS k FROM s WHERE NOT contains(v, '?') AND len(beyond) > 0),
+i AS (SELECT v, skeleton, beyond AS y, nullif(regexp_replace(upper(strip_accents(trim(regexp_replace(replace(v, 'ß', 'ss'), '\s+', ' ', 'g')))), '[ .]+$', ''), '') AS k
+    FROM s WHERE NOT contains(v, '?') AND len(beyond) > 0),
 p AS (SELECT damaged, v, k, len(y) AS b FROM d JOIN i USING (skeleton)
       WHERE len(list_filter(range(1, len(x) + 1), lambda j: NOT (x[j] = '?' OR lower(x[j]) = lower(y[j]) OR upper(x[j]) = upper(y[j])))) = 0),
 g AS (SELECT damaged, count(DISTINCT k) AS c, first(v ORDER BY b DESC, v) AS best FROM p GROUP BY 1)
@@ -140,7 +146,8 @@ def lost_char_correction_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH d AS (SELECT CAST(unnest(generate_series(min(l_shipdate)::DATE, max(l_shipdate)::DATE, INTERVAL 1 DAY)) AS DATE) AS date FROM lineitem)
 SELECT date, year(date) AS year, month(date) AS month, day(date) AS day, isodow(date) AS iso_weekday,
   list_extract(['lunes','martes','miércoles','jueves','viernes','sábado','domingo'], isodow(date)::INT) AS weekday, isoyear(date) AS iso_year, week(date) AS iso_week,
-  date_trunc('week', date)::DATE AS week, CASE WHEN day(date) <= 15 THEN date_trunc('month', date)::DATE ELSE date_trunc('month', date)::DATE + 15 END AS fortnight, date_trunc('month', date)::DATE AS month_start FROM d""")
+  date_trunc('week', date)::DATE AS week, CASE WHEN day(date) <= 15 THEN date_trunc('month', date)::DATE ELSE date_trunc('month', date)::DATE + 15 END AS fortnight,
+      date_trunc('month', date)::DATE AS month_start FROM d""")
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("b"))
     return normalize.calendar(F.col("a"), F.col("b"), ends)
@@ -159,7 +166,8 @@ def completeness_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql(OBS, f"""t AS (SELECT chain, count(DISTINCT (place_id, week)) AS n_cells FROM obs GROUP BY 1),
 s AS (SELECT item, product_id, chain, count(DISTINCT (place_id, week)) AS n FROM obs GROUP BY ALL),
-e AS (SELECT item, product_id, count(*) AS n_chains, {r("min(100.0::DOUBLE * n / n_cells)", 4)} AS min_pct, {r("avg(100.0::DOUBLE * n / n_cells)", 4)} AS avg_pct FROM s JOIN t USING (chain) GROUP BY ALL)""",
+e AS (SELECT item, product_id, count(*) AS n_chains, {r("min(100.0::DOUBLE * n / n_cells)", 4)} AS min_pct, {r("avg(100.0::DOUBLE * n / n_cells)", 4)} AS avg_pct FROM s
+    JOIN t USING (chain) GROUP BY ALL)""",
     select="SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY item ORDER BY n_chains DESC, min_pct DESC, avg_pct DESC, product_id) = 1"))
 def best_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feasibility.best_sku(observations(spark, sf_dir), "item", "product_id", "chain", ["place_id", "week"])
@@ -180,7 +188,8 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT count(*) FILTER (WHERE o_totalprice IS NULL) AS n_unparsed, count(*) FILTER (WHERE o_totalprice < 0) AS n_negative, count(*) FILTER (WHERE o_totalprice = 0) AS n_zero,
-  {r("min(o_totalprice)", 4)} AS min, {r("quantile_cont(o_totalprice, 0.01)", 4)} AS p01, {r("median(o_totalprice)", 4)} AS median, {r("quantile_cont(o_totalprice, 0.99)", 4)} AS p99, {r("max(o_totalprice)", 4)} AS max FROM orders""")
+  {r("min(o_totalprice)", 4)} AS min, {r("quantile_cont(o_totalprice, 0.01)", 4)} AS p01, {r("median(o_totalprice)", 4)} AS median,
+      {r("quantile_cont(o_totalprice, 0.99)", 4)} AS p99, {r("max(o_totalprice)", 4)} AS max FROM orders""")
 def price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.number_summary(table(spark, sf_dir, "orders"), "o_totalprice")
 
@@ -188,8 +197,10 @@ def price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH m AS (SELECT {r("100.0::DOUBLE * avg((coalesce(trim(o_orderstatus), '') = '' OR coalesce(trim(o_orderpriority), '') = '')::INT)", 6)} AS a,
   {r("100.0::DOUBLE * avg((o_totalprice IS NULL)::INT)", 6)} AS b, count(*) FILTER (WHERE o_totalprice <= 0) AS c, {r("100.0::DOUBLE * avg((o_orderdate IS NULL)::INT)", 6)} AS d,
   count(*) FILTER (WHERE o_orderdate::DATE < DATE '1990-01-01' OR o_orderdate::DATE > DATE '2026-01-01') AS e FROM orders)
-SELECT id, 'error' AS severity, CASE WHEN id IN ('R-04', 'R-06') THEN '==' ELSE '<=' END AS comparator, threshold, value, CASE WHEN id IN ('R-04', 'R-06') THEN value = threshold ELSE value <= threshold END AS passed FROM (
-  SELECT 'R-02' AS id, 0.1::DOUBLE AS threshold, a::DOUBLE AS value FROM m UNION ALL SELECT 'R-03', 0.01, b FROM m UNION ALL SELECT 'R-04', 0, c FROM m UNION ALL SELECT 'R-05', 0, d FROM m UNION ALL SELECT 'R-06', 0, e FROM m)""")
+SELECT id, 'error' AS severity, CASE WHEN id IN ('R-04', 'R-06') THEN '==' ELSE '<=' END AS comparator, threshold, value, CASE WHEN id IN ('R-04',
+    'R-06') THEN value = threshold ELSE value <= threshold END AS passed FROM (
+  SELECT 'R-02' AS id, 0.1::DOUBLE AS threshold, a::DOUBLE AS value FROM m UNION ALL SELECT 'R-03', 0.01, b FROM m UNION ALL SELECT 'R-04', 0, c FROM m
+      UNION ALL SELECT 'R-05', 0, d FROM m UNION ALL SELECT 'R-06', 0, e FROM m)""")
 def rules_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     rules = quality.raw_rules(F.col("o_totalprice"), F.col("o_orderdate").cast("date"), [F.col("o_orderstatus"), F.col("o_orderpriority")], F.to_date(F.lit("2026-01-01")), earliest="1990-01-01")
@@ -205,7 +216,8 @@ def rules_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.evaluate_rules(marts.flag_outliers(observations(spark, sf_dir), P), rules)
 
 
-@query("""WITH f AS (SELECT 'file ' || (o_orderkey % 5) AS file, min(o_orderdate)::DATE AS first_date, max(o_orderdate)::DATE AS last_date, count(DISTINCT o_orderdate::DATE) AS n_days, count(*) FILTER (WHERE o_orderdate IS NULL) AS n_unparsed, count(*) AS n_rows FROM orders GROUP BY 1)
+@query("""WITH f AS (SELECT 'file ' || (o_orderkey % 5) AS file, min(o_orderdate)::DATE AS first_date, max(o_orderdate)::DATE AS last_date,
+    count(DISTINCT o_orderdate::DATE) AS n_days, count(*) FILTER (WHERE o_orderdate IS NULL) AS n_unparsed, count(*) AS n_rows FROM orders GROUP BY 1)
 SELECT *, lead(file) OVER (ORDER BY first_date, file) AS next_file, lead(first_date) OVER (ORDER BY first_date, file) AS next_first FROM f QUALIFY next_first <= last_date""")
 def file_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("file "), (F.col("o_orderkey") % 5).cast("string")).alias("file"), F.col("o_orderdate").cast("date").alias("date"))
@@ -238,7 +250,8 @@ def recomputed_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.compare(again, baskets.withColumn("basket_cost", F.col("partial_cost")), P)
 
 
-@query("""SELECT "column", value, count(*) AS n_rows FROM (SELECT 'c_mktsegment' AS "column", c_mktsegment AS value FROM customer UNION ALL SELECT 'c_nationkey', c_nationkey::VARCHAR FROM customer) WHERE value IS NOT NULL GROUP BY ALL""")
+@query("""SELECT "column", value, count(*) AS n_rows FROM (SELECT 'c_mktsegment' AS "column", c_mktsegment AS value FROM customer UNION ALL SELECT 'c_nationkey',
+    c_nationkey::VARCHAR FROM customer) WHERE value IS NOT NULL GROUP BY ALL""")
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.distinct_values(table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"]).select("column", "value", "n_rows")
 

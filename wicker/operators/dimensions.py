@@ -55,7 +55,8 @@ def sku_map(staged: DataFrame, seed: DataFrame, corrections: DataFrame | None =
         fixed = apply_corrections(fixed, corrections.withColumn("column", F.concat("column", F.lit("_text"))), [f"{c}_text" for c in SKU])
     brand = T.canonical_key("brand_text")
     no_brand = brand.isin(*NO_BRAND) | brand.isNull()
-    keyed = fixed.withColumns({"product_key": T.canonical_key("product_text"), "package_key": T.canonical_key("package_text"), "brand_key": F.when(no_brand, "SIN MARCA").otherwise(brand), "is_no_brand": no_brand})
+    keyed = fixed.withColumns({"product_key": T.canonical_key("product_text"), "package_key": T.canonical_key("package_text"), "brand_key": F.when(no_brand,
+        "SIN MARCA").otherwise(brand), "is_no_brand": no_brand})
     return keyed.withColumn("product_id", T.surrogate(F.col("product_key"), F.col("package_key"), F.col("brand_key")))
 
 
@@ -75,7 +76,8 @@ def store_map(staged: DataFrame, corrections: DataFrame | None = None) -> DataFr
     if corrections is not None:
         fixed = apply_corrections(fixed, corrections.withColumn("column", F.concat("column", F.lit("_text"))), [f"{c}_text" for c in texts])
     key = lambda c: F.coalesce(T.canonical_key(c), F.lit(""))
-    keyed = fixed.withColumns({"state_key": key("state_text"), "municipality_key": key("municipality_text"), "chain_key": key("chain_text"), "store_key": F.concat_ws("|", key("store_text"), key("address_text"))})
+    keyed = fixed.withColumns({"state_key": key("state_text"), "municipality_key": key("municipality_text"), "chain_key": key("chain_text"), "store_key": F.concat_ws("|",
+        key("store_text"), key("address_text"))})
     return keyed.withColumns({"store_id": T.surrogate(F.col("store_key"), F.col("state_key"), F.col("municipality_key")), "place_id": T.surrogate(F.col("state_key"), F.col("municipality_key"))})
 
 
@@ -89,7 +91,8 @@ def consolidate_observations(staged: DataFrame, skus: DataFrame, stores: DataFra
     rows = rows.join(skus.select(*SKU, "product_id"), SKU).join(stores.select(*STORE, "store_id"), STORE)
     keys = ["product_id", "store_id", "date"]
     out = rows.groupBy(*keys, "price").agg(
-        F.min("price_text").alias("price_text"), F.min(F.struct(*SKU)).alias("original"), F.bit_or("mask").alias("catalog_mask"), F.count("*").alias("n_source_rows"), F.min("source_file").alias("source_file"),
+        F.min("price_text").alias("price_text"), F.min(F.struct(*SKU)).alias("original"), F.bit_or("mask").alias("catalog_mask"), F.count("*").alias("n_source_rows"),
+            F.min("source_file").alias("source_file"),
     )
     conflict = F.count("*").over(Window.partitionBy(*keys)) > 1
     return out.select(*keys, "price", "price_text", "original.*", "catalog_mask", "n_source_rows", conflict.alias("has_conflict"), "source_file")
@@ -101,11 +104,13 @@ def dim_product(skus: DataFrame, packages: DataFrame, seed: DataFrame, rules: Da
     it meets.  ``packages``: package_key and its reading, several rows of a key being
     equal."""
     by = skus.groupBy("product_id").agg(
-        largest("product_text", "n_rows").alias("product"), F.any_value("product_key").alias("product_key"), largest("package_text", "n_rows").alias("package"), F.any_value("package_key").alias("package_key"),
+        largest("product_text", "n_rows").alias("product"), F.any_value("product_key").alias("product_key"), largest("package_text", "n_rows").alias("package"),
+            F.any_value("package_key").alias("package_key"),
         largest("brand_text", "n_rows").alias("brand"), F.any_value("brand_key").alias("brand_key"), F.bool_or("is_no_brand").alias("is_no_brand"), largest("category", "n_rows").alias("category"),
         F.bit_or("catalog_mask").alias("catalog_mask"), F.count("*").alias("n_variants"), F.sum("n_rows").alias("n_rows"),
     )
-    read = packages.groupBy("package_key").agg(F.first(F.struct("base_unit", "content", "count_subtype", "rule", "confidence", "needs_review", "is_comparable")).alias("r")).select("package_key", "r.*")
+    read = packages.groupBy("package_key").agg(F.first(F.struct("base_unit", "content", "count_subtype", "rule", "confidence", "needs_review",
+        "is_comparable")).alias("r")).select("package_key", "r.*")
     rows = by.join(read, "package_key")
     names = expand_mask(rows, "catalog_mask", seed, ["product_id"])
     assigned = assign_by_rules(rows.select("product_id", "product_key", "package_key", "base_unit", "count_subtype"), rules, "product_key", "package_key").select("product_id", "item_id")
@@ -117,7 +122,8 @@ def dim_store(stores: DataFrame, chains: DataFrame) -> DataFrame:
     whether its chain is a reference chain.  ``chains``: chain_key."""
     last = lambda c: latest_value(c, "last_date", c)
     out = stores.groupBy("store_id").agg(
-        F.any_value("store_key").alias("store_key"), last("store_text").alias("store"), last("address_text").alias("address"), last("chain_text").alias("chain"), last("chain_key").alias("chain_key"), last("format_text").alias("format"),
+        F.any_value("store_key").alias("store_key"), last("store_text").alias("store"), last("address_text").alias("address"), last("chain_text").alias("chain"),
+            last("chain_key").alias("chain_key"), last("format_text").alias("format"),
         F.any_value("place_id").alias("place_id"), last("latitude").alias("latitude"), last("longitude").alias("longitude"),
         F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), F.count("*").alias("n_variants"), F.sum("n_rows").alias("n_rows"),
     )

@@ -30,7 +30,8 @@ def basket_completeness(obs: DataFrame, grains: dict[str, str], key: str, chain:
     total = obs.agg(F.countDistinct(key).alias("n_items"))
     cells = one_row(rows.groupBy("grain", "period", chain, place).agg(F.countDistinct(key).alias("n")), total)
     return cells.groupBy("grain").agg(
-        F.count("*").alias("n_cells"), rounded(100.0 * F.avg((F.col("n") == F.col("n_items")).cast("int"))).alias("pct_complete"), rounded(100.0 * F.avg((F.col("n") >= F.col("n_items") - 1).cast("int"))).alias("pct_missing_one")
+        F.count("*").alias("n_cells"), rounded(100.0 * F.avg((F.col("n") == F.col("n_items")).cast("int"))).alias("pct_complete"),
+            rounded(100.0 * F.avg((F.col("n") >= F.col("n_items") - 1).cast("int"))).alias("pct_missing_one")
     )
 
 
@@ -49,14 +50,17 @@ def completeness_by_chain(obs: DataFrame, best: DataFrame, item: str = "item", s
     six are one job.  ``best``: item, product."""
     exact = obs.join(best.select(item, sku, F.lit(True).alias("exact")), [item, sku], "left")
     half = F.when(F.day("date") <= 15, F.trunc("date", "month")).otherwise(F.date_add(F.trunc("date", "month"), 15))
-    cell = lambda name, period, only=False: F.when(F.coalesce("exact", F.lit(False)) if only else F.lit(True), F.struct(F.lit(name).alias("scenario"), period.cast("date").alias("period")))
+    cell = lambda name, period, only=False: F.when(F.coalesce("exact", F.lit(False)) if only else F.lit(True), F.struct(F.lit(name).alias("scenario"),
+        period.cast("date").alias("period")))
     week = F.col("week")
-    cells = [cell("exact, week", week, True), cell("exact, fortnight", half, True), cell("any, week", week), cell("any, 14 days", week), cell("any, 14 days", F.date_add(week, 7)), cell("any, fortnight", half), cell("any, month", F.trunc("date", "month"))]
+    cells = [cell("exact, week", week, True), cell("exact, fortnight", half, True), cell("any, week", week), cell("any, 14 days", week), cell("any, 14 days",
+        F.date_add(week, 7)), cell("any, fortnight", half), cell("any, month", F.trunc("date", "month"))]
     rows = exact.select(item, "chain", "place_id", F.inline(F.filter(F.array(*cells), lambda x: x.isNotNull())))
     total = obs.agg(F.countDistinct(item).alias("n_items"))
     n = one_row(rows.groupBy("scenario", "chain", "place_id", "period").agg(F.size(F.collect_set(item)).alias("n")), total)
     pct = lambda flag: rounded(100.0 * F.avg(flag.cast("int")), 1)
-    return n.groupBy("scenario", "chain").agg(F.count("*").alias("n_cells"), pct(F.col("n") == F.col("n_items")).alias("pct_complete"), pct(F.col("n") >= F.col("n_items") - 1).alias("pct_missing_one"))
+    return n.groupBy("scenario", "chain").agg(F.count("*").alias("n_cells"), pct(F.col("n") == F.col("n_items")).alias("pct_complete"),
+        pct(F.col("n") >= F.col("n_items") - 1).alias("pct_missing_one"))
 
 
 def definition_coverage(obs: DataFrame, definitions: DataFrame, text: str, params: Params = Params()) -> DataFrame:
@@ -81,8 +85,10 @@ def compositions(items: DataFrame, scenarios: DataFrame) -> DataFrame:
     place-weeks and places in which two chains or more are complete."""
     size = scenarios.groupBy("scenario").agg(F.count("*").alias("size"))
     got = items.join(scenarios, "item").groupBy("scenario", "chain", "place_id", "week").agg(F.count("*").alias("n")).join(size, "scenario").withColumn("full", F.col("n") == F.col("size"))
-    sets = got.groupingSets([["scenario"], ["scenario", "chain"]], "scenario", "chain").agg(F.grouping("chain").alias("g"), F.count("*").alias("n_cells"), rounded(100.0 * F.avg(F.col("full").cast("int")), 1).alias("pct_complete"))
+    sets = got.groupingSets([["scenario"], ["scenario", "chain"]], "scenario", "chain").agg(F.grouping("chain").alias("g"), F.count("*").alias("n_cells"),
+        rounded(100.0 * F.avg(F.col("full").cast("int")), 1).alias("pct_complete"))
     pairs = got.groupBy("scenario", "place_id", "week").agg(F.count_if("full").alias("k")).where("k >= 2")
     pairs = pairs.groupBy("scenario").agg(F.count("*").alias("place_weeks"), F.countDistinct("place_id").alias("places"))
     out = sets.join(pairs, "scenario", "left")
-    return out.select("scenario", F.when(F.col("g") == 1, "ALL").otherwise(F.col("chain")).alias("chain"), "n_cells", "pct_complete", F.coalesce("place_weeks", F.lit(0)).alias("place_weeks"), F.coalesce("places", F.lit(0)).alias("places"))
+    return out.select("scenario", F.when(F.col("g") == 1, "ALL").otherwise(F.col("chain")).alias("chain"), "n_cells", "pct_complete", F.coalesce("place_weeks",
+        F.lit(0)).alias("place_weeks"), F.coalesce("places", F.lit(0)).alias("places"))

@@ -53,7 +53,8 @@ def apply_overrides(auto: DataFrame, manual: DataFrame) -> DataFrame:
     counterpart are added."""
     m = manual.select("column", "value", F.col("corrected").alias("m"))
     out = auto.join(m, ["column", "value"], "full")
-    return out.select("column", "value", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce("m", "corrected").alias("corrected"), (F.col("m").isNull() & F.coalesce("needs_review", F.lit(False))).alias("needs_review"), F.when(F.col("m").isNotNull(), "manual").otherwise("auto").alias("method"))
+    return out.select("column", "value", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce("m", "corrected").alias("corrected"),
+        (F.col("m").isNull() & F.coalesce("needs_review", F.lit(False))).alias("needs_review"), F.when(F.col("m").isNotNull(), "manual").otherwise("auto").alias("method"))
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame, columns: list[str]) -> DataFrame:

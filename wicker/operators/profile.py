@@ -29,14 +29,16 @@ def column_profile(df: DataFrame, columns: list[str], approximate: bool = False)
 def number_summary(df: DataFrame, column: str) -> DataFrame:
     """One row: rows that don't parse, negative, zero, and quantiles of the rest."""
     x = F.col(column).try_cast("double")
-    counts = df.agg(F.count_if(x.isNull()).alias("n_unparsed"), F.count_if(x < 0).alias("n_negative"), F.count_if(x == 0).alias("n_zero"), rounded(F.min(x), 4).alias("min"), rounded(F.max(x), 4).alias("max"))
+    counts = df.agg(F.count_if(x.isNull()).alias("n_unparsed"), F.count_if(x < 0).alias("n_negative"), F.count_if(x == 0).alias("n_zero"), rounded(F.min(x),
+        4).alias("min"), rounded(F.max(x), 4).alias("max"))
     found = quantiles_of_all(df.select(x.alias("x")), "x", {"p01": 0.01, "median": 0.5, "p99": 0.99})
     both = one_row(counts, found.select(*[rounded(F.col(c), 4).alias(c) for c in found.columns]))
     return both.select("n_unparsed", "n_negative", "n_zero", "min", "p01", "median", "p99", "max")
 
 
 def dates_by_file(df: DataFrame, file: str, date: str) -> DataFrame:
-    return df.groupBy(file).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.countDistinct(date).alias("n_days"), F.count_if(F.col(date).isNull()).alias("n_unparsed"), F.count("*").alias("n_rows"))
+    return df.groupBy(file).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.countDistinct(date).alias("n_days"),
+        F.count_if(F.col(date).isNull()).alias("n_unparsed"), F.count("*").alias("n_rows"))
 
 
 def overlapping_files(dates: DataFrame, file: str) -> DataFrame:
@@ -59,15 +61,18 @@ def observation_table(raw: DataFrame) -> DataFrame:
     day = T.parse_date_any(F.col("day"))
     store = F.md5(F.concat_ws("|", *[T.plain_upper(F.col(c)) for c in ("store", "address", "state", "municipality")]))
     return raw.select(
-        F.col("source_file").alias("file"), "product", "package", "brand", "catalog", F.col("price").try_cast("double").alias("price"), day.alias("date"), T.date_format_of(F.col("day")).alias("date_format"),
-        F.date_trunc("week", day).cast("date").alias("week"), "chain", "format", store.alias("store"), T.plain_upper(F.col("state")).alias("state"), T.plain_upper(F.col("municipality")).alias("municipality"),
+        F.col("source_file").alias("file"), "product", "package", "brand", "catalog", F.col("price").try_cast("double").alias("price"), day.alias("date"),
+            T.date_format_of(F.col("day")).alias("date_format"),
+        F.date_trunc("week", day).cast("date").alias("week"), "chain", "format", store.alias("store"), T.plain_upper(F.col("state")).alias("state"),
+            T.plain_upper(F.col("municipality")).alias("municipality"),
     )
 
 
 def formats_by_file(obs: DataFrame) -> DataFrame:
     """Dates and their formats in each file."""
     known = F.when(F.col("date").isNotNull(), F.col("date_format"))
-    return obs.groupBy("file").agg(F.min(known).alias("date_format"), F.countDistinct(known).alias("n_formats"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.countDistinct("date").alias("n_days"), F.count_if(F.col("date").isNull()).alias("n_unparsed"))
+    return obs.groupBy("file").agg(F.min(known).alias("date_format"), F.countDistinct(known).alias("n_formats"), F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"), F.countDistinct("date").alias("n_days"), F.count_if(F.col("date").isNull()).alias("n_unparsed"))
 
 
 def highest(df: DataFrame, value: str, columns: list[str], n: int = 10) -> DataFrame:
@@ -79,7 +84,8 @@ def coordinate_summary(df: DataFrame, box: tuple[float, float, float, float]) ->
     """One row: rows without coordinates, and outside the box on either axis."""
     lat, lon = F.col("latitude").try_cast("double"), F.col("longitude").try_cast("double")
     south, north, west, east = box
-    return df.agg(F.count_if(lat.isNull() | lon.isNull()).alias("n_without"), F.count_if(~lat.between(south, north)).alias("n_latitude_outside"), F.count_if(~lon.between(west, east)).alias("n_longitude_outside"))
+    return df.agg(F.count_if(lat.isNull() | lon.isNull()).alias("n_without"), F.count_if(~lat.between(south, north)).alias("n_latitude_outside"),
+        F.count_if(~lon.between(west, east)).alias("n_longitude_outside"))
 
 
 def catalog_by_year(obs: DataFrame) -> DataFrame:
@@ -92,7 +98,8 @@ def store_formats(obs: DataFrame) -> DataFrame:
 
 def spellings(df: DataFrame, column: str, file: str) -> DataFrame:
     """Normalised and original spelling, with the first and the last file of each."""
-    return df.groupBy(T.plain_upper(F.col(column)).alias("normalised"), F.col(column).alias("original")).agg(F.count("*").alias("n_rows"), F.min(file).alias("first_file"), F.max(file).alias("last_file"))
+    return df.groupBy(T.plain_upper(F.col(column)).alias("normalised"), F.col(column).alias("original")).agg(F.count("*").alias("n_rows"),
+        F.min(file).alias("first_file"), F.max(file).alias("last_file"))
 
 
 def no_brand_by_year(obs: DataFrame, spelling: str = "S/M") -> DataFrame:
@@ -100,13 +107,15 @@ def no_brand_by_year(obs: DataFrame, spelling: str = "S/M") -> DataFrame:
 
 
 def coverage_by_state(obs: DataFrame) -> DataFrame:
-    return obs.groupBy("state").agg(F.countDistinct("municipality").alias("n_municipalities"), F.countDistinct("week").alias("n_weeks"), F.countDistinct("store").alias("n_stores"), F.count("*").alias("n_rows"))
+    return obs.groupBy("state").agg(F.countDistinct("municipality").alias("n_municipalities"), F.countDistinct("week").alias("n_weeks"),
+        F.countDistinct("store").alias("n_stores"), F.count("*").alias("n_rows"))
 
 
 def coverage_by_chain(obs: DataFrame, catalog: str, more_than: int = 50_000) -> DataFrame:
     """Chains with more than so many rows in one catalog."""
     out = obs.where(F.col("catalog") == catalog).groupBy("chain").agg(
-        F.countDistinct("state").alias("n_states"), F.countDistinct(F.struct("state", "municipality")).alias("n_municipalities"), F.countDistinct("store").alias("n_stores"), F.countDistinct("week").alias("n_weeks"), F.countDistinct("product").alias("n_products"), F.count("*").alias("n_rows"),
+        F.countDistinct("state").alias("n_states"), F.countDistinct(F.struct("state", "municipality")).alias("n_municipalities"),
+            F.countDistinct("store").alias("n_stores"), F.countDistinct("week").alias("n_weeks"), F.countDistinct("product").alias("n_products"), F.count("*").alias("n_rows"),
     )
     return out.where(F.col("n_rows") > more_than)
 
@@ -129,9 +138,11 @@ def duplicates_by_file(raw: DataFrame, texts: list[str], named: list[str]) -> Da
     grains in several catalogs, grains with several prices in one catalog, and rows
     with a lost character in ``named``: one grouping by row inside one by grain."""
     lost = F.concat_ws("|", *named).rlike(r"[A-Za-z]\?[A-Za-z]")
-    rows = raw.groupBy("source_file", F.xxhash64(*GRAIN).alias("g"), F.xxhash64(*texts).alias("h")).agg(F.count("*").alias("n"), F.first("price").alias("price"), F.first("catalog").alias("catalog"), F.max(lost.cast("int")).alias("lost"))
+    rows = raw.groupBy("source_file", F.xxhash64(*GRAIN).alias("g"), F.xxhash64(*texts).alias("h")).agg(F.count("*").alias("n"), F.first("price").alias("price"),
+        F.first("catalog").alias("catalog"), F.max(lost.cast("int")).alias("lost"))
     grains = rows.groupBy("source_file", "g").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("equal"), F.size(F.collect_set("price")).alias("prices"), F.size(F.collect_set("catalog")).alias("catalogs"), F.sum(F.col("n") * F.col("lost")).alias("lost"),
+        F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("equal"), F.size(F.collect_set("price")).alias("prices"), F.size(F.collect_set("catalog")).alias("catalogs"),
+            F.sum(F.col("n") * F.col("lost")).alias("lost"),
     )
     several = F.col("n") > 1
     return grains.groupBy(F.col("source_file").alias("file")).agg(
@@ -161,8 +172,10 @@ def all_findings(files: DataFrame, formats: DataFrame, rejects: DataFrame, price
     kinds = lambda df, c, name: df.groupBy().agg(F.when(F.countDistinct(c) > 1, F.countDistinct(c)).otherwise(0).cast("long").alias("n")).select(F.lit(name).alias("finding"), "n")
     parts = [
         kinds(files, "encoding", "several encodings"), kinds(formats, "date_format", "several date formats"), total(formats, "n_unparsed", "unparsed dates"), count(rejects, "rejected rows"),
-        count(files.where("n_rows <> n_lines"), "rows unlike lines"), count(overlapping_files(formats, "file"), "overlapping files"), count(prices.where(F.col("max") > factor * F.col("p99")), "extreme price"),
-        total(repeated, "n_equal", "equal rows"), total(repeated, "n_lost", "lost characters"), count(states.groupBy("normalised").count().where("count > 1"), "spelling variants"), kinds(brands, "brand", "no-brand spellings"),
+        count(files.where("n_rows <> n_lines"), "rows unlike lines"), count(overlapping_files(formats, "file"), "overlapping files"),
+            count(prices.where(F.col("max") > factor * F.col("p99")), "extreme price"),
+        total(repeated, "n_equal", "equal rows"), total(repeated, "n_lost", "lost characters"), count(states.groupBy("normalised").count().where("count > 1"),
+            "spelling variants"), kinds(brands, "brand", "no-brand spellings"),
     ]
     return reduce(DataFrame.unionByName, parts).where("n > 0")
 

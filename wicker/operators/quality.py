@@ -27,7 +27,8 @@ def evaluate_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """id, severity, comparator, threshold, value, passed: one aggregate over ``df``
     for all rules.  A measure of no rows is null and passes."""
     one = df.agg(*[rounded(r.measure.cast("double"), 6).alias(r.id) for r in rules])
-    rows = F.array(*[F.struct(F.lit(r.id).alias("id"), F.lit(r.severity).alias("severity"), F.lit(r.comparator).alias("comparator"), F.lit(float(r.threshold)).alias("threshold"), F.col(r.id).alias("value")) for r in rules])
+    rows = F.array(*[F.struct(F.lit(r.id).alias("id"), F.lit(r.severity).alias("severity"), F.lit(r.comparator).alias("comparator"),
+        F.lit(float(r.threshold)).alias("threshold"), F.col(r.id).alias("value")) for r in rules])
     v, t = F.col("value"), F.col("threshold")
     passed = F.when(F.col("comparator") == "<=", v <= t).when(F.col("comparator") == ">=", v >= t).otherwise(v == t)
     return one.select(F.inline(rows)).withColumn("passed", F.coalesce(passed, F.lit(True)))
@@ -82,7 +83,8 @@ def all_mart_rules(flagged: DataFrame, items: DataFrame, basket: DataFrame, bask
     cells = whole.groupBy("place_id", "week").agg(F.count("*").alias("chains"), F.count_if("is_complete").alias("complete")).where("chains >= 2")
     lost = n_raw.withColumnRenamed("n", "n_raw").crossJoin(F.broadcast(n_kept.withColumnRenamed("n", "n_kept")))
     parts = [
-        evaluate_rules(flagged, [Rule("M-01", outliers, "<=", 1, "warning"), Rule("M-02", outliers, "<=", 5), Rule("M-03", loose, "<=", 5, "warning"), Rule("M-08", F.date_diff(F.to_date(F.lit(run_date)), F.max("date")), "<=", 35, "warning")]),
+        evaluate_rules(flagged, [Rule("M-01", outliers, "<=", 1, "warning"), Rule("M-02", outliers, "<=", 5), Rule("M-03", loose, "<=", 5, "warning"), Rule("M-08",
+            F.date_diff(F.to_date(F.lit(run_date)), F.max("date")), "<=", 35, "warning")]),
         evaluate_rules(whole, [Rule("M-04", percent(F.col("is_complete")), ">=", 50, "warning")]),
         evaluate_rules(unseen, [Rule("M-05", F.count("*"), "==", 0, "warning")]),
         evaluate_rules(lost, [Rule("M-06", F.max(F.col("n_raw") - F.col("n_kept")), "==", 0)]),
@@ -152,7 +154,8 @@ def bi_against_marts(differences: DataFrame, savings: DataFrame, availability: D
     one = total.select(F.lit("differences").alias("check"), F.lit(1).cast("long").alias("n"), wrong.cast("long").alias("n_wrong"))
     cells = availability.groupBy("chain", "place_id", "week").agg(F.count_if("available").alias("there"))
     both = cells.join(baskets.select("chain", "place_id", "week", "items_available"), ["chain", "place_id", "week"], "left")
-    return one.unionByName(both.agg(F.count("*").alias("n"), F.count_if(~F.col("there").eqNullSafe(F.col("items_available"))).alias("n_wrong")).select(F.lit("availability").alias("check"), "n", "n_wrong"))
+    return one.unionByName(both.agg(F.count("*").alias("n"),
+        F.count_if(~F.col("there").eqNullSafe(F.col("items_available"))).alias("n_wrong")).select(F.lit("availability").alias("check"), "n", "n_wrong"))
 
 
 def data_tests(tests: dict[str, DataFrame]) -> DataFrame:

@@ -54,14 +54,16 @@ def recompute_from_raw(raw: DataFrame, rules: DataFrame, parsed: DataFrame, para
     with its reading."""
     price = F.col("price").try_cast("decimal(12,2)").cast("double")
     lines = raw.select(
-        T.canonical_key("product").alias("product"), T.canonical_key("package").alias("package_key"), T.canonical_key("brand").alias("brand"), price.alias("price"), T.parse_date_any(F.col("day")).alias("date"),
+        T.canonical_key("product").alias("product"), T.canonical_key("package").alias("package_key"), T.canonical_key("brand").alias("brand"), price.alias("price"),
+            T.parse_date_any(F.col("day")).alias("date"),
         F.concat_ws("|", *[F.coalesce(T.canonical_key(c), F.lit("")) for c in ("store", "address", "state", "municipality")]).alias("store"),
         F.concat_ws("|", T.canonical_key("state"), T.canonical_key("municipality")).alias("place"), T.canonical_key("chain").alias("chain"),
     ).where(F.col("price").isNotNull() & F.col("date").isNotNull())
     none = F.col("brand").isin(*NO_BRAND) | F.col("brand").isNull()
     lines = lines.withColumn("brand", F.when(none, "SIN MARCA").otherwise(F.col("brand")))
     r = rules.select(F.col("key").alias("r_key"), "unit", "include", "exclude", "item_id", "quantity")
-    meets = (F.col("product") == F.col("r_key")) & (F.col("base_unit") == F.col("unit")) & F.call_function("rlike", F.col("package_key"), F.col("include")) & ~F.coalesce(F.call_function("rlike", F.col("package_key"), F.col("exclude")), F.lit(False))
+    meets = (F.col("product") == F.col("r_key")) & (F.col("base_unit") == F.col("unit")) & F.call_function("rlike", F.col("package_key"),
+        F.col("include")) & ~F.coalesce(F.call_function("rlike", F.col("package_key"), F.col("exclude")), F.lit(False))
     read = parsed.where("is_comparable").select("package_key", "base_unit", "content")
     # Rules are tried once for each different product and package, then joined by these.
     kinds = lines.select("product", "package_key").distinct().join(read, "package_key").join(r, meets)

@@ -110,7 +110,8 @@ def explain_items(items: DataFrame, savings: DataFrame) -> DataFrame:
     )
     total = each.agg(F.sum("s").alias("total"))
     s = F.col("s").cast("double")
-    return one_row(each, total).select("item", rounded(s).alias("accumulated"), rounded(100 * s / F.nullif(F.col("total").cast("double"), F.lit(0.0)), 1).alias("pct_of_net"), "median_difference", "pct_cells_cheaper", "cells")
+    return one_row(each, total).select("item", rounded(s).alias("accumulated"), rounded(100 * s / F.nullif(F.col("total").cast("double"), F.lit(0.0)),
+        1).alias("pct_of_net"), "median_difference", "pct_cells_cheaper", "cells")
 
 
 def period_rollup(savings: DataFrame, start: str, end: str) -> DataFrame:

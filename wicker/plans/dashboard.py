@@ -40,7 +40,8 @@ def folded_coverage(coverage: DataFrame, reference: list[str]) -> DataFrame:
     chain = F.when(F.col("chain").isin(reference), F.col("chain")).otherwise(OTHERS)
     total = lambda c: F.sum(c).alias(c)
     return coverage.groupBy("week", "place_id", chain.alias("chain")).agg(
-        total("n_observations"), F.count("*").alias("n_rows"), total("n_stores"), total("n_days"), rounded(F.sum("pct_outliers"), 3).alias("pct_outliers"), rounded(F.sum("pct_not_comparable")).alias("pct_not_comparable")
+        total("n_observations"), F.count("*").alias("n_rows"), total("n_stores"), total("n_days"), rounded(F.sum("pct_outliers"), 3).alias("pct_outliers"),
+            rounded(F.sum("pct_not_comparable")).alias("pct_not_comparable")
     )
 
 

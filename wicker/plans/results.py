@@ -22,7 +22,8 @@ def cost_by_chain(savings: DataFrame, params: Params = Params()) -> DataFrame:
     """Costs of comparable cells, of all weeks and of the recent ones."""
     rows = one_row(savings, period(savings, params).select("recent_from"))
     recent = F.when(F.col("week") >= F.col("recent_from"), F.col("basket_cost"))
-    return rows.groupBy("chain", "chain_group").agg(F.count("*").alias("place_weeks"), rounded(F.median("basket_cost")).alias("median_cost"), rounded(F.median(recent)).alias("median_cost_recent"), rounded(F.median("vs_median_pct")).alias("vs_median_pct"))
+    return rows.groupBy("chain", "chain_group").agg(F.count("*").alias("place_weeks"), rounded(F.median("basket_cost")).alias("median_cost"),
+        rounded(F.median(recent)).alias("median_cost_recent"), rounded(F.median("vs_median_pct")).alias("vs_median_pct"))
 
 
 def gaps(savings: DataFrame, all_chains: int = 4) -> DataFrame:
@@ -31,13 +32,15 @@ def gaps(savings: DataFrame, all_chains: int = 4) -> DataFrame:
     flags = {"all": F.lit(True), "all chains": F.col("chains_compared") == all_chains, "rivals": F.col("groups_compared") >= 2}
     scopes = F.filter(F.array(*[F.when(f, F.lit(n)) for n, f in flags.items()]), lambda x: x.isNotNull())
     rows = cells.select("gap", "gap_pct", F.explode(scopes).alias("scope"))
-    return rows.groupBy("scope").agg(F.count("*").alias("place_weeks"), rounded(F.median("gap")).alias("median_gap"), rounded(F.median("gap_pct")).alias("median_gap_pct"), rounded(quantile("gap", 0.9), 4).alias("p90_gap"))
+    return rows.groupBy("scope").agg(F.count("*").alias("place_weeks"), rounded(F.median("gap")).alias("median_gap"),
+        rounded(F.median("gap_pct")).alias("median_gap_pct"), rounded(quantile("gap", 0.9), 4).alias("p90_gap"))
 
 
 def saving_by_chain(savings: DataFrame) -> DataFrame:
     """What changing to the cheapest chain would save, a week and a year."""
     middle = F.median("saving")
-    return savings.groupBy("chain").agg(F.count("*").alias("place_weeks"), share(F.col("is_cheapest")).alias("pct_cheapest"), rounded(middle).alias("median_saving"), rounded(F.median("saving_pct")).alias("median_saving_pct"), rounded(middle * 52, 0).alias("yearly_saving"))
+    return savings.groupBy("chain").agg(F.count("*").alias("place_weeks"), share(F.col("is_cheapest")).alias("pct_cheapest"), rounded(middle).alias("median_saving"),
+        rounded(F.median("saving_pct")).alias("median_saving_pct"), rounded(middle * 52, 0).alias("yearly_saving"))
 
 
 def index_series(index: DataFrame) -> DataFrame:
@@ -68,7 +71,8 @@ def indicators(measures: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
 
 def coverage_by_chain(coverage: DataFrame) -> DataFrame:
     return coverage.groupBy("chain").agg(
-        F.countDistinct("place_id").alias("places"), F.countDistinct("week").alias("weeks"), rounded(F.median("n_stores"), 1).alias("stores_a_cell"), rounded(F.median("n_days"), 1).alias("days_a_week"), share(F.col("is_complete")).alias("pct_complete")
+        F.countDistinct("place_id").alias("places"), F.countDistinct("week").alias("weeks"), rounded(F.median("n_stores"), 1).alias("stores_a_cell"),
+            rounded(F.median("n_days"), 1).alias("days_a_week"), share(F.col("is_complete")).alias("pct_complete")
     )
 
 

@@ -34,7 +34,8 @@ def _pct(flag: str, table_: str) -> str:
 
 
 _EMPTY = " OR ".join(f"coalesce(trim({c}), '') = ''" for c in ESSENTIAL)
-_EXPECTED = """expected AS (SELECT strftime(m, '%m-%Y') || q AS file FROM (SELECT CAST(unnest(generate_series(date_trunc('month', min(date)), date_trunc('month', max(date)), INTERVAL 1 MONTH)) AS DATE) AS m FROM staged), unnest(['_Q1.csv', '_Q2.csv']) AS u(q))"""
+_EXPECTED = """expected AS (SELECT strftime(m, '%m-%Y') || q AS file FROM (SELECT CAST(unnest(generate_series(date_trunc('month', min(date)), date_trunc('month',
+    max(date)), INTERVAL 1 MONTH)) AS DATE) AS m FROM staged), unnest(['_Q1.csv', '_Q2.csv']) AS u(q))"""
 _RAW_RULES = [
     ("R-01", "error", "==", 0, "SELECT count(*) FROM expected WHERE file NOT IN (SELECT file FROM files)"),
     ("R-02", "error", "<=", 0.1, _pct(f"({_EMPTY})", "staged")),
@@ -102,8 +103,10 @@ def unmapped_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, PRICES, AVAILABLE, select=f"""
   SELECT 'differences' AS "check", 1::BIGINT AS n, (abs(a - b) > greatest(0.0001 * abs(b), 1))::BIGINT AS n_wrong FROM (
-    SELECT coalesce(sum(vs_cheapest_basket) FILTER (WHERE {_DEARER}), 0) AS a, (SELECT coalesce(sum(saving), 0) FROM savings) AS b FROM prices p LEFT JOIN (SELECT place_id, week, chain, is_cheapest FROM savings) s USING (place_id, week, chain))
-  UNION ALL SELECT 'availability', count(*), count(*) FILTER (WHERE there <> items_available) FROM (SELECT chain, place_id, week, count(*) FILTER (WHERE available) AS there FROM available GROUP BY ALL) JOIN baskets USING (chain, place_id, week)"""))
+    SELECT coalesce(sum(vs_cheapest_basket) FILTER (WHERE {_DEARER}), 0) AS a, (SELECT coalesce(sum(saving), 0) FROM savings) AS b FROM prices p
+        LEFT JOIN (SELECT place_id, week, chain, is_cheapest FROM savings) s USING (place_id, week, chain))
+  UNION ALL SELECT 'availability', count(*), count(*) FILTER (WHERE there <> items_available) FROM (SELECT chain, place_id, week,
+      count(*) FILTER (WHERE available) AS there FROM available GROUP BY ALL) JOIN baskets USING (chain, place_id, week)"""))
 def bi_against_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, savings, prices = _prices(spark, sf_dir)
     baskets = written(_baskets(spark, sf_dir, items))
@@ -139,7 +142,8 @@ _UP = "upper(strip_accents(trim({})))"
 PROFILED = f"""profiled AS (SELECT *, CAST(date_trunc('week', date) AS DATE) AS week FROM (
   SELECT source_file AS file, product, package, brand, catalog, TRY_CAST(price AS DOUBLE) AS price, CAST(coalesce(try_strptime(day, '%Y/%m/%d'), try_strptime(day, '%d/%m/%Y')) AS DATE) AS date,
     CASE WHEN try_strptime(day, '%Y/%m/%d') IS NOT NULL THEN 'yyyy/mm/dd' WHEN try_strptime(day, '%d/%m/%Y') IS NOT NULL THEN 'dd/mm/yyyy' ELSE 'none' END AS date_format, chain, format,
-    md5(concat_ws('|', {", ".join(_UP.format(c) for c in ("store", "address", "state", "municipality"))})) AS store, {_UP.format("state")} AS state, {_UP.format("municipality")} AS municipality FROM raw))"""
+    md5(concat_ws('|', {", ".join(_UP.format(c) for c in ("store", "address", "state", "municipality"))})) AS store, {_UP.format("state")} AS state,
+        {_UP.format("municipality")} AS municipality FROM raw))"""
 
 
 def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +155,9 @@ def profile_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profiled(spark, sf_dir)
 
 
-_BY_FILE = """formats AS (SELECT file, min(date_format) FILTER (WHERE date IS NOT NULL) AS date_format, count(DISTINCT date_format) FILTER (WHERE date IS NOT NULL) AS n_formats, min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS n_days, count(*) FILTER (WHERE date IS NULL) AS n_unparsed FROM profiled GROUP BY file)"""
+_BY_FILE = """formats AS (SELECT file, min(date_format) FILTER (WHERE date IS NOT NULL) AS date_format,
+    count(DISTINCT date_format) FILTER (WHERE date IS NOT NULL) AS n_formats, min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS n_days,
+        count(*) FILTER (WHERE date IS NULL) AS n_unparsed FROM profiled GROUP BY file)"""
 
 
 @query(sql(RAW, PROFILED, _BY_FILE, select="SELECT * FROM formats"))
@@ -165,7 +171,8 @@ def profile_highest_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql(RAW, select="""SELECT count(*) FILTER (WHERE TRY_CAST(latitude AS DOUBLE) IS NULL OR TRY_CAST(longitude AS DOUBLE) IS NULL) AS n_without,
-  count(*) FILTER (WHERE TRY_CAST(latitude AS DOUBLE) NOT BETWEEN 14 AND 33) AS n_latitude_outside, count(*) FILTER (WHERE TRY_CAST(longitude AS DOUBLE) NOT BETWEEN -119 AND -86) AS n_longitude_outside FROM raw"""))
+  count(*) FILTER (WHERE TRY_CAST(latitude AS DOUBLE) NOT BETWEEN 14 AND 33) AS n_latitude_outside, count(*) FILTER (WHERE TRY_CAST(longitude AS DOUBLE) NOT BETWEEN -119
+      AND -86) AS n_longitude_outside FROM raw"""))
 def profile_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.coordinate_summary(raw_prices(spark, sf_dir), D.BOX)
 
@@ -198,13 +205,15 @@ def profile_coverage_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.coverage_by_state(_profiled(spark, sf_dir))
 
 
-@query(sql(RAW, PROFILED, select="""SELECT chain, count(DISTINCT state) AS n_states, count(DISTINCT (state, municipality)) AS n_municipalities, count(DISTINCT store) AS n_stores, count(DISTINCT week) AS n_weeks, count(DISTINCT product) AS n_products, count(*) AS n_rows
+@query(sql(RAW, PROFILED, select="""SELECT chain, count(DISTINCT state) AS n_states, count(DISTINCT (state, municipality)) AS n_municipalities,
+    count(DISTINCT store) AS n_stores, count(DISTINCT week) AS n_weeks, count(DISTINCT product) AS n_products, count(*) AS n_rows
   FROM profiled WHERE catalog = 'Basicos' GROUP BY chain HAVING count(*) > 200"""))
 def profile_coverage_by_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.coverage_by_chain(_profiled(spark, sf_dir), "Basicos", 200)
 
 
-@query(sql(RAW, PROFILED, """v AS (SELECT store, CASE WHEN day(date) <= 15 THEN date_trunc('month', date)::DATE ELSE date_trunc('month', date)::DATE + 15 END AS f, count(DISTINCT date) AS n_days FROM profiled GROUP BY ALL)""", select="SELECT n_days, count(*) AS n_store_fortnights FROM v GROUP BY n_days"))
+@query(sql(RAW, PROFILED, """v AS (SELECT store, CASE WHEN day(date) <= 15 THEN date_trunc('month', date)::DATE ELSE date_trunc('month', date)::DATE + 15 END AS f,
+    count(DISTINCT date) AS n_days FROM profiled GROUP BY ALL)""", select="SELECT n_days, count(*) AS n_store_fortnights FROM v GROUP BY n_days"))
 def profile_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.visit_days(_profiled(spark, sf_dir))
 
@@ -213,7 +222,8 @@ _GRAIN = ", ".join(profile.GRAIN)
 _NAMED = ["product", "package", "brand", "category", "catalog", "chain", "format", "store", "address", "state", "municipality"]
 _REPEATED = f"""h AS (SELECT source_file, {_GRAIN}, count(*) AS n, count(DISTINCT price) AS prices, count(DISTINCT catalog) AS catalogs FROM raw GROUP BY source_file, {_GRAIN}),
 e AS (SELECT source_file, sum(n - 1) AS equal FROM (SELECT source_file, count(*) AS n FROM raw GROUP BY source_file, {", ".join(TEXTS)}) GROUP BY 1),
-repeated AS (SELECT h.source_file AS file, CAST(sum(n) AS BIGINT) AS n_rows, CAST(any_value(e.equal) AS BIGINT) AS n_equal, CAST(sum(n - 1) AS BIGINT) AS n_same_grain, count(*) FILTER (WHERE n > 1 AND catalogs > 1) AS n_in_catalogs,
+repeated AS (SELECT h.source_file AS file, CAST(sum(n) AS BIGINT) AS n_rows, CAST(any_value(e.equal) AS BIGINT) AS n_equal, CAST(sum(n - 1) AS BIGINT) AS n_same_grain,
+    count(*) FILTER (WHERE n > 1 AND catalogs > 1) AS n_in_catalogs,
   count(*) FILTER (WHERE n > 1 AND prices > 1 AND catalogs = 1) AS n_conflicts, 0::BIGINT AS n_lost FROM h JOIN e ON h.source_file = e.source_file GROUP BY h.source_file)"""
 
 
@@ -226,7 +236,8 @@ def _doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(again).unionByName(other).unionByName(dear)
 
 
-_DOUBLED = RAW.replace("raw AS (", "raw0 AS (") + ", raw AS (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE price LIKE '%5' UNION ALL SELECT * REPLACE ('Otro' AS catalog) FROM raw0 WHERE price LIKE '%7' UNION ALL SELECT * REPLACE ('1' || price AS price) FROM raw0 WHERE price LIKE '%9')"
+_DOUBLED = RAW.replace("raw AS (",
+    "raw0 AS (") + ", raw AS (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE price LIKE '%5' UNION ALL SELECT * REPLACE ('Otro' AS catalog) FROM raw0 WHERE price LIKE '%7' UNION ALL SELECT * REPLACE ('1' || price AS price) FROM raw0 WHERE price LIKE '%9')"
 
 
 @query(sql(_DOUBLED, _REPEATED, select="SELECT * FROM repeated"))
@@ -269,7 +280,9 @@ def profile_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = written(_doubled(spark, sf_dir))
     obs = profile.observation_table(raw)
-    files = source_files(raw).withColumns({"encoding": F.when(F.col("file") < "06", "UTF-8").otherwise("windows-1252"), "n_lines": F.col("n_rows") + F.when(F.col("file").endswith("1999_Q1.csv"), 1).otherwise(0)})
+    files = source_files(raw).withColumns({"encoding": F.when(F.col("file") < "06", "UTF-8").otherwise("windows-1252"),
+        "n_lines": F.col("n_rows") + F.when(F.col("file").endswith("1999_Q1.csv"), 1).otherwise(0)})
     return profile.all_findings(
-        files, profile.formats_by_file(obs), raw.where("price = 'n/d'"), profile.number_summary(obs, "price"), profile.duplicates_by_file(raw, TEXTS, _NAMED), profile.spellings(raw, "state", "source_file"), profile.no_brand_by_year(obs)
+        files, profile.formats_by_file(obs), raw.where("price = 'n/d'"), profile.number_summary(obs, "price"), profile.duplicates_by_file(raw, TEXTS, _NAMED),
+            profile.spellings(raw, "state", "source_file"), profile.no_brand_by_year(obs)
     )

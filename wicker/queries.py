@@ -67,7 +67,8 @@ savings AS (
          {r("max_cost - min_cost")} AS gap, {r("100 * (max_cost - min_cost) / max_cost")} AS gap_pct, n_observations
   FROM full_baskets JOIN ends USING (place_id, week))"""
 PRICES = f"""a AS (SELECT i.*, median_price * quantity AS cost FROM items i JOIN basket USING (item)),
-best AS (SELECT place_id, week, item, count(*) AS chains_with_item, min(median_price) AS lo, max(median_price) AS hi, first(chain ORDER BY median_price, chain) AS cheapest_item_chain FROM a GROUP BY ALL),
+best AS (SELECT place_id, week, item, count(*) AS chains_with_item, min(median_price) AS lo, max(median_price) AS hi, first(chain ORDER BY median_price,
+    chain) AS cheapest_item_chain FROM a GROUP BY ALL),
 base AS (SELECT a.place_id, a.week, a.item, a.cost AS cost_in_cheapest FROM a JOIN (SELECT DISTINCT place_id, week, cheapest_chain AS chain FROM savings) USING (place_id, week, chain)),
 prices AS (
   SELECT 'v1' AS version, week, place_id, chain, item, {r("median_price", 4)} AS median_price, {r("cost", 4)} AS item_cost, a.n_observations, n_stores, n_products, chains_with_item,
@@ -172,14 +173,16 @@ def robust_outliers_by_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MONTH = """grouped AS (
   SELECT product_id, chain, month, cents, count(*) AS n_source_rows, bit_or(1 << bit) AS catalog_mask
-  FROM (SELECT product_id, chain, CAST(date_trunc('month', date) AS DATE) AS month, CAST(floor(price * 100 + 0.5) AS BIGINT) AS cents, CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS bit FROM obs)
+  FROM (SELECT product_id, chain, CAST(date_trunc('month', date) AS DATE) AS month, CAST(floor(price * 100 + 0.5) AS BIGINT) AS cents, CASE flag WHEN 'A' THEN 0
+      WHEN 'N' THEN 1 ELSE 2 END AS bit FROM obs)
   GROUP BY ALL)"""
 
 
 @query(sql(OBS, _MONTH, select="SELECT *, count(*) OVER (PARTITION BY product_id, chain, month) > 1 AS has_conflict FROM grouped"))
 def consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations(spark, sf_dir).select(
-        "product_id", "chain", F.trunc("date", "month").alias("month"), F.floor(F.col("price") * 100 + 0.5).alias("cents"), F.when(F.col("flag") == "A", 0).when(F.col("flag") == "N", 1).otherwise(2).alias("bit")
+        "product_id", "chain", F.trunc("date", "month").alias("month"), F.floor(F.col("price") * 100 + 0.5).alias("cents"), F.when(F.col("flag") == "A",
+            0).when(F.col("flag") == "N", 1).otherwise(2).alias("bit")
     )
     return marts.consolidate(obs, ["product_id", "chain", "month"], "cents", "bit")
 
@@ -247,7 +250,8 @@ def price_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql(OBS, ITEMS, BASKET, SAVINGS, PRICES, f"""e AS (
-  SELECT item, sum(CAST(vs_cheapest_basket AS DECIMAL(18,4))) AS s, {r("median(vs_cheapest_basket)")} AS median_difference, {r("100.0::DOUBLE * avg((vs_cheapest_basket < 0)::INT)", 1)} AS pct_cells_cheaper, count(*) AS cells
+  SELECT item, sum(CAST(vs_cheapest_basket AS DECIMAL(18,4))) AS s, {r("median(vs_cheapest_basket)")} AS median_difference,
+      {r("100.0::DOUBLE * avg((vs_cheapest_basket < 0)::INT)", 1)} AS pct_cells_cheaper, count(*) AS cells
   FROM prices p JOIN savings v USING (place_id, week, chain) WHERE NOT v.is_cheapest GROUP BY item)""", select=f"""
   SELECT item, {r("s::DOUBLE")} AS accumulated, {r("100 * s::DOUBLE / nullif((SELECT sum(s)::DOUBLE FROM e), 0)", 1)} AS pct_of_net, median_difference, pct_cells_cheaper, cells FROM e"""))
 def explain_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,8 @@ def distinct_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.join(exact, ["scope", "column"]).select("scope", "column", "n_rows", "n_empty", F.col("exact").alias("n_distinct"), near.alias("within"))
 
 
-@query(sql(RAW, select=" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS n_empty, true AS within FROM raw""" for c in _SKETCHED)))
+@query(sql(RAW, select=" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS n_empty,
+    true AS within FROM raw""" for c in _SKETCHED)))
 def column_profile_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile of columns without exact counts, against the one with them."""
     raw = raw_prices(spark, sf_dir)
@@ -57,7 +58,8 @@ def period_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures = small_side(written(figures))
     rows = S.by_period(obs.where("place_id < 3 AND unit_price IS NOT NULL"), "1996-01-01", "1996-12-30")
     x = F.col("unit_price")
-    ranks = rows.join(figures, ["period", "chain"]).groupBy("period", "chain").agg(F.count_if(x < F.col("median")).alias("below"), F.count_if(x <= F.col("median")).alias("upto"), F.count("*").alias("rows"), F.countDistinct("store_id").alias("exact"))
+    ranks = rows.join(figures, ["period", "chain"]).groupBy("period", "chain").agg(F.count_if(x < F.col("median")).alias("below"),
+        F.count_if(x <= F.col("median")).alias("upto"), F.count("*").alias("rows"), F.countDistinct("store_id").alias("exact"))
     error = F.lit(S.rank_error())
     median = (F.col("below") <= (0.5 + error) * F.col("rows")) & (F.col("upto") >= (0.5 - error) * F.col("rows"))
     stores = F.abs(F.col("stores") - F.col("exact")) <= F.greatest(F.lit(S.distinct_error()) * F.col("exact"), F.lit(1.0))
@@ -73,7 +75,8 @@ def savings_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = written(S.cube(savings, ["week", "chain"], "basket_cost", {"n_cheapest": F.col("is_cheapest").cast("long")}))
     figures = written(S.rolled_up(S.by_period(cells, "1996-01-01", "1996-12-30"), ["period"], {"median": 0.5}, ["n_cheapest"]))
     x = F.col("basket_cost")
-    ranks = S.by_period(savings, "1996-01-01", "1996-12-30").join(F.broadcast(figures), "period").groupBy("period").agg(F.count_if(x < F.col("median")).alias("below"), F.count_if(x <= F.col("median")).alias("upto"))  # two rows
+    ranks = S.by_period(savings, "1996-01-01", "1996-12-30").join(F.broadcast(figures), "period").groupBy("period").agg(F.count_if(x < F.col("median")).alias("below"),
+        F.count_if(x <= F.col("median")).alias("upto"))  # two rows
     error = F.lit(S.rank_error())
     near = (F.col("below") <= (0.5 + error) * F.col("n")) & (F.col("upto") >= (0.5 - error) * F.col("n"))
     share = rounded(100.0 * F.col("n_cheapest") / F.col("n"), 1)

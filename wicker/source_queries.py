@@ -131,17 +131,20 @@ def publish_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = spark.createDataFrame([], "file string, n_rows long")
     for name in ("region", "nation"):
         counts = counts.unionByName(table(spark, sf_dir, name).agg(F.lit(name).alias("file"), F.count("*").alias("n_rows")))
-    about = publish.publication_metadata(weeks, orders, counts, "v1").select(F.lit("published").alias("kind"), F.concat_ws(" ", "version", "last_week", "last_date").alias("name"), F.col("n_rows").alias("n"))
+    about = publish.publication_metadata(weeks, orders, counts, "v1").select(F.lit("published").alias("kind"), F.concat_ws(" ", "version", "last_week",
+        "last_date").alias("name"), F.col("n_rows").alias("n"))
     of_weeks = seen("weeks").select(F.lit("week").alias("kind"), F.col("week").cast("string").alias("name"), "n")
     return of_weeks.unionByName(seen("names").select(F.lit("nation").alias("kind"), F.col("n_name").alias("name"), F.col("code").cast("long").alias("n"))).unionByName(about)
 
 
-@query("""SELECT c_mktsegment || ' ' || (c_custkey % 10) AS file, CASE WHEN c_custkey % 10 = 3 THEN 'new' WHEN c_custkey % 10 = 4 THEN 'absent' WHEN c_custkey % 10 >= 8 THEN 'pending' ELSE 'unchanged' END AS state,
+@query("""SELECT c_mktsegment || ' ' || (c_custkey % 10) AS file, CASE WHEN c_custkey % 10 = 3 THEN 'new' WHEN c_custkey % 10 = 4 THEN 'absent'
+    WHEN c_custkey % 10 >= 8 THEN 'pending' ELSE 'unchanged' END AS state,
   CASE WHEN c_custkey % 10 = 3 THEN 'new' WHEN c_custkey % 10 = 4 THEN 'absent' WHEN c_custkey % 10 >= 8 THEN 'replaced' ELSE 'unchanged' END AS with_replace FROM customer GROUP BY ALL""")
 def version_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States of named sets of customers whose digests differ between two days."""
     last = F.col("c_custkey") % 10
-    sets = table(spark, sf_dir, "customer").groupBy(F.concat_ws(" ", "c_mktsegment", last).alias("file"), last.alias("d")).agg(F.sha2(F.concat_ws(",", F.count("*"), F.bit_xor(F.xxhash64("c_custkey", "c_name"))), 256).alias("sha256"))
+    sets = table(spark, sf_dir, "customer").groupBy(F.concat_ws(" ", "c_mktsegment", last).alias("file"), last.alias("d")).agg(F.sha2(F.concat_ws(",", F.count("*"),
+        F.bit_xor(F.xxhash64("c_custkey", "c_name"))), 256).alias("sha256"))
     sets = written(sets)
     now = sets.where("d <> 4").select("file", "sha256")
     then = sets.where("d <> 3").select("file", F.when(F.col("d") >= 8, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"))

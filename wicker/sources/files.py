@@ -50,7 +50,8 @@ def file_inventory(spark: SparkSession, pattern: str) -> DataFrame:
     delimiter = F.max_by(F.col("d.c"), F.col("d.n"))
     rows = raw.select(
         F.col("path").alias("file"), F.col("length").alias("bytes"), F.crc32(c).alias("crc32"), F.sha2(c, 256).alias("sha256"), bom.alias("bom"), encoding.alias("encoding"),
-        lines.cast("long").alias("lines"), body.contains("\r\n").alias("crlf"), (F.length(body) - F.length(F.replace(body, F.lit('"'), F.lit("")))).cast("long").alias("quotes"), header.alias("header"), F.array(*[F.struct(F.lit(x).alias("c"), times(x).alias("n")) for x in (",", ";", "\t", "|")]).alias("ds"),
+        lines.cast("long").alias("lines"), body.contains("\r\n").alias("crlf"), (F.length(body) - F.length(F.replace(body, F.lit('"'),
+            F.lit("")))).cast("long").alias("quotes"), header.alias("header"), F.array(*[F.struct(F.lit(x).alias("c"), times(x).alias("n")) for x in (",", ";", "\t", "|")]).alias("ds"),
     )
     best = rows.select("file", F.explode("ds").alias("d")).groupBy("file").agg(delimiter.alias("delimiter"))
     return rows.drop("ds").join(best, "file")
@@ -75,7 +76,8 @@ def read_text_table(spark: SparkSession, files: list[str], columns: list[str], d
     is one task's work: ``splits.read_split`` reads large files in many."""
     schema = StructType([StructField(c, StringType()) for c in [*columns, "_corrupt"]])
     western = dialect.encoding == "windows-1252"  # Spark reads its subset; the rest is mapped
-    reader = spark.read.schema(schema).options(header=True, sep=dialect.delimiter, encoding="ISO-8859-1" if western else dialect.encoding, quote='"', escape='"', multiLine=dialect.multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    reader = spark.read.schema(schema).options(header=True, sep=dialect.delimiter, encoding="ISO-8859-1" if western else dialect.encoding, quote='"', escape='"',
+        multiLine=dialect.multiline, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
     rows = reader.csv(files).withColumn("source_file", F.col("_metadata.file_path"))
     return rows.withColumns({c: F.translate(c, *_WESTERN) for c in columns}) if western else rows
 
@@ -89,7 +91,8 @@ def read_with_rejects(spark: SparkSession, files: list[str], columns: list[str],
     fields = F.split(F.col("_corrupt"), F.concat(F.lit(r"\Q"), F.lit(dialect.delimiter), F.lit(r'\E(?=(?:[^"]*"[^"]*")*[^"]*$)')))
     good = rows.where(F.col("_corrupt").isNull() & whole).drop("_corrupt")
     return good, rows.where(F.col("_corrupt").isNotNull() & whole).select(
-        "source_file", F.col("_corrupt").alias("line"), F.size(fields).alias("n_fields"), F.when(F.size(fields) < len(columns), "too few fields").when(F.size(fields) > len(columns), "too many fields").otherwise("not readable").alias("error")
+        "source_file", F.col("_corrupt").alias("line"), F.size(fields).alias("n_fields"), F.when(F.size(fields) < len(columns),
+            "too few fields").when(F.size(fields) > len(columns), "too many fields").otherwise("not readable").alias("error")
     )
 
 

@@ -126,5 +126,6 @@ def encode_by_catalog(df: DataFrame, column: str, catalog: DataFrame) -> DataFra
     """``df`` with the value's place in a catalog (value, position) instead of the
     value; a value that the catalog lacks is an error."""
     out = df.join(catalog.select(F.col("value").alias(column), F.col("position").alias("position__")), column, "left")
-    place = F.when(F.col("position__").isNotNull(), F.col("position__")).otherwise(F.raise_error(F.concat(F.lit(f"not in the catalog of {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))).cast("int"))
+    place = F.when(F.col("position__").isNotNull(), F.col("position__")).otherwise(F.raise_error(F.concat(F.lit(f"not in the catalog of {column}: "),
+        F.coalesce(F.col(column).cast("string"), F.lit("null")))).cast("int"))
     return out.withColumn(column, place).drop("position__")

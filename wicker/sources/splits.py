@@ -40,7 +40,8 @@ def physical_lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
     of the line, without its line feed)."""
     lines = spark.read.option("lineSep", "\n").text(files)
     m = F.col("_metadata")
-    return lines.select(m.file_path.alias("file"), m.file_size.alias("size"), m.file_block_start.alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("raw"))
+    return lines.select(m.file_path.alias("file"), m.file_size.alias("size"), m.file_block_start.alias("block"), F.monotonically_increasing_id().alias("id"),
+        F.col("value").cast("binary").alias("raw"))
 
 
 def decoded(raw: Column, encoding: str) -> Column:
