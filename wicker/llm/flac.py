@@ -437,7 +437,8 @@ def _subframes(bits: _Bits, pos: np.ndarray, block: np.ndarray, depth: np.ndarra
     return x << wasted[:, None], pos
 
 
-def _restore(bits: _Bits, pos: np.ndarray, block: np.ndarray, order: np.ndarray, wide: np.ndarray, each: np.ndarray, coef: np.ndarray, shift: np.ndarray, warm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _restore(bits: _Bits, pos: np.ndarray, block: np.ndarray, order: np.ndarray, wide: np.ndarray, each: np.ndarray, coef: np.ndarray, shift: np.ndarray,
+    warm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Predicted samples of frames side by side, from their coded residuals."""
     x, taps = np.ascontiguousarray(warm.T), np.ascontiguousarray(coef.T)
     n, first, shortest = len(pos), int(order.max()), int(block.min())

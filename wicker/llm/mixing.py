@@ -117,7 +117,8 @@ def tempered(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
     return {s: max(1, round(1e6 * w / total)) / 1e6 for s, w in raw.items()}
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, source: str = "source",
+    doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with mix_block (of its source), mix_phase, mix_release and
     mix_deadline (slots of the phase), mix_slot, mix_position (place in the mix,
     ascending with the slot); a name that ``docs`` has gets a number.  ``weights`` by source; without them, row counts to
@@ -160,7 +161,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     inside = (placed[s] == table[s]) & (F.col(block) >= F.col(first)) & (F.col(block) < F.col(end))
     out = placed.join(small(table), inside).drop(table[s]).withColumn(b, F.col(block) - F.col(first)).withColumn(h, F.expr(f"{b} % {n}"))
     size = [len(x[7]) for x in plan]
-    slots = {s: pa.array([x[0] for x in plan]).take(np.repeat(np.arange(len(plan)), size)), phase: pa.array(np.repeat([x[1] for x in plan], size), pa.int32()), h: pa.array(np.concatenate([np.arange(k) for k in size])), at: pa.array(np.concatenate([x[7] for x in plan]), pa.int64())}
+    slots = {s: pa.array([x[0] for x in plan]).take(np.repeat(np.arange(len(plan)), size)), phase: pa.array(np.repeat([x[1] for x in plan], size), pa.int32()),
+        h: pa.array(np.concatenate([np.arange(k) for k in size])), at: pa.array(np.concatenate([x[7] for x in plan]), pa.int64())}
     out = out.join(small(spark.createDataFrame(pa.table(slots))), [s, phase, h])
     slot = F.expr(f"{base} + {b} div {n} * {length} + {at}")
     return out.select(

@@ -160,7 +160,8 @@ def _first_sequence() -> int:
 def _placed(bin_: list[tuple[int, int, int]], held: dict, number: int) -> pa.RecordBatch:
     size = [s for _, _, s in bin_]
     offset = np.cumsum([0, *size[:-1]])
-    return pa.RecordBatch.from_arrays([pa.array([held.pop(k) for k, _, _ in bin_], pa.int64()), pa.array([number] * len(bin_), pa.int64()), pa.array(offset, pa.int64()), pa.array(size, pa.int64())], ["key", "sequence_id", "offset", "length"])
+    return pa.RecordBatch.from_arrays([pa.array([held.pop(k) for k, _, _ in bin_], pa.int64()), pa.array([number] * len(bin_), pa.int64()), pa.array(offset, pa.int64()),
+        pa.array(size, pa.int64())], ["key", "sequence_id", "offset", "length"])
 
 
 class Encoder:

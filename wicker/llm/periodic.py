@@ -289,5 +289,6 @@ def collapse_runs(docs: DataFrame, plant: bool = False, text: str = "text", doc_
     texts = parts.where("octave IS NULL AND sha IS NULL").select("row", "doc_id", "text").join(own, "row", "left")
     texts = texts.withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>")))
     none = F.lit(None).cast("long")
-    plain = parts.where("sha IS NOT NULL").select("doc_id", F.lit(0).cast("long").alias("n_runs"), *[none.alias(c) for c in ("start", "length", "period", "exponent_milli")], F.lit(_NO_RUNS).alias("runs_sha256"), F.col("sha").alias("collapsed_sha256"))
+    plain = parts.where("sha IS NOT NULL").select("doc_id", F.lit(0).cast("long").alias("n_runs"), *[none.alias(c) for c in ("start", "length", "period",
+        "exponent_milli")], F.lit(_NO_RUNS).alias("runs_sha256"), F.col("sha").alias("collapsed_sha256"))
     return plain.unionByName(_digests(texts))

@@ -36,7 +36,8 @@ CUT = 0.3
 HIDDEN, GATES = 16, 8
 ROUNDS, RATE, DECAY, SEED = 200, 0.03, 1e-4, 7
 
-_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\x0b\x0c", b"\n", b".", b",;:", b"!", b"?", b"|", b"#*$%&<>", b"\"'()[]{}`", b"=+/_-\\^~@", bytes(range(0x80, 0x100)))
+_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\x0b\x0c", b"\n", b".", b",;:", b"!", b"?", b"|", b"#*$%&<>",
+    b"\"'()[]{}`", b"=+/_-\\^~@", bytes(range(0x80, 0x100)))
 _KIND = np.full(256, len(_GROUPS), np.uint8)
 for _i, _g in enumerate(_GROUPS):
     _KIND[list(_g)] = _i
@@ -124,7 +125,8 @@ def train(measures: np.ndarray, bags: np.ndarray, labels: np.ndarray) -> Model:
     rng = np.random.default_rng(SEED)
     draw = lambda *shape: rng.normal(0, shape[0] ** -0.5, shape)
     share = np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3)
-    w = {"encode": draw(N_FEATURES, HIDDEN), "shift": np.zeros(HIDDEN), "V": draw(HIDDEN, GATES), "U": draw(HIDDEN, GATES), "gate": draw(GATES), "score": np.zeros(HIDDEN), "bias": np.array(np.log(share / (1 - share)))}
+    w = {"encode": draw(N_FEATURES, HIDDEN), "shift": np.zeros(HIDDEN), "V": draw(HIDDEN, GATES), "U": draw(HIDDEN, GATES), "gate": draw(GATES),
+        "score": np.zeros(HIDDEN), "bias": np.array(np.log(share / (1 - share)))}
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), w)
     model = Model(measures.mean(0), measures.std(0) + 1e-6, w)
@@ -183,7 +185,8 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", doc_id: s
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, bags = measure(batch.column(2).to_pylist())
         p = shared.value.score(x, bags)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= CUT).astype(np.int32)), pa.array(bags, pa.int64())], ["doc_id", "held_out", "score", "predicted", "n_passages"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= CUT).astype(np.int32)), pa.array(bags, pa.int64())], ["doc_id",
+            "held_out", "score", "predicted", "n_passages"])
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (fold(doc_id) == 0).alias("held_out"), text_of(text).alias("text"))
     return map_batches(source, run, "doc_id long, held_out boolean, score double, predicted int, n_passages long")

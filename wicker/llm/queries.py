@@ -83,5 +83,6 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, media_blocks, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing, packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op12_periodic_runs, op13_centroids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_flac_media, media_blocks, op3_token_counts, op4_simhash, op5_quality_rules, op6_packing,
+    packed_conversations, op7_suffix_dedup, op8_secret_scan, op9_quality_mil, op10_license_scan, op11_token_files, op12_periodic_runs, op13_centroids)}
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op13_centroids": centroids.oracle()}

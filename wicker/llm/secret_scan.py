@@ -48,10 +48,13 @@ CREDENTIALS = frozenset("apikey auth authorization bearer credential credentials
 CONTEXT = CREDENTIALS | frozenset("access account api aws basic client id is login session user was with".split())
 #: What is planted for training.  Credential words, what ties a value
 #: to them, and words and values that are no secrets.
-KEYS = ("pwd", "Pwd", "pass", "passphrase", "password", "Password", "PASSWD", "secret", "token", "api key", "API key", "access key", "private key", "credential", "credentials", "session key", "bearer", "Bearer", "user pwd", "SECRET_KEY", "db_pass", "auth_token", "accessKey")
-TIES = (" = {}", "={}", ": {}", ":{}", " {}", " is {}", " => {}", ' = "{}"', "='{}'", ': "{}"', " '{}'", " was {}", " set to {}", " `{}`", "[{}]", " [{}]", ": ({})", " <{}>", " / {}", "... {}", " ~ {} ~")
+KEYS = ("pwd", "Pwd", "pass", "passphrase", "password", "Password", "PASSWD", "secret", "token", "api key", "API key", "access key", "private key", "credential",
+    "credentials", "session key", "bearer", "Bearer", "user pwd", "SECRET_KEY", "db_pass", "auth_token", "accessKey")
+TIES = (" = {}", "={}", ": {}", ":{}", " {}", " is {}", " => {}", ' = "{}"', "='{}'", ': "{}"', " '{}'", " was {}", " set to {}", " `{}`", "[{}]", " [{}]", ": ({})",
+    " <{}>", " / {}", "... {}", " ~ {} ~")
 OTHERS = ("commit", "version", "order", "file", "id", "etag", "build", "size", "date", "model", "page", "user", "account", "number", "client", "session", "ticket", "die", "le", "el")
-PLAIN = ("required", "expired", "invalid", "below", "none", "changed", "management", "reset", "policy", "holder", "length", "field", "optional", "encrypted", "stored", "rotation", "your_password_here", "the", "and", "of", "not", "two", "see")
+PLAIN = ("required", "expired", "invalid", "below", "none", "changed", "management", "reset", "policy", "holder", "length", "field", "optional", "encrypted", "stored",
+    "rotation", "your_password_here", "the", "and", "of", "not", "two", "see")
 #: Of every text in which a rule matches, lower case has one of these,
 #: it has AKIA, or the rule is the one for hex.
 WORDS = ("passw", "secret", "token", "api")
@@ -315,9 +318,13 @@ def _plain_value(rng: np.random.Generator, words: list[str]) -> str:
     """What may stand where a secret could, and is none."""
     n = lambda low, high: int(rng.integers(low, high))
     kinds = (
-        lambda: str(rng.choice(words)), lambda: str(rng.choice(PLAIN)), lambda: str(n(0, 10 ** n(1, 17))), lambda: f"{n(1990, 2031)}-{n(1, 13):02}-{n(1, 29):02}", lambda: f"{n(0, 256)}.{n(0, 256)}.{n(0, 256)}.{n(0, 256)}",
-        lambda: f"v{n(0, 20)}.{n(0, 20)}.{n(0, 99)}", lambda: f"{rng.choice(words)}.{n(0, 100)}@mail{n(0, 10)}.example.com", lambda: f"+{n(10, 99)} {n(100, 999)} {n(10**5, 10**7)}", lambda: f"IMG_{n(2000, 2031)}{n(10, 13)}{n(10, 29)}.jpg", lambda: f"{n(1, 500)}kg", lambda: f"{rng.choice(words)}_{rng.choice(words)}", lambda: f"{n(0, 24):02}:{n(0, 60):02}",
-        lambda: str(rng.choice(words))[:2].upper() + str(rng.choice(words)), lambda: str(rng.choice(words)) + str(rng.choice(words)).title(), lambda: f"{rng.choice(words)}{n(0, 100)}", lambda: f"{rng.choice(words).upper()}_{rng.choice(words).upper()}",
+        lambda: str(rng.choice(words)), lambda: str(rng.choice(PLAIN)), lambda: str(n(0, 10 ** n(1, 17))), lambda: f"{n(1990, 2031)}-{n(1, 13):02}-{n(1, 29):02}",
+            lambda: f"{n(0, 256)}.{n(0, 256)}.{n(0, 256)}.{n(0, 256)}",
+        lambda: f"v{n(0, 20)}.{n(0, 20)}.{n(0, 99)}", lambda: f"{rng.choice(words)}.{n(0, 100)}@mail{n(0, 10)}.example.com",
+        lambda: f"+{n(10, 99)} {n(100, 999)} {n(10**5, 10**7)}", lambda: f"IMG_{n(2000, 2031)}{n(10, 13)}{n(10, 29)}.jpg", lambda: f"{n(1, 500)}kg",
+                lambda: f"{rng.choice(words)}_{rng.choice(words)}", lambda: f"{n(0, 24):02}:{n(0, 60):02}",
+        lambda: str(rng.choice(words))[:2].upper() + str(rng.choice(words)), lambda: str(rng.choice(words)) + str(rng.choice(words)).title(),
+            lambda: f"{rng.choice(words)}{n(0, 100)}", lambda: f"{rng.choice(words).upper()}_{rng.choice(words).upper()}",
     )
     return kinds[n(0, len(kinds))]()
 
