@@ -51,7 +51,7 @@ RADIUS, WORDS, SEED = 4, 4, 42
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 WIDE, NEAREST = 13, 3
 #: Fingerprints of a group that are this near in its order are all paired.
-BESIDE = 8
+BESIDE = 2
 #: Fingerprints of one key that are compared in one place.
 CHUNK = 4096
 #: Lanes that a task compares at once, unless one group has more.
