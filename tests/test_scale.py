@@ -129,3 +129,36 @@ def test_validation_cells_avoid_every_window_with_an_outlier(spark):
     for previous, first in ((0, 1), (1, 2), (2, 3)):
         got = {r.place_id: r.week for r in validation.pick_cells(savings, bad, 6, replace(Params(), previous_weeks=previous)).collect()}
         assert got == {1: week(first), 2: week(0)}
+
+
+# --- steps that one key or every row would hold up ------------------------------------
+
+
+def test_consolidation_shuffles_no_rows_by_catalog(spark):
+    """Five catalogs in 64 partitions: a join by catalog would bring a third of all rows into one task."""
+    from wicker.dimension_queries import CATALOGS
+    from wicker.operators import dimensions as D
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        seed = spark.createDataFrame(CATALOGS, "catalog string, bit int, in_scope boolean")
+        day, rows = dt.date(2024, 1, 1), []
+        for i in range(600):
+            rows.append((f"p{i % 9}", "Bolsa 1 KG", "b", ["Basicos", "Pacic", "Otro"][i % 3], "1.5" if i % 7 else "2.5", float(i % 7 == 0) + 1.5, day + dt.timedelta(i % 5), f"s{i % 4}", "a", "x", "y", "01-2024_Q1.csv"))
+        staged = spark.createDataFrame(rows, "product string, package string, brand string, catalog string, price_text string, price double, date date, store string, address string, state string, municipality string, source_file string")
+        skus = staged.select(*D.SKU).distinct().withColumn("product_id", F.md5("product"))
+        stores = staged.select(*D.STORE).distinct().withColumn("store_id", F.md5("store"))
+        out = D.consolidate_observations(staged, skus, stores, seed)
+        got = {(r.product, r.store, r.date, r.price): (r.n_source_rows, r.catalog_mask, r.has_conflict) for r in out.join(stores.select("store", "store_id"), "store_id").collect()}
+        want, prices = defaultdict(lambda: [0, None]), defaultdict(set)
+        for p, _, _, catalog, _, price, date, store, *_ in rows:
+            cell, mask = want[p, store, date, price], {"Basicos": 1, "Pacic": 16}.get(catalog)
+            cell[0] += 1
+            cell[1] = cell[1] if mask is None else (cell[1] or 0) | mask
+            prices[p, store, date].add(price)
+        assert got == {k: (n, mask, len(prices[k[:3]]) > 1) for k, (n, mask) in want.items()}
+        plan = D.consolidate_observations(staged, skus, stores, seed)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("rightHint=(strategy=broadcast)") == 3, plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
