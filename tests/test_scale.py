@@ -162,3 +162,19 @@ def test_consolidation_shuffles_no_rows_by_catalog(spark):
         assert plan.count("rightHint=(strategy=broadcast)") == 3, plan
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_lines_that_no_rule_fits_get_no_keys(spark):
+    """Keys of stores, brands and chains are made after the join with the products that a rule fits."""
+    raw = spark.createDataFrame(
+        [("Hot Ring.", "Bolsa 2 KG", "x", "3.00", "2024/01/02", "c", "s", "a", "st", "m"), ("HOT  RING", "Bolsa 2  KG", "X.", "3.00", "02/01/2024", "C", "S", "A", "ST", "M"),
+            ("old rod", "Bolsa 2 KG", "x", "9.00", "2024/01/02", "c", "s", "a", "st", "m"), ("hot ring", "Bolsa 2 KG", "x", "n/d", "2024/01/02", "c", "s", "a", "st", "m"), (None, None, None, "1", "2024/01/02", "c", "s", "a", "st", "m")],
+        "product string, package string, brand string, price string, day string, chain string, store string, address string, state string, municipality string",
+    )
+    rules = spark.createDataFrame([("HOT RING", "kg", "KG$", None, "rings", 2.0)], "key string, unit string, include string, exclude string, item_id string, quantity double")
+    parsed = spark.createDataFrame([("BOLSA 2 KG", "kg", 2.0, True)], "package_key string, base_unit string, content double, is_comparable boolean")
+    out = validation.recompute_from_raw(raw, rules, parsed)
+    assert sorted((str(r.week), r.cost, r.n_items, r.place, r.chain) for r in out.collect()) == [("2024-01-01", 3.0, 1, "ST|M", "C"), ("2024-01-08", 3.0, 1, "ST|M", "C")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner") :].split("\n")
+    assert not any("regexp_replace" in line for line in below), plan
