@@ -13,11 +13,9 @@ soon as all their distances exceed the radius.  The fingerprints of a key with m
 keyed again by blocks of their other bits; only if a block has many still, it is split into
 chunks, and every pair of chunks is compared in a task of its own.  A task returns a spanning star of each group it links, never all pairs.
 
-Texts of a given Jaccard similarity (``similar_links``): a fingerprint of 64 bits can't find these
-exactly, since 0.8 over five words means about 8 bits on average, and up to 13.  Here the keys
-are samples of the bits, enough of them for a pair of 10 differing bits to share a key in 95 cases
-of 100; the same comparison gives pairs within 13 bits, and the nearest of each
-fingerprint are checked exactly, shingle by shingle.
+Texts of a given Jaccard similarity (``keep_one`` with ``similarity``): a fingerprint of 64 bits
+can't find these exactly, since 0.8 over five words means about 8 bits on average, and up to 13;
+``similar`` finds them by their shingles.
 
 Components: alternating large and small stars over the links, each round cut from
 its lineage.  Exact copies share a fingerprint and are never compared.
@@ -46,10 +44,8 @@ from pyspark.sql.window import Window
 from .common import cut, map_batches, small, text_of
 
 RADIUS, WORDS, SEED = 4, 4, 42
-#: Of ``similar_links``: shingles and similarity that count, bits within which fingerprints are
-#: candidates, and how many of the nearest ones are checked.
+#: Of ``keep_one`` by similarity: words of a shingle, and the similarity that links.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-WIDE, NEAREST = 13, 3
 #: Fingerprints of a group that are this near in its order are all paired.
 BESIDE = 2
 #: Fingerprints of one key that are compared in one place.
@@ -255,18 +251,17 @@ def _other_blocks(mask: int, radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in out]
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, masks: list[int] | None = None, pairs: bool = False) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """a, b: links between the fingerprints ``fp`` that connect all within the
-    radius of each other (with ``masks``: of those that one of these leaves equal; with
-    ``pairs``: as ``spanning`` gives them)."""
-    spread = groups(distinct, radius, masks or key_masks(distinct.count(), radius))
+    radius of each other."""
+    spread = groups(distinct, radius, key_masks(distinct.count(), radius))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
         def flush(fp: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-            a, b = spanning(fp, g, radius, pairs)
+            a, b = spanning(fp, g, radius)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
@@ -317,35 +312,6 @@ def jaccard(a: str, b: str, words: int = SIMILAR_WORDS) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def similar_links(docs: DataFrame, first: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """a, b: fingerprints of texts whose Jaccard similarity over five words is ``similarity`` or more.
-    ``first``: fp and the least id of its documents, which stand for it."""
-    found = cut(links(first.select("fp"), WIDE, sampled_masks(first.count()), pairs=True))
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    away = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(away, "b"))
-    best = both.withColumn("rank", rank).where(F.col("rank") <= NEAREST)
-    best = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    wanted = best.select(F.col("a").alias("fp")).union(best.select("b")).distinct().join(first, "fp")
-
-    def same_print(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        """Rows of the id whose own fingerprint it is (an id may have several texts)."""
-        own = majority([shingle_hashes(t) for t in batch.column(1).to_pylist()]).view(np.int64)
-        return batch.filter(pa.array(own == batch.column(0).to_numpy()))
-
-    source = docs.select(F.col(doc_id).cast("long").alias("simhash__id"), text_of(text).alias("text"))
-    texts = wanted.join(source, F.col("id").eqNullSafe(F.col("simhash__id"))).select("fp", "text")
-    texts = cut(map_batches(texts, same_print, "fp long, text string").groupBy("fp").agg(F.min("text").alias("text")))
-
-    def alike(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        return pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
-
-    one = best.join(texts.withColumnsRenamed({"fp": "a", "text": "x"}), "a")
-    two = one.join(texts.withColumnsRenamed({"fp": "b", "text": "y"}), "b").select("a", "b", "x", "y")
-    return map_batches(two, alike, "a long, b long", column="x")
-
-
 # --- components ---------------------------------------------------------------
 
 
@@ -386,10 +352,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """One row of ``docs`` for each component: that with the least id (of equal ids the
     least fingerprint, of equal rows any; null ids last).  With ``similarity``, texts link by it and
-    not by ``radius``; equal fingerprints link always."""
-    found = cut(fingerprints(docs, text, doc_id))
+    not by ``radius``; fp is then the signature of a text's set of shingles."""
+    from . import similar  # which takes shingles and components from here
+
+    if similarity:
+        source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+        sets = cut(similar.prefixes(source, similarity))
+        found = sets.select("doc_id", F.col("s").alias("fp"))
+    else:
+        found = cut(fingerprints(docs, text, doc_id))
     first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    named = rooted(first, similar_links(docs, first, text, doc_id, similarity) if similarity else links(first.select("fp"), radius))
+    named = rooted(first, similar.similar_links(source, sets, first.withColumnRenamed("fp", "s"), similarity) if similarity else links(first.select("fp"), radius))
     if not found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
         lost = cut(found.join(named, "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("simhash__id")))
         return docs.join(small(lost), docs[doc_id] == lost["simhash__id"], "left_anti")
@@ -401,8 +374,9 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius
         name += "_"
 
     def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = majority([shingle_hashes(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], [*batch.schema.names, name])
+        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        fp = similar.signatures(texts) if similarity else majority([shingle_hashes(t) for t in texts]).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp)], [*batch.schema.names, name])
 
     all_ = map_batches(docs, marked, StructType([*docs.schema.fields, StructField(name, LongType())]), column=text)
     kept = all_.join(cut(best), all_[doc_id].eqNullSafe(F.col("simhash__id")) & (F.col(name) == F.col("simhash__best")))
