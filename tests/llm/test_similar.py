@@ -84,6 +84,36 @@ def test_prefixes_share_a_shingle_in_any_order():
                 assert len(np.intersect1d(similar.prefix(x, last, 0.8), similar.prefix(y, last, 0.8)))
 
 
+def test_fine_parities_tell_large_sets_apart_and_never_more_than_they_differ():
+    rng = np.random.default_rng(4)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    bits = lambda x: np.frombuffer(similar.parities(x), np.uint64).reshape(1, -1)
+    for n in (0, 1, 3, 500, 520, 4000, 70_000):
+        x = draw(n)
+        for y in (x, draw(n), x[: int(n * 0.81)], np.union1d(x, draw(n // 5))):
+            apart = similar.bits_apart(similar.fine_parities(x), similar.fine_parities(y))
+            assert apart == similar.bits_apart(similar.fine_parities(y), similar.fine_parities(x)) <= len(np.setxor1d(x, y))
+    x, y = draw(4000), draw(4000)
+    assert similar.may_be(bits(x), bits(y), np.array([8000]), 0.8).all()  # 1,024 bins are full
+    assert not similar.near_enough(similar.bits_apart(similar.fine_parities(x), similar.fine_parities(y)), 8000, 0.8)
+
+
+def test_few_edges_are_written_in_few_partitions(spark, monkeypatch):
+    """A step of ``components`` costs files by its edges, not by the number of shuffle partitions."""
+    parts, cut = [], simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df: parts.append((out := cut(df)).rdd.getNumPartitions()) or out)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("false", "37"), strict=True):
+            spark.conf.set(k, v)
+        edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+        assert {r.root for r in simhash.components(edges).collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(parts) > 4 and set(parts[1:]) == {1}
+
+
 def test_candidates_grow_with_a_group_not_with_its_square(spark):
     made = []
     for n in (500, 4000):

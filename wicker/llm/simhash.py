@@ -54,6 +54,8 @@ CHUNK = 4096
 LANES = 1 << 16
 #: Fingerprints that a key should have at most, if they were spread evenly.
 PER_KEY = 2048
+#: Edges of ``components`` in one partition.
+EDGES = 200_000
 
 
 def shingle_hashes(text: str, words: int = WORDS) -> list[int]:
@@ -318,14 +320,16 @@ def jaccard(a: str, b: str, words: int = SIMILAR_WORDS) -> float:
 def components(edges: DataFrame) -> DataFrame:
     """fp, root: every node of the edges (a, b) with the least node it reaches."""
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
+    # Every step writes and deals all edges, so few edges are kept in few partitions.
+    parts = edges.count() // EDGES + 1
+    edges, mark = edges.coalesce(parts), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = cut(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        low = cut(large.groupBy("a").agg(F.min("b").alias("m")))
+        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(parts))
+        large = cut(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct().coalesce(parts))
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(parts))
         joined = large.join(low, "a")
-        edges = cut(joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        edges = cut(joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct().coalesce(parts))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if now == mark:
             break
