@@ -122,6 +122,16 @@ def test_no_shuffle_follows_the_replication_of_weeks(spark):
     assert plan.index("Exchange") > plan.index("Generate")  # plans read upwards
 
 
+def test_rolling_prices_shuffle_cells_instead_of_prices(spark, monkeypatch):
+    """Grouped by price, nearly every observation was a group with three sets, shuffled twice."""
+    plans = []
+    monkeypatch.setattr(marts, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    df = spark.createDataFrame(rolling_rows(), "chain string, place_id int, week date, item string, unit_price double, store_id int, product_id int, date date")
+    assert marts.rolling_item_price(df).count() > 0
+    keys = [line[line.index("keys=[") : line.index("], functions")] for line in plans[0].split("\n") if "keys=[" in line]
+    assert keys and not any("unit_price" in k for k in keys), keys
+
+
 def test_validation_cells_avoid_every_window_with_an_outlier(spark):
     week = lambda i: dt.date(2024, 1, 1) + dt.timedelta(7 * i)
     savings = spark.createDataFrame([(1, week(i), 5 - i) for i in range(5)] + [(2, week(0), 2)], "place_id int, week date, chains_compared int")
