@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 import statistics
 from collections import defaultdict
@@ -12,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from wicker.functions import sketches as S
 from wicker.functions.storage import exclusive_prefix, numbered
 from wicker.operators import normalize, validation
@@ -132,6 +134,24 @@ def test_rolling_prices_shuffle_cells_instead_of_prices(spark, monkeypatch):
     assert keys and not any("unit_price" in k for k in keys), keys
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the tables aren't here")
+@pytest.mark.parametrize("name", ["run_summary", "dashboard_weeks"])
+def test_rolling_prices_are_worked_out_once(spark, monkeypatch, name):
+    calls, rolling = [], marts.rolling_item_price
+    monkeypatch.setattr(marts, "rolling_item_price", lambda *a: calls.append(1) or rolling(*a))
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0 and len(calls) == 1
+
+
+def test_coverage_does_not_repeat_rows_for_its_distinct_counts(spark):
+    df = spark.createDataFrame(rolling_rows(), "chain string, place_id int, week date, item string, unit_price double, store_id int, product_id int, date date")
+    flagged = df.withColumns({"is_outlier": F.lit(False), "content": F.lit(1)})
+    basket = df.select("item", F.lit(1.0).alias("quantity")).distinct()
+    out = marts.coverage(flagged, marts.basket_cost(marts.rolling_item_price(df), basket), basket)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {(r.chain, r.place_id, r.week): (r.s, r.p, r.d) for r in df.groupBy(*marts.CELL).agg(F.countDistinct("store_id").alias("s"), F.countDistinct("product_id").alias("p"), F.countDistinct("date").alias("d")).collect()}
+    assert {(r.chain, r.place_id, r.week): (r.n_stores, r.n_products, r.n_days) for r in out.collect()} == want
+
+
 def test_validation_cells_avoid_every_window_with_an_outlier(spark):
     week = lambda i: dt.date(2024, 1, 1) + dt.timedelta(7 * i)
     savings = spark.createDataFrame([(1, week(i), 5 - i) for i in range(5)] + [(2, week(0), 2)], "place_id int, week date, chains_compared int")
