@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,16 @@ def test_quantiles_of_all(spark):
         got = quantiles_of_all(df, "x", {"a": 0.01, "b": 0.5, "c": 0.99}, pieces=16).first()
         assert np.allclose([got.a, got.b, got.c], np.quantile(values, [0.01, 0.5, 0.99]))
     assert quantiles_of_all(df.limit(0), "x", {"a": 0.5}).first().a is None
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the tables aren't here")
+def test_lines_said_again_take_one_pass(spark):
+    from wicker import profile_queries
+    from wicker.plans.raw import raw_prices
+
+    sf = "/root/testdata/sf0.001"
+    out, raw = profile_queries._doubled(spark, sf), raw_prices(spark, sf)
+    assert out._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+    again = raw.where("price LIKE '%5'").unionByName(raw.where("price LIKE '%7'").withColumn("catalog", F.lit("Otro"))).unionByName(raw.where("price LIKE '%9'").withColumn("price", F.concat(F.lit("1"), "price")))
+    want = raw.unionByName(again)
+    assert out.columns == raw.columns and out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0

@@ -230,10 +230,12 @@ repeated AS (SELECT h.source_file AS file, CAST(sum(n) AS BIGINT) AS n_rows, CAS
 def _doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines, those of the flag's second half of a day said again."""
     raw = raw_prices(spark, sf_dir)
-    again = raw.where("price LIKE '%5'")
-    other = raw.where("price LIKE '%7'").withColumn("catalog", F.lit("Otro"))
-    dear = raw.where("price LIKE '%9'").withColumn("price", F.concat(F.lit("1"), "price"))
-    return raw.unionByName(again).unionByName(other).unionByName(dear)
+    line = lambda catalog=F.col("catalog"), price=F.col("price"): F.struct(catalog.alias("catalog"), price.alias("price"))
+    ends = lambda x: F.col("price").endswith(x)
+    more = F.when(ends("5"), line()).when(ends("7"), line(catalog=F.lit("Otro"))).when(ends("9"), line(price=F.concat(F.lit("1"), "price")))
+    said = F.when(more.isNull(), F.array(line())).otherwise(F.array(line(), more))  # one pass over the lines
+    others = [c for c in raw.columns if c not in ("catalog", "price")]
+    return raw.select(*others, F.inline(said)).select(*raw.columns)
 
 
 _DOUBLED = RAW.replace("raw AS (",
