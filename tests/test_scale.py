@@ -208,3 +208,67 @@ def test_lines_that_no_rule_fits_get_no_keys(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Join Inner") :].split("\n")
     assert not any("regexp_replace" in line for line in below), plan
+
+
+# --- disk -----------------------------------------------------------------------------
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_written_tables_leave_no_shuffle_behind(spark):
+    """What a step had shuffled stayed beside its table until the driver collected garbage."""
+    from wicker.functions.storage import written
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _shuffle_files(spark)
+    was = spark.conf.get(key)
+    table = written(spark.range(50000).groupBy((F.col("id") % 7919).alias("k")).agg(F.count("*").alias("n")))
+    assert not _shuffle_files(spark) - before and spark.conf.get(key) == was
+    assert (table.count(), table.agg(F.sum("n")).first()[0]) == (7919, 50000)
+    with pytest.raises(Exception, match="no_such"):
+        written(spark.range(3).where(F.raise_error(F.lit("no_such"))))
+    assert spark.conf.get(key) == was
+
+
+def _facts(spark, monkeypatch, name):
+    """What the query hands to the outlier flags, as (columns and types, rows)."""
+    seen, flag = [], marts.flag_outliers
+    monkeypatch.setattr(marts, "flag_outliers", lambda obs, *a: seen.append(obs) or flag(obs, *a))
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    return seen[0]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the tables aren't here")
+@pytest.mark.parametrize("name", ["basket_observations", "rolling_basket_price"])
+def test_the_basket_consolidates_only_its_products(spark, monkeypatch, name):
+    fact = _facts(spark, monkeypatch, name)
+    assert sorted(fact.columns) == ["date", "price", "product_id", "store_id"]
+    products = entry.queries()["dim_product"](spark, "/root/testdata/sf0.001").where("item_id IS NOT NULL AND is_comparable")
+    assert {r[0] for r in fact.select("product_id").distinct().collect()} <= {r[0] for r in products.select("product_id").collect()}
+
+
+def test_statistics_of_a_key_are_dealt_once(spark):
+    from wicker.functions.stats import robust_stats
+
+    df = spark.createDataFrame([(i % 9, float(i % 23)) for i in range(900)], "k int, x double")
+    plan = robust_stats(df, "k", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "ENSURE_REQUIREMENTS" not in plan.replace("EXECUTOR_BROADCAST", ""), plan
+
+
+def test_stores_are_spanned_without_sorting_their_lines(spark):
+    from wicker.operators import dimensions as D
+
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    rows = [
+        ("s", "a", "x", "y", "old", "F", 20.0, -100.0, day(0)), ("s", "a", "x", "y", "new", None, 99.0, -100.0, day(5)), ("s", "a", "x", "y", "newer", "G", None, None, day(5)),
+        ("s", "a", "x", "y", "undated", "Z", 21.0, -101.0, None), ("s", "a", "x", "y", "old", "F", 20.0, -100.0, day(2)), (None, "a", "x", "y", None, None, 20.0, -100.0, None),
+    ]
+    staged = spark.createDataFrame(rows, "store string, address string, state string, municipality string, chain string, format string, latitude double, longitude double, date date")
+    out = D.store_map(staged)
+    got = {r.store: (r.chain, r.format, r.latitude, r.longitude, r.first_date, r.last_date, r.n_rows) for r in out.collect()}
+    assert got == {"s": ("newer", "G", 20.0, -100.0, day(0), day(5), 5), None: (None, None, None, None, None, None, 1)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("HashAggregate") :]  # plans read upwards: the first step over the lines
+    assert "SortAggregate" not in below, plan
