@@ -249,6 +249,13 @@ def test_the_basket_consolidates_only_its_products(spark, monkeypatch, name):
     assert {r[0] for r in fact.select("product_id").distinct().collect()} <= {r[0] for r in products.select("product_id").collect()}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the tables aren't here")
+def test_the_recomputation_keeps_narrow_lines_of_all_products(spark, monkeypatch):
+    fact = _facts(spark, monkeypatch, "recomputed_from_raw")
+    assert sorted(fact.dtypes) == [("date", "date"), ("price", "decimal(12,2)"), ("product_id", "bigint"), ("store_id", "bigint")]
+    assert fact.count() == entry.queries()["observations_by_day"](spark, "/root/testdata/sf0.001").count()
+
+
 def test_statistics_of_a_key_are_dealt_once(spark):
     from wicker.functions.stats import robust_stats
 
