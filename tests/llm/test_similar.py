@@ -120,3 +120,13 @@ def test_candidates_grow_with_a_group_not_with_its_square(spark):
         rows = spark.range(n).selectExpr("7L AS h", "xxhash64(id) AS s", "50L AS n")
         made.append(similar.places(similar.shared(rows), 1, 1, 0.8).count() / n)
     assert made == [499 / 500, 3999 / 4000]
+
+
+def test_ids_that_are_no_whole_numbers_lose_no_document(spark):
+    """Cut to whole numbers they were found in no row: every document of 1.25 and 1.75 went."""
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "One two THREE four five six", "a b c d e f g"]
+    for kind, ids in (("double", [1.25, 1.75, 2.5, None]), ("decimal(5,2)", [1.25, 1.75, 2.5, 7.0]), ("string", ["b", "c", "x", None]), ("int", [1, 2, 3, None])):
+        df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id string, text string" if kind == "string" else f"doc_id {kind if kind == 'int' else 'double'}, text string")
+        df = df.withColumn("doc_id", df.doc_id.cast(kind))
+        for similarity in (0.8, None):
+            assert sorted(r.text for r in simhash.keep_one(df, similarity=similarity).collect()) == sorted([texts[0], texts[1], texts[3]]), (kind, similarity)

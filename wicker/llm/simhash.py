@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .common import cut, map_batches, small, text_of
@@ -91,15 +91,15 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of each row."""
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kind: str = "long") -> DataFrame:
+    """doc_id (of type ``kind``) and fingerprint (as a signed long) of each row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = majority([shingle_hashes(t) for t in batch.column(1).to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return map_batches(source, run, "doc_id long, fp long")
+    source = docs.select(F.col(doc_id).cast(kind).alias("doc_id"), text_of(text).alias("text"))
+    return map_batches(source, run, f"doc_id {kind}, fp long")
 
 
 # --- comparison ---------------------------------------------------------------
@@ -356,15 +356,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """One row of ``docs`` for each component: that with the least id (of equal ids the
     least fingerprint, of equal rows any; null ids last).  With ``similarity``, texts link by it and
-    not by ``radius``; fp is then the signature of a text's set of shingles."""
+    not by ``radius``; fp is then the signature of a text's set of shingles.  Ids are compared in their own
+    type: fractions and texts cut to whole numbers would be found in no row."""
     from . import similar  # which takes shingles and components from here
 
+    type_ = docs.schema[doc_id].dataType
+    kind = "long" if isinstance(type_, IntegralType) else type_.simpleString()
     if similarity:
-        source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+        source = docs.select(F.col(doc_id).cast(kind).alias("doc_id"), text_of(text).alias("text"))
         sets = cut(similar.prefixes(source, similarity))
         found = sets.select("doc_id", F.col("s").alias("fp"))
     else:
-        found = cut(fingerprints(docs, text, doc_id))
+        found = cut(fingerprints(docs, text, doc_id, kind))
     first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("id")))
     named = rooted(first, similar.similar_links(source, sets, first.withColumnRenamed("fp", "s"), similarity) if similarity else links(first.select("fp"), radius))
     if not found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count():
