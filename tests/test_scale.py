@@ -279,3 +279,11 @@ def test_stores_are_spanned_without_sorting_their_lines(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("HashAggregate") :]  # plans read upwards: the first step over the lines
     assert "SortAggregate" not in below, plan
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the tables aren't here")
+def test_raw_lines_meet_small_tables_without_a_shuffle(spark):
+    from wicker.plans.raw import raw_prices
+
+    plan = raw_prices(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 4, plan
